@@ -20,7 +20,7 @@ def _double_text(value: Column) -> Column:
     text = value.cast("string")
     plain = F.rtrim(text.try_cast("decimal(38,20)").cast("string"), F.lit("0"))
     mantissa = F.regexp_replace(F.regexp_extract(text, r"^(.*)E", 1), r"\.0$", "")
-    exponent = F.regexp_extract(text, r"E(-?\d+)$", 1)
+    exponent = F.ltrim(F.regexp_extract(text, r"E(-?\d+)$", 1), F.lit("-"))
     return (
         F.when(~text.contains("E"), F.when(text == "NaN", "nan").otherwise(text))
         .when(
@@ -31,10 +31,8 @@ def _double_text(value: Column) -> Column:
             F.concat(
                 mantissa,
                 F.lit("e"),
-                F.when(exponent.startswith("-"), "-").otherwise("+"),
-                F.lpad(F.ltrim(exponent, F.lit("-")), 2, "0").substr(
-                    F.lit(1), F.greatest(F.lit(2), F.length(F.ltrim(exponent, F.lit("-"))))
-                ),
+                F.when(text.contains("E-"), "-").otherwise("+"),
+                F.when(F.length(exponent) < 2, F.concat(F.lit("0"), exponent)).otherwise(exponent),
             )
         )
     )

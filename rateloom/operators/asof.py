@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Row kinds, in the order they take at one time: inherited value, rate, probe.
-_CARRY, _RATE, _ASKED_AT = 0, 1, 2
-# Slots and days: an asked one sorts before the rate of the same one.
+_CARRY, _RATE, _PROBE = 0, 1, 2
+# Among slots, one that is asked for sorts before the rate of the same slot.
 _ASKED = 0
-_BEFORE = (Window.unboundedPreceding, -1)
 
 
 def asof_join(
@@ -32,8 +33,9 @@ def asof_join(
 
     * probes and rates meet only as one row per key and microsecond, after a map-side aggregate, so
       a batch of probes stamped alike is one row;
-    * the running last value is taken per key and time slot;
-    * what a slot inherits is found from one row per slot within a day, then one row per day.
+    * the running last value is taken per key and ``slot``;
+    * what a slot inherits is found from one row per key and slot, so that window has as many rows
+      as there are slots in the time covered (minutes: half a million a year).
 
     Rates of one key and microsecond are settled by the largest ``tie`` (a long column), or without
     one by the largest values. The wide probe rows are shuffled once, for the final equi join. Its
@@ -45,7 +47,8 @@ def asof_join(
     at = [*on, "_slot", "_ts"]
 
     def keyed(df: DataFrame, time: str, *extra: Column) -> DataFrame:
-        return df.select(
+        # Without nulls from the start, so that all uses of one side read the same shuffle.
+        return df.where(reduce(and_, [F.col(c).isNotNull() for c in [*keys, time]])).select(
             *[F.col(k).alias(o) for k, o in zip(keys, on)],
             F.col(time).alias("_ts"),
             F.window(F.col(time), slot).getField("start").alias("_slot"),
@@ -69,8 +72,8 @@ def asof_join(
     hit = F.struct(F.col("_ts").alias("_at"), *vals)
     no_hit = F.lit(None).cast(quoted.select(hit.alias("hit")).schema["hit"].dataType)
 
-    # What each asked slot starts with: the last rate of an earlier slot of the day, or of an
-    # earlier day. Within a slot the asked row sorts first, so it only sees earlier slots.
+    # What each asked slot starts with: the last rate of an earlier slot. Within a slot the asked
+    # row sorts first, so it only sees earlier ones.
     slots = (
         quoted.groupBy(*on, "_slot")
         .agg(F.max("_ts").alias("_ts"), *[F.max_by(v, "_ts").alias(v) for v in vals])
@@ -80,42 +83,19 @@ def asof_join(
                 *on, "_slot", F.lit(_ASKED).alias("_side"), no_hit.alias("_hit")
             )
         )
-        .withColumn("_day", F.to_date("_slot"))
     )
-    in_day = Window.partitionBy(*on, "_day").orderBy("_slot", "_side").rowsBetween(*_BEFORE)
-    over_days = Window.partitionBy(*on).orderBy("_day", "_kind").rowsBetween(*_BEFORE)
-    days = (
-        slots.where(F.col("_side") == _RATE)
-        .groupBy(*on, "_day")
-        .agg(F.max_by("_hit", "_slot").alias("_hit"))
-        .unionByName(
-            slots.where(F.col("_side") == _ASKED).select(*on, "_day").distinct().withColumn("_hit", no_hit)
-        )
-    )
-    days = (
-        # As with slots, a day may have a row of either kind; the asked one is kept.
-        days.withColumn("_kind", F.when(F.col("_hit").isNull(), _ASKED).otherwise(_RATE))
-        .withColumn("_inherited", F.last("_hit", True).over(over_days))
-        .where(F.col("_kind") == _ASKED)
-        .select(*on, "_day", "_inherited")
+    earlier_slots = (
+        Window.partitionBy(*on).orderBy("_slot", "_side").rowsBetween(Window.unboundedPreceding, -1)
     )
     carried = (
-        slots.withColumn("_carry", F.last("_hit", True).over(in_day))
-        .where(F.col("_side") == _ASKED)
-        .join(days, [*on, "_day"])
-        .select(
-            *on,
-            "_slot",
-            F.col("_slot").alias("_ts"),
-            F.lit(_CARRY).alias("_side"),
-            F.coalesce("_carry", "_inherited").alias("_hit"),
-        )
-        .where(F.col("_hit").isNotNull())
+        slots.withColumn("_hit", F.last("_hit", True).over(earlier_slots))
+        .where((F.col("_side") == _ASKED) & F.col("_hit").isNotNull())
+        .select(*on, "_slot", F.col("_slot").alias("_ts"), F.lit(_CARRY).alias("_side"), "_hit")
     )
 
     rows = (
         quoted.select(*at, F.lit(_RATE).alias("_side"), hit.alias("_hit"))
-        .unionByName(asked.select(*at, F.lit(_ASKED_AT).alias("_side"), no_hit.alias("_hit")))
+        .unionByName(asked.select(*at, F.lit(_PROBE).alias("_side"), no_hit.alias("_hit")))
         .unionByName(carried)
     )
     running = (
@@ -125,7 +105,7 @@ def asof_join(
     )
     answers = (
         rows.withColumn("_hit", F.last("_hit", True).over(running))
-        .where(F.col("_side") == _ASKED_AT)
+        .where(F.col("_side") == _PROBE)
         .select(
             *on,
             "_ts",

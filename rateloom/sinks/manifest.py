@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
-# Hidden from Spark's readers by the leading underscore, so the data folder stays readable as is.
-MANIFEST = "_manifest"
+from rateloom.sources.files import MANIFEST  # hidden from Spark's readers by the underscore
 
 
 def append_manifest(rows: DataFrame, root: str) -> None:
@@ -13,7 +12,7 @@ def append_manifest(rows: DataFrame, root: str) -> None:
     rows.select("key", "tags", "written_at").write.mode("append").json(f"{root.rstrip('/')}/{MANIFEST}")
 
 
-def read_manifest(spark, root: str) -> DataFrame:
+def read_manifest(spark: SparkSession, root: str) -> DataFrame:
     """The tags recorded under ``root``."""
     schema = "key string, tags string, written_at timestamp_ntz"
     return spark.read.schema(schema).json(f"{root.rstrip('/')}/{MANIFEST}/*.json")

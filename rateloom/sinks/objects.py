@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
 from rateloom.functions import stamped_key, tag_string
+from rateloom.sources.files import PENDING, open_storage
 
 from .manifest import append_manifest
 
@@ -35,26 +36,26 @@ class ObjectWriter(DataSourceArrowWriter):
         self.root = root
 
     def write(self, batches: Iterator[pa.RecordBatch]) -> WriterCommitMessage:
-        from pyarrow import fs
-
-        system, base = fs.FileSystem.from_uri(self.root if "://" in self.root else f"file://{self.root}")
+        system, base = open_storage(self.root)
         attempt = TaskContext.get().taskAttemptId()
-        local = system.type_name == "local"
+        # Object stores show an object when its upload ends; a file is moved into place.
+        moves = system.type_name == "local"
+        pending = f"{base}/{PENDING}/{attempt}"
+        if moves:
+            system.create_dir(pending, recursive=True)
         folders: set[str] = set()
         count = 0
         for batch in batches:
             for key, content in zip(batch.column("key"), batch.column("content")):
                 target = f"{base}/{key.as_py()}"
-                folder, _, name = target.rpartition("/")
+                folder = target.rpartition("/")[0]
                 if folder not in folders:
                     system.create_dir(folder, recursive=True)
                     folders.add(folder)
-                # Object stores show an object when its upload ends; a file is moved into place.
-                put = f"{folder}/.{name}.{attempt}" if local else target
-                with system.open_output_stream(put) as stream:
+                with system.open_output_stream(f"{pending}/{count}" if moves else target, compression=None) as stream:
                     stream.write(content.as_buffer())
-                if local:
-                    system.move(put, target)
+                if moves:
+                    system.move(f"{pending}/{count}", target)
                 count += 1
         return _Written(count)
 
