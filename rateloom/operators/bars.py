@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from rateloom.functions import order_key
 from rateloom.schemas import TIMEFRAMES
 
-_BAR_FIELDS = ["open", "high", "low", "close", "volume", "trade_count", "vwap"]
+# A symbol and a timestamp take some 50 bytes: 5 MB at most.
+BROADCAST_SYMBOLS = 100_000
 
 
 def window_start(ts: Column | str, timeframe: str) -> Column:
@@ -67,14 +68,18 @@ def latest_bar(bars_df: DataFrame) -> DataFrame:
 def latest_bar_of_trades(trades: DataFrame, timeframe: str = "1Min", tie: str | None = None) -> DataFrame:
     """The last bar of each symbol straight from trades.
 
-    A first pass over two columns finds each symbol's last window, and only the trades in it are
-    aggregated, instead of building every bar to keep one per symbol. The last windows are one row
-    per symbol; whether that side is broadcast is left to the optimizer's size check.
+    A first job over two columns finds each symbol's last window. Up to ``BROADCAST_SYMBOLS`` of them
+    are sent to the scan as a filter, so only the trades of those windows are aggregated. With more
+    symbols than that, all bars are built and the last of each is kept.
     """
+    last = trades.groupBy("symbol").agg(F.max("ts").alias("ts")).where(F.col("ts").isNotNull())
+    windows = last.select("symbol", window_start("ts", timeframe).alias("_start"))
+    found = windows.limit(BROADCAST_SYMBOLS + 1).collect()
+    if len(found) > BROADCAST_SYMBOLS:
+        return latest_bar(bars(trades, timeframe, tie))
+    few = F.broadcast(trades.sparkSession.createDataFrame(found, windows.schema))
     stamped = trades.withColumn("_start", window_start("ts", timeframe))
-    last = trades.groupBy("symbol").agg(F.max("ts").alias("ts"))
-    last = last.select(F.col("symbol"), window_start("ts", timeframe).alias("_start"))
-    return bars(stamped.join(last, ["symbol", "_start"], "left_semi"), timeframe, tie)
+    return bars(stamped.join(few, ["symbol", "_start"], "left_semi"), timeframe, tie)
 
 
 def select_range(

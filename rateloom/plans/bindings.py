@@ -45,7 +45,7 @@ def trades(
     return table(spark, sf_dir, "events").select(
         (F.col("event_type") if symbol is None else symbol).alias("symbol"),
         "ts",
-        (F.round(F.col("value") * 100) if price is None else price).alias("price"),
+        (F.rint(F.col("value") * 100) if price is None else price).alias("price"),
         size().alias("size"),
         "event_id",
     )

@@ -77,12 +77,12 @@ def _list_folders(folders: DataFrame, root: str) -> DataFrame:
 
 
 def list_objects(
-    spark: SparkSession, root: str, prefix: str = "", where: Column | None = None, tasks: int = 64
+    spark: SparkSession, root: str, prefix: str = "", where: Column | None = None
 ) -> DataFrame:
     """``key, name, mime_type, length, modified`` of every object whose key starts with ``prefix``.
 
-    Folders are listed level by level, the folders of a level spread over ``tasks`` tasks. Each level
-    is written to the shared scratch folder, so the result is one consistent listing that is not
+    Folders are listed level by level, the folders of a level spread over all cores. Each level is
+    written to the shared scratch folder, so the result is one consistent listing that is not
     repeated. ``where`` searches the metadata.
     """
     scratch = scratch_dir(spark, "listing")
@@ -97,7 +97,8 @@ def list_objects(
         folders = entries.where(F.col("is_folder") & wanted & ~F.col("key").isin(MANIFEST, PENDING)).select("key")
         if folders.isEmpty():
             break
-        folders, level = folders.repartition(tasks, "key"), level + 1
+        # A fixed number of tasks: the rows are few, but each stands for a call to the storage.
+        folders, level = folders.repartition(spark.sparkContext.defaultParallelism, "key"), level + 1
     listed = (
         spark.read.schema(_ENTRY)
         .parquet(*[f"{scratch}/{i:04d}" for i in range(level + 1)])

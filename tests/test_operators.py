@@ -135,6 +135,15 @@ def test_selection_reaches_the_scan(spark, sf_dir):
     assert "l(ts,2024-01-05T00:00), LessThan(ts,2024-" in plan
 
 
+@pytest.mark.parametrize("limit", [1, 2, 100_000])
+def test_latest_bar_of_trades(spark, monkeypatch, limit):
+    monkeypatch.setattr(bars, "BROADCAST_SYMBOLS", limit)
+    data = [("A", at(i), float(i), 1, i) for i in range(100)] + [("B", at(i), float(i), 1, i) for i in range(30)]
+    got = bars.latest_bar_of_trades(trades(spark, data), "1Min", "id")
+    assert rows(got, "*") == rows(bars.latest_bar(bars.bars(trades(spark, data), "1Min", "id")), "*")
+    assert rows(got, "symbol", "open", "trade_count") == [("A", 60.0, 40), ("B", 0.0, 30)]
+
+
 def test_close_on_date(spark):
     made = bars.bars(trades(spark, [("A", at(0), 1.0, 1, 1), ("A", at(7200), 2.0, 1, 2)]), "1Hour")
     wanted = spark.createDataFrame([("A", START.date()), ("A", date(2024, 1, 2)), ("B", START.date())], "symbol string, date date")
