@@ -29,10 +29,11 @@ from rateloom.session import scratch_dir
 from rateloom.sinks.objects import write_objects
 from rateloom.sinks.parquet import write_parquet
 from rateloom.sinks.sheet import write_sheet_table
-from rateloom.sources import envelope, files, fx, requests, stocks, tables
+from rateloom.sources import envelope, files, fx, planning, requests, stocks, tables
 from rateloom.streaming.landing import run_landing
 
 from . import bindings as b
+from .backfill import backfill_rates
 from .latest_rates import run_latest_rates
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -502,6 +503,104 @@ def classify(spark, sf_dir):
     return tries.select("event_id", "status", verdict.alias("v")).select("event_id", "status", "v.*")
 
 
+@query(
+    "response_audit",
+    f"""with {_DAILY}, r as (select distinct base_currency, rate_date from daily),
+        s as (select case when day(rate_date) % 7 = 3 then 500 else 200 end as status from r)
+        select cast(status as int) as status, case status when 200 then 'ok' else 'retry' end as action,
+               count(*) as n from s group by 1, 2""",
+)
+def response_audit(spark, sf_dir):
+    return envelope.response_audit(b.landed_historical(spark, sf_dir, failures=True))
+
+
+@query(
+    "bars_timeseries_audit",
+    f"""with b as (select cast(floor(date_diff('day', date '2023-12-25', bar_date) / 10) as int) as batch,
+                         count(distinct (symbol, bar_date)) as pages, count(*) as n_rows
+                  from ({_HOURS}) group by 1),
+        w as (select cast(i as int) as batch, cast(date '2023-12-25' + cast(i * 10 as int) as date) as batch_start,
+                     least(cast(date '2023-12-25' + cast(i * 10 + 9 as int) as date), date '2024-02-25') as batch_end
+              from range(7) t(i))
+        select w.*, coalesce(pages, 0) as pages, 0::bigint as failed_pages, coalesce(n_rows, 0) as n_rows
+        from w left join b using (batch)""",
+)
+def bars_timeseries_audit(spark, sf_dir):
+    return stocks.bars_timeseries_audit(b.landed_bars(spark, sf_dir), "2023-12-25", "2024-02-25", 10)
+
+
+@query(
+    "plan_rate_requests",
+    """with r as (select 'B' || user_id as base, cast(min(ts) as date) as lo, cast(max(ts) as date) as hi
+                  from events group by 1),
+       d as (select base, cast(unnest(generate_series(lo, hi, interval 1 day)) as date) as day from r)
+       select base || '-' || day as request_key, 'historical' as endpoint, base, cast(day as varchar) as "date" from d""",
+)
+def plan_rate_requests(spark, sf_dir):
+    base = F.concat(F.lit("B"), F.col("user_id").cast("string")).alias("base_currency")
+    ranges = b.table(spark, sf_dir, "events").groupBy(base).agg(F.min("ts").alias("start"), F.max("ts").alias("end"))
+    made = planning.historical_rate_requests(ranges)
+    params = F.col("params")
+    return made.select("request_key", "endpoint", params["base"].alias("base"), params["date"].alias("date"))
+
+
+@query(
+    "plan_bar_requests",
+    """select 'U' || user_id as symbol, d as "start",
+              cast(least(cast(d as date) + 9, date '2024-02-20') as varchar) as "end", 'iex' as feed
+       from (select distinct user_id from events),
+            (select cast(cast(g as date) as varchar) as d
+             from generate_series(date '2024-01-01', date '2024-02-20', interval 10 day) t(g))""",
+)
+def plan_bar_requests(spark, sf_dir):
+    symbols = b.table(spark, sf_dir, "events").select(
+        F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("symbol")
+    )
+    made = planning.bar_requests(symbols, "2024-01-01", "2024-02-20", "1Hour", batch_days=10, per_request=40)
+    named = F.explode(F.split(F.col("params")["symbols"], ",")).alias("symbol")
+    return made.select(named, *[F.col("params")[p].alias(p) for p in ("start", "end", "feed")])
+
+
+def _backfill(spark, sf_dir):
+    # The days that fail have no stored reply.
+    landed = b.landed_historical(spark, sf_dir, failures=True).where("body is not null")
+    root = scratch_dir(spark, "backfill")
+    _put_responses(landed, f"{root}/replies")
+    bases = b.table(spark, sf_dir, "events").select(F.col("event_type").alias("base_currency")).distinct()
+    return backfill_rates(
+        bases,
+        "2024-01-04",
+        "2024-02-10",
+        requests.FileTransport(f"{root}/replies"),
+        f"{root}/landing",
+        root,
+        "rates",
+        filename="rates.parquet",
+        max_concurrency=4,
+        sleep=_no_wait,
+    )
+
+
+def _no_wait(seconds: float) -> None:
+    """Stored replies do not get better by waiting."""
+
+
+@query(
+    "backfill_rates",
+    f"""with {_DAILY} select *, cast(rate_date as timestamp) as rate_timestamp from daily
+        where not {_FAILED_DAY} and rate_date between '2024-01-04' and '2024-02-10'""",
+)
+def backfill(spark, sf_dir):
+    uri, _ = _backfill(spark, sf_dir)
+    return spark.read.parquet(uri).drop(_LOADED)
+
+
+@query("backfill_audit", ORACLE["batch_audit"])
+def backfill_audit(spark, sf_dir):
+    _, audit = _backfill(spark, sf_dir)
+    return audit
+
+
 # ---- objects, sheets, SQL, sinks -------------------------------------------------------------
 
 
@@ -837,17 +936,17 @@ def ratio(spark, sf_dir):
 
 @query(
     "request_params",
-    f"""select cast(ts as date) as day, string_agg(distinct 'U' || user_id, ',' order by 'U' || user_id) as symbols,
-               cast(cast(ts as date) as varchar) as "start", 2 as n_params from events group by 1""",
+    """select distinct cast(ts as date) as day, 'U' || user_id as symbol,
+              cast(cast(ts as date) as varchar) as "start", 2 as n_params from events""",
 )
 def request_params(spark, sf_dir):
     events = b.table(spark, sf_dir, "events").select(
         F.to_date("ts").alias("day"), F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("symbol")
     )
-    made = requests.request_params(events, ["day"], "symbol", {"start": F.col("day"), "feed": None})
+    made = requests.request_params(events, ["day"], "symbol", {"start": F.col("day"), "feed": None}, split=8)
     return made.select(
         "day",
-        F.col("params")["symbols"].alias("symbols"),
+        F.explode(F.split(F.col("params")["symbols"], ",")).alias("symbol"),
         F.col("params")["start"].alias("start"),
         F.size("params").alias("n_params"),
     )

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from rateloom import schemas
 from rateloom.functions import now_utc, parse_iso_utc, zero_fill
 from rateloom.operators.bars import first_bars
-from rateloom.operators.calendar import batch_no
+from rateloom.operators.calendar import batch_calendar, batch_no
 from rateloom.operators.shape import enforce_schema
 
 from .envelope import guard, read_body, usable
@@ -80,6 +80,23 @@ def bar_results(responses: DataFrame) -> DataFrame:
     return usable(read, ok, n_bars, F.try_element_at("params", F.lit("start")).try_cast("date").alias("day"))
 
 
+def bars_timeseries_audit(responses: DataFrame, start: str, end: str, batch_days: int = 30) -> DataFrame:
+    """Per window: pages received, pages that are unusable, and bars; a window without pages has 0.
+
+    Pages are counted by the window their request starts in.
+    """
+    lo, hi = F.lit(start).cast("date"), F.lit(end).cast("date")
+    pages = bar_results(responses).where(F.col("day").between(lo, hi))
+    per_window = pages.groupBy(batch_no("day", lo, batch_days).alias("batch")).agg(
+        F.count(F.lit(1)).alias("pages"),
+        F.count_if(~F.col("ok")).alias("failed_pages"),
+        F.sum("n_rows").alias("n_rows"),
+    )
+    one = responses.sparkSession.range(1).select(lo.alias("_from"), hi.alias("_to"))
+    windows = batch_calendar(one, "_from", "_to", batch_days)
+    return windows.join(per_window, "batch", "left").na.fill(0, ["pages", "failed_pages", "n_rows"])
+
+
 def snapshots(responses: DataFrame, zero_missing: bool = True, on_error: str = "raise") -> DataFrame:
     """Latest trade, quote and previous close per symbol.
 
