@@ -634,10 +634,10 @@ def read_objects(spark, sf_dir):
     return found.select("key", F.col("content").cast("string").alias("html"))
 
 
-@query("read_keys", f"select {_KEY} as key, html from pages where page_id % 3 = 0")
+@query("read_keys", f"select {_KEY} as key, html from pages where url like '%/en/%'")
 def read_keys(spark, sf_dir):
     root = _put_pages(spark, sf_dir)
-    pages = b.table(spark, sf_dir, "pages").where(F.col("page_id") % 3 == 0)
+    pages = b.table(spark, sf_dir, "pages").where(F.col("url").contains("/en/"))
     keys = pages.select(F.format_string("%s/p%d.html", F.regexp_extract("url", "^(https?):", 1), "page_id").alias("key"))
     found = files.read_keys(keys, root)
     return found.select("key", F.col("content").cast("string").alias("html"))

@@ -18,6 +18,10 @@ def build_session(app_name: str = "rateloom", master: str | None = None, **conf:
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # Keeps the state of streams on disk rather than on the heap.
+        "spark.sql.streaming.stateStore.providerClass": (
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+        ),
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
     }

@@ -48,16 +48,19 @@ def usable(responses: DataFrame, ok: Column, n_rows: Column, *keys: Column) -> D
 
 
 def latest_responses(responses: DataFrame) -> DataFrame:
-    """One row per request: the copy fetched last.
+    """One row per request: the usable copy fetched last, or the last copy if none is usable.
 
     Copies are reduced map-side, so a request that was sent over and over reaches the shuffle as one
     row per task.
     """
-    others = [F.col(c) for c in responses.columns if c not in ("request_key", "fetched_at")]
+    rank = F.struct(
+        F.coalesce(F.col("status") < 400, F.lit(False)), "fetched_at", -F.coalesce("status", F.lit(999))
+    )
+    others = [F.col(c) for c in responses.columns if c != "request_key"]
     return (
         responses.groupBy("request_key")
-        .agg(F.max_by(F.struct(*others), "fetched_at").alias("_row"), F.max("fetched_at").alias("fetched_at"))
-        .select("request_key", "_row.*", "fetched_at")
+        .agg(F.max_by(F.struct(*others), rank).alias("_row"))
+        .select("request_key", "_row.*")
         .select(*responses.columns)
     )
 

@@ -139,7 +139,7 @@ def _call(request, transport, max_attempts, reauthenticate, sleep) -> Reply | No
 
 
 def _page_token(reply: Reply | None) -> str | None:
-    if reply is None or reply.status >= 400:
+    if reply is None or reply.status >= 400 or "next_page_token" not in reply.body:
         return None
     try:
         body = json.loads(reply.body)

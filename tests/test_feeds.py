@@ -233,9 +233,12 @@ def test_latest_responses_keeps_the_last_copy(spark):
             ("a", {"n": "1"}, 500, None, datetime(2024, 1, 1)),
             ("a", {"n": "1"}, 200, "x", datetime(2024, 1, 2)),
             ("b", {"n": "2"}, 200, "y", datetime(2024, 1, 1)),
+            ("b", {"n": "2"}, 503, None, datetime(2024, 1, 2)),
+            ("c", {}, None, None, datetime(2024, 1, 1)),
+            ("c", {}, 500, "z", datetime(2024, 1, 2)),
         ],
         schemas.LANDING,
     )
     kept = envelope.latest_responses(copies)
     assert kept.columns == copies.columns
-    assert rows(kept, "request_key", "status", "body") == [("a", 200, "x"), ("b", 200, "y")]
+    assert rows(kept, "request_key", "status", "body") == [("a", 200, "x"), ("b", 200, "y"), ("c", 500, "z")]

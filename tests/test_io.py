@@ -15,6 +15,7 @@ from rateloom.sinks.objects import write_objects
 from rateloom.sinks.parquet import write_parquet
 from rateloom.sinks.sheet import write_sheet_table
 from rateloom.sources import files, requests, tables
+from rateloom.sources.envelope import latest_responses
 from rateloom.streaming.landing import run_landing
 
 
@@ -273,11 +274,11 @@ def test_latest_rates_job(spark, folder):
 
 
 def test_incremental_landing(spark, folder):
-    def deliver(name, *deliveries):
+    def deliver(name, *deliveries, status=200):
         os.makedirs(f"{folder}/in", exist_ok=True)
         with open(f"{folder}/in/{name}.json", "w") as out:
             for key, at in deliveries:
-                out.write(json.dumps({"request_key": key, "params": {}, "status": 200, "body": key, "fetched_at": at}) + "\n")
+                out.write(json.dumps({"request_key": key, "params": {}, "status": status, "body": key, "fetched_at": at}) + "\n")
 
     def load():
         run_landing(spark, f"{folder}/in", f"{folder}/out", f"{folder}/checkpoint")
@@ -291,7 +292,16 @@ def test_incremental_landing(spark, folder):
     assert load() == [("a",), ("b",), ("hot",)]
     deliver("three", ("b", day.format(10)), ("c", day.format(10)), ("hot", day.format(11)))
     assert load() == [("a",), ("b",), ("c",), ("hot",)]
-    assert spark.read.parquet(f"{folder}/out").columns == schemas.LANDING.names
+    landed = spark.read.parquet(f"{folder}/out")
+    assert landed.columns == schemas.LANDING.names
+    # A failed copy, then a good one: both land, and the good one counts.
+    deliver("four", ("d", day.format(11)), ("a", day.format(11)), status=500)
+    load()
+    deliver("five", ("d", day.format(12)))
+    load()
+    landed = spark.read.parquet(f"{folder}/out")
+    assert rows(landed.where("request_key = 'd'"), "status") == [(200,), (500,)]
+    assert rows(latest_responses(landed), "request_key", "status") == [(k, 200) for k in ("a", "b", "c", "d", "hot")]
 
 
 def test_scratch_follows_the_session(spark):
