@@ -9,11 +9,6 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Row kinds, in the order they take at one time: inherited value, rate, probe.
-_CARRY, _RATE, _PROBE = 0, 1, 2
-# Among slots, one that is asked for sorts before the rate of the same slot.
-_ASKED = 0
-
 
 def asof_join(
     probes: DataFrame,
@@ -31,23 +26,22 @@ def asof_join(
 
     No group grows with the data, even when one pair holds most of it:
 
-    * probes and rates meet only as one row per key and microsecond, after a map-side aggregate, so
-      a batch of probes stamped alike is one row;
+    * probes and rates meet as moments: one row per key and microsecond, after a map-side aggregate,
+      so a batch of probes stamped alike is one row;
     * the running last value is taken per key and ``slot``;
     * what a slot inherits is found from one row per key and slot, so that window has as many rows
       as there are slots in the time covered (minutes: half a million a year).
 
     Rates of one key and microsecond are settled by the largest ``tie`` (a long column), or without
     one by the largest values. The wide probe rows are shuffled once, for the final equi join. Its
-    right side has one row per key and time, so AQE can split a skewed probe key without copying much.
+    right side has one row per moment, so its hash partitions are even, and AQE can split a skewed
+    probe key without copying much.
     """
     keys, values = list(keys), list(values)
     on = [f"_k{i}" for i in range(len(keys))]
     vals = [f"_v{i}" for i in range(len(values))]
-    at = [*on, "_slot", "_ts"]
 
-    def keyed(df: DataFrame, time: str, *extra: Column) -> DataFrame:
-        # Without nulls from the start, so that all uses of one side read the same shuffle.
+    def rows(df: DataFrame, time: str, *extra: Column) -> DataFrame:
         return df.where(reduce(and_, [F.col(c).isNotNull() for c in [*keys, time]])).select(
             *[F.col(k).alias(o) for k, o in zip(keys, on)],
             F.col(time).alias("_ts"),
@@ -55,66 +49,64 @@ def asof_join(
             *extra,
         )
 
-    # One row per key and time on either side. Both are used twice; the shuffles are reused.
-    asked = keyed(probes, ts).distinct()
-    quoted = keyed(
+    quoted = rows(
         rates,
         rate_ts,
         *[F.col(v).alias(o) for v, o in zip(values, vals)],
-        *([F.col(tie).alias("_tie")] if tie else []),
-    ).groupBy(*at)
+        (F.col(tie) if tie else F.lit(None).cast("long")).alias("_tie"),
+        F.lit(True).alias("_is_rate"),
+    )
+    asked = rows(probes, ts, F.lit(False).alias("_is_rate"))
     if tie:
-        quoted = quoted.agg(*[F.max_by(v, "_tie").alias(v) for v in vals])
+        best = [F.max_by(v, "_tie").alias(v) for v in vals]
     elif len(vals) == 1:
-        quoted = quoted.agg(F.max(vals[0]).alias(vals[0]))
+        best = [F.max(vals[0]).alias(vals[0])]
     else:
-        quoted = quoted.agg(F.max(F.struct(*vals)).alias("_best")).select(*at, "_best.*")
-    hit = F.struct(F.col("_ts").alias("_at"), *vals)
-    no_hit = F.lit(None).cast(quoted.select(hit.alias("hit")).schema["hit"].dataType)
-
-    # What each asked slot starts with: the last rate of an earlier slot. Within a slot the asked
-    # row sorts first, so it only sees earlier ones.
-    slots = (
-        quoted.groupBy(*on, "_slot")
-        .agg(F.max("_ts").alias("_ts"), *[F.max_by(v, "_ts").alias(v) for v in vals])
-        .select(*on, "_slot", F.lit(_RATE).alias("_side"), hit.alias("_hit"))
-        .unionByName(
-            asked.select(*on, "_slot").distinct().select(
-                *on, "_slot", F.lit(_ASKED).alias("_side"), no_hit.alias("_hit")
-            )
-        )
+        top = F.max(F.when(F.col("_is_rate"), F.struct(*vals)))
+        best = [top[v].alias(v) for v in vals]
+    # Put in place once: the window and the slots below read the same shuffle.
+    moments = (
+        quoted.unionByName(asked, allowMissingColumns=True)
+        .groupBy(*on, "_slot", "_ts")
+        .agg(*best, F.max("_is_rate").alias("_has_rate"), F.max(~F.col("_is_rate")).alias("_asked"))
+        .repartition(*on, "_slot")
     )
-    earlier_slots = (
-        Window.partitionBy(*on).orderBy("_slot", "_side").rowsBetween(Window.unboundedPreceding, -1)
+
+    rate_at = F.when(F.col("_has_rate"), F.col("_ts"))
+    slots = moments.groupBy(*on, "_slot").agg(
+        F.max(rate_at).alias("_at"),
+        *[F.max_by(v, rate_at).alias(v) for v in vals],
+        F.max("_asked").alias("_asked"),
     )
+    earlier = Window.partitionBy(*on).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
+    last_of_slot = F.when(F.col("_at").isNotNull(), F.struct("_at", *vals))
     carried = (
-        slots.withColumn("_hit", F.last("_hit", True).over(earlier_slots))
-        .where((F.col("_side") == _ASKED) & F.col("_hit").isNotNull())
-        .select(*on, "_slot", F.col("_slot").alias("_ts"), F.lit(_CARRY).alias("_side"), "_hit")
+        slots.withColumn("_carry", F.last(last_of_slot, True).over(earlier))
+        .where(F.col("_asked") & F.col("_carry").isNotNull())
+        .select(*on, "_slot", "_carry")
     )
 
-    rows = (
-        quoted.select(*at, F.lit(_RATE).alias("_side"), hit.alias("_hit"))
-        .unionByName(asked.select(*at, F.lit(_PROBE).alias("_side"), no_hit.alias("_hit")))
-        .unionByName(carried)
-    )
-    running = (
+    so_far = (
         Window.partitionBy(*on, "_slot")
-        .orderBy("_ts", "_side")
+        .orderBy("_ts")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
+    rate_here = F.when(F.col("_has_rate"), F.struct(F.col("_ts").alias("_at"), *vals))
+    hit = F.coalesce("_hit", "_carry")
     answers = (
-        rows.withColumn("_hit", F.last("_hit", True).over(running))
-        .where(F.col("_side") == _PROBE)
+        moments.withColumn("_hit", F.last(rate_here, True).over(so_far))
+        .where("_asked")
+        .join(carried, [*on, "_slot"], "left")
         .select(
             *on,
             "_ts",
-            F.col("_hit._at").alias(matched_ts),
-            *[F.col(f"_hit.{o}").alias(v) for v, o in zip(values, vals)],
+            hit["_at"].alias(matched_ts),
+            *[hit[o].alias(v) for v, o in zip(values, vals)],
         )
     )
     match = [probes[k] == answers[o] for k, o in zip(keys, on)]
-    return probes.join(answers, [*match, probes[ts] == answers["_ts"]], "left").drop(*on, "_ts")
+    joined = probes.join(answers.hint("shuffle_hash"), [*match, probes[ts] == answers["_ts"]], "left")
+    return joined.drop(*on, "_ts")
 
 
 def convert_amounts(amounts: DataFrame, rates: DataFrame, ts: str = "ts", **options) -> DataFrame:
