@@ -39,6 +39,9 @@ def read_sheet_table(
         return spark.createDataFrame([], nothing)
     if not sheet.columns:
         return spark.createDataFrame([], nothing)
+    unknown = sorted(set(schema or {}) - set(sheet.columns))
+    if unknown:
+        raise ValueError(f"no such columns in {path}: {', '.join(unknown)}")
     columns = []
     for f in sheet.schema.fields:
         dtype = (schema or {}).get(f.name, f.dataType)

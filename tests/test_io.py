@@ -222,6 +222,8 @@ def test_sheet_round_trip(spark, folder):
     assert tables.read_sheet_table(spark, folder).dtypes == [("i", "int"), ("t", "string"), ("d", "double")]
     with pytest.raises(PySparkException):
         tables.read_sheet_table(spark, folder, {"t": DoubleType()}).collect()
+    with pytest.raises(ValueError, match="gone"):
+        tables.read_sheet_table(spark, folder, {"gone": DoubleType()})
 
 
 def test_sheet_is_replaced_only_on_demand(spark, folder):
