@@ -4,7 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BooleanType, DoubleType, FloatType, MapType, StructType
+from pyspark.sql.types import (
+    ArrayType,
+    BooleanType,
+    DoubleType,
+    FloatType,
+    MapType,
+    StructType,
+    TimestampNTZType,
+)
 
 from rateloom.schemas import MIME_TYPES
 
@@ -22,7 +30,9 @@ def _double_text(value: Column) -> Column:
     mantissa = F.regexp_replace(F.regexp_extract(text, r"^(.*)E", 1), r"\.0$", "")
     exponent = F.ltrim(F.regexp_extract(text, r"E(-?\d+)$", 1), F.lit("-"))
     return (
-        F.when(~text.contains("E"), F.when(text == "NaN", "nan").otherwise(text))
+        F.when(text == "NaN", "nan")
+        .when(text.endswith("Infinity"), F.replace(text, F.lit("Infinity"), F.lit("inf")))
+        .when(~text.contains("E"), text)
         .when(
             (F.abs(value) >= 1e-4) & (F.abs(value) < 1e16),
             F.when(plain.endswith("."), F.concat(plain, F.lit("0"))).otherwise(plain),
@@ -62,6 +72,10 @@ def json_string(df: DataFrame, name: str) -> Column:
         text = F.initcap(column.cast("string"))
     elif isinstance(dtype, (DoubleType, FloatType)):
         text = _double_text(column)
+    elif isinstance(dtype, TimestampNTZType):
+        # A fraction has all six digits or is left out.
+        text = column.cast("string")
+        text = F.when(text.contains("."), F.rpad(text, 26, "0")).otherwise(text)
     else:
         text = column.cast("string")
     return F.when(column.isNotNull(), F.to_json(text.cast("variant")))

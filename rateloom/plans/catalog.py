@@ -705,7 +705,13 @@ def incremental_landing(spark, sf_dir):
     second = landed.where("day > 10").withColumn("fetched_at", at + F.expr("interval '1' hour")).drop("day")
     for part in (first, second):
         part.write.mode("append").json(f"{root}/in")
-        run_landing(spark, f"{root}/in", f"{root}/out", f"{root}/checkpoint")
+        run_landing(
+            spark,
+            f"{root}/in",
+            f"{root}/out",
+            f"{root}/checkpoint",
+            partitions=spark.sparkContext.defaultParallelism,
+        )
     return fx.rates_historical(spark.read.parquet(f"{root}/out")).drop(_LOADED)
 
 

@@ -1,6 +1,7 @@
-"""The latest-rates job: check the bases, parse the responses, write Parquet.
+r"""The latest-rates job: check the bases, parse the responses, write Parquet.
 
-    spark-submit rateloom/plans/latest_rates.py --responses LANDING --bases USD EUR --root OUT --prefix fx
+    PYTHONPATH=. spark-submit rateloom/plans/latest_rates.py \
+        --responses LANDING --bases USD EUR --root OUT --prefix fx
 """
 
 from __future__ import annotations

@@ -14,7 +14,7 @@ def _schema(ddl: str) -> StructType:
     return schema
 
 
-# The five output tables. Timestamps hold UTC without a zone.
+# The five output tables. Timestamps hold UTC without a zone.
 EXCHANGE_RATES = _schema(
     "base_currency string, target_currency string, rate double, rate_date date, "
     "rate_timestamp timestamp_ntz, ingestion_datetime timestamp_ntz"
@@ -50,7 +50,7 @@ REQUESTS = _schema(
     "headers map<string,string>, body string"
 )
 
-# Response bodies, read with from_json. Rates are text because one non-number would null a whole
+# Response bodies, read with from_json. Rates are text because one non-number would null a whole
 # map<string,double>; whole numbers are doubles because 10.0 read as bigint is null.
 _BAR = "struct<t:string, o:double, h:double, l:double, c:double, v:double, n:double, vw:double>"
 _SNAP = (

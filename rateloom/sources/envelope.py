@@ -36,14 +36,16 @@ def guard(ok: Column, value: Column, on_error: str) -> Column:
 
 
 def usable(responses: DataFrame, ok: Column, n_rows: Column, *keys: Column) -> DataFrame:
-    """One row per response for the audit: keys, ok, n_rows."""
+    """One row per response for the audit: request_key, status, keys, ok, n_rows.
+
+    The columns come out of a generator for the same reason as in ``guard``: what a join or filter on
+    them implies then stays above the parse.
+    """
     good = F.coalesce(ok, F.lit(False))
-    return responses.select(
-        "request_key",
-        "status",
-        *keys,
-        good.alias("ok"),
-        F.when(good, F.greatest(F.coalesce(n_rows, F.lit(0)), F.lit(0))).otherwise(0).cast("long").alias("n_rows"),
+    rows = F.when(good, F.greatest(F.coalesce(n_rows, F.lit(0)), F.lit(0))).otherwise(0)
+    result = F.struct(*keys, good.alias("ok"), rows.cast("long").alias("n_rows"))
+    return responses.select("request_key", "status", F.explode(F.array(result)).alias("_r")).select(
+        "request_key", "status", "_r.*"
     )
 
 

@@ -44,15 +44,27 @@ def run_landing(
     checkpoint: str,
     delay: str = "1 day",
     max_files: int | None = None,
+    partitions: int | None = None,
 ) -> StreamingQuery:
-    """Load what is new under ``source`` into ``target`` and stop. Run it again to load more."""
+    """Load what is new under ``source`` into ``target`` and stop. Run it again to load more.
+
+    The first run fixes the number of state partitions for the checkpoint: ``partitions``, or the
+    session's shuffle setting.
+    """
     stream = dedupe_stream(read_landing_stream(spark, source, max_files), delay)
-    query = (
+    writer = (
         stream.writeStream.format("parquet")
         .option("path", target)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .start()
     )
+    setting = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(setting)
+    # A query takes its own copy of the settings when it starts.
+    spark.conf.set(setting, str(partitions or before))
+    try:
+        query = writer.start()
+    finally:
+        spark.conf.set(setting, before)
     query.awaitTermination()
     return query

@@ -6,6 +6,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from rateloom import schemas
+from rateloom.operators import calendar
 from rateloom.sources import envelope, fx, stocks
 
 FETCHED = datetime(2024, 3, 1, 12, 0)
@@ -85,8 +86,13 @@ def test_error_statuses_are_unusable(spark, status):
 
 def test_bodies_are_parsed_once(spark):
     responses = landing(spark, LATEST)
+    bases = spark.createDataFrame([("USD",)], "base_currency string")
+    days = spark.createDataFrame([("USD", date(2024, 1, 1))], "base_currency string, day date")
     for table in (
         fx.rates_latest(responses),
+        fx.rates_timeseries_audit(responses, bases, "2024-01-01", "2024-01-31"),
+        calendar.missing_days(days, fx.historical_results(responses), ["base_currency"]),
+        stocks.bars_timeseries_audit(responses, "2024-01-01", "2024-01-31"),
         fx.rates_timeseries(responses, "2024-01-01", "2024-01-31"),
         fx.convert_currency(responses),
         fx.currencies(responses),

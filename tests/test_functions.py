@@ -100,7 +100,8 @@ def test_safe_ratio_and_zero_fill(spark):
 
 
 def test_json_string_of_scalars(spark):
-    values = [5.0, 1e20, 1e7, 1.5e-5, 0.0001, 123456789.125, -2.5e-7, 1e16, 1e100, None]
+    values = [5.0, 1e20, 1e7, 1.5e-5, 0.0001, 123456789.125, -2.5e-7, 1e16, 1e100]
+    values += [float("inf"), float("-inf"), float("nan"), -0.0, None]
     got = column(df := texts(spark, values, "double"), fn.json_string(df, "v"))
     assert got == [None if v is None else json.dumps(str(v)) for v in values]
     got = column(df := texts(spark, [True, False, None], "boolean"), fn.json_string(df, "v"))
@@ -109,6 +110,9 @@ def test_json_string_of_scalars(spark):
     assert [g and json.loads(g) for g in got] == ['a "b" \\', "é\n", None]
     got = column(df := texts(spark, [5, None], "bigint"), fn.json_string(df, "v"))
     assert got == ['"5"', None]
+    times = [datetime(2024, 1, 2), datetime(2024, 1, 2, 3, 4, 5, 500000), datetime(2024, 1, 2, 3, 4, 5, 1)]
+    got = column(df := texts(spark, times, "timestamp_ntz"), fn.json_string(df, "v"))
+    assert got == [json.dumps(str(t)) for t in times]
 
 
 def test_json_string_of_nested_values(spark):

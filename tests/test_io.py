@@ -9,6 +9,7 @@ from pyspark.sql.types import DoubleType, StringType
 
 from rateloom import schemas
 from rateloom.plans.latest_rates import check_bases, run_latest_rates
+from rateloom.plans.latest_rates import main as latest_rates_main
 from rateloom.session import scratch_dir
 from rateloom.sinks.manifest import read_manifest
 from rateloom.sinks.objects import write_objects
@@ -273,6 +274,11 @@ def test_latest_rates_job(spark, folder):
     assert rows(got, "base_currency") == [("JPY",), ("USD",)] and got.columns == schemas.EXCHANGE_RATES.names
     with pytest.raises(ValueError, match="no rows"):
         run_latest_rates(spark, landed, ["AUD"], folder, "fx", filename="none.parquet")
+    landed.write.parquet(f"{folder}/landing")
+    uri = latest_rates_main(["--responses", f"{folder}/landing", "--bases", "USD", "--root", folder, "--prefix", "cli"])
+    assert rows(spark.read.parquet(uri), "base_currency") == [("USD",)]
+    with pytest.raises(SystemExit):
+        latest_rates_main(["--responses", "x", "--bases", "XXX", "--root", folder, "--prefix", "cli"])
 
 
 def test_incremental_landing(spark, folder):
