@@ -949,7 +949,7 @@ def request_params(spark, sf_dir):
     events = b.table(spark, sf_dir, "events").select(
         F.to_date("ts").alias("day"), F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("symbol")
     )
-    made = requests.request_params(events, ["day"], "symbol", {"start": F.col("day"), "feed": None}, split=8)
+    made = requests.request_params(events, ["day"], "symbol", {"start": F.col("day"), "feed": None}, per_request=50)
     return made.select(
         "day",
         F.explode(F.split(F.col("params")["symbols"], ",")).alias("symbol"),

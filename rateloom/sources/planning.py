@@ -11,7 +11,7 @@ from rateloom.functions import now_utc
 from rateloom.operators.calendar import batch_calendar, day_calendar
 from rateloom.schemas import REQUESTS, TIMEFRAMES
 
-from .requests import request_params
+from .requests import SYMBOLS_PER_REQUEST, request_params
 
 # The endpoint of each feed, and the stock feed used unless another is named.
 ENDPOINTS = {
@@ -25,9 +25,6 @@ ENDPOINTS = {
 }
 DEFAULT_FEED = "iex"
 
-# A list of this many symbols still fits a URL.
-SYMBOLS_PER_REQUEST = 1000
-
 
 def _requests(df: DataFrame, feed: str, key: Column, params: Column) -> DataFrame:
     row = df.select(
@@ -81,17 +78,8 @@ def currency_requests(kinds: DataFrame) -> DataFrame:
     return _requests(kinds, "currencies", F.col("type"), _params(type=F.col("type")))
 
 
-def _symbol_groups(symbols: DataFrame, per_request: int, **fixed: str) -> DataFrame:
-    """The symbols in parts of about ``per_request``; up to that many make a single part.
-
-    The number of parts takes a count of the distinct symbols, which runs as a job here.
-    """
-    n = symbols.select("symbol").distinct().count()
-    return request_params(symbols, [], "symbol", fixed, split=max(1, -(-n // per_request)))
-
-
 def _symbol_requests(symbols: DataFrame, feed: str, source: str, per_request: int) -> DataFrame:
-    groups = _symbol_groups(symbols, per_request, feed=source)
+    groups = request_params(symbols, [], "symbol", {"feed": source}, per_request)
     return _requests(groups, feed, F.concat_ws("-", F.lit(feed), "part"), F.col("params"))
 
 
@@ -126,7 +114,7 @@ def bar_requests(
     if timeframe not in TIMEFRAMES:
         raise ValueError(f"unknown timeframe {timeframe!r}")
     last = F.to_date(now_utc()) if end is None else F.lit(end).cast("date")
-    groups = _symbol_groups(symbols, per_request).withColumns(
+    groups = request_params(symbols, [], "symbol", per_request=per_request).withColumns(
         {"_from": F.lit(start).cast("date"), "_to": last}
     )
     windows = batch_calendar(groups, "_from", "_to", batch_days, ["part", "params"])

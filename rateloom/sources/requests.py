@@ -20,6 +20,9 @@ from rateloom.functions import decide
 from rateloom.functions.status import MAX_ATTEMPTS
 from rateloom.schemas import LANDING
 
+# A list of this many symbols still fits a URL.
+SYMBOLS_PER_REQUEST = 1000
+
 _FLUSH_BYTES = 8 << 20
 
 
@@ -41,22 +44,26 @@ def request_params(
     group: Sequence[str],
     symbol: str,
     fixed: dict[str, Column | str | None] | None = None,
-    split: int = 1,
+    per_request: int = SYMBOLS_PER_REQUEST,
 ) -> DataFrame:
-    """One request per group (and ``split`` part) with the symbols joined by commas.
+    """Requests that between them name every symbol of a group, joined by commas.
 
-    Gives ``group``, ``part`` and ``params``; optional parameters that are null are left out. Symbols
-    are made distinct map-side, so the group holds symbol names, not rows; ``split`` spreads a large
-    symbol universe over several requests.
+    Gives ``group``, ``part`` and ``params``; optional parameters that are null are left out. A group
+    of up to ``per_request`` symbols is one request. A larger one is spread over as many parts as its
+    number of symbols asks for, so no list grows with the data.
     """
     optional = [
-        F.struct(F.lit(k).alias("key"), (F.lit(v) if isinstance(v, (str, type(None))) else v).cast("string").alias("value"))
+        F.struct(F.lit(k).alias("key"), (v if isinstance(v, Column) else F.lit(v)).cast("string").alias("value"))
         for k, v in (fixed or {}).items()
     ]
-    part = F.pmod(F.xxhash64(symbol), F.lit(split)).cast("int") if split > 1 else F.lit(0)
-    distinct = df.select(*group, part.alias("part"), F.col(symbol).cast("string").alias("_symbol")).distinct()
+    # Without group columns all symbols are one group.
+    named = df.select(*group, F.lit(0).alias("_group"), F.col(symbol).cast("string").alias("_symbol")).distinct()
+    keys = [*group, "_group"]
+    sizes = named.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / F.lit(per_request)).alias("_parts"))
+    sized = named.join(sizes if group else F.broadcast(sizes), keys)
+    part = F.pmod(F.xxhash64("_symbol"), F.col("_parts")).cast("int").alias("part")
     joined = F.concat_ws(",", F.array_sort(F.collect_list("_symbol")))
-    grouped = distinct.groupBy(*group, "part").agg(joined.alias("_symbols"))
+    grouped = sized.groupBy(*group, part).agg(joined.alias("_symbols"))
     entries = F.array(F.struct(F.lit("symbols").alias("key"), F.col("_symbols").alias("value")), *optional)
     kept = F.filter(entries, lambda e: e["value"].isNotNull() & (e["value"] != ""))
     return grouped.select(*group, "part", F.map_from_entries(kept).alias("params"))

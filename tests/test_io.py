@@ -138,8 +138,8 @@ def test_request_params(spark):
         2: {"symbols": "C", "timeframe": "1Day", "group": "2"},
     }
     many = spark.range(100).select(F.lit(1).alias("g"), F.col("id").cast("string").alias("s"))
-    split = requests.request_params(many, ["g"], "s", split=4).collect()
-    assert len(split) == 4 and sorted(x for r in split for x in r["params"]["symbols"].split(",")) == sorted(map(str, range(100)))
+    split = requests.request_params(many, ["g"], "s", per_request=25).collect()
+    assert len(split) == 4 and max(len(r["params"]["symbols"].split(",")) for r in split) < 50 and sorted(x for r in split for x in r["params"]["symbols"].split(",")) == sorted(map(str, range(100)))
 
 
 # ---- objects

@@ -195,9 +195,11 @@ def test_asof_against_brute_force(spark, seed, spread):
     probes = [(i, rnd.choice([key(), "NONE"]), rnd.choice([when(), when(), when(), None])) for i in range(400)]
     q = spark.createDataFrame(quotes, "k string, ts timestamp_ntz, rate double, id bigint")
     p = spark.createDataFrame(probes, "pid int, k string, ts timestamp_ntz")
-    got = asof.asof_join(p, q, ["k"], ["rate"], tie="id")
-    assert got.columns == ["pid", "k", "ts", "rate_timestamp", "rate"]
-    assert sorted(tuple(r) for r in got.select("pid", "rate_timestamp", "rate").collect()) == brute_force(probes, quotes)
+    for slot in ("1 minute", "1 second", "1 day"):
+        got = asof.asof_join(p, q, ["k"], ["rate"], tie="id", slot=slot)
+        assert got.columns == ["pid", "k", "ts", "rate_timestamp", "rate"]
+        found = sorted(tuple(r) for r in got.select("pid", "rate_timestamp", "rate").collect())
+        assert found == brute_force(probes, quotes)
 
 
 def test_asof_without_a_tie_takes_the_largest_value(spark):
