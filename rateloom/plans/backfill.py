@@ -9,17 +9,22 @@ from rateloom.sinks.parquet import write_parquet
 from rateloom.sources import fx, stocks
 from rateloom.sources.envelope import latest_responses
 from rateloom.sources.planning import bar_requests, historical_rate_requests
-from rateloom.sources.requests import Transport, fetch_responses
+from rateloom.sources.requests import PAGE_MARK, Transport, fetch_responses
 
 
 def land_responses(requests: DataFrame, transport: Transport, landing: str, **options) -> DataFrame:
-    """Fetch what ``requests`` asks for, add it to the landing folder, and return all that landed.
+    """Fetch what ``requests`` asks for, add it to the landing folder, and return what landed of it.
 
     The bodies are on shared storage before anything reads them, so no later step calls again; of a
-    request that landed more than once the last copy counts.
+    request that landed more than once the last usable copy counts. Responses to other requests are
+    left out before copies are compared, so they are not shuffled.
     """
     fetch_responses(requests, transport, **options).write.mode("append").parquet(landing)
-    return latest_responses(requests.sparkSession.read.parquet(landing))
+    landed = requests.sparkSession.read.parquet(landing)
+    # Pages after the first have a number behind the key.
+    asked = requests.select(F.col("request_key").alias("_asked"))
+    first_page = F.substring_index(landed["request_key"], PAGE_MARK, 1)
+    return latest_responses(landed.join(asked, first_page == asked["_asked"], "left_semi"))
 
 
 def backfill_rates(

@@ -29,7 +29,7 @@ from rateloom.session import scratch_dir
 from rateloom.sinks.objects import write_objects
 from rateloom.sinks.parquet import write_parquet
 from rateloom.sinks.sheet import write_sheet_table
-from rateloom.sources import envelope, files, fx, planning, requests, stocks, tables
+from rateloom.sources import audit, envelope, files, fx, planning, requests, stocks, tables
 from rateloom.streaming.landing import run_landing
 
 from . import bindings as b
@@ -511,7 +511,20 @@ def classify(spark, sf_dir):
                count(*) as n from s group by 1, 2""",
 )
 def response_audit(spark, sf_dir):
-    return envelope.response_audit(b.landed_historical(spark, sf_dir, failures=True))
+    return audit.response_audit(b.landed_historical(spark, sf_dir, failures=True))
+
+
+@query(
+    "unusable_responses",
+    f"""with {_DAILY}, r as (select distinct base_currency, rate_date, day(rate_date) as d from daily)
+        select base_currency || '-' || rate_date as request_key,
+               cast(case when d % 7 = 3 then 500 else 200 end as int) as status,
+               case when d % 7 = 3 then 'status' when d = 12 then 'json' else 'content' end as reason
+        from r where {_FAILED_DAY}""",
+)
+def unusable_responses(spark, sf_dir):
+    landed = b.landed_historical(spark, sf_dir, failures=True)
+    return audit.unusable_responses(landed, "rates_historical").drop("body")
 
 
 @query(
@@ -597,8 +610,8 @@ def backfill(spark, sf_dir):
 
 @query("backfill_audit", ORACLE["batch_audit"])
 def backfill_audit(spark, sf_dir):
-    _, audit = _backfill(spark, sf_dir)
-    return audit
+    _, gaps = _backfill(spark, sf_dir)
+    return gaps
 
 
 # ---- objects, sheets, SQL, sinks -------------------------------------------------------------

@@ -9,8 +9,23 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def build_session(app_name: str = "rateloom", master: str | None = None, **conf: str) -> SparkSession:
-    """A session pinned to UTC. Cluster sizing is left to spark-submit; AQE sizes the shuffles."""
+def shuffle_partitions(shuffle_bytes: int, per_task: int = 200 << 20) -> int:
+    """Partitions to start a shuffle of that size with; AQE merges small ones, but never adds any."""
+    return min(50_000, max(200, -(-shuffle_bytes // per_task)))
+
+
+def build_session(
+    app_name: str = "rateloom",
+    master: str | None = None,
+    shuffle_bytes: int | None = None,
+    **conf: str,
+) -> SparkSession:
+    """A session pinned to UTC, with AQE on.
+
+    ``shuffle_bytes`` is the largest shuffle expected (after map-side aggregation), so that its tasks
+    fit in memory: Spark's default of 200 partitions suits some 40 GB. Executors are sized by
+    spark-submit.
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
@@ -25,6 +40,8 @@ def build_session(app_name: str = "rateloom", master: str | None = None, **conf:
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
     }
+    if shuffle_bytes is not None:
+        settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions(shuffle_bytes))
     settings.update(conf)
     for key, value in settings.items():
         builder = builder.config(key, value)

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rateloom.functions import classify_response
-
 _BAD = "_bad"
 
 
@@ -65,12 +63,3 @@ def latest_responses(responses: DataFrame) -> DataFrame:
         .select("request_key", "_row.*")
         .select(*responses.columns)
     )
-
-
-def response_audit(responses: DataFrame) -> DataFrame:
-    """Responses by status and what the status calls for: ``status, action, n``.
-
-    Statuses are counted first, so the verdict is formed once per status, not once per response.
-    """
-    counts = responses.groupBy("status").agg(F.count(F.lit(1)).alias("n"))
-    return counts.select("status", classify_response(F.col("status"))["action"].alias("action"), "n")

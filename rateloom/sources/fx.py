@@ -32,11 +32,37 @@ def _stated_time() -> Column:
     return F.when(stated != "", parse_iso_utc(stated)).otherwise(utc_ntz("fetched_at"))
 
 
-def rates_latest(responses: DataFrame, on_error: str = "raise") -> DataFrame:
-    """Latest rates of every base in the responses; one row per base and target."""
+# Each feed's reader gives the parsed responses, where the rows are found, and which are usable.
+Found = tuple[DataFrame, Column, Column]
+
+
+def read_latest(responses: DataFrame) -> Found:
     read = read_body(responses, schemas.BODY_LATEST_RATES)
     rates = F.col("doc.response.rates")
-    ok = F.col("readable") & _time_ok() & _all_numbers(rates)
+    return read, rates, F.col("readable") & _time_ok() & _all_numbers(rates)
+
+
+def read_historical(responses: DataFrame) -> Found:
+    read = read_body(responses, schemas.BODY_HISTORICAL_RATES)
+    read = read.withColumn("day", F.col("doc.response.date").try_cast("date"))
+    rates = F.col("doc.response.rates")
+    return read, rates, F.col("readable") & F.col("day").isNotNull() & _all_numbers(rates)
+
+
+def read_conversions(responses: DataFrame) -> Found:
+    read = read_body(responses, schemas.BODY_CONVERSION)
+    value = F.col("doc.response.value")
+    return read, F.array(value), F.col("readable") & _time_ok() & value.isNotNull()
+
+
+def read_currencies(responses: DataFrame) -> Found:
+    read = read_body(responses, schemas.BODY_CURRENCIES)
+    return read, F.col("doc.response"), F.col("readable")
+
+
+def rates_latest(responses: DataFrame, on_error: str = "raise") -> DataFrame:
+    """Latest rates of every base in the responses; one row per base and target."""
+    read, rates, ok = read_latest(responses)
     rows = read.select(
         F.col("doc.response.base").alias("base_currency"),
         _stated_time().alias("rate_timestamp"),
@@ -46,13 +72,6 @@ def rates_latest(responses: DataFrame, on_error: str = "raise") -> DataFrame:
     return enforce_schema(rows.withColumn("ingestion_datetime", now_utc()), schemas.EXCHANGE_RATES)
 
 
-def _historical(responses: DataFrame) -> tuple[DataFrame, Column, Column]:
-    read = read_body(responses, schemas.BODY_HISTORICAL_RATES)
-    read = read.withColumn("day", F.col("doc.response.date").try_cast("date"))
-    rates = F.col("doc.response.rates")
-    return read, rates, F.col("readable") & F.col("day").isNotNull() & _all_numbers(rates)
-
-
 def _asked(name: str) -> Column:
     return F.try_element_at("params", F.lit(name))
 
@@ -70,7 +89,7 @@ def _historical_rows(read: DataFrame, found: Column) -> DataFrame:
 
 def rates_historical(responses: DataFrame, on_error: str = "raise") -> DataFrame:
     """Rates of past days, stamped midnight UTC of the response's own date."""
-    read, rates, ok = _historical(responses)
+    read, rates, ok = read_historical(responses)
     return enforce_schema(_historical_rows(read, guard(ok, rates, on_error)), schemas.EXCHANGE_RATES)
 
 
@@ -83,7 +102,7 @@ def rates_timeseries(responses: DataFrame, start: str, end: str, batch_size: int
     """
     lo, hi = F.lit(start).cast("date"), F.lit(end).cast("date")
     asked = _asked("date").try_cast("date")
-    read, rates, ok = _historical(responses.where(F.coalesce(asked.between(lo, hi), F.lit(True))))
+    read, rates, ok = read_historical(responses.where(F.coalesce(asked.between(lo, hi), F.lit(True))))
     day = F.coalesce(asked, F.col("day"))
     # In the guard rather than in a filter, which would be pushed down and parse the body again.
     rows = _historical_rows(read, guard(ok & day.between(lo, hi), rates, "drop"))
@@ -94,7 +113,7 @@ def rates_timeseries(responses: DataFrame, start: str, end: str, batch_size: int
 
 def historical_results(responses: DataFrame) -> DataFrame:
     """One row per response: base, the day asked for, whether it is usable and how many rates it has."""
-    read, rates, ok = _historical(responses)
+    read, rates, ok = read_historical(responses)
     asked = F.coalesce(_asked("date").try_cast("date"), F.col("day"))
     base = F.coalesce(_asked("base"), F.col("doc.response.base"))
     return usable(read, ok, F.size(rates), base.alias("base_currency"), asked.alias("day"))
@@ -111,15 +130,13 @@ def rates_timeseries_audit(
 
 def convert_currency(responses: DataFrame, on_error: str = "raise") -> DataFrame:
     """Conversions as answered; from, to and amount come from the request's parameters."""
-    read = read_body(responses, schemas.BODY_CONVERSION)
-    value = F.col("doc.response.value")
+    read, value, ok = read_conversions(responses)
     amount = _asked("amount").cast("double")
-    ok = F.col("readable") & _time_ok() & value.isNotNull()
     rows = read.select(
         _asked("from").alias("from_currency"),
         _asked("to").alias("to_currency"),
         amount.alias("amount"),
-        F.explode(guard(ok, F.array(value), on_error)).alias("converted_amount"),
+        F.explode(guard(ok, value, on_error)).alias("converted_amount"),
         _stated_time().alias("rate_timestamp"),
     )
     rows = rows.withColumn("rate", safe_ratio("converted_amount", "amount"))
@@ -128,8 +145,8 @@ def convert_currency(responses: DataFrame, on_error: str = "raise") -> DataFrame
 
 def currencies(responses: DataFrame, on_error: str = "raise") -> DataFrame:
     """The currency lists in the responses, one row per currency."""
-    read = read_body(responses, schemas.BODY_CURRENCIES)
-    rows = read.select(F.explode(guard(F.col("readable"), F.col("doc.response"), on_error)).alias("c"))
+    read, listed, ok = read_currencies(responses)
+    rows = read.select(F.explode(guard(ok, listed, on_error)).alias("c"))
     rows = rows.select(
         F.col("c.id").alias("currency_code"),
         F.col("c.name").alias("currency_name"),

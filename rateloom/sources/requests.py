@@ -23,6 +23,9 @@ from rateloom.schemas import LANDING
 # A list of this many symbols still fits a URL.
 SYMBOLS_PER_REQUEST = 1000
 
+# Between the key of a request and the number of a further page.
+PAGE_MARK = "#"
+
 _FLUSH_BYTES = 8 << 20
 
 
@@ -185,7 +188,7 @@ def fetch_responses(
         while True:
             reply = _call({**request, "params": params}, transport, max_attempts, reauthenticate, sleep)
             yield {
-                "request_key": key if page == 0 else f"{key}#{page}",
+                "request_key": key if page == 0 else f"{key}{PAGE_MARK}{page}",
                 "params": list(params.items()),
                 "status": reply.status if reply else None,
                 "body": reply.body if reply else None,

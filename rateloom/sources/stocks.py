@@ -40,19 +40,45 @@ def _bar_table(rows: DataFrame) -> DataFrame:
     return enforce_schema(table, schemas.STOCK_BARS)
 
 
-def bars_latest(responses: DataFrame, on_error: str = "raise") -> DataFrame:
-    """The latest bar of each symbol in the responses."""
+def _every(found: Column, test) -> Column:
+    """Whether all values of a map pass; true for a missing or empty map."""
+    return F.coalesce(F.forall(F.map_values(found), lambda v: F.coalesce(test(v), F.lit(False))), F.lit(True))
+
+
+def _time_ok(text: Column) -> Column:
+    return text.isNull() | text.try_cast("timestamp").isNotNull()
+
+
+# Each feed's reader gives the parsed responses, where the rows are found, and which are usable.
+Found = tuple[DataFrame, Column, Column]
+
+
+def read_latest(responses: DataFrame) -> Found:
     read = read_body(responses, schemas.BODY_LATEST_BARS)
     found = F.col("doc.bars")
-    ok = F.col("readable") & F.coalesce(F.forall(F.map_values(found), _complete), F.lit(True))
-    return _bar_table(read.select(F.explode(guard(ok, found, on_error)).alias("symbol", "bar")))
+    return read, found, F.col("readable") & _every(found, _complete)
 
 
-def _historical(responses: DataFrame) -> tuple[DataFrame, Column, Column]:
+def read_historical(responses: DataFrame) -> Found:
     read = read_body(responses, schemas.BODY_HISTORICAL_BARS)
     found = F.col("doc.bars")
-    whole = F.forall(F.map_values(found), lambda bars: F.coalesce(F.forall(bars, _complete), F.lit(False)))
-    return read, found, F.col("readable") & F.coalesce(whole, F.lit(True))
+    return read, found, F.col("readable") & _every(found, lambda bars: F.forall(bars, _complete))
+
+
+def read_snapshots(responses: DataFrame) -> Found:
+    read = read_body(responses, schemas.BODY_SNAPSHOTS)
+    bare = F.from_json("body", schemas.BODY_SNAPSHOTS_BARE)
+    # The body as a whole is a map too, whose only symbol would then be the envelope's name.
+    found = F.coalesce(F.col("doc.snapshots"), F.map_filter(bare, lambda symbol, _: symbol != "snapshots"))
+    read = read.withColumn("found", F.when(F.col("readable"), found))
+    times = lambda s: _time_ok(s["latestTrade"]["t"]) & _time_ok(s["latestQuote"]["t"])
+    return read, F.col("found"), F.col("readable") & _every(F.col("found"), times)
+
+
+def bars_latest(responses: DataFrame, on_error: str = "raise") -> DataFrame:
+    """The latest bar of each symbol in the responses."""
+    read, found, ok = read_latest(responses)
+    return _bar_table(read.select(F.explode(guard(ok, found, on_error)).alias("symbol", "bar")))
 
 
 def bars_historical(responses: DataFrame, limit: int | None = None, on_error: str = "raise") -> DataFrame:
@@ -60,7 +86,7 @@ def bars_historical(responses: DataFrame, limit: int | None = None, on_error: st
 
     ``limit`` is the documented cap on the number of bars, applied in order of symbol and time.
     """
-    read, found, ok = _historical(responses)
+    read, found, ok = read_historical(responses)
     by_symbol = read.select(F.explode(guard(ok, found, on_error)).alias("symbol", "bars"))
     table = _bar_table(by_symbol.select("symbol", F.explode("bars").alias("bar")))
     return table if limit is None else first_bars(table, limit)
@@ -75,7 +101,7 @@ def bars_timeseries(responses: DataFrame, start: str, end: str, batch_days: int
 
 def bar_results(responses: DataFrame) -> DataFrame:
     """One row per page: the day its request starts on, whether it is usable and how many bars it has."""
-    read, found, ok = _historical(responses)
+    read, found, ok = read_historical(responses)
     n_bars = F.aggregate(F.map_values(found), F.lit(0), lambda n, bars: n + F.size(bars))
     return usable(read, ok, n_bars, F.try_element_at("params", F.lit("start")).try_cast("date").alias("day"))
 
@@ -103,12 +129,8 @@ def snapshots(responses: DataFrame, zero_missing: bool = True, on_error: str = "
     The symbols are under ``snapshots`` or at the top level of the body; an empty ``snapshots``
     means no rows. Missing prices and sizes are 0, or null with ``zero_missing=False``.
     """
-    read = read_body(responses, schemas.BODY_SNAPSHOTS)
-    bare = F.map_filter(
-        F.from_json("body", schemas.BODY_SNAPSHOTS_BARE), lambda symbol, _: symbol != "snapshots"
-    )
-    found = F.coalesce(F.col("doc.snapshots"), bare)
-    rows = read.select(F.explode(guard(F.col("readable"), found, on_error)).alias("symbol", "s"))
+    read, found, ok = read_snapshots(responses)
+    rows = read.select(F.explode(guard(ok, found, on_error)).alias("symbol", "s"))
     table = rows.select(
         "symbol",
         zero_fill("s.latestTrade.p", enabled=zero_missing).alias("latest_trade_price"),

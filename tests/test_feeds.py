@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from rateloom import schemas
 from rateloom.operators import calendar
-from rateloom.sources import envelope, fx, stocks
+from rateloom.sources import audit, envelope, fx, stocks
 
 FETCHED = datetime(2024, 3, 1, 12, 0)
 
@@ -93,6 +93,8 @@ def test_bodies_are_parsed_once(spark):
         fx.rates_timeseries_audit(responses, bases, "2024-01-01", "2024-01-31"),
         calendar.missing_days(days, fx.historical_results(responses), ["base_currency"]),
         stocks.bars_timeseries_audit(responses, "2024-01-01", "2024-01-31"),
+        audit.unusable_responses(responses, "rates_latest"),
+        audit.unusable_responses(responses, "bars_historical"),
         fx.rates_timeseries(responses, "2024-01-01", "2024-01-31"),
         fx.convert_currency(responses),
         fx.currencies(responses),
@@ -248,3 +250,28 @@ def test_latest_responses_keeps_the_last_copy(spark):
     kept = envelope.latest_responses(copies)
     assert kept.columns == copies.columns
     assert rows(kept, "request_key", "status", "body") == [("a", 200, "x"), ("b", 200, "y"), ("c", 500, "z")]
+
+
+@pytest.mark.parametrize("feed", sorted(audit.READERS))
+def test_unusable_responses(spark, feed):
+    bad = {
+        "rates_latest": BAD_BODIES[3],
+        "rates_historical": '{"response":{"date":"soon","rates":{}}}',
+        "convert_currency": '{"response":{"value":null}}',
+        "bars_latest": '{"bars":{"AAA":{}}}',
+        "bars_historical": '{"bars":{"AAA":[{}]}}',
+        "snapshots": '{"snapshots":{"AAA":{"latestTrade":{"t":"soon"}}}}',
+    }
+    good = {"rates_historical": day("2024-01-01"), "convert_currency": {"response": {"value": 1}}}
+    responses = landing(spark, good.get(feed, "{}"), "{", None, bad.get(feed, "["))
+    failed = landing(spark, "{}", status=503).withColumn("request_key", F.lit("r9"))
+    got = rows(audit.unusable_responses(responses.unionByName(failed), feed), "request_key", "status", "reason")
+    last = "content" if feed in bad else "json"
+    assert got == [("r1", 200, "json"), ("r2", 200, "json"), ("r3", 200, last), ("r9", 503, "status")]
+
+
+def test_unreadable_snapshot_times_are_dropped(spark):
+    responses = landing(spark, {"snapshots": {"AAA": {"latestTrade": {"t": "soon"}}}}, {"BBB": {}})
+    with pytest.raises(PySparkException, match="r0"):
+        stocks.snapshots(responses).collect()
+    assert rows(stocks.snapshots(responses, on_error="drop"), "symbol") == [("BBB",)]

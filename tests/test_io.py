@@ -10,7 +10,7 @@ from pyspark.sql.types import DoubleType, StringType
 from rateloom import schemas
 from rateloom.plans.latest_rates import check_bases, run_latest_rates
 from rateloom.plans.latest_rates import main as latest_rates_main
-from rateloom.session import scratch_dir
+from rateloom.session import scratch_dir, shuffle_partitions
 from rateloom.sinks.manifest import read_manifest
 from rateloom.sinks.objects import write_objects
 from rateloom.sinks.parquet import write_parquet
@@ -312,6 +312,10 @@ def test_incremental_landing(spark, folder):
     assert rows(latest_responses(landed), "request_key", "status") == [(k, 200) for k in ("a", "b", "c", "d", "hot")]
 
 
+def test_shuffle_partitions():
+    assert [shuffle_partitions(n) for n in (0, 40 << 30, 2 << 40, 100 << 40)] == [200, 205, 10486, 50_000]
+
+
 def test_scratch_follows_the_session(spark):
     root = spark.conf.get("spark.checkpoint.dir", None)
     one, two = scratch_dir(spark, "x"), scratch_dir(spark, "x")

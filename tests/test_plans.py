@@ -90,6 +90,9 @@ def test_backfill_rates(spark, folder):
     assert rows(audit, "base_currency", "batch", "days", "failed_days", "n_rows") == [
         (b, i, days, failed, n) for b in ("JPY", "USD") for i, days, failed, n in ((0, 7, 1, 12), (1, 2, 0, 4))
     ]
+    # What landed for other requests is not this run's.
+    other = spark.createDataFrame([("X-1", {"base": "X", "date": "2024-01-01"}, 200, "{", None)], schemas.LANDING)
+    other.write.mode("append").parquet(f"{folder}/landing")
     # A second run lands every response again; copies change nothing.
     again, _ = run("two.parquet")
     names = ["base_currency", "target_currency", "rate", "rate_date"]
