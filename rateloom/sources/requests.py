@@ -158,35 +158,22 @@ def _page_token(reply: Reply | None) -> str | None:
     return body.get("next_page_token") if isinstance(body, dict) else None
 
 
-def fetch_responses(
-    requests: DataFrame,
-    transport: Transport,
-    max_concurrency: int = 1,
-    max_attempts: int = MAX_ATTEMPTS,
-    reauthenticate: Callable[[], bool] | None = None,
-    sleep: Callable[[float], None] = time.sleep,
-) -> DataFrame:
-    """Make the calls of ``requests`` on executors and return one landing row per page.
+@dataclass
+class Caller:
+    """Makes the calls of one request: retries, renewed credentials, and the pages that follow."""
 
-    Rate limits hold per API key, so at most ``max_concurrency`` tasks call at once. Page tokens are
-    followed inside a task; requests spread over tasks by key. A row whose status is not ok keeps
-    its last status for the audit (null for a connection error). Calls repeat when a task is lost:
-    land the result before parsing it, and let ``request_key`` settle the copies.
-    """
-    arrow = pa.schema(
-        [
-            ("request_key", pa.string()),
-            ("params", pa.map_(pa.string(), pa.string())),
-            ("status", pa.int32()),
-            ("body", pa.string()),
-            ("fetched_at", pa.timestamp("us", tz="UTC")),
-        ]
-    )
+    transport: Transport
+    max_attempts: int = MAX_ATTEMPTS
+    reauthenticate: Callable[[], bool] | None = None
+    sleep: Callable[[float], None] = time.sleep
 
-    def pages(request: dict) -> Iterator[dict]:
+    def pages(self, request: dict) -> Iterator[dict]:
+        """One landing row per page. Further pages carry their number behind the key."""
         key, params, page = request["request_key"], dict(request.get("params") or {}), 0
         while True:
-            reply = _call({**request, "params": params}, transport, max_attempts, reauthenticate, sleep)
+            reply = _call(
+                {**request, "params": params}, self.transport, self.max_attempts, self.reauthenticate, self.sleep
+            )
             yield {
                 "request_key": key if page == 0 else f"{key}{PAGE_MARK}{page}",
                 "params": list(params.items()),
@@ -200,18 +187,47 @@ def fetch_responses(
             page += 1
             params["page_token"] = token
 
+
+def landing_arrow() -> pa.Schema:
+    return pa.schema(
+        [
+            ("request_key", pa.string()),
+            ("params", pa.map_(pa.string(), pa.string())),
+            ("status", pa.int32()),
+            ("body", pa.string()),
+            ("fetched_at", pa.timestamp("us", tz="UTC")),
+        ]
+    )
+
+
+def batched(rows: Iterator[dict], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Rows as Arrow batches of a few MB of body text."""
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += len(row["body"] or "")
+        if size >= _FLUSH_BYTES:
+            yield pa.RecordBatch.from_pylist(held, schema=schema)
+            held, size = [], 0
+    if held:
+        yield pa.RecordBatch.from_pylist(held, schema=schema)
+
+
+def fetch_responses(
+    requests: DataFrame, transport: Transport, max_concurrency: int = 1, **options
+) -> DataFrame:
+    """Make the calls of ``requests`` on executors and return one landing row per page.
+
+    Rate limits hold per API key, so at most ``max_concurrency`` tasks call at once. Page tokens are
+    followed inside a task; requests spread over tasks by key. A row whose status is not ok keeps
+    its last status for the audit (null for a connection error). Calls repeat when a task is lost:
+    land the result before parsing it, and let ``request_key`` settle the copies. ``options`` are
+    those of ``Caller``.
+    """
+    caller = Caller(transport, **options)
+
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, held = [], 0
-        for batch in batches:
-            for request in batch.to_pylist():
-                for row in pages(request):
-                    rows.append(row)
-                    held += len(row["body"] or "")
-                    if held >= _FLUSH_BYTES:
-                        yield pa.RecordBatch.from_pylist(rows, schema=arrow)
-                        rows, held = [], 0
-        if rows:
-            yield pa.RecordBatch.from_pylist(rows, schema=arrow)
-
-    spread = requests.repartition(max_concurrency, "request_key")
-    return spread.mapInArrow(fetch, LANDING)
+        rows = (row for batch in batches for request in batch.to_pylist() for row in caller.pages(request))
+        yield from batched(rows, landing_arrow())
+
+    return requests.repartition(max_concurrency, "request_key").mapInArrow(fetch, LANDING)

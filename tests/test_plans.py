@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from rateloom import schemas
 from rateloom.plans.backfill import backfill_bars, backfill_rates
-from rateloom.sources import planning, requests
+from rateloom.sources import fx, planning, requests
+from rateloom.sources.rates_api import register_rates
 
 
 def rows(df, *names):
@@ -99,6 +100,40 @@ def test_backfill_rates(spark, folder):
     assert rows(spark.read.parquet(again), *names) == rows(table, *names)
 
 
+class Noted:
+    """A provider that notes every call in a file."""
+
+    def __init__(self, path):
+        self.path = path
+
+    def __call__(self, request, attempt):
+        with open(self.path, "a") as out:
+            out.write(request["request_key"] + "\n")
+        return rate_provider(request, attempt)
+
+
+FILTERS = {
+    "base_currency = 'USD' and day between '2024-01-05' and '2024-01-06'": {"USD-2024-01-05", "USD-2024-01-06"},
+    "base_currency in ('USD', 'XXX') and day = date '2024-01-07'": {"USD-2024-01-07"},
+    "day > '2024-01-07' and day < '2024-01-09'": {"USD-2024-01-08", "JPY-2024-01-08"},
+    "day = date '2025-01-01'": set(),
+    "base_currency = 'USD' and day >= '2024-01-08' and status = 200 and request_key like '%9'": {"USD-2024-01-08", "USD-2024-01-09"},
+}
+
+
+@pytest.mark.parametrize("condition", FILTERS)
+def test_rates_as_a_table(spark, tmp_path, condition):
+    calls = tmp_path / "calls"
+    calls.touch()
+    name = register_rates(spark, Noted(str(calls)), sleep=lambda s: None)
+    table = spark.read.format(name).options(bases="USD, JPY", start="2024-01-01", end="2024-01-09", tasks=3).load()
+    got = table.where(condition)
+    kept = {k for k in FILTERS[condition] if "like" not in condition or k.endswith("9")}
+    assert {r["request_key"] for r in got.collect()} == kept
+    assert set(calls.read_text().split()) == FILTERS[condition]
+    assert fx.rates_historical(got).count() == 2 * len(kept)
+
+
 def bar_provider(request, attempt):
     """Two pages per request: the first and the last day asked for."""
     params = dict(request["params"])
