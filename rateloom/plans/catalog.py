@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,7 +31,7 @@ from rateloom.sinks.objects import write_objects
 from rateloom.sinks.parquet import write_parquet
 from rateloom.sinks.sheet import write_sheet_table
 from rateloom.sources import audit, envelope, files, fx, planning, requests, stocks, tables
-from rateloom.streaming.landing import run_landing
+from rateloom.streaming.landing import run_feed, run_landing
 
 from . import bindings as b
 from .backfill import backfill_rates
@@ -707,25 +708,45 @@ def latest_rates_job(spark, sf_dir):
     return spark.read.parquet(uri).drop(_LOADED)
 
 
-@query("incremental_landing", ORACLE["rates_historical"])
-def incremental_landing(spark, sf_dir):
-    root = scratch_dir(spark, "stream")
+def _deliveries(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Two deliveries of responses; the second repeats days 11 to 20."""
     day = F.day(F.to_date("fetched_at"))
     landed = b.landed_historical(spark, sf_dir).withColumn("day", day)
     at = F.lit("2024-02-01 00:00:00").cast("timestamp") + F.col("day") * F.expr("interval '1' second")
-    first = landed.where("day <= 20").withColumn("fetched_at", at).drop("day")
-    # The second delivery repeats days 11 to 20.
-    second = landed.where("day > 10").withColumn("fetched_at", at + F.expr("interval '1' hour")).drop("day")
-    for part in (first, second):
-        part.write.mode("append").json(f"{root}/in")
-        run_landing(
+    first = landed.where("day <= 20").withColumn("fetched_at", at)
+    second = landed.where("day > 10").withColumn("fetched_at", at + F.expr("interval '1' hour"))
+    return first.drop("day"), second.drop("day")
+
+
+def _land(spark, root: str, delivery: DataFrame) -> None:
+    delivery.write.mode("append").json(f"{root}/in")
+    partitions = spark.sparkContext.defaultParallelism
+    run_landing(spark, f"{root}/in", f"{root}/landing", f"{root}/landing-checkpoint", partitions=partitions)
+
+
+@query("incremental_landing", ORACLE["rates_historical"])
+def incremental_landing(spark, sf_dir):
+    root = scratch_dir(spark, "stream")
+    for delivery in _deliveries(spark, sf_dir):
+        _land(spark, root, delivery)
+    return fx.rates_historical(spark.read.parquet(f"{root}/landing")).drop(_LOADED)
+
+
+@query("incremental_rates", ORACLE["rates_historical"])
+def incremental_rates(spark, sf_dir):
+    root = scratch_dir(spark, "stream")
+    for delivery in _deliveries(spark, sf_dir):
+        _land(spark, root, delivery)
+        run_feed(
             spark,
-            f"{root}/in",
-            f"{root}/out",
-            f"{root}/checkpoint",
-            partitions=spark.sparkContext.defaultParallelism,
+            f"{root}/landing",
+            f"{root}/rates",
+            f"{root}/rates-checkpoint",
+            partial(fx.rates_historical, on_error="drop"),
+            ["rate_date"],
         )
-    return fx.rates_historical(spark.read.parquet(f"{root}/out")).drop(_LOADED)
+    rates_table = spark.read.schema(schemas.EXCHANGE_RATES).parquet(f"{root}/rates")
+    return rates_table.drop(_LOADED)
 
 
 # ---- transformations -------------------------------------------------------------------------

@@ -81,7 +81,8 @@ def list_objects(
 ) -> DataFrame:
     """``key, name, mime_type, length, modified`` of every object whose key starts with ``prefix``.
 
-    Folders are listed level by level, the folders of a level spread over all cores. Each level is
+    Folders are listed level by level, the folders of a level spread over all cores; the entries of
+    one folder come from one call to the storage. Each level is
     written to the shared scratch folder, so the result is one consistent listing that is not
     repeated. ``where`` searches the metadata.
     """

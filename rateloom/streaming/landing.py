@@ -1,7 +1,9 @@
-"""Incremental landing: new response files into a deduplicated Parquet table."""
+"""Incremental loads: new response files into a landing table, and from there into a feed's table."""
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -68,3 +70,32 @@ def run_landing(
         spark.conf.set(setting, before)
     query.awaitTermination()
     return query
+
+
+def run_feed(
+    spark: SparkSession,
+    landing: str,
+    target: str,
+    checkpoint: str,
+    parse: Callable[[DataFrame], DataFrame],
+    partition_by: Sequence[str] = (),
+    max_files: int | None = None,
+) -> StreamingQuery:
+    """Parse what is new in the landing table with a feed's parser, add it to ``target``, and stop.
+
+    ``parse`` is one of the parsers of ``rateloom.sources``, told to drop unusable responses: they
+    stay in the landing table, for the audit.
+    """
+    reader = spark.readStream.schema(LANDING)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    writer = (
+        parse(reader.parquet(landing))
+        .writeStream.format("parquet")
+        .option("path", target)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+    )
+    query = (writer.partitionBy(*partition_by) if partition_by else writer).start()
+    query.awaitTermination()
+    return query
