@@ -39,7 +39,7 @@ STOCK_SNAPSHOT = _schema(
     "prev_daily_close double, ingestion_datetime timestamp_ntz"
 )
 
-# One row per API response. fetched_at carries the stream watermark, so it must be TIMESTAMP.
+# One row per API response. fetched_at is an instant, so it is a TIMESTAMP.
 LANDING = _schema(
     "request_key string, params map<string,string>, status integer, body string, fetched_at timestamp"
 )

@@ -20,9 +20,10 @@ def read_landing_stream(spark: SparkSession, source: str, max_files: int | None
 
 
 def dedupe_stream(responses: DataFrame, delay: str = "1 day", spread: int = 16) -> DataFrame:
-    """The first usable and the first failed copy of every request within ``delay``.
+    """The first usable and the first failed copy of every request within ``delay`` of its arrival.
 
-    A failed copy does not stand in the way of a good one that comes later; ``latest_responses``
+    The watermark follows the time of the micro-batch, not ``fetched_at``: a response that is
+    delivered late would otherwise be taken for expired and lost. A failed copy does not stand in the way of a good one that comes later; ``latest_responses``
     chooses between them. Two steps: copies are first dropped within ``spread`` shares of a key, then across them. A
     request that is sent over and over is then held by many tasks, and only one row per share
     reaches the task that owns the key. The share follows from the file and the fetch time, not from
@@ -31,11 +32,11 @@ def dedupe_stream(responses: DataFrame, delay: str = "1 day", spread: int = 16)
     share = F.pmod(F.xxhash64("_file", "fetched_at"), F.lit(spread)).cast("int")
     usable = F.coalesce(F.col("status") < 400, F.lit(False))
     return (
-        responses.withColumns({"_share": share, "_usable": usable})
-        .withWatermark("fetched_at", delay)
+        responses.withColumns({"_share": share, "_usable": usable, "_arrived": F.current_timestamp()})
+        .withWatermark("_arrived", delay)
         .dropDuplicatesWithinWatermark(["request_key", "_usable", "_share"])
         .dropDuplicatesWithinWatermark(["request_key", "_usable"])
-        .drop("_share", "_usable", "_file")
+        .drop("_share", "_usable", "_arrived", "_file")
     )
 
 

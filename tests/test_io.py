@@ -307,9 +307,13 @@ def test_incremental_landing(spark, folder):
     load()
     deliver("five", ("d", day.format(12)))
     load()
+    # Fetched long before the others, delivered last.
+    deliver("six", ("late", "2023-06-01T00:00:00Z"), ("late", "2023-06-02T00:00:00Z"), ("c", "2023-06-01T00:00:00Z"))
+    load()
     landed = spark.read.parquet(f"{folder}/out")
+    assert rows(landed.where("request_key in ('late', 'c')"), "request_key") == [("c",), ("late",)]
     assert rows(landed.where("request_key = 'd'"), "status") == [(200,), (500,)]
-    assert rows(latest_responses(landed), "request_key", "status") == [(k, 200) for k in ("a", "b", "c", "d", "hot")]
+    assert rows(latest_responses(landed), "request_key", "status") == [(k, 200) for k in ("a", "b", "c", "d", "hot", "late")]
 
 
 def test_shuffle_partitions():
