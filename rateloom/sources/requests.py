@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import http.client
 import json
 import os
 import time
@@ -107,9 +108,12 @@ class HttpTransport:
         call = build_http_request(self.base_url, request, self.headers)
         try:
             with urllib.request.urlopen(call, timeout=self.timeout) as reply:
-                return Reply(reply.status, reply.read().decode(), dict(reply.headers))
+                return Reply(reply.status, reply.read().decode(errors="replace"), dict(reply.headers))
         except urllib.error.HTTPError as error:
             return Reply(error.code, error.read().decode(errors="replace"), dict(error.headers))
+        except http.client.HTTPException as error:
+            # A broken-off answer is a failed connection, but not an OSError by itself.
+            raise ConnectionError(str(error)) from error
 
 
 @dataclass

@@ -104,6 +104,9 @@ def test_bodies_are_parsed_once(spark):
     ):
         plan = table._jdf.queryExecution().executedPlan().toString()
         assert plan.count("from_json") == 1, plan
+    # One reading for either envelope; the second runs only without the first.
+    plan = stocks.snapshots(responses)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json") == 2, plan
 
 
 def test_historical_stamps_midnight(spark, other_zone):

@@ -208,6 +208,11 @@ def test_nothing_is_left_of_an_empty_result(spark, folder):
         with pytest.raises(ValueError, match="no rows"):
             write_parquet(nothing, folder, "a", "x.parquet")
         assert not os.path.exists(f"{folder}/a/x.parquet")
+    nothing = spark.range(10).withColumn("p", F.col("id") % 2).groupBy("id", "p").count().where("count > 1")
+    for options in ({"partition_by": ["p"]}, {"single_file": True}):
+        with pytest.raises(ValueError, match="no rows"):
+            write_parquet(nothing, folder, "a", "x.parquet", **options)
+        assert not os.path.exists(f"{folder}/a/x.parquet")
 
 
 # ---- sheets
