@@ -89,18 +89,26 @@ def select_range(
     symbols: Sequence[str] | None = None,
     feed: str | None = None,
     ts: str = "timestamp",
+    day: str | None = None,
     feed_column: str = "feed",
     symbol_column: str = "symbol",
 ) -> DataFrame:
     """Rows of the inclusive date range, symbols and feed.
 
-    All tests are on bare columns, so they reach the Parquet scan (and prune partitions).
+    All tests are on bare columns, so they reach the Parquet scan. The range is tested on ``ts``, or
+    on the date column ``day``: of a table that is partitioned by it, other days are not opened.
     """
-    if start is not None:
-        df = df.where(F.col(ts) >= F.lit(f"{start} 00:00:00").cast(df.schema[ts].dataType))
-    if end is not None:
-        after = F.date_add(F.lit(end).cast("date"), 1).cast(df.schema[ts].dataType)
-        df = df.where(F.col(ts) < after)
+    if day is not None:
+        if start is not None:
+            df = df.where(F.col(day) >= F.lit(start).cast("date"))
+        if end is not None:
+            df = df.where(F.col(day) <= F.lit(end).cast("date"))
+    else:
+        kind = df.schema[ts].dataType
+        if start is not None:
+            df = df.where(F.col(ts) >= F.lit(start).cast("date").cast(kind))
+        if end is not None:
+            df = df.where(F.col(ts) < F.date_add(F.lit(end).cast("date"), 1).cast(kind))
     if symbols is not None:
         df = df.where(F.col(symbol_column).isin(list(symbols)))
     if feed is not None:

@@ -150,6 +150,18 @@ def range_selection(spark, sf_dir):
     return chosen.select("event_id", "ts", "event_type", "value")
 
 
+@query(
+    "partition_selection",
+    f"""select * from ({_with_date(_bars_sql("4Hour"))})
+        where bar_date between '2024-01-10' and '2024-01-12' and symbol in ('view', 'error')""",
+)
+def partition_selection(spark, sf_dir):
+    made = bar_ops.bars(b.trades(spark, sf_dir), "4Hour", tie="event_id")
+    uri = write_parquet(made, scratch_dir(spark, "bars"), "four-hourly", "b.parquet", partition_by=["bar_date"])
+    stored = spark.read.parquet(uri).select(*made.columns)
+    return bar_ops.select_range(stored, "2024-01-10", "2024-01-12", ["view", "error"], day="bar_date")
+
+
 @query("feed_selection", "select o_orderkey, o_totalprice from orders where o_orderstatus = 'F'")
 def feed_selection(spark, sf_dir):
     orders = b.table(spark, sf_dir, "orders")

@@ -135,6 +135,15 @@ def test_selection_reaches_the_scan(spark, sf_dir):
     assert "l(ts,2024-01-05T00:00), LessThan(ts,2024-" in plan
 
 
+def test_selection_prunes_partitions(spark, folder):
+    made = bars.bars(trades(spark, [("A", at(86_400 * i), 1.0, 1, i) for i in range(5)]))
+    made.write.partitionBy("bar_date").parquet(folder)
+    chosen = bars.select_range(spark.read.parquet(folder), "2024-01-02", "2024-01-03", ["A"], day="bar_date")
+    plan = chosen._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(bar_date" in plan and "EqualTo(symbol,A)" in plan
+    assert chosen.count() == 2
+
+
 @pytest.mark.parametrize("limit", [1, 2, 100_000])
 def test_latest_bar_of_trades(spark, monkeypatch, limit):
     monkeypatch.setattr(bars, "BROADCAST_SYMBOLS", limit)
