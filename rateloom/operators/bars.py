@@ -98,17 +98,13 @@ def select_range(
     All tests are on bare columns, so they reach the Parquet scan. The range is tested on ``ts``, or
     on the date column ``day``: of a table that is partitioned by it, other days are not opened.
     """
-    if day is not None:
-        if start is not None:
-            df = df.where(F.col(day) >= F.lit(start).cast("date"))
-        if end is not None:
-            df = df.where(F.col(day) <= F.lit(end).cast("date"))
-    else:
-        kind = df.schema[ts].dataType
-        if start is not None:
-            df = df.where(F.col(ts) >= F.lit(start).cast("date").cast(kind))
-        if end is not None:
-            df = df.where(F.col(ts) < F.date_add(F.lit(end).cast("date"), 1).cast(kind))
+    if start is not None:
+        first = F.lit(start).cast("date")
+        df = df.where(F.col(day) >= first if day else F.col(ts) >= first.cast(df.schema[ts].dataType))
+    if end is not None:
+        last = F.lit(end).cast("date")
+        after = F.date_add(last, 1)
+        df = df.where(F.col(day) <= last if day else F.col(ts) < after.cast(df.schema[ts].dataType))
     if symbols is not None:
         df = df.where(F.col(symbol_column).isin(list(symbols)))
     if feed is not None:
