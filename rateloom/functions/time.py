@@ -22,16 +22,18 @@ def now_utc() -> Column:
     return utc_ntz(F.current_timestamp())
 
 
-def parse_iso_utc(text: Column | str) -> Column:
+def parse_iso_utc(text: Column | str, strict: bool = True) -> Column:
     """ISO-8601 text to UTC. ``Z`` or no offset keeps the wall clock; ``+02:00`` is shifted.
 
-    Digits past the microsecond are cut. Bad text raises under ANSI, null stays null.
+    Digits past the microsecond are cut. Null stays null; bad text raises under ANSI, or is null when
+    not ``strict``.
     """
     text = _col(text)
+    cast = Column.cast if strict else Column.try_cast
     clock = F.substring(text, 11, 40)
     offset = ~text.endswith("Z") & (clock.contains("+") | clock.contains("-"))
     # The NTZ cast drops any offset, which is right for Z and for text without one.
-    return F.when(offset, utc_ntz(text.cast("timestamp"))).otherwise(text.cast("timestamp_ntz"))
+    return F.when(offset, utc_ntz(cast(text, "timestamp"))).otherwise(cast(text, "timestamp_ntz"))
 
 
 def epoch_micros(ts: Column | str) -> Column:

@@ -18,18 +18,17 @@ def _all_numbers(rates: Column) -> Column:
     return F.coalesce(F.forall(F.map_values(rates), is_number_text), F.lit(True))
 
 
-_STATED = "doc.meta.last_updated_at"
-
-
-def _time_ok() -> Column:
-    stated = F.col(_STATED)
-    return stated.isNull() | (stated == "") | stated.try_cast("timestamp").isNotNull()
+def _with_stated_time(read: DataFrame) -> DataFrame:
+    """Add ``stated``, the time the provider states, and ``time_ok``: none stated, or one that can be read."""
+    text = F.col("doc.meta.last_updated_at")
+    return read.withColumn("stated", parse_iso_utc(text, strict=False)).withColumn(
+        "time_ok", F.col("stated").isNotNull() | text.isNull() | (text == "")
+    )
 
 
-def _stated_time() -> Column:
-    """The time the provider states; a response without one was current when it was fetched."""
-    stated = F.when(_time_ok(), F.col(_STATED))
-    return F.when(stated != "", parse_iso_utc(stated)).otherwise(utc_ntz("fetched_at"))
+def _rate_time() -> Column:
+    """A response that states no time was current when it was fetched."""
+    return F.coalesce("stated", utc_ntz("fetched_at"))
 
 
 # Each feed's reader gives the parsed responses, where the rows are found, and which are usable.
@@ -37,9 +36,9 @@ Found = tuple[DataFrame, Column, Column]
 
 
 def read_latest(responses: DataFrame) -> Found:
-    read = read_body(responses, schemas.BODY_LATEST_RATES)
+    read = _with_stated_time(read_body(responses, schemas.BODY_LATEST_RATES))
     rates = F.col("doc.response.rates")
-    return read, rates, F.col("readable") & _time_ok() & _all_numbers(rates)
+    return read, rates, F.col("readable") & F.col("time_ok") & _all_numbers(rates)
 
 
 def read_historical(responses: DataFrame) -> Found:
@@ -50,9 +49,9 @@ def read_historical(responses: DataFrame) -> Found:
 
 
 def read_conversions(responses: DataFrame) -> Found:
-    read = read_body(responses, schemas.BODY_CONVERSION)
+    read = _with_stated_time(read_body(responses, schemas.BODY_CONVERSION))
     value = F.col("doc.response.value")
-    return read, F.array(value), F.col("readable") & _time_ok() & value.isNotNull()
+    return read, F.array(value), F.col("readable") & F.col("time_ok") & value.isNotNull()
 
 
 def read_currencies(responses: DataFrame) -> Found:
@@ -65,7 +64,7 @@ def rates_latest(responses: DataFrame, on_error: str = "raise") -> DataFrame:
     read, rates, ok = read_latest(responses)
     rows = read.select(
         F.col("doc.response.base").alias("base_currency"),
-        _stated_time().alias("rate_timestamp"),
+        _rate_time().alias("rate_timestamp"),
         F.explode(guard(ok, rates, on_error)).alias("target_currency", "rate"),
     )
     rows = rows.withColumn("rate_date", F.to_date("rate_timestamp"))
@@ -137,7 +136,7 @@ def convert_currency(responses: DataFrame, on_error: str = "raise") -> DataFrame
         _asked("to").alias("to_currency"),
         amount.alias("amount"),
         F.explode(guard(ok, value, on_error)).alias("converted_amount"),
-        _stated_time().alias("rate_timestamp"),
+        _rate_time().alias("rate_timestamp"),
     )
     rows = rows.withColumn("rate", safe_ratio("converted_amount", "amount"))
     return enforce_schema(rows.withColumn("ingestion_datetime", now_utc()), schemas.CONVERSION)

@@ -42,6 +42,8 @@ def test_parse_iso_utc_in_another_zone(other_zone):
 def test_parse_iso_utc_rejects_bad_text(spark):
     with pytest.raises(PySparkException):
         texts(spark, ["yesterday"]).select(fn.parse_iso_utc("v")).collect()
+    lenient = fn.parse_iso_utc("v", strict=False)
+    assert column(texts(spark, ["yesterday", "2024-01-02T03:04:05+x", *TIMES]), lenient) == [None, None, *TIMES.values()]
 
 
 def test_now_is_utc_in_any_zone(other_zone):
