@@ -6,7 +6,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from rateloom.schemas import LANDING
 
@@ -61,18 +61,27 @@ def run_landing(
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
     )
-    setting = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(setting)
-    # A query takes its own copy of the settings when it starts.
-    spark.conf.set(setting, str(partitions or before))
-    try:
-        query = writer.start()
-    finally:
-        spark.conf.set(setting, before)
+    # Expired state is dropped along with the next data; no output waits for it.
+    settings = {"spark.sql.streaming.noDataMicroBatches.enabled": "false"}
+    if partitions:
+        settings["spark.sql.shuffle.partitions"] = str(partitions)
+    query = _start(spark, writer, settings)
     query.awaitTermination()
     return query
 
 
+def _start(spark: SparkSession, writer: DataStreamWriter, settings: dict[str, str]) -> StreamingQuery:
+    """Start a query under some settings: it takes its own copy of them, the session keeps its own."""
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        return writer.start()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def run_feed(
     spark: SparkSession,
     landing: str,
