@@ -12,7 +12,7 @@ def append_manifest(rows: DataFrame, root: str) -> None:
     rows.select("key", "tags", "written_at").write.mode("append").json(f"{root.rstrip('/')}/{MANIFEST}")
 
 
-def read_manifest(spark: SparkSession, root: str) -> DataFrame:
-    """The tags recorded under ``root``."""
+def read_manifest(spark: SparkSession, root: str, write_id: str = "") -> DataFrame:
+    """What is noted under ``root``, or by one write: ``key, tags, written_at``; tags may be null."""
     schema = "key string, tags string, written_at timestamp_ntz"
-    return spark.read.schema(schema).json(f"{root.rstrip('/')}/{MANIFEST}/*.json")
+    return spark.read.schema(schema).json(f"{root.rstrip('/')}/{MANIFEST}/{write_id}*.json")

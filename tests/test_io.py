@@ -166,7 +166,10 @@ def test_objects_round_trip(spark, folder):
     assert rows(files.list_objects(spark, folder, "a/b"), "key") == [("a/b/.hidden",), ("a/b/y.gz",)]
     assert rows(files.list_objects(spark, folder, "gone/x"), "key") == []
     assert rows(files.list_objects(spark, folder, where=F.col("mime_type") == "application/json"), "key") == [("a/x 1.json",)]
-    assert rows(read_manifest(spark, folder), "key", "tags") == [("a/x 1.json", "k=v+w")]
+    noted = read_manifest(spark, folder)
+    assert sorted(tuple(r) for r in noted.select("key", "tags").collect()) == [
+        ("_z", None), ("a/b/.hidden", None), ("a/b/y.gz", None), ("a/x 1.json", "k=v+w")
+    ]
     found = files.read_keys(spark.createDataFrame([("_z",), ("gone",), ("a/b/y.gz",)], "key string"), folder)
     assert {r["key"]: r["content"] and len(r["content"]) for r in found.collect()} == {"a/b/y.gz": 256, "_z": bytearray(), "gone": None}
 
@@ -179,7 +182,21 @@ def test_objects_are_replaced_and_stamped(spark, folder):
     assert bytes(files.read_objects(spark, folder).first()["content"]) == b"new"
     key = put("x", use_timestamp=True).first()["key"]
     assert key.endswith("_k") and os.path.exists(f"{folder}/{key}")
-    assert sorted(os.listdir(folder)) == sorted(["_pending", "k", key])
+    assert sorted(os.listdir(folder)) == sorted(["_pending", "_manifest", "k", key])
+    assert write_objects(spark.createDataFrame([], "key string, content string"), folder).count() == 0
+
+
+def test_objects_are_computed_once(spark, folder):
+    seen = spark.sparkContext.accumulator(0)
+
+    def note(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    data = spark.createDataFrame([(f"k{i}", b"x") for i in range(50)], "key string, content binary")
+    keys = write_objects(data.mapInArrow(note, data.schema), folder)
+    assert keys.count() == 50 and seen.value == 50
 
 
 # ---- parquet
