@@ -77,9 +77,12 @@ def latest_bar_of_trades(trades: DataFrame, timeframe: str = "1Min", tie: str |
     found = windows.limit(BROADCAST_SYMBOLS + 1).collect()
     if len(found) > BROADCAST_SYMBOLS:
         return latest_bar(bars(trades, timeframe, tie))
-    few = F.broadcast(trades.sparkSession.createDataFrame(found, windows.schema))
+    few = trades.sparkSession.createDataFrame(found, windows.schema)
+    few = F.broadcast(few.select(F.col("symbol").alias("_symbol"), F.col("_start").alias("_last")))
     stamped = trades.withColumn("_start", window_start("ts", timeframe))
-    return bars(stamped.join(few, ["symbol", "_start"], "left_semi"), timeframe, tie)
+    # Null-safe, because trades without a symbol form a group of their own in bars.
+    kept = F.col("symbol").eqNullSafe(F.col("_symbol")) & (F.col("_start") == F.col("_last"))
+    return bars(stamped.join(few, kept, "left_semi"), timeframe, tie)
 
 
 def select_range(

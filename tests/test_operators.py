@@ -148,9 +148,10 @@ def test_selection_prunes_partitions(spark, folder):
 def test_latest_bar_of_trades(spark, monkeypatch, limit):
     monkeypatch.setattr(bars, "BROADCAST_SYMBOLS", limit)
     data = [("A", at(i), float(i), 1, i) for i in range(100)] + [("B", at(i), float(i), 1, i) for i in range(30)]
+    data += [(None, at(0), 7.0, 1, 1)]
     got = bars.latest_bar_of_trades(trades(spark, data), "1Min", "id")
     assert rows(got, "*") == rows(bars.latest_bar(bars.bars(trades(spark, data), "1Min", "id")), "*")
-    assert rows(got, "symbol", "open", "trade_count") == [("A", 60.0, 40), ("B", 0.0, 30)]
+    assert rows(got, "symbol", "open", "trade_count") == [("A", 60.0, 40), ("B", 0.0, 30), (None, 7.0, 1)]
 
 
 def test_close_on_date(spark):
