@@ -45,7 +45,7 @@ def run_latest_rates(
 
 
 def main(argv: Sequence[str] | None = None) -> str:
-    """Command line of the job."""
+    """Command line of the job; returns where the table is."""
     parser = argparse.ArgumentParser(description="Write the latest exchange rates as Parquet")
     parser.add_argument("--responses", required=True, help="landed responses (Parquet)")
     parser.add_argument("--bases", required=True, nargs="+", choices=CURRENCY_CODES)
@@ -58,4 +58,4 @@ def main(argv: Sequence[str] | None = None) -> str:
 
 
 if __name__ == "__main__":
-    main()
+    print(main())
