@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rateloom.llm.language import held_out, identify_documents
 from rateloom.llm.simhash_dedup import simhash_groups
 
 
@@ -15,6 +16,20 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def _vocabulary(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document."""
+    found = identify_documents(_table(spark, sf_dir, "documents"), _vocabulary("piece_bpe_32k.model"))
+    return found.select(
+        "doc_id", held_out(4, 2).alias("held_out"), "lang_pred", F.col("lang_score").alias("score")
+    )
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-copy component of every document."""
     groups = simhash_groups(_table(spark, sf_dir, "documents"))
@@ -24,6 +39,7 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op8_language_id": op8_language_id,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
 
