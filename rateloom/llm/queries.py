@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from rateloom.llm.language import held_out, identify_documents
 from rateloom.llm.simhash_dedup import simhash_groups
+from rateloom.llm.surrogates import replace_entities
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +23,11 @@ def _vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op7_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with surrogates in place of personal data and secrets."""
+    return replace_entities(_table(spark, sf_dir, "documents"))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document."""
     found = identify_documents(_table(spark, sf_dir, "documents"), _vocabulary("piece_bpe_32k.model"))
@@ -39,6 +45,7 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op7_surrogates": op7_surrogates,
     "op8_language_id": op8_language_id,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
