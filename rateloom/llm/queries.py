@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rateloom.llm.language import held_out, identify_documents
+from rateloom.llm import mixing
+from rateloom.llm.packing import pack
 from rateloom.llm.simhash_dedup import simhash_groups
 from rateloom.llm.surrogates import replace_entities
 
@@ -23,6 +25,18 @@ def _vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a mix of the sources takes of every document."""
+    return mixing.mix(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken"
+    )
+
+
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 2048 tokens."""
+    return pack(_table(spark, sf_dir, "documents"), _vocabulary("word_bpe_49k.json"))
+
+
 def op7_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with surrogates in place of personal data and secrets."""
     return replace_entities(_table(spark, sf_dir, "documents"))
@@ -45,9 +59,11 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_mix_sources": op2_mix_sources,
+    "op4_best_fit_packing": op4_best_fit_packing,
     "op7_surrogates": op7_surrogates,
     "op8_language_id": op8_language_id,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op2_mix_sources": mixing.oracle()}
