@@ -19,7 +19,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def _vocabulary(name: str) -> str:
+def vocabulary_path(name: str) -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
@@ -34,7 +34,7 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 2048 tokens."""
-    return pack(_table(spark, sf_dir, "documents"), _vocabulary("word_bpe_49k.json"))
+    return pack(_table(spark, sf_dir, "documents"), vocabulary_path("word_bpe_49k.json"))
 
 
 def op7_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,7 +44,7 @@ def op7_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document."""
-    found = identify_documents(_table(spark, sf_dir, "documents"), _vocabulary("piece_bpe_32k.model"))
+    found = identify_documents(_table(spark, sf_dir, "documents"), vocabulary_path("piece_bpe_32k.model"))
     return found.select(
         "doc_id", held_out(4, 2).alias("held_out"), "lang_pred", F.col("lang_score").alias("score")
     )

@@ -7,7 +7,7 @@ from helpers import docs
 from pyspark.sql import functions as F
 
 from rateloom.llm import language as op
-from rateloom.llm.queries import _vocabulary, op8_language_id
+from rateloom.llm.queries import vocabulary_path, op8_language_id
 
 EN = "the cat sat on the mat and the dog ran to the house with the children of the town"
 DE = "der hund lief durch die strasse und das kind spielte mit dem ball im garten des hauses"
@@ -43,20 +43,20 @@ def test_cases(spark):
     texts = [EN, DE] * 8 + [None, "", " 12 !!", "THE CAT!!", "der " * 40000, "ab" * 30000, EN, EN]
     langs = ["en", "de"] * 8 + ["en"] * 5 + [None] * 3
     table = docs(spark, texts, [*range(22), 22, None], lang=langs).withColumn("lang_score", F.lit("clash"))
-    got = {(r.doc_id, r.lang): r for r in op.identify_documents(table, _vocabulary("piece_bpe_32k.model")).collect()}
+    got = {(r.doc_id, r.lang): r for r in op.identify_documents(table, vocabulary_path("piece_bpe_32k.model")).collect()}
     assert len(got) == len(texts)
     pred = [got[i, langs[i]].lang_pred for i in range(22)]
     assert pred[:16] == ["en", "de"] * 8
     assert pred[16:19] == ["und"] * 3 and [got[i, langs[i]].lang_score for i in (16, 17, 18)] == [0.0] * 3
     assert pred[19:21] == ["en", "de"] and pred[21] in ("en", "de")
     assert all(0.0 <= r.lang_score <= 1.0 for r in got.values())
-    kept = op.keep_identified(table, _vocabulary("piece_bpe_32k.model"))
+    kept = op.keep_identified(table, vocabulary_path("piece_bpe_32k.model"))
     assert kept.columns == table.columns
     assert not {16, 17, 18} & {r.doc_id for r in kept.collect()}
 
 
 def test_nothing_learned(spark):
-    path = _vocabulary("piece_bpe_32k.model")
+    path = vocabulary_path("piece_bpe_32k.model")
     assert op.identify_documents(docs(spark, []), path).collect() == []
     rows = op.identify_documents(docs(spark, ["some text"], lang=[None]), path).collect()
     assert [(r.lang_pred, r.lang_score) for r in rows] == [("und", 0.0)]
