@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
+import types
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -30,6 +32,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def worker_state() -> dict:
+    """A place in a Python worker that outlives a task, as Spark reuses its workers."""
+    module = sys.modules.setdefault("rateloom_worker_state", types.ModuleType("rateloom_worker_state"))
+    return module.__dict__
+
+
 def map_batches(
     df: DataFrame, schema: str, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 ) -> DataFrame:

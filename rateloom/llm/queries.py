@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rateloom.llm.common import shared_folder
 from rateloom.llm.language import held_out, identify_documents
 from rateloom.llm import mixing
 from rateloom.llm.packing import pack
 from rateloom.llm.simhash_dedup import simhash_groups
 from rateloom.llm.surrogates import replace_entities
+from rateloom.llm.token_files import digest, read_token_file, write_token_file
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,6 +53,13 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as a token file, read back."""
+    path = f"{shared_folder(spark)}/llm-tokens-{uuid.uuid4().hex}"
+    write_token_file(_table(spark, sf_dir, "documents"), vocabulary_path("byte_bpe_50k.json"), path)
+    return digest(read_token_file(spark, path))
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-copy component of every document."""
     groups = simhash_groups(_table(spark, sf_dir, "documents"))
@@ -63,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_best_fit_packing": op4_best_fit_packing,
     "op7_surrogates": op7_surrogates,
     "op8_language_id": op8_language_id,
+    "op9_token_files": op9_token_files,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
 

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import os
 import re
-import sys
-import types
 from array import array
 
+from rateloom.llm.common import worker_state
+
 #: Chunks kept per Python worker; beyond that the cache starts anew.
 REMEMBERED = 500_000
 LONGEST = 64
@@ -17,12 +17,6 @@ _ODD_SPACE = re.compile("[" + "".join(chr(c) for c in range(0x3001) if chr(c).is
 _SEPARATORS = re.compile("[\x1c-\x1f]")
 
 
-def _worker_state() -> dict:
-    """A place that outlives a task, as Spark reuses its Python workers."""
-    module = sys.modules.setdefault("rateloom_worker_state", types.ModuleType("rateloom_worker_state"))
-    return module.__dict__
-
-
 class Encoder:
     """Little-endian unsigned 32-bit ids of a text, the same as the tokenizer gives for it as a whole.
 
@@ -39,7 +33,7 @@ class Encoder:
 
     @staticmethod
     def of(path: str, words: bool) -> Encoder:
-        state, key = _worker_state(), f"encoder:{path}:{words}"
+        state, key = worker_state(), f"encoder:{path}:{words}"
         if key not in state:
             state[key] = Encoder(path, words)
         return state[key]
