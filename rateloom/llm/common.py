@@ -8,6 +8,7 @@ import types
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,6 +54,19 @@ def batch(schema: pa.Schema, *columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, schema=schema)
 
 
+def linked_to(root: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """``root`` (the place that every place hangs on, its own at first) after linking ``i`` with ``j``."""
+    root = root.copy()
+    while len(i):
+        ri, rj = root[i], root[j]
+        apart = ri != rj
+        i, j, ri, rj = i[apart], j[apart], ri[apart], rj[apart]
+        np.minimum.at(root, np.maximum(ri, rj), np.minimum(ri, rj))
+        while (root != root[root]).any():
+            root = root[root]
+    return root
+
+
 def _signature(edges: DataFrame) -> tuple[int, int]:
     row = edges.agg(
         F.count(F.lit(1)), F.coalesce(F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.lit(0))

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rateloom.llm.common import shared_folder
+from rateloom.llm.embedding_dedup import near_embeddings
 from rateloom.llm.language import held_out, identify_documents
 from rateloom.llm import mixing
 from rateloom.llm.packing import pack
@@ -28,6 +29,11 @@ def vocabulary_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors, whatever their labels."""
+    return near_embeddings(_table(spark, sf_dir, "embeddings"))
+
+
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a mix of the sources takes of every document."""
     return mixing.mix(_table(spark, sf_dir, "documents")).select(
@@ -69,6 +75,7 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op2_mix_sources": op2_mix_sources,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op7_surrogates": op7_surrogates,

@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rateloom.llm.common import batch, components, map_batches, written
+from rateloom.llm.common import batch, components, linked_to, map_batches, written
 
 SHINGLE = 3
 RADIUS = 2
@@ -173,15 +173,7 @@ def join_links(left: np.ndarray, right: np.ndarray, radius: int) -> np.ndarray:
         i, j = x[k] * GROUP + i, y[k] * GROUP + j
         real = (i < len(left)) & (j < len(right))
         i, j = i[real], j[real] + len(left)
-        while len(i):
-            ri, rj = root[i], root[j]
-            apart = ri != rj
-            if not apart.any():
-                break
-            i, j, ri, rj = i[apart], j[apart], ri[apart], rj[apart]
-            np.minimum.at(root, np.maximum(ri, rj), np.minimum(ri, rj))
-            while (root != root[root]).any():
-                root = root[root]
+        root = linked_to(root, i, j)
     return root
 
 
