@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 
 from rateloom.llm.common import shared_folder
 from rateloom.llm.embedding_dedup import near_embeddings
+from rateloom.llm.fingerprints import fingerprint_documents
 from rateloom.llm.language import held_out, identify_documents
 from rateloom.llm import mixing
 from rateloom.llm.packing import pack
+from rateloom.llm.quality import score_documents
 from rateloom.llm.simhash_dedup import simhash_groups
 from rateloom.llm.surrogates import replace_entities
 from rateloom.llm.token_files import digest, read_token_file, write_token_file
@@ -46,6 +48,19 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"), vocabulary_path("word_bpe_49k.json"))
 
 
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts."""
+    return fingerprint_documents(_table(spark, sf_dir, "documents"))
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    found = score_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return found.select(
+        "doc_id", "held_out", F.col("quality_score").alias("score"), F.col("quality_predicted").alias("predicted")
+    )
+
+
 def op7_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with surrogates in place of personal data and secrets."""
     return replace_entities(_table(spark, sf_dir, "documents"))
@@ -78,6 +93,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op2_mix_sources": op2_mix_sources,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_fingerprints": op5_fingerprints,
+    "op6_quality": op6_quality,
     "op7_surrogates": op7_surrogates,
     "op8_language_id": op8_language_id,
     "op9_token_files": op9_token_files,
