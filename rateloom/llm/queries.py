@@ -17,6 +17,7 @@ from rateloom.llm import mixing
 from rateloom.llm.packing import pack
 from rateloom.llm.quality import score_documents
 from rateloom.llm.simhash_dedup import simhash_groups
+from rateloom.llm.span_dedup import drop_repeated_passages
 from rateloom.llm.surrogates import replace_entities
 from rateloom.llm.token_files import digest, read_token_file, write_token_file
 
@@ -43,6 +44,11 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the sentences of repeated passages."""
+    return drop_repeated_passages(_table(spark, sf_dir, "documents"))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 2048 tokens."""
     return pack(_table(spark, sf_dir, "documents"), vocabulary_path("word_bpe_49k.json"))
@@ -92,6 +98,7 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op2_mix_sources": op2_mix_sources,
+    "op3_substring_dedup": op3_substring_dedup,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_fingerprints": op5_fingerprints,
     "op6_quality": op6_quality,
