@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 from rateloom.llm.common import batch, map_batches
 
 SENTENCES = 3
-LEAST_WORDS = 16
-ENOUGH_WORDS = 32
+LEAST_WORDS = 12
+ENOUGH_WORDS = 20
 BATCH_ROWS = 4096
 
 # Two odd multipliers, for two polynomials over the sentences' hashes modulo 2^64, and their inverses.

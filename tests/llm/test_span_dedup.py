@@ -12,7 +12,7 @@ def plain_runs(words):
 
     def holds(i, j):
         n = sum(words[i:j])
-        return (j - i >= 3 and n >= 16) or n >= 32
+        return (j - i >= 3 and n >= 12) or n >= 20
 
     n, out = len(words), set()
     for i in range(n):
