@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -48,15 +49,31 @@ HEADLINE = [
     "sheet_table",
     "write_parquet",
     "incremental_landing",
+    "latest_responses",
+    "fetch_responses",
+    "outstanding_requests",
+    "backfill_rates",
+    "second_backfill",
+    "bars_timeseries",
+    "bars_timeseries_audit",
+    "list_objects",
+    "write_objects",
+    "latest_rates_job",
+    "polled_rates",
+    "rejected_lines",
+    "incremental_rates",
 ]
 
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    spark = build_session(
-        "bench", f"local[{cpus}]", **{"spark.sql.shuffle.partitions": cpus, "spark.driver.memory": "8g"}
-    )
+    settings = {"spark.sql.shuffle.partitions": cpus, "spark.driver.memory": "8g"}
+    spark = build_session("bench", f"local[{cpus}]", **settings)
+    if not spark.conf.get("spark.checkpoint.dir", None):
+        spark.stop()
+        settings["spark.checkpoint.dir"] = tempfile.mkdtemp(prefix="rateloom-bench-")
+        spark = build_session("bench", f"local[{cpus}]", **settings)
     spark.sparkContext.setLogLevel("ERROR")
 
     def run(name: str) -> float:

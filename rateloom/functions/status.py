@@ -10,6 +10,15 @@ MAX_ATTEMPTS = 5
 RETRY_WAIT = 2
 RATE_LIMIT_WAIT = 1
 
+# Statuses from and to, state of the credentials (any, if none is named), what to do. The
+# first rule that holds counts; all else is tried again as long as attempts are left.
+RULES = (
+    (-(1 << 31), 399, None, "ok"),
+    (400, 400, None, "bad_request"),
+    (401, 401, "pending", "reauth"),
+    (401, 401, "failed", "auth_error"),
+)
+
 
 def classify_response(
     status: Column,
@@ -27,15 +36,10 @@ def classify_response(
     attempt = F.lit(1) if attempt is None else attempt
     reauth = F.lit("pending") if reauth is None else reauth
     retry_after = F.lit(None).cast("int") if retry_after is None else retry_after
-    repeat = F.when(attempt >= max_attempts, "stop").otherwise("retry")
-    action = (
-        F.when(status.isNull(), repeat)
-        .when(status < 400, "ok")
-        .when(status == 400, "bad_request")
-        .when((status == 401) & (reauth == "pending"), "reauth")
-        .when((status == 401) & (reauth == "failed"), "auth_error")
-        .otherwise(repeat)
-    )
+    action = F.when(attempt >= max_attempts, "stop").otherwise("retry")
+    for least, most, state, name in reversed(RULES):
+        holds = F.coalesce(status.between(least, most), F.lit(False))
+        action = F.when(holds if state is None else holds & (reauth == state), name).otherwise(action)
     wait = F.when(
         action == "retry",
         F.when(status == 429, F.coalesce(retry_after, F.lit(RATE_LIMIT_WAIT))).otherwise(F.lit(RETRY_WAIT)),
@@ -47,14 +51,9 @@ def decide(
     status: int | None, attempt: int, max_attempts: int, reauth: str, retry_after: str | None
 ) -> tuple[str, int]:
     """The same rules for one call inside a fetch task."""
-    if status is not None and status < 400:
-        return "ok", 0
-    if status == 400:
-        return "bad_request", 0
-    if status == 401 and reauth == "pending":
-        return "reauth", 0
-    if status == 401 and reauth == "failed":
-        return "auth_error", 0
+    for least, most, state, name in RULES:
+        if status is not None and least <= status <= most and state in (None, reauth):
+            return name, 0
     if attempt >= max_attempts:
         return "stop", 0
     if status == 429:

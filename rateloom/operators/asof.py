@@ -105,7 +105,7 @@ def asof_join(
         )
     )
     match = [probes[k] == answers[o] for k, o in zip(keys, on)]
-    joined = probes.join(answers.hint("shuffle_hash"), [*match, probes[ts] == answers["_ts"]], "left")
+    joined = probes.join(answers, [*match, probes[ts] == answers["_ts"]], "left")
     return joined.drop(*on, "_ts")
 
 

@@ -10,9 +10,6 @@ from pyspark.sql import functions as F
 from rateloom.functions import order_key
 from rateloom.schemas import TIMEFRAMES
 
-# A symbol and a timestamp take some 50 bytes: 5 MB at most.
-BROADCAST_SYMBOLS = 100_000
-
 
 def window_start(ts: Column | str, timeframe: str) -> Column:
     """Start of the bar that holds ``ts``; windows are aligned to midnight UTC."""
@@ -68,21 +65,15 @@ def latest_bar(bars_df: DataFrame) -> DataFrame:
 def latest_bar_of_trades(trades: DataFrame, timeframe: str = "1Min", tie: str | None = None) -> DataFrame:
     """The last bar of each symbol straight from trades.
 
-    A first job over two columns finds each symbol's last window. Up to ``BROADCAST_SYMBOLS`` of them
-    are sent to the scan as a filter, so only the trades of those windows are aggregated. With more
-    symbols than that, all bars are built and the last of each is kept.
+    Each symbol's last window is found from two columns; only the trades of those windows are
+    aggregated. How the trades meet the windows is left to the size of either side.
     """
     last = trades.groupBy("symbol").agg(F.max("ts").alias("ts")).where(F.col("ts").isNotNull())
-    windows = last.select("symbol", window_start("ts", timeframe).alias("_start"))
-    found = windows.limit(BROADCAST_SYMBOLS + 1).collect()
-    if len(found) > BROADCAST_SYMBOLS:
-        return latest_bar(bars(trades, timeframe, tie))
-    few = trades.sparkSession.createDataFrame(found, windows.schema)
-    few = F.broadcast(few.select(F.col("symbol").alias("_symbol"), F.col("_start").alias("_last")))
+    windows = last.select(F.col("symbol").alias("_symbol"), window_start("ts", timeframe).alias("_last"))
     stamped = trades.withColumn("_start", window_start("ts", timeframe))
     # Null-safe, because trades without a symbol form a group of their own in bars.
     kept = F.col("symbol").eqNullSafe(F.col("_symbol")) & (F.col("_start") == F.col("_last"))
-    return bars(stamped.join(few, kept, "left_semi"), timeframe, tie)
+    return bars(stamped.join(windows, kept, "left_semi"), timeframe, tie)
 
 
 def select_range(

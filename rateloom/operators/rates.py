@@ -38,6 +38,15 @@ def first_rate(rates: DataFrame, base: str, target: str, date: str | None = None
     return rate
 
 
+def one_per_quote(rates: DataFrame) -> DataFrame:
+    """One rate per base, target and time: of copies the one loaded last, then the largest."""
+    loaded = F.unix_micros(F.col("ingestion_datetime").cast("timestamp")) if "ingestion_datetime" in rates.columns else F.lit(0)
+    quote = ["base_currency", "target_currency", "rate_date", "rate_timestamp"]
+    ranked = rates.select(*quote, "rate", loaded.alias("_loaded"))
+    last = ranked.groupBy(*quote, "_loaded").agg(F.max("rate").alias("rate"))
+    return last.groupBy(*quote).agg(F.max_by("rate", "_loaded").alias("rate"))
+
+
 def rebase(rates: DataFrame, bases: Sequence[str]) -> DataFrame:
     """Rates against each of ``bases``, derived from rates that share another base.
 
@@ -45,12 +54,11 @@ def rebase(rates: DataFrame, bases: Sequence[str]) -> DataFrame:
     side has one row per old base, time and new base, so each rate gives one row per new base.
     """
     at = ["base_currency", "rate_timestamp"]
-    divisors = (
-        rates.where(F.col("target_currency").isin(list(bases)))
-        .groupBy(*at, F.col("target_currency").alias("new_base"))
-        .agg(F.max("rate").alias("_divisor"))
+    quoted = one_per_quote(rates)
+    divisors = quoted.where(F.col("target_currency").isin(list(bases))).select(
+        *at, F.col("target_currency").alias("new_base"), F.col("rate").alias("_divisor")
     )
-    return rates.join(divisors, at).select(
+    return quoted.join(divisors, at).select(
         F.col("base_currency").alias("via_currency"),
         F.col("new_base").alias("base_currency"),
         "target_currency",
@@ -68,9 +76,7 @@ def cross_rates(rates: DataFrame, pairs: DataFrame) -> DataFrame:
     base, time and to-side.
     """
     pairs = pairs.select("from_currency", "to_currency").distinct()
-    legs = rates.groupBy("base_currency", "rate_date", "rate_timestamp", "target_currency").agg(
-        F.max("rate").alias("rate")
-    )
+    legs = one_per_quote(rates)
     first = legs.select(
         "base_currency",
         "rate_date",

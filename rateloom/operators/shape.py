@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructType, TimestampNTZType, TimestampType
 
@@ -65,6 +65,17 @@ def explode_keyed(df: DataFrame, column: str, key: str, value: str = "value") ->
 def first_row(
     df: DataFrame, keys: list[str], order: str, values: list[str], tie: str | None = None
 ) -> DataFrame:
-    """The first row's ``values`` per key, in an order that is stated rather than found."""
-    first = order_key(order, tie)
-    return df.groupBy(*keys).agg(*[F.min_by(v, first).alias(v) for v in values])
+    """The first row's ``values`` per key, in an order that is stated rather than found.
+
+    The least order of a key is found by a hash aggregate over fixed-width columns and joined back;
+    of rows that tie in it, the one whose values hash lowest counts. Keys without any order have nulls.
+    """
+    ranked = df.select(*keys, *[c for c in values if c not in keys], order_key(order, tie).alias("_first"))
+    best = ranked.groupBy(*keys).agg(F.min("_first").alias("_first"))
+    hashed = ranked.withColumn("_hash", F.xxhash64(*values))
+    same = [F.col(f"b.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys] + [F.col("b._first") == F.col("r._first")]
+    joined = best.alias("b").join(hashed.alias("r"), same, "left")
+    own = joined.select(*[F.col(f"b.{k}").alias(k) for k in keys], *[F.col(f"r.{v}").alias(f"_v{i}") for i, v in enumerate(values)], F.col("r._hash").alias("_hash"))
+    nth = Window.partitionBy(*keys).orderBy("_hash")
+    one = own.withColumn("_nth", F.row_number().over(nth)).where("_nth = 1")
+    return one.select(*keys, *[F.col(f"_v{i}").alias(v) for i, v in enumerate(values)])

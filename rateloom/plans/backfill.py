@@ -2,29 +2,72 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rateloom.schemas import LANDED
 from rateloom.sinks.parquet import write_parquet
 from rateloom.sources import fx, stocks
 from rateloom.sources.envelope import latest_responses
-from rateloom.sources.planning import bar_requests, historical_rate_requests
-from rateloom.sources.requests import PAGE_MARK, Transport, fetch_responses
+from rateloom.sources.planning import DEFAULT_FEED, bar_requests, historical_rate_requests
+from rateloom.sources.requests import SYMBOLS_PER_REQUEST, Transport, fetch_responses
 
 
-def land_responses(requests: DataFrame, transport: Transport, landing: str, **options) -> DataFrame:
-    """Fetch what ``requests`` asks for, add it to the landing folder, and return what landed of it.
+LANDING_PARTITIONS = ("feed", "request_date")
+
 
-    The bodies are on shared storage before anything reads them, so no later step calls again; of a
-    request that landed more than once the last usable copy counts. Responses to other requests are
-    left out before copies are compared, so they are not shuffled.
+def landed_of(requests: DataFrame, landing: str) -> DataFrame:
+    """What has landed of ``requests``: of each the last whole run, and of its pages the best copy.
+
+    Only the partitions of the requests' feed and days are read; responses to other requests are left
+    out before copies are compared. A missing folder holds nothing.
     """
-    fetch_responses(requests, transport, **options).write.mode("append").parquet(landing)
-    landed = requests.sparkSession.read.parquet(landing)
-    # Pages after the first have a number behind the key.
+    spark = requests.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(landing)
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        return spark.createDataFrame([], LANDED)
     asked = requests.select(F.col("request_key").alias("_asked"))
-    first_page = F.substring_index(landed["request_key"], PAGE_MARK, 1)
-    return latest_responses(landed.join(asked, first_page == asked["_asked"], "left_semi"))
+    days = F.coalesce(F.try_element_at("params", F.lit("date")), F.try_element_at("params", F.lit("start")))
+    # One row: the feeds asked for, and the first and last day. Requests without days may land on any.
+    span = requests.agg(
+        F.collect_set("endpoint").alias("feeds"), F.min(days).alias("lo"), F.max(days).alias("hi"),
+        F.count_if(days.isNull()).alias("undated"),
+    ).first()
+    landed = spark.read.schema(LANDED).parquet(landing).where(F.col("feed").isin(span["feeds"]))
+    if not span["undated"] and span["lo"] is not None:
+        landed = landed.where(F.col("request_date").between(F.lit(span["lo"]).cast("date"), F.lit(span["hi"]).cast("date")))
+    return latest_responses(landed.join(asked, landed["request_key"] == asked["_asked"], "left_semi"))
+
+
+def outstanding(requests: DataFrame, landing: str) -> DataFrame:
+    """The ``requests`` without a whole usable answer in the landing folder."""
+    bad = F.coalesce(F.col("status") >= 400, F.lit(True))
+    known = landed_of(requests, landing).groupBy("request_key").agg(F.count_if(bad).alias("_bad")).where("_bad = 0")
+    return requests.join(known, "request_key", "left_anti").select(*requests.columns)
+
+
+def land_responses(requests: DataFrame, transport: Transport, landing: str, **options) -> DataFrame:
+    """Fetch what ``requests`` asks for and hasn't landed, add it to the landing folder, and return
+    all that has landed of it.
+
+    The bodies are on shared storage before anything reads them, so no later step calls again, and a
+    run that broke off goes on where it was. The folder is partitioned by feed and day.
+    """
+    fetched = fetch_responses(outstanding(requests, landing), transport, **options)
+    fetched.write.mode("append").partitionBy(*LANDING_PARTITIONS).parquet(landing)
+    return landed_of(requests, landing)
+
+
+def write_rates(
+    landed: DataFrame, bases: DataFrame, start: str, end: str, root: str, prefix: str, batch_size: int = 7,
+    filename: str | None = None,
+) -> tuple[str, DataFrame]:
+    """The table of landed daily rates, partitioned by day, and the audit of ``bases``."""
+    rates = fx.rates_timeseries(landed, start, end, batch_size).drop("batch")
+    uri = write_parquet(rates, root, prefix, filename, partition_by=["rate_date"])
+    return uri, fx.rates_timeseries_audit(landed, bases, start, end, batch_size)
 
 
 def backfill_rates(
@@ -37,17 +80,16 @@ def backfill_rates(
     prefix: str,
     batch_size: int = 7,
     filename: str | None = None,
+    symbols: Sequence[str] | None = None,
     **options,
 ) -> tuple[str, DataFrame]:
-    """Rates of every base and day in [start, end], partitioned by day.
+    """Rates of every base and day in [start, end], partitioned by day; of ``symbols`` only, if given.
 
     Returns where the table is, and the audit: per base and window the days that failed.
     """
     ranges = bases.select("base_currency", F.lit(start).alias("start"), F.lit(end).alias("end"))
-    landed = land_responses(historical_rate_requests(ranges), transport, landing, **options)
-    rates = fx.rates_timeseries(landed, start, end, batch_size).drop("batch")
-    uri = write_parquet(rates, root, prefix, filename, partition_by=["rate_date"])
-    return uri, fx.rates_timeseries_audit(landed, bases, start, end, batch_size)
+    landed = land_responses(historical_rate_requests(ranges, symbols=symbols), transport, landing, **options)
+    return write_rates(landed, bases, start, end, root, prefix, batch_size, filename)
 
 
 def backfill_bars(
@@ -61,11 +103,17 @@ def backfill_bars(
     timeframe: str = "1Day",
     batch_days: int = 30,
     filename: str | None = None,
+    feed: str = DEFAULT_FEED,
+    limit: int | None = None,
+    per_request: int = SYMBOLS_PER_REQUEST,
     **options,
 ) -> tuple[str, DataFrame]:
-    """Bars of ``symbols(symbol)`` in [start, end], partitioned by day, and the audit per window."""
-    requests = bar_requests(symbols, start, end, timeframe, batch_days=batch_days)
+    """Bars of ``symbols(symbol)`` in [start, end], partitioned by day, and the audit per window.
+
+    ``limit`` is what the API may put on a page; all pages are fetched.
+    """
+    requests = bar_requests(symbols, start, end, timeframe, feed, limit, batch_days, per_request)
     landed = land_responses(requests, transport, landing, **options)
     table = stocks.bars_timeseries(landed, start, end, batch_days).drop("batch")
     uri = write_parquet(table, root, prefix, filename, partition_by=["bar_date"])
-    return uri, stocks.bars_timeseries_audit(landed, start, end, batch_days)
+    return uri, stocks.bars_timeseries_audit(landed, start, end, batch_days, requests)

@@ -7,11 +7,16 @@ names (20 targets, the bars of a symbol and day, 50 catalogue entries), never by
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rateloom.operators.bars import bars, latest_bar
 from rateloom.operators.snapshots import snapshot
+from rateloom.schemas import LANDED
+from rateloom.session import scratch_dir
+from rateloom.sources.planning import ENDPOINTS, request_identity
 
 N_TARGETS = 20
 PAGE = 50
@@ -21,6 +26,57 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def folder(spark: SparkSession, name: str) -> str:
+    """A folder for what a query writes. A local session without a shared folder gets one of its own."""
+    local = spark.sparkContext.master.startswith("local[") and not spark.conf.get("spark.checkpoint.dir", None)
+    return scratch_dir(spark, name, tempfile.mkdtemp(prefix="rateloom-") if local else None)
+
+
+def as_landed(responses: DataFrame, feed: str, run_id: str = "run-1") -> DataFrame:
+    """Single-page responses as a run that fetched them would land them."""
+    endpoint = F.lit(ENDPOINTS[feed])
+    asked = F.coalesce(F.try_element_at("params", F.lit("date")), F.try_element_at("params", F.lit("start")))
+    return responses.withColumns(
+        {
+            "request_key": request_identity(endpoint, F.col("params")),
+            "run_id": F.lit(run_id),
+            "page": F.lit(0),
+            "feed": endpoint,
+            "request_date": F.coalesce(asked.try_cast("date"), F.to_date("fetched_at")),
+        }
+    ).select(*LANDED.names)
+
+
+def landed_bar_run(
+    spark: SparkSession, sf_dir: str, requests: DataFrame, page_days: int, run_id: str, at: str
+) -> DataFrame:
+    """What a run lands for bar requests (hourly): a page for every ``page_days`` days with bars."""
+    made = bars(trades(spark, sf_dir), "1Hour", tie="event_id")
+    start = F.col("params")["start"].cast("date")
+    asked = requests.select(
+        "request_key", "params", "endpoint", F.explode(F.split(F.col("params")["symbols"], ",")).alias("symbol")
+    )
+    found = made.join(asked, "symbol").where(F.col("bar_date").between(start, F.col("params")["end"].cast("date")))
+    keys = ["request_key", "text_params", "endpoint", "page"]
+    numbered = found.withColumns(
+        {"page": F.floor(F.datediff("bar_date", start) / page_days).cast("int"), "text_params": F.to_json("params")}
+    )
+    by_symbol = numbered.groupBy(*keys, "symbol").agg(F.sort_array(F.collect_list(_bar_json())).alias("b"))
+    pages = by_symbol.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("symbol", "b"))).alias("bars"))
+    params = F.from_json("text_params", "map<string,string>")
+    return pages.select(
+        "request_key",
+        params.alias("params"),
+        F.lit(200).alias("status"),
+        F.to_json(F.struct("bars")).alias("body"),
+        F.lit(at).cast("timestamp").alias("fetched_at"),
+        F.lit(run_id).alias("run_id"),
+        "page",
+        F.col("endpoint").alias("feed"),
+        params["start"].cast("date").alias("request_date"),
+    )
+
+
 def user_symbol(column: str = "user_id", n: int = N_TARGETS) -> Column:
     return F.concat(F.lit("U"), (F.col(column) % n).cast("string"))
 
@@ -51,9 +107,14 @@ def trades(
     )
 
 
+def is_quote() -> Column:
+    """Every event is one or the other: views and clicks are quotes, all else is a trade."""
+    return F.col("event_type").isin("view", "click")
+
+
 def purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Trades by user symbol: the purchase events."""
-    events = table(spark, sf_dir, "events").where(F.col("event_type") == "purchase")
+    """Trades by user symbol: the events that are no quotes."""
+    events = table(spark, sf_dir, "events").where(~is_quote())
     return events.select(
         user_symbol().alias("symbol"), "ts", F.col("value").alias("price"), size().alias("size"), "event_id"
     )
@@ -61,7 +122,7 @@ def purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """symbol, ts, ask_price, bid_price, event_id: the view and click events."""
-    events = table(spark, sf_dir, "events").where(F.col("event_type").isin("view", "click"))
+    events = table(spark, sf_dir, "events").where(is_quote())
     return events.select(
         user_symbol().alias("symbol"),
         "ts",

@@ -26,7 +26,6 @@ from rateloom.functions import (
 from rateloom.operators import asof, calendar, rates, shape
 from rateloom.operators import bars as bar_ops
 from rateloom.operators.snapshots import snapshot
-from rateloom.session import scratch_dir
 from rateloom.sinks.objects import write_objects
 from rateloom.sinks.parquet import write_parquet
 from rateloom.sinks.sheet import write_sheet_table
@@ -34,7 +33,7 @@ from rateloom.sources import audit, envelope, files, fx, planning, requests, sto
 from rateloom.streaming.landing import run_feed, run_landing
 
 from . import bindings as b
-from .backfill import backfill_rates
+from .backfill import LANDING_PARTITIONS, landed_of, outstanding, write_rates
 from .latest_rates import run_latest_rates
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -117,7 +116,7 @@ def latest_bar_of_trades(spark, sf_dir):
 
 _SNAPSHOT = f"""
     with t as (select {_USER} as symbol, ts, event_id, "value" as price, {_K} as size
-               from events where event_type = 'purchase'),
+               from events where event_type not in ('view', 'click')),
     d as (select symbol, cast(ts as date) as day, arg_max(price, (ts, event_id)) as price,
                  arg_max(size, (ts, event_id)) as size, max(ts) as ts from t group by 1, 2),
     r as (select *, row_number() over w as n, lead(price) over w as prev
@@ -157,7 +156,7 @@ def range_selection(spark, sf_dir):
 )
 def partition_selection(spark, sf_dir):
     made = bar_ops.bars(b.trades(spark, sf_dir), "4Hour", tie="event_id")
-    uri = write_parquet(made, scratch_dir(spark, "bars"), "four-hourly", "b.parquet", partition_by=["bar_date"])
+    uri = write_parquet(made, b.folder(spark, "bars"), "four-hourly", "b.parquet", partition_by=["bar_date"])
     stored = spark.read.parquet(uri).select(*made.columns)
     return bar_ops.select_range(stored, "2024-01-10", "2024-01-12", ["view", "error"], day="bar_date")
 
@@ -191,7 +190,7 @@ def convert_amounts(spark, sf_dir):
         select {_USER} as symbol, e.ts, e."value" as price, {_K} as size, e.event_id,
                q.at as rate_timestamp, q.ask as ask_price, q.bid as bid_price
         from events e asof left join q on {_USER} = q.u and e.ts >= q.at
-        where e.event_type = 'purchase'""",
+        where e.event_type not in ('view', 'click')""",
 )
 def asof_quote_of_trade(spark, sf_dir):
     quotes = b.quotes(spark, sf_dir)
@@ -457,9 +456,17 @@ def latest_responses(spark, sf_dir):
     return fx.rates_historical(envelope.latest_responses(copies)).drop(_LOADED)
 
 
-def _put_responses(landed: DataFrame, root: str) -> DataFrame:
-    named = landed.select(F.concat("request_key", F.lit(".json")).alias("key"), F.col("body").alias("content"))
-    return write_objects(named, root)
+def _land_run(rows: DataFrame, landing: str) -> None:
+    rows.write.mode("append").partitionBy(*LANDING_PARTITIONS).parquet(landing)
+
+
+def _bases(spark, sf_dir) -> DataFrame:
+    return b.table(spark, sf_dir, "events").select(F.col("event_type").alias("base_currency")).distinct()
+
+
+def _rate_requests(spark, sf_dir, start: str, end: str) -> DataFrame:
+    ranges = _bases(spark, sf_dir).select("base_currency", F.lit(start).alias("start"), F.lit(end).alias("end"))
+    return planning.historical_rate_requests(ranges)
 
 
 @query(
@@ -467,22 +474,31 @@ def _put_responses(landed: DataFrame, root: str) -> DataFrame:
     f"with {_DAILY} select *, cast(rate_date as timestamp) as rate_timestamp from daily",
 )
 def fetch_responses(spark, sf_dir):
-    landed = b.landed_historical(spark, sf_dir)
-    root = scratch_dir(spark, "replies")
-    _put_responses(landed, root)
-    calls = landed.select(
-        "request_key",
-        F.lit("GET").alias("method"),
-        F.lit("historical").alias("endpoint"),
-        "params",
-        F.create_map().cast("map<string,string>").alias("headers"),
-        F.lit(None).cast("string").alias("body"),
-    )
-    fetched = requests.fetch_responses(calls, requests.FileTransport(root), max_concurrency=4)
-    # Landed before it is parsed: parsing again must not call again.
-    target = f"{root}-landed"
-    fetched.write.parquet(target)
-    return fx.rates_historical(spark.read.parquet(target)).drop(_LOADED)
+    """What landed of the planned requests; an earlier run that failed is in the folder too."""
+    landed = b.as_landed(b.landed_historical(spark, sf_dir), "rates_historical", "run-2")
+    failed = landed.withColumns(
+        {"status": F.lit(500), "body": F.lit(None).cast("string"), "run_id": F.lit("run-1")}
+    )
+    root = b.folder(spark, "landing")
+    _land_run(shape.concat_batches([failed, landed]), root)
+    asked = _rate_requests(spark, sf_dir, "2024-01-01", "2024-02-10")
+    return fx.rates_historical(landed_of(asked, root)).drop(_LOADED)
+
+
+@query(
+    "outstanding_requests",
+    f"""with {_DAILY}, r as (select distinct base_currency, rate_date, day(rate_date) as d from daily),
+        asked as (select base, cast(g as date) as day from (select distinct event_type as base from events),
+                  generate_series(date '2024-01-01', date '2024-02-10', interval 1 day) t(g))
+        select base, cast(day as varchar) as "date" from asked a
+        where not exists (select 1 from r where base_currency = base and rate_date = day and d % 7 != 3)""",
+)
+def outstanding_requests(spark, sf_dir):
+    """The requests that a resumed backfill calls: those without an answer, and those that failed."""
+    root = b.folder(spark, "landing")
+    _land_run(b.as_landed(b.landed_historical(spark, sf_dir, failures=True), "rates_historical"), root)
+    left = outstanding(_rate_requests(spark, sf_dir, "2024-01-01", "2024-02-10"), root)
+    return left.select(F.col("params")["base"].alias("base"), F.col("params")["date"].alias("date"))
 
 
 _STATUS = "[200, 200, 200, 302, 400, 401, 403, 404, 429, 500, 503, null]"
@@ -540,19 +556,43 @@ def unusable_responses(spark, sf_dir):
     return audit.unusable_responses(landed, "rates_historical").drop("body")
 
 
-@query(
-    "bars_timeseries_audit",
-    f"""with b as (select cast(floor(date_diff('day', date '2023-12-25', bar_date) / 10) as int) as batch,
-                         count(distinct (symbol, bar_date)) as pages, count(*) as n_rows
-                  from ({_HOURS}) group by 1),
+_WINDOWS = """
         w as (select cast(i as int) as batch, cast(date '2023-12-25' + cast(i * 10 as int) as date) as batch_start,
                      least(cast(date '2023-12-25' + cast(i * 10 + 9 as int) as date), date '2024-02-25') as batch_end
-              from range(7) t(i))
-        select w.*, coalesce(pages, 0) as pages, 0::bigint as failed_pages, coalesce(n_rows, 0) as n_rows
-        from w left join b using (batch)""",
+              from range(7) t(i))"""
+
+
+@query(
+    "bars_timeseries_audit",
+    f"""with h as (select symbol, bar_date, day(bar_date) as d, count(*) as n from ({_HOURS}) group by all),
+        asked as (select symbol, cast(g as date) as day from (select distinct symbol from h),
+                  generate_series(date '2023-12-25', date '2024-02-25', interval 1 day) t(g)),
+        p as (select cast(floor(date_diff('day', date '2023-12-25', day) / 10) as int) as batch,
+                     count(h.symbol) as pages, count(*) filter (d % 7 = 3 or d = 12) as bad,
+                     count(*) filter (h.symbol is null) as missing,
+                     coalesce(sum(n) filter (d % 7 != 3 and d != 12), 0)::bigint as n_rows
+              from asked left join h on asked.symbol = h.symbol and day = bar_date and d % 5 != 0 group by 1), {_WINDOWS}
+        select w.*, pages, bad + missing as failed_pages, n_rows, missing from w join p using (batch)""",
 )
 def bars_timeseries_audit(spark, sf_dir):
-    return stocks.bars_timeseries_audit(b.landed_bars(spark, sf_dir), "2023-12-25", "2024-02-25", 10)
+    """Every fifth day never landed, every seventh failed, the bodies of day 12 are cut off."""
+    day = F.day("request_date")
+    landed = b.as_landed(b.landed_bars(spark, sf_dir), "bars_historical").where(day % 5 != 0)
+    landed = landed.withColumns(
+        {
+            "status": F.when(day % 7 == 3, 500).otherwise(200),
+            "body": F.when(day % 7 == 3, F.lit(None)).when(day == 12, F.left("body", F.lit(40))).otherwise(F.col("body")),
+        }
+    )
+    symbols = b.trades(spark, sf_dir).select("symbol").distinct()
+    days = calendar.day_calendar(
+        symbols.withColumns({"_from": F.lit("2023-12-25"), "_to": F.lit("2024-02-25")}), "_from", "_to", keep=["symbol"]
+    )
+    params = F.create_map(F.lit("symbols"), F.col("symbol"), F.lit("start"), F.col("day").cast("string"))
+    asked = days.select(params.alias("params")).select(
+        planning.request_identity(F.lit(planning.ENDPOINTS["bars_historical"]), F.col("params")).alias("request_key"), "params"
+    )
+    return stocks.bars_timeseries_audit(landed, "2023-12-25", "2024-02-25", 10, asked)
 
 
 @query(
@@ -560,7 +600,7 @@ def bars_timeseries_audit(spark, sf_dir):
     """with r as (select 'B' || user_id as base, cast(min(ts) as date) as lo, cast(max(ts) as date) as hi
                   from events group by 1),
        d as (select base, cast(unnest(generate_series(lo, hi, interval 1 day)) as date) as day from r)
-       select base || '-' || day as request_key, 'historical' as endpoint, base, cast(day as varchar) as "date" from d""",
+       select md5('historical?base=' || base || '&date=' || day) as request_key, 'historical' as endpoint, base, cast(day as varchar) as "date" from d""",
 )
 def plan_rate_requests(spark, sf_dir):
     base = F.concat(F.lit("B"), F.col("user_id").cast("string")).alias("base_currency")
@@ -588,29 +628,15 @@ def plan_bar_requests(spark, sf_dir):
 
 
 def _backfill(spark, sf_dir):
-    # The days that fail have no stored reply.
-    landed = b.landed_historical(spark, sf_dir, failures=True).where("body is not null")
-    root = scratch_dir(spark, "backfill")
-    _put_responses(landed, f"{root}/replies")
-    bases = b.table(spark, sf_dir, "events").select(F.col("event_type").alias("base_currency")).distinct()
-    return backfill_rates(
-        bases,
-        "2024-01-04",
-        "2024-02-10",
-        requests.FileTransport(f"{root}/replies"),
-        f"{root}/landing",
-        root,
-        "rates",
-        filename="rates.parquet",
-        max_concurrency=4,
-        sleep=_no_wait,
+    root = b.folder(spark, "backfill")
+    _land_run(b.as_landed(b.landed_historical(spark, sf_dir, failures=True), "rates_historical"), f"{root}/landing")
+    asked = _rate_requests(spark, sf_dir, "2024-01-04", "2024-02-10")
+    landed = landed_of(asked, f"{root}/landing")
+    return write_rates(
+        landed, _bases(spark, sf_dir), "2024-01-04", "2024-02-10", root, "rates", filename="rates.parquet"
     )
 
 
-def _no_wait(seconds: float) -> None:
-    """Stored replies do not get better by waiting."""
-
-
 @query(
     "backfill_rates",
     f"""with {_DAILY} select *, cast(rate_date as timestamp) as rate_timestamp from daily
@@ -621,6 +647,50 @@ def backfill(spark, sf_dir):
     return spark.read.parquet(uri).drop(_LOADED)
 
 
+def _bar_backfills(spark, sf_dir) -> tuple[DataFrame, str]:
+    """The later of two backfills of other symbols, feeds and pages into one folder, and that folder.
+
+    The later one has been run before, with more and smaller pages.
+    """
+    root = b.folder(spark, "landing")
+    names = lambda *n: spark.createDataFrame([(x,) for x in n], "symbol string")
+    one = planning.bar_requests(names("click", "error", "view"), "2024-01-01", "2024-01-30", "1Hour", "sip", batch_days=10)
+    two = planning.bar_requests(names("view", "purchase"), "2024-01-01", "2024-01-30", "1Hour", "iex", 500, 15)
+    runs = ((one, 1, "run-1", "2024-02-01"), (two, 1, "run-2", "2024-02-02"), (two, 5, "run-3", "2024-02-03"))
+    for asked, page_days, run, at in runs:
+        _land_run(b.landed_bar_run(spark, sf_dir, asked, page_days, run, at), root)
+    return two, root
+
+
+@query(
+    "second_backfill",
+    f"select * from ({_HOURS}) where symbol in ('view', 'purchase') and bar_date <= '2024-01-30'",
+)
+def second_backfill(spark, sf_dir):
+    asked, root = _bar_backfills(spark, sf_dir)
+    return stocks.bars_historical(landed_of(asked, root)).drop(_LOADED)
+
+
+@query(
+    "backfill_pages",
+    f"""select 'view,purchase' as symbols, least((day(bar_date) - 1) // 15, 1) * 15 + 1 as first_day,
+               cast(floor(((day(bar_date) - 1) % 15) / 5) as int) as page, 'run-3' as run_id, count(*) as n_bars
+        from ({_HOURS}) where symbol in ('view', 'purchase') and bar_date <= '2024-01-30' group by all""",
+)
+def backfill_pages(spark, sf_dir):
+    """Which run's pages count."""
+    asked, root = _bar_backfills(spark, sf_dir)
+    read, found, _ = stocks.read_historical(landed_of(asked, root))
+    n_bars = F.aggregate(F.map_values(found), F.lit(0), lambda n, bars: n + F.size(bars))
+    return read.select(
+        F.lit("view,purchase").alias("symbols"),
+        F.day("request_date").cast("long").alias("first_day"),
+        "page",
+        "run_id",
+        n_bars.cast("long").alias("n_bars"),
+    )
+
+
 @query("backfill_audit", ORACLE["batch_audit"])
 def backfill_audit(spark, sf_dir):
     _, gaps = _backfill(spark, sf_dir)
@@ -631,7 +701,7 @@ def backfill_audit(spark, sf_dir):
 
 
 def _put_pages(spark, sf_dir) -> str:
-    root = scratch_dir(spark, "pages")
+    root = b.folder(spark, "pages")
     pages = b.table(spark, sf_dir, "pages").select(
         F.format_string("%s/p%d.html", F.regexp_extract("url", "^(https?):", 1), "page_id").alias("key"),
         F.col("html").alias("content"),
@@ -684,9 +754,9 @@ def object_tags(spark, sf_dir):
     """select conv_id, cast(turn as varchar) as turn, role, text from conversations""",
 )
 def sheet_table(spark, sf_dir):
-    path = scratch_dir(spark, "sheet")
+    path = b.folder(spark, "sheet")
     write_sheet_table(b.table(spark, sf_dir, "conversations"), path)
-    return tables.read_sheet_table(spark, path, {"conv_id": LongType(), "text": StringType()})
+    return tables.read_sheet_table(spark, path, {"conv_id": LongType(), "text": StringType()}, multi_line=True)
 
 
 _SQL = """select o_orderpriority, count(*) as n, max(o_totalprice) as top, min(l_shipdate) as first_ship
@@ -704,7 +774,7 @@ def sql_query(spark, sf_dir):
 def parquet_round_trip(spark, sf_dir):
     made = bar_ops.bars(b.trades(spark, sf_dir), "1Hour", tie="event_id")
     uri = write_parquet(
-        made, scratch_dir(spark, "bars"), "/stocks/hourly/", "bars.parquet", {"kind": "bars"}, ["bar_date"]
+        made, b.folder(spark, "bars"), "/stocks/hourly/", "bars.parquet", {"kind": "bars"}, ["bar_date"]
     )
     return spark.read.parquet(uri).select(*made.columns)
 
@@ -715,19 +785,35 @@ def parquet_round_trip(spark, sf_dir):
 )
 def latest_rates_job(spark, sf_dir):
     codes = ("click", "error", "purchase", "signup", "view")
-    landed = b.landed_latest(spark, sf_dir)
-    uri = run_latest_rates(spark, landed, ["click", "view"], scratch_dir(spark, "fx"), "latest", codes)
+    landed = b.as_landed(b.landed_latest(spark, sf_dir), "rates_latest", "poll-2")
+    # An earlier poll with other rates, and a later one that failed.
+    earlier = landed.withColumns(
+        {
+            "run_id": F.lit("poll-1"),
+            "fetched_at": F.col("fetched_at") - F.expr("interval '1' hour"),
+            "body": F.regexp_replace("body", '"rates":.*', '"rates":{"OLD":1}}}'),
+        }
+    )
+    failed = landed.withColumns(
+        {
+            "run_id": F.lit("poll-3"),
+            "fetched_at": F.col("fetched_at") + F.expr("interval '1' hour"),
+            "status": F.lit(500),
+            "body": F.lit(None).cast("string"),
+        }
+    )
+    polls = shape.concat_batches([earlier, landed, failed])
+    uri, _ = run_latest_rates(spark, polls, ["click", "view"], b.folder(spark, "fx"), "latest", codes)
     return spark.read.parquet(uri).drop(_LOADED)
 
 
 def _deliveries(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     """Two deliveries of responses; the second repeats days 11 to 20."""
     day = F.day(F.to_date("fetched_at"))
-    landed = b.landed_historical(spark, sf_dir).withColumn("day", day)
-    at = F.lit("2024-02-01 00:00:00").cast("timestamp") + F.col("day") * F.expr("interval '1' second")
-    first = landed.where("day <= 20").withColumn("fetched_at", at)
-    second = landed.where("day > 10").withColumn("fetched_at", at + F.expr("interval '1' hour"))
-    return first.drop("day"), second.drop("day")
+    landed = b.landed_historical(spark, sf_dir)
+    at = F.to_date("fetched_at").cast("timestamp") + F.expr("interval '1' second")
+    landed = b.as_landed(landed.withColumn("fetched_at", at), "rates_historical").withColumn("day", day)
+    return landed.where("day <= 20").drop("day"), landed.where("day > 10").drop("day")
 
 
 def _land(spark, root: str, delivery: DataFrame) -> None:
@@ -738,15 +824,53 @@ def _land(spark, root: str, delivery: DataFrame) -> None:
 
 @query("incremental_landing", ORACLE["rates_historical"])
 def incremental_landing(spark, sf_dir):
-    root = scratch_dir(spark, "stream")
+    root = b.folder(spark, "stream")
     for delivery in _deliveries(spark, sf_dir):
         _land(spark, root, delivery)
     return fx.rates_historical(spark.read.parquet(f"{root}/landing")).drop(_LOADED)
 
 
+@query("polled_rates", ORACLE["rates_historical"])
+def polled_rates(spark, sf_dir):
+    """One request per base, asked again every day: all polls land, redelivered ones once."""
+    landed = b.landed_historical(spark, sf_dir)
+    asked = F.create_map(F.lit("base"), F.col("params")["base"])
+    polls = b.as_landed(landed.withColumn("params", asked), "rates_latest").withColumn(
+        "run_id", F.concat(F.lit("poll-"), F.to_date("fetched_at").cast("string"))
+    )
+    root = b.folder(spark, "stream")
+    for delivery in (polls.where("day(fetched_at) <= 16"), polls.where("day(fetched_at) > 14")):
+        _land(spark, root, delivery)
+    return fx.rates_historical(spark.read.parquet(f"{root}/landing")).drop(_LOADED)
+
+
+@query(
+    "rejected_lines",
+    """select case when event_id % 3 = 0 then '{"request_key":"' || event_id
+              when event_id % 3 = 1 then '{"status":' || event_id || '}' else 'line ' || event_id end as line
+       from events where event_id % 20 < 10""",
+)
+def rejected_lines(spark, sf_dir):
+    """Lines that are cut off, without a key, or no JSON, among good ones."""
+    number = F.col("event_id").cast("string")
+    line = (
+        F.when(F.col("event_id") % 20 >= 10, F.concat(F.lit('{"request_key":"'), number, F.lit('","status":200}')))
+        .when(F.col("event_id") % 3 == 0, F.concat(F.lit('{"request_key":"'), number))
+        .when(F.col("event_id") % 3 == 1, F.concat(F.lit('{"status":'), number, F.lit("}")))
+        .otherwise(F.concat(F.lit("line "), number))
+    )
+    root = b.folder(spark, "stream")
+    b.table(spark, sf_dir, "events").select(line.alias("value")).write.text(f"{root}/in")
+    run_landing(
+        spark, f"{root}/in", f"{root}/landing", f"{root}/checkpoint",
+        partitions=spark.sparkContext.defaultParallelism, rejects=f"{root}/rejects",
+    )
+    return spark.read.parquet(f"{root}/rejects").select("line")
+
+
 @query("incremental_rates", ORACLE["rates_historical"])
 def incremental_rates(spark, sf_dir):
-    root = scratch_dir(spark, "stream")
+    root = b.folder(spark, "stream")
     for delivery in _deliveries(spark, sf_dir):
         _land(spark, root, delivery)
         run_feed(
@@ -934,12 +1058,12 @@ def derive_date(spark, sf_dir):
 
 @query(
     "concat_batches",
-    """select event_id, event_type, "value" from events where event_type in ('view', 'click')
-       union all select event_id, event_type, "value" from events where event_type in ('error', 'click')""",
+    """select event_id, event_type, "value" from events
+       union all select event_id, event_type, "value" from events where event_type = 'click'""",
 )
 def concat_batches(spark, sf_dir):
     events = b.table(spark, sf_dir, "events")
-    parts = [events.where(F.col("event_type") == t) for t in ("view", "click", "error", "click")]
+    parts = [events.where(F.col("event_type") == t) for t in ("view", "click", "error", "click", "purchase", "signup")]
     first, *others = [p.select("event_id", "event_type", "value") for p in parts]
     return shape.concat_batches([first, *[o.select("value", "event_type", "event_id") for o in others]])
 
@@ -989,7 +1113,7 @@ def ratio(spark, sf_dir):
 @query(
     "request_params",
     """select distinct cast(ts as date) as day, 'U' || user_id as symbol,
-              cast(cast(ts as date) as varchar) as "start", 2 as n_params from events""",
+              cast(cast(ts as date) as varchar) as "start", 2 as n_params, true as within from events""",
 )
 def request_params(spark, sf_dir):
     events = b.table(spark, sf_dir, "events").select(
@@ -1001,6 +1125,7 @@ def request_params(spark, sf_dir):
         F.explode(F.split(F.col("params")["symbols"], ",")).alias("symbol"),
         F.col("params")["start"].alias("start"),
         F.size("params").alias("n_params"),
+        (F.size(F.split(F.col("params")["symbols"], ",")) <= 50).alias("within"),
     )
 
 

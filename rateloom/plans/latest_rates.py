@@ -12,10 +12,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rateloom.schemas import CURRENCY_CODES
+from rateloom.plans.backfill import LANDING_PARTITIONS
+from rateloom.schemas import CURRENCY_CODES, LANDED
 from rateloom.session import build_session
 from rateloom.sinks.parquet import write_parquet
+from rateloom.sources.audit import unusable_responses
+from rateloom.sources.envelope import latest_responses
 from rateloom.sources.fx import rates_latest
+from rateloom.sources.planning import ENDPOINTS, latest_rate_requests
+from rateloom.sources.requests import Transport, fetch_responses
 
 
 def check_bases(bases: Sequence[str], codes: Sequence[str] = tuple(CURRENCY_CODES)) -> list[str]:
@@ -34,14 +39,44 @@ def run_latest_rates(
     prefix: str,
     codes: Sequence[str] = tuple(CURRENCY_CODES),
     **options,
-) -> str:
-    """Write the latest rates of ``bases`` and return where. One job, without a shuffle.
+) -> tuple[str, DataFrame]:
+    """Write the latest rates of ``bases``; returns where, and the responses that can't be used.
 
-    Responses are picked by the base they were asked for, so others are never parsed.
+    Responses are picked by the base they were asked for, so others are never parsed. Of several polls
+    of a base the last usable one counts; failed ones go to the audit and stop nothing.
     """
     asked: Column = F.try_element_at("params", F.lit("base"))
     chosen = responses.where(asked.isin(check_bases(bases, codes)))
-    return write_parquet(rates_latest(chosen), root, prefix, **options)
+    good = latest_responses(chosen.where(F.coalesce(F.col("status") < 400, F.lit(False))))
+    uri = write_parquet(rates_latest(good, on_error="drop"), root, prefix, **options)
+    return uri, unusable_responses(chosen, "rates_latest")
+
+
+def fetch_latest_rates(
+    spark: SparkSession,
+    bases: Sequence[str],
+    transport: Transport,
+    landing: str,
+    root: str,
+    prefix: str,
+    symbols: Sequence[str] | None = None,
+    codes: Sequence[str] = tuple(CURRENCY_CODES),
+    filename: str | None = None,
+    **options,
+) -> tuple[str, DataFrame]:
+    """Poll the latest rates of ``bases``, land the answers, write the table; returns as above.
+
+    Every call is a poll of its own: it lands beside earlier ones, and the table is made of this one's
+    answers and, for bases that failed now, of the last that didn't.
+    """
+    asked = spark.createDataFrame([(b,) for b in check_bases(bases, codes)], "base_currency string")
+    requests = latest_rate_requests(asked, symbols)
+    fetched = fetch_responses(requests, transport, **options)
+    fetched.write.mode("append").partitionBy(*LANDING_PARTITIONS).parquet(landing)
+    keys = requests.select(F.col("request_key").alias("_asked"))
+    landed = spark.read.schema(LANDED).parquet(landing).where(F.col("feed") == ENDPOINTS["rates_latest"])
+    mine = landed.join(keys, landed["request_key"] == keys["_asked"], "left_semi")
+    return run_latest_rates(spark, mine, bases, root, prefix, codes, filename=filename)
 
 
 def main(argv: Sequence[str] | None = None) -> str:
@@ -51,10 +86,11 @@ def main(argv: Sequence[str] | None = None) -> str:
     parser.add_argument("--bases", required=True, nargs="+", choices=CURRENCY_CODES)
     parser.add_argument("--root", required=True)
     parser.add_argument("--prefix", required=True)
+    parser.add_argument("--shuffle-bytes", type=int, help="size of the chosen responses, for the shuffle")
     args = parser.parse_args(argv)
-    spark = build_session("latest-rates")
+    spark = build_session("latest-rates", shuffle_bytes=args.shuffle_bytes)
     responses = spark.read.parquet(args.responses)
-    return run_latest_rates(spark, responses, args.bases, args.root, args.prefix)
+    return run_latest_rates(spark, responses, args.bases, args.root, args.prefix)[0]
 
 
 if __name__ == "__main__":

@@ -44,6 +44,11 @@ LANDING = _schema(
     "request_key string, params map<string,string>, status integer, body string, fetched_at timestamp"
 )
 
+# A row as it is fetched: which run called, which page of the answer it is, and what it can be found by.
+LANDED = StructType(
+    [*LANDING.fields, *_schema("run_id string, page integer, feed string, request_date date").fields]
+)
+
 # One row per API call to make.
 REQUESTS = _schema(
     "request_key string, method string, endpoint string, params map<string,string>, "

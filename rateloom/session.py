@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -11,7 +10,7 @@ from pyspark.sql import SparkSession
 
 def shuffle_partitions(shuffle_bytes: int, per_task: int = 200 << 20) -> int:
     """Partitions to start a shuffle of that size with; AQE merges small ones, but never adds any."""
-    return min(50_000, max(200, -(-shuffle_bytes // per_task)))
+    return max(200, -(-shuffle_bytes // per_task))
 
 
 def build_session(
@@ -48,17 +47,14 @@ def build_session(
     return builder.getOrCreate()
 
 
-def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder path under the shared folder the cluster names in ``spark.checkpoint.dir``.
+def scratch_dir(spark: SparkSession, name: str, root: str | None = None) -> str:
+    """A fresh folder path under ``root``, or the shared folder named in ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to the machine's temporary folder: on a cluster the
-    executors would each write to their own disk.
+    There is no default: on a cluster a machine's own folder would be another one for every executor.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = root or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.gettempdir()
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if "://" not in root:
         root = os.path.abspath(root)
     return f"{root.rstrip('/')}/rateloom/{name}-{uuid.uuid4().hex}"

@@ -13,6 +13,11 @@ from rateloom.functions import now_utc, tag_string
 from .manifest import append_manifest
 
 
+def _exists(spark, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 def _delete(spark, path: str) -> None:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
@@ -47,8 +52,15 @@ def write_parquet(
     rows = df.hint("rebalance", *partition_by) if partition_by else df
     if single_file:
         rows = rows.coalesce(1)
+    was_there = _exists(spark, uri)
     writer = rows.write.mode("errorifexists")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(uri)
+    try:
+        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(uri)
+    except Exception:
+        # What this call began would be in the way of a retry; a target that was there stays.
+        if not was_there:
+            _delete(spark, uri)
+        raise
     # Looked for in what was written: a test beforehand would run the plan twice.
     if spark.read.schema(df.schema).parquet(uri).isEmpty():
         _delete(spark, uri)

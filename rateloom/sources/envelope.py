@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _BAD = "_bad"
@@ -47,19 +47,46 @@ def usable(responses: DataFrame, ok: Column, n_rows: Column, *keys: Column) -> D
     )
 
 
+def _rank() -> Column:
+    """Orders copies of a response: usable ones last, then by fetch time, then by status.
+
+    One long, so that the best of many copies is found by hashing, without sorting any body.
+    """
+    good = F.shiftleft(F.coalesce(F.col("status") < 400, F.lit(False)).cast("long"), 62)
+    at = F.coalesce(F.unix_micros("fetched_at"), F.lit(0)) * 1000
+    return good + at + 999 - F.coalesce("status", F.lit(999))
+
+
+def _whole_runs(responses: DataFrame) -> DataFrame:
+    """The rows of one run per request: the last of which all pages are usable, or else the last."""
+    run = F.xxhash64("run_id").alias("_run")
+    good = F.min(F.coalesce(F.col("status") < 400, F.lit(False)).cast("long"))
+    began = F.max(F.when(F.coalesce("page", F.lit(0)) == 0, F.unix_micros("fetched_at")))
+    rank = (F.shiftleft(good, 62) + F.coalesce(began, F.lit(0))).alias("_rank")
+    runs = responses.groupBy("request_key", run).agg(rank)
+    best = runs.groupBy("request_key").agg(F.max("_rank").alias("_rank"))
+    chosen = runs.join(best, ["request_key", "_rank"]).groupBy("request_key").agg(F.max("_run").alias("_run"))
+    same = (responses["request_key"] == chosen["request_key"]) & (F.xxhash64(responses["run_id"]) == chosen["_run"])
+    return responses.join(chosen, same, "left_semi")
+
+
 def latest_responses(responses: DataFrame) -> DataFrame:
-    """One row per request: the usable copy fetched last, or the last copy if none is usable.
+    """One row per request and page: the usable copy fetched last, or the last if none is usable.
 
-    Copies are reduced map-side, so a request that was sent over and over reaches the shuffle as one
-    row per task.
+    Pages count only with the run that fetched them: of the runs of a request the last whole one is
+    taken. Rows without a key are left out. The best copies are found by a hash aggregate over fixed
+    width columns and joined back; only copies that tie in everything are ordered, by their bodies'
+    hash.
     """
-    rank = F.struct(
-        F.coalesce(F.col("status") < 400, F.lit(False)), "fetched_at", -F.coalesce("status", F.lit(999))
-    )
-    others = [F.col(c) for c in responses.columns if c != "request_key"]
-    return (
-        responses.groupBy("request_key")
-        .agg(F.max_by(F.struct(*others), rank).alias("_row"))
-        .select("request_key", "_row.*")
-        .select(*responses.columns)
-    )
+    keys = ["request_key"]
+    if {"run_id", "page"} <= set(responses.columns):
+        responses, keys = _whole_runs(responses), ["request_key", "page"]
+    ranked = responses.withColumn("_rank", _rank())
+    if "page" in keys:
+        ranked = ranked.withColumn("page", F.coalesce("page", F.lit(0)))
+    counts = ranked.groupBy(*keys, "_rank").agg(F.count(F.lit(1)).alias("_copies"))
+    best = counts.groupBy(*keys).agg(F.max("_rank").alias("_rank"))
+    won = ranked.join(counts.join(best, [*keys, "_rank"]), [*keys, "_rank"])
+    first = Window.partitionBy(*keys).orderBy(F.xxhash64("body"))
+    tied = won.where("_copies > 1").withColumn("_copies", F.row_number().over(first)).where("_copies = 1")
+    return won.where("_copies = 1").union(tied).select(*responses.columns)

@@ -116,10 +116,13 @@ def list_objects(
 
 
 def read_objects(spark: SparkSession, root: str, prefix: str = "", where: Column | None = None) -> DataFrame:
-    """``key, content`` of every object under the prefix, about 128 MB of objects to a task."""
+    """``key, content`` of every object under the prefix.
+
+    Objects are dealt to as many tasks as shuffles have, whatever their number and size, so that many
+    tiny ones are not read by one task; a task holds a few objects at a time.
+    """
     listed = list_objects(spark, root, prefix, where)
-    total = listed.agg(F.sum("length").alias("n")).first()["n"] or 0
-    return read_keys(listed.repartition(1 + total // _TASK_BYTES, "key"), root)
+    return read_keys(listed.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "key"), root)
 
 
 def read_keys(keys: DataFrame, root: str, column: str = "key") -> DataFrame:

@@ -26,11 +26,18 @@ ENDPOINTS = {
 DEFAULT_FEED = "iex"
 
 
-def _requests(df: DataFrame, feed: str, key: Column, params: Column) -> DataFrame:
+def request_identity(endpoint: Column, params: Column) -> Column:
+    """A key that two requests share only if endpoint and all parameters agree."""
+    pairs = F.transform(F.map_entries(params), lambda e: F.concat_ws("=", e["key"], e["value"]))
+    return F.md5(F.concat(endpoint, F.lit("?"), F.array_join(F.array_sort(pairs), "&")))
+
+
+def _requests(df: DataFrame, feed: str, params: Column) -> DataFrame:
+    endpoint = F.lit(ENDPOINTS[feed])
     row = df.select(
-        key.alias("request_key"),
+        request_identity(endpoint, params).alias("request_key"),
         F.lit("GET").alias("method"),
-        F.lit(ENDPOINTS[feed]).alias("endpoint"),
+        endpoint.alias("endpoint"),
         params.alias("params"),
         F.create_map().cast("map<string,string>").alias("headers"),
         F.lit(None).cast("string").alias("body"),
@@ -54,7 +61,7 @@ def _joined(symbols: Sequence[str] | None) -> str | None:
 def latest_rate_requests(bases: DataFrame, symbols: Sequence[str] | None = None) -> DataFrame:
     """One request per ``bases(base_currency)``."""
     base = F.col("base_currency")
-    return _requests(bases, "rates_latest", base, _params(base=base, symbols=_joined(symbols)))
+    return _requests(bases, "rates_latest", _params(base=base, symbols=_joined(symbols)))
 
 
 def historical_rate_requests(
@@ -62,25 +69,25 @@ def historical_rate_requests(
 ) -> DataFrame:
     """One request per base and day of ``ranges(base_currency, start, end)``, both ends included."""
     days = day_calendar(ranges, start, end, keep=["base_currency"])
-    key = F.concat_ws("-", "base_currency", "day")
     params = _params(date=F.col("day"), base=F.col("base_currency"), symbols=_joined(symbols))
-    return _requests(days, "rates_historical", key, params)
+    return _requests(days, "rates_historical", params)
 
 
-def conversion_requests(amounts: DataFrame, key: str) -> DataFrame:
-    """One request per row of ``amounts(key, from_currency, to_currency, amount)``."""
+def conversion_requests(amounts: DataFrame) -> DataFrame:
+    """One request per different ``amounts(from_currency, to_currency, amount)``."""
+    amounts = amounts.select("from_currency", "to_currency", "amount").distinct()
     params = _params(**{"from": F.col("from_currency"), "to": F.col("to_currency"), "amount": F.col("amount")})
-    return _requests(amounts, "convert_currency", F.col(key).cast("string"), params)
+    return _requests(amounts, "convert_currency", params)
 
 
 def currency_requests(kinds: DataFrame) -> DataFrame:
     """One request per ``kinds(type)``, such as fiat or crypto."""
-    return _requests(kinds, "currencies", F.col("type"), _params(type=F.col("type")))
+    return _requests(kinds, "currencies", _params(type=F.col("type")))
 
 
 def _symbol_requests(symbols: DataFrame, feed: str, source: str, per_request: int) -> DataFrame:
     groups = request_params(symbols, [], "symbol", {"feed": source}, per_request)
-    return _requests(groups, feed, F.concat_ws("-", F.lit(feed), "part"), F.col("params"))
+    return _requests(groups, feed, F.col("params"))
 
 
 def latest_bar_requests(
@@ -125,5 +132,4 @@ def bar_requests(
         feed=feed,
         limit=None if limit is None else str(limit),
     )
-    key = F.concat_ws("-", F.lit("bars"), F.lit(timeframe), "part", "batch_start")
-    return _requests(windows, "bars_historical", key, F.map_concat("params", more))
+    return _requests(windows, "bars_historical", F.map_concat("params", more))

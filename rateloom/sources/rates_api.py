@@ -21,7 +21,9 @@ from pyspark.sql.datasource import (
     LessThanOrEqual,
 )
 
-from .requests import Caller, Transport, batched, landing_arrow
+from rateloom.schemas import LANDING
+
+from .requests import CONCURRENCY, Caller, Transport, batched, landing_arrow
 
 FORMAT = "rateloom_historical_rates"
 PUSHDOWN = "spark.sql.python.filterPushdown.enabled"
@@ -31,7 +33,9 @@ _DAY = timedelta(days=1)
 
 @dataclass
 class _Calls(InputPartition):
-    requests: list[tuple[str, date]]
+    """Numbers of calls: day by day, and within a day base by base."""
+
+    numbers: range
 
 
 class RatesReader(DataSourceReader):
@@ -43,11 +47,13 @@ class RatesReader(DataSourceReader):
         self.start = date.fromisoformat(options["start"])
         self.end = date.fromisoformat(options["end"])
         self.symbols = options.get("symbols")
-        self.tasks = int(options.get("tasks", "1"))
+        self.tasks = int(options.get("tasks", str(CONCURRENCY)))
 
     def _narrow(self, f: Filter) -> bool:
         """Take a filter into the plan of calls; False if it says nothing about them."""
-        value = f.value if hasattr(f, "value") else getattr(f, "values", None)
+        if not isinstance(f, (EqualTo, In, GreaterThan, GreaterThanOrEqual, LessThan, LessThanOrEqual)):
+            return False
+        value = f.value if hasattr(f, "value") else f.values
         if f.attribute == ("base_currency",) and isinstance(f, (EqualTo, In)):
             wanted = {value} if isinstance(f, EqualTo) else set(value)
             self.bases = [b for b in self.bases if b in wanted]
@@ -67,23 +73,27 @@ class RatesReader(DataSourceReader):
                 yield f
 
     def partitions(self) -> list[InputPartition]:
-        days = [self.start + i * _DAY for i in range((self.end - self.start).days + 1)]
-        calls = [(b, d) for d in days for b in self.bases]
+        n_calls = max(0, (self.end - self.start).days + 1) * len(self.bases)
         # Without any partition Spark would ask for a read of everything.
-        return [_Calls(calls[i :: self.tasks]) for i in range(max(1, min(self.tasks, len(calls))))]
+        n = max(1, min(self.tasks, n_calls))
+        return [_Calls(range(i, n_calls, n)) for i in range(n)]
 
     def read(self, partition: _Calls) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[dict]:
-            for base, day in partition.requests:
+            for number in partition.numbers:
+                base = self.bases[number % len(self.bases)]
+                day = self.start + number // len(self.bases) * _DAY
                 params = {"date": day.isoformat(), "base": base}
                 if self.symbols:
                     params["symbols"] = self.symbols
-                request = {"request_key": f"{base}-{day}", "endpoint": "historical", "params": params}
+                key = "-".join(str(x) for x in (base, day, self.symbols) if x)
+                request = {"request_key": key, "endpoint": "historical", "params": params}
                 for row in self.caller.pages(request):
                     yield {**row, "base_currency": base, "day": day}
 
         extra = [pa.field("base_currency", pa.string()), pa.field("day", pa.date32())]
-        yield from batched(rows(), pa.schema([*landing_arrow(), *extra]))
+        landing = [f for f in landing_arrow() if f.name in LANDING.names]
+        yield from batched(rows(), pa.schema([*landing, *extra]))
 
 
 def register_rates(spark: SparkSession, transport: Transport, **options) -> str:

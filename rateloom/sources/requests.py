@@ -4,28 +4,31 @@ from __future__ import annotations
 
 import http.client
 import json
-import os
 import time
 import urllib.error
 import urllib.parse
 import urllib.request
+import uuid
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
-from datetime import datetime, timezone
+from datetime import date, datetime, timezone
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rateloom.functions import decide
 from rateloom.functions.status import MAX_ATTEMPTS
-from rateloom.schemas import LANDING
+from rateloom.schemas import LANDED
 
 # A list of this many symbols still fits a URL.
 SYMBOLS_PER_REQUEST = 1000
 
-# Between the key of a request and the number of a further page.
-PAGE_MARK = "#"
+# Full lists that one task cuts out of a share of the symbols.
+SHARE = 16
+
+# Calls at once, unless the caller knows the limit of the API better.
+CONCURRENCY = 4
 
 _FLUSH_BYTES = 8 << 20
 
@@ -52,9 +55,9 @@ def request_params(
 ) -> DataFrame:
     """Requests that between them name every symbol of a group, joined by commas.
 
-    Gives ``group``, ``part`` and ``params``; optional parameters that are null are left out. A group
-    of up to ``per_request`` symbols is one request. A larger one is spread over as many parts as its
-    number of symbols asks for, so no list grows with the data.
+    Gives ``group``, ``part`` and ``params``; optional parameters that are null are left out. No list
+    is longer than ``per_request``. A group of up to that many symbols is one request; a larger one is
+    first spread over shares of about ``SHARE`` full lists by hash, and each share is cut into lists.
     """
     optional = [
         F.struct(F.lit(k).alias("key"), (v if isinstance(v, Column) else F.lit(v)).cast("string").alias("value"))
@@ -63,11 +66,14 @@ def request_params(
     # Without group columns all symbols are one group.
     named = df.select(*group, F.lit(0).alias("_group"), F.col(symbol).cast("string").alias("_symbol")).distinct()
     keys = [*group, "_group"]
-    sizes = named.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / F.lit(per_request)).alias("_parts"))
-    sized = named.join(sizes if group else F.broadcast(sizes), keys)
-    part = F.pmod(F.xxhash64("_symbol"), F.col("_parts")).cast("int").alias("part")
+    sizes = named.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / F.lit(SHARE * per_request)).alias("_shares"))
+    share = F.pmod(F.xxhash64("_symbol"), F.col("_shares")).cast("int")
+    sized = named.join(sizes, keys).withColumn("_share", share)
+    order = Window.partitionBy(*keys, "_share").orderBy("_symbol")
+    listed = sized.withColumn("_list", F.floor((F.row_number().over(order) - 1) / F.lit(per_request)).cast("int"))
+    part = F.concat_ws("-", "_share", "_list").alias("part")
     joined = F.concat_ws(",", F.array_sort(F.collect_list("_symbol")))
-    grouped = sized.groupBy(*group, part).agg(joined.alias("_symbols"))
+    grouped = listed.groupBy(*group, part).agg(joined.alias("_symbols"))
     entries = F.array(F.struct(F.lit("symbols").alias("key"), F.col("_symbols").alias("value")), *optional)
     kept = F.filter(entries, lambda e: e["value"].isNotNull() & (e["value"] != ""))
     return grouped.select(*group, "part", F.map_from_entries(kept).alias("params"))
@@ -86,7 +92,9 @@ def build_http_request(
     url = join_url(base_url, request["endpoint"])
     query = {k: v for k, v in dict(request.get("params") or {}).items() if v is not None}
     if query:
-        url += ("&" if "?" in url else "?") + urllib.parse.urlencode(query)
+        parts = urllib.parse.urlsplit(url)
+        joined = "&".join(p for p in (parts.query, urllib.parse.urlencode(query)) if p)
+        url = urllib.parse.urlunsplit(parts._replace(query=joined))
     data = None
     if request.get("body"):
         kind = next((v for k, v in headers.items() if k.lower() == "content-type"), "").lower()
@@ -116,20 +124,6 @@ class HttpTransport:
             raise ConnectionError(str(error)) from error
 
 
-@dataclass
-class FileTransport:
-    """Replays bodies stored as ``<root>/<request_key>.json`` on storage all executors see."""
-
-    root: str
-
-    def __call__(self, request: dict, attempt: int) -> Reply:
-        path = os.path.join(self.root, f"{request['request_key']}.json")
-        if not os.path.exists(path):
-            return Reply(404)
-        with open(path, encoding="utf-8") as stored:
-            return Reply(200, stored.read())
-
-
 def _call(request, transport, max_attempts, reauthenticate, sleep) -> Reply | None:
     """One request with retries; None when the last attempt was a connection error."""
     reauth_once = (request.get("method") or "GET").upper() in ("GET", "POST")
@@ -164,26 +158,35 @@ def _page_token(reply: Reply | None) -> str | None:
 
 @dataclass
 class Caller:
-    """Makes the calls of one request: retries, renewed credentials, and the pages that follow."""
+    """Makes the calls of one request: retries, renewed credentials, and the pages that follow.
+
+    ``run_id`` names the run that calls, so that the pages of an answer stay together.
+    """
 
     transport: Transport
     max_attempts: int = MAX_ATTEMPTS
     reauthenticate: Callable[[], bool] | None = None
     sleep: Callable[[float], None] = time.sleep
+    run_id: str | None = None
 
     def pages(self, request: dict) -> Iterator[dict]:
-        """One landing row per page. Further pages carry their number behind the key."""
+        """One landing row per page."""
         key, params, page = request["request_key"], dict(request.get("params") or {}), 0
         while True:
             reply = _call(
                 {**request, "params": params}, self.transport, self.max_attempts, self.reauthenticate, self.sleep
             )
+            now = datetime.now(timezone.utc)
             yield {
-                "request_key": key if page == 0 else f"{key}{PAGE_MARK}{page}",
+                "request_key": key,
                 "params": list(params.items()),
                 "status": reply.status if reply else None,
                 "body": reply.body if reply else None,
-                "fetched_at": datetime.now(timezone.utc),
+                "fetched_at": now,
+                "run_id": self.run_id,
+                "page": page,
+                "feed": request.get("endpoint"),
+                "request_date": _asked_date(params) or now.date(),
             }
             token = _page_token(reply)
             if not token:
@@ -192,6 +195,14 @@ class Caller:
             params["page_token"] = token
 
 
+def _asked_date(params: dict) -> date | None:
+    """The day a request asks for, or starts with."""
+    try:
+        return date.fromisoformat((params.get("date") or params.get("start") or "")[:10])
+    except ValueError:
+        return None
+
+
 def landing_arrow() -> pa.Schema:
     return pa.schema(
         [
@@ -200,6 +211,10 @@ def landing_arrow() -> pa.Schema:
             ("status", pa.int32()),
             ("body", pa.string()),
             ("fetched_at", pa.timestamp("us", tz="UTC")),
+            ("run_id", pa.string()),
+            ("page", pa.int32()),
+            ("feed", pa.string()),
+            ("request_date", pa.date32()),
         ]
     )
 
@@ -218,20 +233,20 @@ def batched(rows: Iterator[dict], schema: pa.Schema) -> Iterator[pa.RecordBatch]
 
 
 def fetch_responses(
-    requests: DataFrame, transport: Transport, max_concurrency: int = 1, **options
+    requests: DataFrame, transport: Transport, max_concurrency: int = CONCURRENCY, **options
 ) -> DataFrame:
     """Make the calls of ``requests`` on executors and return one landing row per page.
 
     Rate limits hold per API key, so at most ``max_concurrency`` tasks call at once. Page tokens are
     followed inside a task; requests spread over tasks by key. A row whose status is not ok keeps
     its last status for the audit (null for a connection error). Calls repeat when a task is lost:
-    land the result before parsing it, and let ``request_key`` settle the copies. ``options`` are
-    those of ``Caller``.
+    land the result before parsing it, and let ``latest_responses`` settle the copies. All rows carry
+    the id of this run. ``options`` are those of ``Caller``.
     """
-    caller = Caller(transport, **options)
+    caller = Caller(transport, **{"run_id": uuid.uuid4().hex} | options)
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = (row for batch in batches for request in batch.to_pylist() for row in caller.pages(request))
         yield from batched(rows, landing_arrow())
 
-    return requests.repartition(max_concurrency, "request_key").mapInArrow(fetch, LANDING)
+    return requests.repartition(max_concurrency, "request_key").mapInArrow(fetch, LANDED)

@@ -95,7 +95,10 @@ def bars_historical(responses: DataFrame, limit: int | None = None, on_error: st
 def bars_timeseries(responses: DataFrame, start: str, end: str, batch_days: int = 30) -> DataFrame:
     """Bars of [start, end] plus ``batch``, the window each falls in; unusable pages are left out."""
     lo, hi = F.lit(start).cast("date"), F.lit(end).cast("date")
-    table = bars_historical(responses, on_error="drop")
+    # What the request asked for tells which pages can hold such bars, before any body is parsed.
+    first, last = (F.try_element_at("params", F.lit(p)).try_cast("date") for p in ("start", "end"))
+    near = F.coalesce(first <= hi, F.lit(True)) & F.coalesce(last >= lo, F.lit(True))
+    table = bars_historical(responses.where(near), on_error="drop")
     return table.where(F.col("bar_date").between(lo, hi)).withColumn("batch", batch_no("bar_date", lo, batch_days))
 
 
@@ -106,10 +109,13 @@ def bar_results(responses: DataFrame) -> DataFrame:
     return usable(read, ok, n_bars, F.try_element_at("params", F.lit("start")).try_cast("date").alias("day"))
 
 
-def bars_timeseries_audit(responses: DataFrame, start: str, end: str, batch_days: int = 30) -> DataFrame:
+def bars_timeseries_audit(
+    responses: DataFrame, start: str, end: str, batch_days: int = 30, requests: DataFrame | None = None
+) -> DataFrame:
     """Per window: pages received, pages that are unusable, and bars; a window without pages has 0.
 
-    Pages are counted by the window their request starts in.
+    Pages are counted by the window their request starts in. With ``requests``, those without any page
+    count as failed, and ``missing`` tells how many they are.
     """
     lo, hi = F.lit(start).cast("date"), F.lit(end).cast("date")
     pages = bar_results(responses).where(F.col("day").between(lo, hi))
@@ -120,7 +126,16 @@ def bars_timeseries_audit(responses: DataFrame, start: str, end: str, batch_days
     )
     one = responses.sparkSession.range(1).select(lo.alias("_from"), hi.alias("_to"))
     windows = batch_calendar(one, "_from", "_to", batch_days)
-    return windows.join(per_window, "batch", "left").na.fill(0, ["pages", "failed_pages", "n_rows"])
+    found = windows.join(per_window, "batch", "left").na.fill(0, ["pages", "failed_pages", "n_rows"])
+    if requests is None:
+        return found
+    asked = requests.select(
+        "request_key", F.try_element_at("params", F.lit("start")).try_cast("date").alias("day")
+    ).where(F.col("day").between(lo, hi))
+    absent = asked.join(responses.select("request_key").distinct(), "request_key", "left_anti")
+    missing = absent.groupBy(batch_no("day", lo, batch_days).alias("batch")).agg(F.count(F.lit(1)).alias("missing"))
+    both = found.join(missing, "batch", "left").na.fill(0, ["missing"])
+    return both.withColumn("failed_pages", F.col("failed_pages") + F.col("missing"))
 
 
 def snapshots(responses: DataFrame, zero_missing: bool = True, on_error: str = "raise") -> DataFrame:

@@ -17,20 +17,24 @@ SHEET_OPTIONS = {
 
 
 def read_sheet_table(
-    spark: SparkSession, path: str, schema: dict[str, DataType] | StructType | None = None
+    spark: SparkSession,
+    path: str,
+    schema: dict[str, DataType] | StructType | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
     """A text table with a header row.
 
     With ``schema`` the listed columns are cast and the others stay text; without, types are
     inferred by a pass over the data. A blank cell is '' in a text column and null in any other. A
-    missing or empty table gives no rows.
+    missing or empty table gives no rows. Files are split, so that several tasks read a large one; cells
+    that hold line breaks ask for ``multi_line``, which reads a file by one task.
     """
     if isinstance(schema, StructType):
         schema = {f.name: f.dataType for f in schema.fields}
     nothing = StructType()
     for name, dtype in (schema or {}).items():
         nothing.add(name, dtype)
-    reader = spark.read.options(**SHEET_OPTIONS).option("multiLine", "true")
+    reader = spark.read.options(**SHEET_OPTIONS).option("multiLine", str(multi_line).lower())
     try:
         sheet = reader.option("inferSchema", str(schema is None).lower()).csv(path)
     except AnalysisException as error:
@@ -52,10 +56,22 @@ def read_sheet_table(
 
 
 def query(spark: SparkSession, text: str, views: dict[str, DataFrame] | None = None) -> DataFrame:
-    """Run SQL over the session's tables and the given views."""
-    for name, df in (views or {}).items():
+    """Run SQL over the session's tables and the given views.
+
+    The views are there for this text only; a view of the session of the same name is put back.
+    """
+    views = views or {}
+    before = {name: spark.table(name) for name in views if any(t.name == name.lower() and t.isTemporary for t in spark.catalog.listTables())}
+    for name, df in views.items():
         df.createOrReplaceTempView(name)
-    return spark.sql(text)
+    try:
+        return spark.sql(text)
+    finally:
+        for name in views:
+            if name in before:
+                before[name].createOrReplaceTempView(name)
+            else:
+                spark.catalog.dropTempView(name)
 
 
 def query_jdbc(

@@ -7,36 +7,50 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.types import StringType, StructField, StructType
 
-from rateloom.schemas import LANDING
+from rateloom.schemas import LANDED
+
+
+_BAD = "_bad"
 
 
 def read_landing_stream(spark: SparkSession, source: str, max_files: int | None = None) -> DataFrame:
-    """Landed response files (JSON lines) as a stream; ``max_files`` bounds a micro-batch."""
-    reader = spark.readStream.schema(LANDING)
+    """Landed response files (JSON lines) as a stream; ``max_files`` bounds a micro-batch.
+
+    ``_line`` is the line as it came, ``_file`` where from. A line that is no response, or has no
+    request key, is ``_rejected``.
+    """
+    reader = spark.readStream
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.json(source).withColumn("_file", F.col("_metadata.file_path"))
+    layout = StructType([*LANDED.fields, StructField(_BAD, StringType())])
+    row = F.from_json("value", layout, {"columnNameOfCorruptRecord": _BAD})
+    lines = reader.text(source).select(
+        F.col("value").alias("_line"), F.col("_metadata.file_path").alias("_file"), row.alias("_row")
+    )
+    bad = F.col(f"_row.{_BAD}").isNotNull() | F.col("_row.request_key").isNull()
+    return lines.select("_row.*", "_line", "_file", bad.alias("_rejected")).drop(_BAD)
 
 
 def dedupe_stream(responses: DataFrame, delay: str = "1 day", spread: int = 16) -> DataFrame:
-    """The first usable and the first failed copy of every request within ``delay`` of its arrival.
-
-    The watermark follows the time of the micro-batch, not ``fetched_at``: a response that is
-    delivered late would otherwise be taken for expired and lost. A failed copy does not stand in the way of a good one that comes later; ``latest_responses``
-    chooses between them. Two steps: copies are first dropped within ``spread`` shares of a key, then across them. A
-    request that is sent over and over is then held by many tasks, and only one row per share
-    reaches the task that owns the key. The share follows from the file and the fetch time, not from
-    a random number, so a repeated task puts a row where it was before.
+    """Every response once, however often it is delivered within ``delay`` of its arrival.
+
+    A response is known by its request, run, page, fetch time and status: polls of one request are
+    different responses, and ``latest_responses`` chooses between them. The watermark follows the time
+    of the micro-batch, not ``fetched_at``: a response that is delivered late would otherwise be taken
+    for expired and lost. Copies are first dropped within ``spread`` shares, then across them, so that
+    a response that is sent over and over is held by many tasks. The share follows from the file, not
+    from a random number, so a repeated task puts a row where it was before.
     """
-    share = F.pmod(F.xxhash64("_file", "fetched_at"), F.lit(spread)).cast("int")
-    usable = F.coalesce(F.col("status") < 400, F.lit(False))
+    share = F.pmod(F.xxhash64("_file"), F.lit(spread)).cast("int")
+    identity = ["request_key", "run_id", "page", "fetched_at", "status"]
     return (
-        responses.withColumns({"_share": share, "_usable": usable, "_arrived": F.current_timestamp()})
+        responses.withColumns({"_share": share, "_arrived": F.current_timestamp()})
         .withWatermark("_arrived", delay)
-        .dropDuplicatesWithinWatermark(["request_key", "_usable", "_share"])
-        .dropDuplicatesWithinWatermark(["request_key", "_usable"])
-        .drop("_share", "_usable", "_arrived", "_file")
+        .dropDuplicatesWithinWatermark([*identity, "_share"])
+        .dropDuplicatesWithinWatermark(identity)
+        .select(*LANDED.names)
     )
 
 
@@ -48,19 +62,19 @@ def run_landing(
     delay: str = "1 day",
     max_files: int | None = None,
     partitions: int | None = None,
+    rejects: str | None = None,
 ) -> StreamingQuery:
     """Load what is new under ``source`` into ``target`` and stop. Run it again to load more.
 
-    The first run fixes the number of state partitions for the checkpoint: ``partitions``, or the
-    session's shuffle setting.
+    Lines that are no responses never land; with ``rejects`` they are kept there as they came, with
+    their file, by a stream of their own. The first run fixes the number of state partitions for the
+    checkpoint: ``partitions``, or the session's shuffle setting.
     """
-    stream = dedupe_stream(read_landing_stream(spark, source, max_files), delay)
-    writer = (
-        stream.writeStream.format("parquet")
-        .option("path", target)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-    )
+    read = read_landing_stream(spark, source, max_files)
+    if rejects:
+        bad = read.where("_rejected").select(F.col("_line").alias("line"), F.col("_file").alias("file"))
+        _writer(bad, rejects, f"{checkpoint.rstrip('/')}-rejects").start().awaitTermination()
+    writer = _writer(dedupe_stream(read.where("not _rejected"), delay), target, checkpoint)
     # Expired state is dropped along with the next data; no output waits for it.
     settings = {"spark.sql.streaming.noDataMicroBatches.enabled": "false"}
     if partitions:
@@ -70,6 +84,11 @@ def run_landing(
     return query
 
 
+def _writer(rows: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
+    to = rows.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
+    return to.trigger(availableNow=True)
+
+
 def _start(spark: SparkSession, writer: DataStreamWriter, settings: dict[str, str]) -> StreamingQuery:
     """Start a query under some settings: it takes its own copy of them, the session keeps its own."""
     before = {name: spark.conf.get(name) for name in settings}
@@ -96,16 +115,10 @@ def run_feed(
     ``parse`` is one of the parsers of ``rateloom.sources``, told to drop unusable responses: they
     stay in the landing table, for the audit.
     """
-    reader = spark.readStream.schema(LANDING)
+    reader = spark.readStream.schema(LANDED)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    writer = (
-        parse(reader.parquet(landing))
-        .writeStream.format("parquet")
-        .option("path", target)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-    )
+    writer = _writer(parse(reader.parquet(landing)), target, checkpoint)
     query = (writer.partitionBy(*partition_by) if partition_by else writer).start()
     query.awaitTermination()
     return query

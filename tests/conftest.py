@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 import uuid
 
 import pytest
@@ -14,9 +15,12 @@ SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build_session(
-        "tests", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g"}
-    )
+    settings = {"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g"}
+    session = build_session("tests", "local[8]", **settings)
+    if not session.conf.get("spark.checkpoint.dir", None):
+        session.stop()
+        settings["spark.checkpoint.dir"] = tempfile.mkdtemp(prefix="rateloom-tests-")
+        session = build_session("tests", "local[8]", **settings)
     session.sparkContext.setLogLevel("OFF")
     return session
 

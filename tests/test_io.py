@@ -62,7 +62,7 @@ def test_fetch_retries(spark, tmp_path):
     got = requests.fetch_responses(calls(spark, "a"), Flaky(4, [None, 429, 503]), sleep=waits)
     assert rows(got, "request_key", "status", "body") == [("a", 200, '{"key": "a"}')]
     assert (tmp_path / "waits").read_text().split() == ["2", "9", "2"]
-    assert got.schema == schemas.LANDING
+    assert got.schema == schemas.LANDED
 
 
 @pytest.mark.parametrize("statuses,last", [([500] * 5, 500), ([None] * 5, None), ([400] * 5, 400)])
@@ -101,9 +101,10 @@ def paged(request, attempt):
 
 def test_fetch_follows_pages(spark):
     got = requests.fetch_responses(calls(spark, "a", "b"), paged, max_concurrency=2)
-    assert sorted(tuple(r) for r in got.select("request_key", F.get_json_object("body", "$.page")).collect()) == [
-        (k + s, str(i)) for k in "ab" for i, s in enumerate(("", "#1", "#2"))
+    assert sorted(tuple(r) for r in got.select("request_key", "page", F.get_json_object("body", "$.page")).collect()) == [
+        (k, i, str(i)) for k in "ab" for i in range(3)
     ]
+    assert len({r["run_id"] for r in got.select("run_id").collect()}) == 1
 
 
 def test_fetch_concurrency_is_bounded(spark):
@@ -112,12 +113,6 @@ def test_fetch_concurrency_is_bounded(spark):
     assert got.rdd.getNumPartitions() == 3 and got.count() == 50
 
 
-def test_file_transport(spark, tmp_path):
-    (tmp_path / "a.json").write_text('{"x": 1}')
-    got = requests.fetch_responses(calls(spark, "a", "b"), requests.FileTransport(str(tmp_path)), sleep=lambda s: None)
-    assert rows(got, "request_key", "status", "body") == [("a", 200, '{"x": 1}'), ("b", 404, "")]
-
-
 def test_http_requests():
     request = {"endpoint": "/v1/x", "params": {"a": "1 2", "none": None}, "headers": {"X": "2"}}
     built = requests.build_http_request("http://h/", request, {"X": "1", "Y": "3"})
@@ -239,12 +234,12 @@ def test_sheet_round_trip(spark, folder):
     data = [(1, 'a "q", x', 1.5), (2, " lead\nline ", None), (3, None, 2.0), (4, "", -1.0)]
     df = spark.createDataFrame(data, "i int, t string, d double")
     assert write_sheet_table(df, folder)
-    got = tables.read_sheet_table(spark, folder, {"d": DoubleType(), "t": StringType()})
+    got = tables.read_sheet_table(spark, folder, {"d": DoubleType(), "t": StringType()}, multi_line=True)
     assert got.dtypes == [("i", "string"), ("t", "string"), ("d", "double")]
     assert rows(got, "i", "t", "d") == [("1", 'a "q", x', 1.5), ("2", " lead\nline ", None), ("3", "", 2.0), ("4", "", -1.0)]
-    assert tables.read_sheet_table(spark, folder).dtypes == [("i", "int"), ("t", "string"), ("d", "double")]
+    assert tables.read_sheet_table(spark, folder, multi_line=True).dtypes == [("i", "int"), ("t", "string"), ("d", "double")]
     with pytest.raises(PySparkException):
-        tables.read_sheet_table(spark, folder, {"t": DoubleType()}).collect()
+        tables.read_sheet_table(spark, folder, {"t": DoubleType()}, multi_line=True).collect()
     with pytest.raises(ValueError, match="gone"):
         tables.read_sheet_table(spark, folder, {"gone": DoubleType()})
 
@@ -291,7 +286,7 @@ def test_latest_rates_job(spark, folder):
         [(b, {"base": b}, 200, body(b) if b != "PHP" else "{", datetime(2024, 1, 1)) for b in ("USD", "JPY", "PHP")],
         schemas.LANDING,
     )
-    uri = run_latest_rates(spark, landed, ["USD", "JPY"], folder, "fx", filename="r.parquet")
+    uri, _ = run_latest_rates(spark, landed, ["USD", "JPY"], folder, "fx", filename="r.parquet")
     got = spark.read.parquet(uri)
     assert rows(got, "base_currency") == [("JPY",), ("USD",)] and got.columns == schemas.EXCHANGE_RATES.names
     with pytest.raises(ValueError, match="no rows"):
@@ -304,28 +299,29 @@ def test_latest_rates_job(spark, folder):
 
 
 def test_incremental_landing(spark, folder):
-    def deliver(name, *deliveries, status=200):
+    def deliver(name, *deliveries, status=200, run="r"):
         os.makedirs(f"{folder}/in", exist_ok=True)
         with open(f"{folder}/in/{name}.json", "w") as out:
             for key, at in deliveries:
-                out.write(json.dumps({"request_key": key, "params": {}, "status": status, "body": key, "fetched_at": at}) + "\n")
+                row = {"request_key": key, "params": {}, "status": status, "body": key, "fetched_at": at, "run_id": run, "page": 0}
+                out.write(json.dumps(row) + "\n")
 
     def load():
         run_landing(spark, f"{folder}/in", f"{folder}/out", f"{folder}/checkpoint")
         return rows(spark.read.parquet(f"{folder}/out"), "request_key")
 
     day = "2024-01-01T{:02d}:00:00Z"
-    # The hot key comes many times, in one file and across files, alike and not.
+    # The hot response comes many times, in one file and across files; its nine polls are all kept.
     deliver("one", ("a", day.format(0)), ("b", day.format(0)), *[("hot", day.format(i % 9)) for i in range(500)])
     deliver("two", *[("hot", day.format(i % 9)) for i in range(500)])
-    assert load() == [("a",), ("b",), ("hot",)]
-    assert load() == [("a",), ("b",), ("hot",)]
-    deliver("three", ("b", day.format(10)), ("c", day.format(10)), ("hot", day.format(11)))
-    assert load() == [("a",), ("b",), ("c",), ("hot",)]
+    assert load() == [("a",), ("b",), *[("hot",)] * 9]
+    assert load() == [("a",), ("b",), *[("hot",)] * 9]
+    deliver("three", ("b", day.format(10)), ("c", day.format(10)), ("hot", day.format(1)))
+    assert load() == [("a",), ("b",), ("b",), ("c",), *[("hot",)] * 9]
     landed = spark.read.parquet(f"{folder}/out")
-    assert landed.columns == schemas.LANDING.names
+    assert landed.columns == schemas.LANDED.names
     # A failed copy, then a good one: both land, and the good one counts.
-    deliver("four", ("d", day.format(11)), ("a", day.format(11)), status=500)
+    deliver("four", ("d", day.format(11)), ("a", day.format(11)), status=500, run="r2")
     load()
     deliver("five", ("d", day.format(12)))
     load()
@@ -333,16 +329,39 @@ def test_incremental_landing(spark, folder):
     deliver("six", ("late", "2023-06-01T00:00:00Z"), ("late", "2023-06-02T00:00:00Z"), ("c", "2023-06-01T00:00:00Z"))
     load()
     landed = spark.read.parquet(f"{folder}/out")
-    assert rows(landed.where("request_key in ('late', 'c')"), "request_key") == [("c",), ("late",)]
     assert rows(landed.where("request_key = 'd'"), "status") == [(200,), (500,)]
     assert rows(latest_responses(landed), "request_key", "status") == [(k, 200) for k in ("a", "b", "c", "d", "hot", "late")]
+    # Stream and batch choose the same copy.
+    assert rows(latest_responses(landed).where("request_key = 'late'"), F.day("fetched_at")) == [(2,)]
+
+
+def test_bad_lines_go_to_the_rejects(spark, folder):
+    os.makedirs(f"{folder}/in")
+    bad = ['{"request_key": "x"', "no json", '{"status": 200}', "", '{"request_key": null, "body": "b"}']
+    good = json.dumps({"request_key": "k", "status": 200, "body": "b", "fetched_at": "2024-01-01T00:00:00Z"})
+    with open(f"{folder}/in/a.json", "w") as out:
+        out.write("\n".join([*bad, good, good]) + "\n")
+    for _ in range(2):
+        run_landing(spark, f"{folder}/in", f"{folder}/out", f"{folder}/checkpoint", rejects=f"{folder}/rejects")
+    assert rows(spark.read.parquet(f"{folder}/out"), "request_key") == [("k",)]
+    assert sorted(r.line for r in spark.read.parquet(f"{folder}/rejects").collect()) == sorted(bad)
 
 
 def test_shuffle_partitions():
-    assert [shuffle_partitions(n) for n in (0, 40 << 30, 2 << 40, 100 << 40)] == [200, 205, 10486, 50_000]
+    assert [shuffle_partitions(n) for n in (0, 40 << 30, 2 << 40, 100 << 40)] == [200, 205, 10486, 524_288]
 
 
-def test_scratch_follows_the_session(spark):
-    root = spark.conf.get("spark.checkpoint.dir", None)
+def test_scratch_is_shared(spark):
     one, two = scratch_dir(spark, "x"), scratch_dir(spark, "x")
-    assert one != two and (root is None or one.startswith(root))
+    assert one != two and one.startswith(spark.conf.get("spark.checkpoint.dir"))
+    assert scratch_dir(spark, "x", "s3a://b/c").startswith("s3a://b/c/rateloom/x-")
+
+
+def test_failed_write_leaves_nothing(spark, folder):
+    boom = spark.range(5).select(F.when(F.col("id") == 3, F.raise_error(F.lit("boom"))).otherwise(F.col("id")).alias("x"))
+    with pytest.raises(Exception, match="boom"):
+        write_parquet(boom, folder, "p", "b.parquet")
+    uri = write_parquet(spark.range(5).toDF("x"), folder, "p", "b.parquet")
+    with pytest.raises(PySparkException, match="exists"):
+        write_parquet(boom, folder, "p", "b.parquet")
+    assert spark.read.parquet(uri).count() == 5

@@ -144,9 +144,7 @@ def test_selection_prunes_partitions(spark, folder):
     assert chosen.count() == 2
 
 
-@pytest.mark.parametrize("limit", [1, 2, 100_000])
-def test_latest_bar_of_trades(spark, monkeypatch, limit):
-    monkeypatch.setattr(bars, "BROADCAST_SYMBOLS", limit)
+def test_latest_bar_of_trades(spark):
     data = [("A", at(i), float(i), 1, i) for i in range(100)] + [("B", at(i), float(i), 1, i) for i in range(30)]
     data += [(None, at(0), 7.0, 1, 1)]
     got = bars.latest_bar_of_trades(trades(spark, data), "1Min", "id")
