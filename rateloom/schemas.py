@@ -5,54 +5,91 @@ from __future__ import annotations
 from pyspark.sql.types import MapType, StringType, StructType
 
 
-def _schema(ddl: str) -> StructType:
-    # StructType.fromDDL needs a running session; these are wanted at import time.
-    schema = StructType()
-    for column in ddl.split(", "):
-        name, kind = column.split(" ")
-        schema.add(name, MapType(StringType(), StringType()) if kind.startswith("map") else kind)
-    return schema
-
+_TEXTS = MapType(StringType(), StringType())
 
 # The five output tables. Timestamps hold UTC without a zone.
-EXCHANGE_RATES = _schema(
-    "base_currency string, target_currency string, rate double, rate_date date, "
-    "rate_timestamp timestamp_ntz, ingestion_datetime timestamp_ntz"
+EXCHANGE_RATES = (
+    StructType()
+    .add("base_currency", "string")
+    .add("target_currency", "string")
+    .add("rate", "double")
+    .add("rate_date", "date")
+    .add("rate_timestamp", "timestamp_ntz")
+    .add("ingestion_datetime", "timestamp_ntz")
 )
-CONVERSION = _schema(
-    "from_currency string, to_currency string, amount double, converted_amount double, "
-    "rate double, rate_timestamp timestamp_ntz, ingestion_datetime timestamp_ntz"
+CONVERSION = (
+    StructType()
+    .add("from_currency", "string")
+    .add("to_currency", "string")
+    .add("amount", "double")
+    .add("converted_amount", "double")
+    .add("rate", "double")
+    .add("rate_timestamp", "timestamp_ntz")
+    .add("ingestion_datetime", "timestamp_ntz")
 )
-CURRENCIES = _schema(
-    "currency_code string, currency_name string, short_code string, symbol string, "
-    "ingestion_datetime timestamp_ntz"
+CURRENCIES = (
+    StructType()
+    .add("currency_code", "string")
+    .add("currency_name", "string")
+    .add("short_code", "string")
+    .add("symbol", "string")
+    .add("ingestion_datetime", "timestamp_ntz")
 )
-STOCK_BARS = _schema(
-    "symbol string, timestamp timestamp_ntz, bar_date date, open double, high double, "
-    "low double, close double, volume long, trade_count long, vwap double, "
-    "ingestion_datetime timestamp_ntz"
+STOCK_BARS = (
+    StructType()
+    .add("symbol", "string")
+    .add("timestamp", "timestamp_ntz")
+    .add("bar_date", "date")
+    .add("open", "double")
+    .add("high", "double")
+    .add("low", "double")
+    .add("close", "double")
+    .add("volume", "bigint")
+    .add("trade_count", "bigint")
+    .add("vwap", "double")
+    .add("ingestion_datetime", "timestamp_ntz")
 )
-STOCK_SNAPSHOT = _schema(
-    "symbol string, latest_trade_price double, latest_trade_size long, "
-    "latest_trade_timestamp timestamp_ntz, latest_quote_ask_price double, "
-    "latest_quote_bid_price double, latest_quote_timestamp timestamp_ntz, "
-    "prev_daily_close double, ingestion_datetime timestamp_ntz"
+STOCK_SNAPSHOT = (
+    StructType()
+    .add("symbol", "string")
+    .add("latest_trade_price", "double")
+    .add("latest_trade_size", "bigint")
+    .add("latest_trade_timestamp", "timestamp_ntz")
+    .add("latest_quote_ask_price", "double")
+    .add("latest_quote_bid_price", "double")
+    .add("latest_quote_timestamp", "timestamp_ntz")
+    .add("prev_daily_close", "double")
+    .add("ingestion_datetime", "timestamp_ntz")
 )
 
 # One row per API response. fetched_at is an instant, so it is a TIMESTAMP.
-LANDING = _schema(
-    "request_key string, params map<string,string>, status integer, body string, fetched_at timestamp"
+LANDING = (
+    StructType()
+    .add("request_key", "string")
+    .add("params", _TEXTS)
+    .add("status", "int")
+    .add("body", "string")
+    .add("fetched_at", "timestamp")
 )
 
 # A row as it is fetched: which run called, which page of the answer it is, and what it can be found by.
-LANDED = StructType(
-    [*LANDING.fields, *_schema("run_id string, page integer, feed string, request_date date").fields]
+LANDED = (
+    StructType(list(LANDING.fields))
+    .add("run_id", "string")
+    .add("page", "int")
+    .add("feed", "string")
+    .add("request_date", "date")
 )
 
 # One row per API call to make.
-REQUESTS = _schema(
-    "request_key string, method string, endpoint string, params map<string,string>, "
-    "headers map<string,string>, body string"
+REQUESTS = (
+    StructType()
+    .add("request_key", "string")
+    .add("method", "string")
+    .add("endpoint", "string")
+    .add("params", _TEXTS)
+    .add("headers", _TEXTS)
+    .add("body", "string")
 )
 
 # Response bodies, read with from_json. Rates are text because one non-number would null a whole
@@ -87,17 +124,22 @@ TIMEFRAMES = {
 }
 
 # The currency codes accepted as a base.
-CURRENCY_CODES = """
-AED AFN ALL AMD ANG AOA ARS AUD AWG AZN BAM BBD BDT BGN BHD BIF BMD BND BOB BOV
-BRL BSD BTN BWP BYN BZD CAD CDF CHF CLF CLP CNY COP CRC CUC CUP CVE CZK DJF DKK
-DOP DZD EGP ERN ETB EUR FJD FKP GBP GEL GHS GIP GMD GNF GTQ GYD HKD HNL HRK HTG
-HUF IDR ILS INR IQD IRR ISK JMD JOD JPY KES KGS KHR KMF KPW KRW KWD KYD KZT LAK
-LBP LKR LRD LSL LTL LVL LYD MAD MDL MGA MKD MMK MNT MOP MRO MUR MVR MWK MXN MYR
-MZN NAD NGN NIO NOK NPR NZD OMR PAB PEN PGK PHP PKR PLN PYG QAR RON RSD RUB RWF
-SAR SBD SCR SDG SEK SGD SHP SLL SOS SRD SSP STD SVC SYP SZL THB TJS TMT TND TOP
-TRY TTD TWD TZS UAH UGX USD UYU UZS VEF VND VUV WST XAF XCD XOF XPF YER ZAR ZMW
-ZWL
-""".split()
+CURRENCY_CODES = [
+    "AED", "AFN", "ALL", "AMD", "ANG", "AOA", "ARS", "AUD", "AWG", "AZN", "BAM", "BBD",
+    "BDT", "BGN", "BHD", "BIF", "BMD", "BND", "BOB", "BOV", "BRL", "BSD", "BTN", "BWP",
+    "BYN", "BZD", "CAD", "CDF", "CHF", "CLF", "CLP", "CNY", "COP", "CRC", "CUC", "CUP",
+    "CVE", "CZK", "DJF", "DKK", "DOP", "DZD", "EGP", "ERN", "ETB", "EUR", "FJD", "FKP",
+    "GBP", "GEL", "GHS", "GIP", "GMD", "GNF", "GTQ", "GYD", "HKD", "HNL", "HRK", "HTG",
+    "HUF", "IDR", "ILS", "INR", "IQD", "IRR", "ISK", "JMD", "JOD", "JPY", "KES", "KGS",
+    "KHR", "KMF", "KPW", "KRW", "KWD", "KYD", "KZT", "LAK", "LBP", "LKR", "LRD", "LSL",
+    "LTL", "LVL", "LYD", "MAD", "MDL", "MGA", "MKD", "MMK", "MNT", "MOP", "MRO", "MUR",
+    "MVR", "MWK", "MXN", "MYR", "MZN", "NAD", "NGN", "NIO", "NOK", "NPR", "NZD", "OMR",
+    "PAB", "PEN", "PGK", "PHP", "PKR", "PLN", "PYG", "QAR", "RON", "RSD", "RUB", "RWF",
+    "SAR", "SBD", "SCR", "SDG", "SEK", "SGD", "SHP", "SLL", "SOS", "SRD", "SSP", "STD",
+    "SVC", "SYP", "SZL", "THB", "TJS", "TMT", "TND", "TOP", "TRY", "TTD", "TWD", "TZS",
+    "UAH", "UGX", "USD", "UYU", "UZS", "VEF", "VND", "VUV", "WST", "XAF", "XCD", "XOF",
+    "XPF", "YER", "ZAR", "ZMW", "ZWL",
+]
 
 # File kinds by extension, as IANA lists them.
 MIME_TYPES = {
