@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql.types import MapType, StringType, StructType
 
-
 _TEXTS = MapType(StringType(), StringType())
 
 # The five output tables. Timestamps hold UTC without a zone.
@@ -44,8 +43,8 @@ STOCK_BARS = (
     .add("high", "double")
     .add("low", "double")
     .add("close", "double")
-    .add("volume", "bigint")
-    .add("trade_count", "bigint")
+    .add("volume", "long")
+    .add("trade_count", "long")
     .add("vwap", "double")
     .add("ingestion_datetime", "timestamp_ntz")
 )
@@ -53,7 +52,7 @@ STOCK_SNAPSHOT = (
     StructType()
     .add("symbol", "string")
     .add("latest_trade_price", "double")
-    .add("latest_trade_size", "bigint")
+    .add("latest_trade_size", "long")
     .add("latest_trade_timestamp", "timestamp_ntz")
     .add("latest_quote_ask_price", "double")
     .add("latest_quote_bid_price", "double")
@@ -67,7 +66,7 @@ LANDING = (
     StructType()
     .add("request_key", "string")
     .add("params", _TEXTS)
-    .add("status", "int")
+    .add("status", "integer")
     .add("body", "string")
     .add("fetched_at", "timestamp")
 )
@@ -76,7 +75,7 @@ LANDING = (
 LANDED = (
     StructType(list(LANDING.fields))
     .add("run_id", "string")
-    .add("page", "int")
+    .add("page", "integer")
     .add("feed", "string")
     .add("request_date", "date")
 )
