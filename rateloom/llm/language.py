@@ -7,6 +7,7 @@ pieces (a forward pass), the score of a text the product over its words.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from rateloom.llm.common import map_batches
+from rateloom.llm.common import map_batches, worker_state
 
 #: About so many documents of each language are used to learn; a documented bound, not a limit on scoring.
 SAMPLE_DOCS = 300
@@ -145,7 +146,8 @@ def learn(docs: DataFrame, pieces: list[str], sample_docs: int = SAMPLE_DOCS) ->
     usable = docs.select("lang", "text").where("lang is not null and text is not null")
     per_lang = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
     share = F.pmod(F.xxhash64("text", F.lit("sample")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    chosen = usable.join(per_lang, "lang").where(share * F.col("n") < F.lit(float(sample_docs)))
+    # One row per language, as many as the model that the driver holds; texts aren't shuffled for it.
+    chosen = usable.join(F.broadcast(per_lang), "lang").where(share * F.col("n") < F.lit(float(sample_docs)))
     words = (
         chosen.select("lang", F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("word"))
         .where("word != ''")
@@ -220,6 +222,7 @@ def identify(docs: DataFrame, pieces: list[str], langs: list[str], chances: np.n
     sizes = np.array([len(p) for p in pieces])
     # The table has one row per piece of the fixed vocabulary, whatever the data.
     known = docs.sparkSession.sparkContext.broadcast((ids, scaled(chances, sizes), int(sizes.max()), langs))
+    model = uuid.uuid4().hex
 
     def predict(text: str | None, scores: _Scores) -> np.ndarray | None:
         if not text:
@@ -228,7 +231,10 @@ def identify(docs: DataFrame, pieces: list[str], langs: list[str], chances: np.n
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, table, longest, langs = known.value
-        scores = _Scores(ids, table, longest)
+        state = worker_state()
+        if state.get("language", ("",))[0] != model:
+            state["language"] = (model, _Scores(ids, table, longest))
+        scores = state["language"][1]
         for b in batches:
             for start in range(0, b.num_rows, 256):
                 part = b.slice(start, 256)
@@ -251,6 +257,7 @@ def identify(docs: DataFrame, pieces: list[str], langs: list[str], chances: np.n
                 )
                 if len(scores) > REMEMBERED:
                     scores = _Scores(ids, table, longest)
+                    state["language"] = (model, scores)
 
     return map_batches(plain, schema, work)
 
