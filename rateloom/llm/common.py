@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import sys
 import tempfile
 import types
@@ -18,13 +19,17 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder of ``spark.checkpoint.dir``; a local session without the setting gets one of its own."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="rateloom-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _own_folder()
     return root.rstrip("/")
 
 
+@functools.cache
+def _own_folder() -> str:
+    return tempfile.mkdtemp(prefix="rateloom-")
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The rows of ``df`` from a table in the shared folder: computed once, kept if executors are lost."""
     spark = df.sparkSession
