@@ -28,22 +28,27 @@ NEUTRAL = "Dr|Prof"
 LATIN = "ba be bi bo da de di do fa fe ga go ka ke ki ko la le li lo ma me mi mo na ne ni no ra re ri ro".split()
 CYRILLIC = "ба бе би бо да де ди до фа фе га го ка ке ки ко ла ле ли ло ма ме ми мо на не ни но ра ре ри ро".split()
 
-EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,128}@(?:[\p{L}\p{N}-]{1,63}\.){1,8}\p{L}{2,24}"
+# Every pattern begins with what fails at most places of a text, as all of them are tried everywhere.
+EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,128}+@(?:[\p{L}\p{N}-]{1,63}\.){1,8}\p{L}{2,24}"
 SECRET = (
-    r"(?<=(?i:password|passwd|pwd|secret|token|api_key)=)[^\s\"']{6,256}"
-    r"|(?<![\p{L}\p{N}])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128}|AKIA[0-9A-Z]{16})(?![\p{L}\p{N}])"
+    r"(?<==)(?<=(?i:password|passwd|pwd|secret|token|api_key)=)[^\s\"']{6,256}"
+    r"|(?=[0-9A-Fa-f])(?<![\p{L}\p{N}])(?:[0-9a-f]{32,128}+|[0-9A-F]{32,128}+|AKIA[0-9A-Z]{16})(?![\p{L}\p{N}])"
 )
 OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
-ADDRESS = rf"(?<![\w.])(?:{OCTET}\.){{3}}{OCTET}(?![\w]|\.\d)"
-MARK = r"[^\p{L}\p{N}\s(+]{0,3}"
+ADDRESS = rf"(?=\d)(?<![\w.])(?:{OCTET}\.){{3}}{OCTET}(?![\w]|\.\d)"
+# What stands between the groups of a phone number: a blank, or marks that noise puts after every word.
+MARK = r"[^\p{L}\p{N}(+\r\n]{0,4}"
 PHONE = (
-    rf"(?<![\w+.])(?:\+?1{MARK}[ .-]?)?\(\d{{3}}\){MARK} ?\d{{3}}[ .-]\d{{4}}(?![\w-])"
-    rf"|(?<![\w+.-])(?:\+?1[ .-])?\d{{3}}[ .-]\d{{3}}[ .-]\d{{4}}(?![\w-])"
+    rf"(?=[+1(])(?<![\w+.])(?:\+?1{MARK})?\(\d{{3}}\){MARK}\d{{3}}[ .-]\d{{4}}(?![\w-])"
+    rf"|(?=[+\d])(?<![\w+.-])(?:\+?1[ .-])?\d{{3}}[ .-]\d{{3}}[ .-]\d{{4}}(?![\w-])"
 )
-NATIONAL = r"(?<![\w.-])\d{3}-\d{2}-\d{4}(?![\w-])"
-CARD = r"(?<![\w.-])(?:\d{16}|\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{4}|3[47]\d{13})(?![\w-])"
-PERSON = rf"\b(?:{MALE}|{FEMALE}|{NEUTRAL})\.? \p{{Lu}}\p{{L}}{{1,40}}(?: \p{{Lu}}\p{{L}}{{1,40}})?"
-PATTERN = "|".join((EMAIL, SECRET, ADDRESS, PHONE, NATIONAL, CARD, PERSON))
+NATIONAL = r"(?=\d)(?<![\w.-])\d{3}-\d{2}-\d{4}(?![\w-])"
+CARD = r"(?=\d)(?<![\w.-])(?:\d{16}|\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{4}|3[47]\d{13})(?![\w-])"
+PERSON = (
+    rf"(?=\p{{Lu}})(?<!\p{{L}})(?:{MALE}|{FEMALE}|{NEUTRAL})\.? \p{{Lu}}\p{{L}}{{1,40}}(?: \p{{Lu}}\p{{L}}{{1,40}})?"
+)
+NUMBERS = rf"(?=[+(\d])(?:{ADDRESS}|{PHONE}|{NATIONAL}|{CARD})"
+PATTERN = "|".join((EMAIL, SECRET, NUMBERS, PERSON))
 
 
 def _sql(text: str) -> str:
@@ -219,11 +224,14 @@ def replace_entities(docs: DataFrame, key: str = KEY) -> DataFrame:
     """
     plain = docs.select(*[c for c in docs.columns if c != "n_entities"])
     has = F.coalesce(F.col("text").rlike(PATTERN), F.lit(False))
-    surfaces = F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0))
+    held = written(
+        plain.where(has).withColumns(
+            {"__h": F.md5("text"), "__found": F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0))}
+        ),
+        "held",
+    )
     found = written(
-        plain.where(has)
-        .select(F.md5("text").alias("h"), F.explode(F.array_distinct(surfaces)).alias("surface"))
-        .distinct(),
+        held.select(F.col("__h").alias("h"), F.explode(F.array_distinct("__found")).alias("surface")).distinct(),
         "entities",
     )
     by_text = (
@@ -232,10 +240,7 @@ def replace_entities(docs: DataFrame, key: str = KEY) -> DataFrame:
         .agg(F.map_from_entries(F.collect_list(F.struct("surface", "rendered"))).alias("__made"))
         .withColumnRenamed("h", "__h")
     )
-    held = plain.where(has).withColumns(
-        {"__h": F.md5("text"), "__found": surfaces, "__rest": F.split("text", PATTERN, -1)}
-    )
-    changed = held.join(by_text, "__h").withColumns(
+    changed = held.withColumn("__rest", F.split("text", PATTERN, -1)).join(by_text, "__h").withColumns(
         {
             "text": F.expr(
                 "concat(__rest[0], array_join(transform(__found, (s, i) -> concat(__made[s], __rest[i + 1])), ''))"
