@@ -80,8 +80,8 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFra
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = Encoder.of(tokenizer, words=True)
         for b in batches:
-            for at in range(0, b.num_rows, 512):
-                part, rows = b.slice(at, 512), []
+            for at in range(0, b.num_rows, 2048):
+                part, rows = b.slice(at, 2048), []
                 encoded = encode([t or "" for t in part.column(1).to_pylist()])
                 for doc_id, ids in zip(part.column(0).to_pylist(), encoded):
                     ids += end

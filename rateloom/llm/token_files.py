@@ -44,8 +44,8 @@ def raw_blocks(docs: DataFrame, tokenizer: str, end: int = END) -> DataFrame:
             return batch(schema, [part], [block], [doc_ids], [sizes], [bytes([narrow.itemsize]) + narrow.tobytes()])
 
         for b in batches:
-            for at in range(0, b.num_rows, 512):
-                own = b.slice(at, 512)
+            for at in range(0, b.num_rows, 2048):
+                own = b.slice(at, 2048)
                 encoded = encoder([t or "" for t in own.column(1).to_pylist()])
                 for doc_id, ids in zip(own.column(0).to_pylist(), encoded):
                     doc_ids.append(doc_id)

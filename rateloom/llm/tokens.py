@@ -6,12 +6,16 @@ import os
 import re
 from array import array
 
+import numpy as np
+
 from rateloom.llm.common import worker_state
 
-#: Chunks kept per Python worker; beyond that the cache starts anew.
-REMEMBERED = 500_000
+#: Chunks kept per Python worker and generation: a full one becomes the old one, and what is still in
+#: use moves on from there.
+REMEMBERED = 400_000
 LONGEST = 64
-
+#: Letters with punctuation after them: tokenizers cut between the two.
+_ENDED = re.compile(r"( ?[^\W\d_]+)([.,!?;:%*$&#|\"()\-]+)")
 #: All white space but the space and the line feed.
 _ODD_SPACE = re.compile("[" + "".join(chr(c) for c in range(0x3001) if chr(c).isspace() and chr(c) not in " \n") + "]")
 _SEPARATORS = re.compile("[\x1c-\x1f]")
@@ -22,14 +26,20 @@ class Encoder:
 
     A tokenizer that drops white space (``words``) is asked for every word between spaces once, one
     that keeps it for every word with the space before it: neither joins anything across those cuts.
-    Texts for which that could differ (rare kinds and runs of white space) are encoded as a whole.
+    Lines are cut apart as well. Texts for which that could differ (rare kinds and runs of white space)
+    are encoded as a whole.
     """
 
     def __init__(self, path: str, words: bool):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.words, self.known = Tokenizer.from_file(path), words, {}
+        self.tokenizer, self.words = Tokenizer.from_file(path), words
+        self.known, self.old, self.stems, self.old_stems = {}, {}, {}, {}
+        # What ends a word (or begins one, with the space before it), by id.
+        vocabulary = self.tokenizer.get_vocab()
+        self.edge = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.edge[[i for t, i in vocabulary.items() if (t.endswith("</w>") if words else t.startswith("\u0120"))]] = True
 
     @staticmethod
     def of(path: str, words: bool) -> Encoder:
@@ -39,34 +49,81 @@ class Encoder:
         return state[key]
 
     def _chunks(self, text: str) -> list[str] | None:
+        """The words of a text; where white space counts, one that begins a line has the line feed before
+        it, the first of the text two, and all others stand for themselves after a space."""
         if self.words:
             return None if _SEPARATORS.search(text) else text.split()
-        if "  " in text or "\n " in text or _ODD_SPACE.search(text):
+        if "  " in text or "\n " in text or " \n" in text or "\n\n" in text or _ODD_SPACE.search(text):
+            return None
+        if text[-1:] in (" ", "\n"):
             return None
-        first, *rest = text.split(" ")
-        chunks = [" " + c for c in rest]
-        return [first, *chunks] if first else chunks
+        chunks = ("\n\n" + text).replace("\n", " \n").replace(" \n \n", "\n\n", 1).split(" ")
+        return chunks if chunks[0] != "\n\n" else chunks[1:]
+
+    def _text(self, chunk: str) -> str:
+        if self.words:
+            return chunk
+        return chunk[2:] if chunk.startswith("\n\n") else chunk if chunk[0] == "\n" else " " + chunk
 
     def _plain(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in found]
 
-    def __call__(self, texts: list[str]) -> list[bytes]:
+    def _bulk(self, stems: list[str]) -> list[bytes]:
+        """Ids of words of letters: of many at once, cut apart where words end or begin."""
+        joined = (" " if self.words else "").join(stems)
+        ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
+        edges = np.flatnonzero(self.edge[ids])
+        if len(edges) != len(stems):
+            return self._plain(stems)
+        cuts = [0, *(edges + 1).tolist()] if self.words else [*edges.tolist(), len(ids)]
+        raw = ids.tobytes()
+        return [raw[4 * a : 4 * b] for a, b in zip(cuts, cuts[1:])]
+
+    def _stem(self, head: str) -> str:
+        """Words that the tokenizer puts in lower case are looked up in lower case."""
+        return head.lower() if self.words and max(head) < "\u0130" else head
+
+    def _learn(self, new: set[str]) -> dict[str, bytes]:
+        """Ids of chunks that aren't known; they are kept, unless they are very long."""
         if len(self.known) > REMEMBERED:
-            self.known = {}
-        known, cut = self.known, [self._chunks(t) for t in texts]
-        new = list({c for chunks in cut if chunks for c in chunks if c not in known})
-        extra = {}
-        for at in range(0, len(new), 4096):
-            part = new[at : at + 4096]
-            for chunk, ids in zip(part, self._plain(part)):
-                (known if len(chunk) <= LONGEST else extra)[chunk] = ids
-        out = []
-        for text, chunks in zip(texts, cut):
-            if chunks is None:
-                out += self._plain([text])
-            elif extra:
-                out.append(b"".join([known[c] if c in known else extra[c] for c in chunks]))
-            else:
-                out.append(b"".join(map(known.__getitem__, chunks)))
-        return out
+            self.known, self.old = {}, self.known
+        if len(self.stems) > REMEMBERED:
+            self.stems, self.old_stems = {}, self.stems
+        found, stems, old, old_stems = {}, self.stems, self.old, self.old_stems
+        parts, bulk, plain, extra = {}, set(), set(), {}
+        for chunk in new:
+            if chunk in old:
+                found[chunk] = old[chunk]
+                continue
+            text = self._text(chunk)
+            ended = _ENDED.fullmatch(text) if len(text) <= LONGEST else None
+            own = (self._stem(ended[1]), ended[2]) if ended else (self._stem(text) if len(text) <= LONGEST else text,)
+            parts[chunk] = own
+            for part in own:
+                if part not in stems:
+                    if part in old_stems:
+                        stems[part] = old_stems[part]
+                        continue
+                    letters = part.isalpha() if self.words else part[:1] == " " and part[1:].isalpha()
+                    (bulk if letters and len(part) <= LONGEST else plain).add(part)
+        for parts_of, ids_of in ((list(bulk), self._bulk), (list(plain), self._plain)):
+            for at in range(0, len(parts_of), 2000):
+                some = parts_of[at : at + 2000]
+                for part, ids in zip(some, ids_of(some)):
+                    (stems if len(part) <= LONGEST else extra)[part] = ids
+        for chunk, own in parts.items():
+            found[chunk] = b"".join([stems[p] if p in stems else extra[p] for p in own])
+        self.known.update((c, ids) for c, ids in found.items() if len(c) <= LONGEST)
+        return found
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        cut = [self._chunks(t) for t in texts]
+        get = self.known.get
+        got = [None if chunks is None else [*map(get, chunks)] for chunks in cut]
+        holes = [(k, [i for i, ids in enumerate(own) if ids is None]) for k, own in enumerate(got) if own and None in own]
+        new = self._learn({cut[k][i] for k, own in holes for i in own}) if holes else {}
+        for k, own in holes:
+            for i in own:
+                got[k][i] = new[cut[k][i]]
+        return [self._plain([text])[0] if own is None else b"".join(own) for text, own in zip(texts, got)]

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from rateloom.llm import packing as op
+from rateloom.llm import tokens
 from rateloom.llm.queries import op4_best_fit_packing
 from rateloom.llm.tokens import Encoder
 
@@ -54,15 +55,18 @@ def plain_best_fit(lengths, capacity):
     return len(gaps)
 
 
-def test_encoder_is_the_tokenizer():
+def test_encoder_is_the_tokenizer(monkeypatch):
+    monkeypatch.setattr(tokens, "REMEMBERED", 150)
     odd = ["", " ", "a", "a  b", "a   b", "a\n b", " a\nb ", "x y", "a\x1cb c", "don't can't's", "<|endoftext|> a <|endoftext|>"]
-    odd += ["é é Ünï 漢字 かな", "THE!! Of,&&& 12 345", "\t\r\n x", "z" * 500, "a　b", "tail ", "tail \n", "\n\n\nq", "a ́b"]
+    odd += ["é é Ünï 漢字 かな", "THE!! Of,&&& 12 345", "\t\r\n x", "z" * 500, "a　b", "tail ", "tail \n", "l\nm\n", "\nl", "a b\nc d\n\ne", "a\nb \nc", "\n\n\nq", "a ́b"]
     rng = random.Random(1)
     odd += ["".join(rng.choice("ab'sé  \n\t.1<|>") for _ in range(40)) for _ in range(300)]
+    odd += ["".join(rng.choice(["The", "ÉTÉ", "ß", "²x", "İi", "Σας", ",", "!!", "&&&", " ", " ", "-", "'s", "|", "\n"]) for _ in range(30)) for _ in range(300)]
     for path, words in ((PATH, True), (BYTES, False)):
         tokenizer, encode = Tokenizer.from_file(path), Encoder(path, words)
         want = [np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in odd]
         assert encode(odd) == want and encode(odd) == want
+        assert [x for at in range(0, len(odd), 7) for x in encode(odd[at : at + 7])] == want
 
 
 def test_plan_is_best_fit():
