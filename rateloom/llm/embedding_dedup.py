@@ -1,9 +1,12 @@
 """Near-copies among embeddings by a forest of random-projection trees with spill.
 
 Every tree splits the vectors again and again along random directions, near the median; vectors close to
-a split go to both sides. The upper levels are fitted on a bounded sample and every vector is placed;
-leaves that are still too large are split further with exact statistics of their members. What no
-direction splits (a dense group of near copies) is compared in blocks of bounded size. All vectors of a
+a split go to both sides. "Close" follows the deviation of the node, but never falls below a share of how
+far apart two linked vectors lie along a direction. The upper levels are fitted on a bounded sample and
+every vector is placed; leaves that are still too large are split further with exact statistics of their
+members. A node whose spread is near the linking distance is a dense group: no split pays, and it is
+compared whole, in blocks of bounded size. Trees are added until a pair at the threshold is expected to
+meet, wherever in the sample it is. All vectors of a
 leaf are compared by cosine in double precision, and the links of all trees are united. A pair counts in
 the first of its common leaves only, so no list of pairs is ever formed; a leaf gives counts and a
 spanning forest of its links. Exact copies enter the forest once.
@@ -20,7 +23,9 @@ from pyspark.sql import functions as F
 from rateloom.llm.common import batch, components, linked_to, map_batches, written
 
 THRESHOLD = 0.9
+#: Trees at least; there are more where a pair at the threshold is likelier than MISSED to meet in none.
 TREES = 6
+MISSED = 0.01
 #: Vectors of the sample that the upper levels are fitted on, about.
 SAMPLE = 16_384
 #: Members that a leaf should have; beyond LARGEST it is split further.
@@ -29,8 +34,12 @@ LARGEST = 4096
 BLOCK = 2048
 #: Spill: the half width of the overlap, as a part of the standard deviation along the direction.
 SPILL = 0.2
-#: A split that leaves a child with more than this part of its node is no split.
-LEAST_GAIN = 0.8
+#: The same at least, as a part of the standard deviation of linked vectors' distance along a direction.
+LINKED_SPILL = 0.5
+#: Where a node is split: near the median, or where the other parts are if a tight group holds the median.
+PLACES = (0.5, 0.3, 0.7, 0.1, 0.9)
+#: A split is none if comparing its children takes more than this part of the work of comparing the node.
+LEAST_GAIN = 0.95
 SEED = 7
 
 
@@ -47,24 +56,60 @@ def usable(column: str = "embedding"):
     return F.expr(f"coalesce({column} is not null and {finite} and exists({column}, x -> x != 0), false)")
 
 
-def grow(points: np.ndarray, leaf: float, rng: np.random.Generator) -> list[tuple]:
-    """Nodes of a tree over the sample: (direction, split, margin, left, right), or None for a leaf."""
+def reach(dim: int, threshold: float = THRESHOLD) -> float:
+    """The standard deviation, along random directions, of the distance of vectors at the threshold."""
+    return float(np.sqrt(2 * max(1e-12, 1 - threshold) / dim))
+
+
+def _below(x: np.ndarray) -> np.ndarray:
+    """The normal distribution function, to three digits."""
+    return (1 + np.tanh(0.7978846 * (x + 0.044715 * x**3))) / 2
+
+
+def grow(
+    points: np.ndarray, leaf: float, rng: np.random.Generator, threshold: float = THRESHOLD
+) -> tuple[list[tuple], np.ndarray]:
+    """Nodes of a tree over the sample: (direction, split, margin, left, right), or None for a leaf; and
+    for every point the chance that a vector at the threshold from it shares a leaf with it."""
     nodes: list = [None]
-    todo = [(0, np.arange(len(points)))]
+    far, meets = reach(points.shape[1], threshold), np.zeros(len(points))
+    todo = [(0, np.arange(len(points)), np.ones(len(points)))]
     while todo:
-        at, own = todo.pop()
+        at, own, chance = todo.pop()
         if len(own) <= leaf:
+            meets[own] += chance
             continue
         direction = rng.standard_normal(points.shape[1])
         along = points[own] @ (direction / np.linalg.norm(direction))
-        split, margin = float(np.quantile(along, rng.uniform(0.4, 0.6))), float(SPILL * along.std())
-        sides = own[along <= split + margin], own[along >= split - margin]
-        if max(map(len, sides)) > LEAST_GAIN * len(own):
+        margin, ordered = float(max(SPILL * along.std(), LINKED_SPILL * far)), np.sort(along)
+        splits = np.quantile(ordered, [rng.uniform(0.4, 0.6), *PLACES[1:]])
+        sizes = np.searchsorted(ordered, splits + margin, "right"), len(own) - np.searchsorted(ordered, splits - margin)
+        work = (sizes[0] / len(own)) ** 2 + (sizes[1] / len(own)) ** 2
+        best = 0 if work[0] <= LEAST_GAIN else int(work.argmin())
+        if work[best] > LEAST_GAIN:
+            meets[own] += chance
             continue
+        split = float(splits[best])
+        left, right = along <= split + margin, along >= split - margin
+        # The other vector is looked for left and right of the split, or up to the far end of the overlap.
+        to_left = _below((split + np.where(right[left], 0, margin) - along[left]) / far)
+        to_right = _below((along[right] - split + np.where(left[right], 0, margin)) / far)
         nodes[at] = (direction / np.linalg.norm(direction), split, margin, len(nodes), len(nodes) + 1)
-        todo += [(len(nodes), sides[0]), (len(nodes) + 1, sides[1])]
+        todo += [(len(nodes), own[left], chance[left] * to_left), (len(nodes) + 1, own[right], chance[right] * to_right)]
         nodes += [None, None]
-    return nodes
+    return nodes, meets
+
+
+def grow_forest(
+    points: np.ndarray, leaf: float, rng: np.random.Generator, trees: int = TREES, threshold: float = THRESHOLD
+) -> list[list[tuple]]:
+    """Trees until all but a hundredth of the points have a chance of MISSED or less to miss a link."""
+    forest, misses = [], np.ones(len(points))
+    while len(forest) < trees or np.quantile(misses, 0.99) > MISSED:
+        nodes, meets = grow(points, leaf, rng, threshold)
+        forest.append(nodes)
+        misses *= 1 - np.minimum(meets, 1)
+    return forest
 
 
 def leaves_of(points: np.ndarray, nodes: list) -> tuple[np.ndarray, np.ndarray]:
@@ -84,7 +129,9 @@ def leaves_of(points: np.ndarray, nodes: list) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(rows), np.concatenate(leaves)
 
 
-def place(classes: DataFrame, trees: int = TREES, sample: int = SAMPLE, leaf: int = LEAF) -> DataFrame:
+def place(
+    classes: DataFrame, trees: int = TREES, sample: int = SAMPLE, leaf: int = LEAF, threshold: float = THRESHOLD
+) -> DataFrame:
     """``cid, n, dim, embedding, codes`` of ``classes (cid, n, embedding)``: the leaves of every vector.
 
     ``codes`` number tree and leaf, and the dimension: vectors of different ones are never compared.
@@ -99,8 +146,8 @@ def place(classes: DataFrame, trees: int = TREES, sample: int = SAMPLE, leaf: in
     forests = {}
     for dim, own in by_dim.items():
         points, rng = unit(np.array(own)), np.random.default_rng([SEED, dim])
-        size = max(8.0, leaf * min(1.0, len(rows) / total))
-        forests[dim] = [grow(points, size, rng) for _ in range(trees)]
+        size = max(16.0, leaf * min(1.0, len(rows) / total))
+        forests[dim] = grow_forest(points, size, rng, trees, threshold)
     known = classes.sparkSession.sparkContext.broadcast(forests)
     schema = pa.schema(
         [("cid", pa.int64()), ("n", pa.int64()), ("dim", pa.int32()), ("embedding", pa.list_(pa.float64())), ("codes", pa.list_(pa.int64()))]
@@ -122,9 +169,10 @@ def place(classes: DataFrame, trees: int = TREES, sample: int = SAMPLE, leaf: in
     return map_batches(slim, "cid long, n long, dim int, embedding array<double>, codes array<long>", work)
 
 
-def _along(points: DataFrame) -> DataFrame:
-    """``cid, code, along``: places of ``points (cid, code, embedding)`` along their leaf's direction."""
-    schema = pa.schema([("cid", pa.int64()), ("code", pa.int64()), ("along", pa.float64())])
+def _along(points: DataFrame, threshold: float) -> DataFrame:
+    """``cid, code, along, far``: places of ``points (cid, code, embedding)`` along their leaf's direction,
+    and how far linked vectors lie apart there."""
+    schema = pa.schema([("cid", pa.int64()), ("code", pa.int64()), ("along", pa.float64()), ("far", pa.float64())])
 
     def work(batches):
         for b in batches:
@@ -132,12 +180,17 @@ def _along(points: DataFrame) -> DataFrame:
             for code, e in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
                 direction = np.random.default_rng([SEED, code & (2**63 - 1)]).standard_normal(len(e))
                 out.append(float(unit(np.array([e]))[0] @ direction / np.linalg.norm(direction)))
-            yield batch(schema, b.column(0), b.column(1), out)
+            far = [reach(len(e), threshold) for e in b.column(2)]
+            yield batch(schema, b.column(0), b.column(1), out, far)
 
-    return map_batches(points.select("cid", "code", "embedding"), "cid long, code long, along double", work)
+    return map_batches(
+        points.select("cid", "code", "embedding"), "cid long, code long, along double, far double", work
+    )
 
 
-def split_large(placed: DataFrame, largest: int = LARGEST) -> tuple[DataFrame, DataFrame | None]:
+def split_large(
+    placed: DataFrame, largest: int = LARGEST, *, threshold: float = THRESHOLD
+) -> tuple[DataFrame, DataFrame | None]:
     """``placed`` with all leaves split that are larger than ``largest`` and can be, level by level;
     and ``code, size`` of those that can't be (None if there are none)."""
     dense = None
@@ -150,24 +203,30 @@ def split_large(placed: DataFrame, largest: int = LARGEST) -> tuple[DataFrame, D
         if large.isEmpty():
             return placed, dense
         members = placed.select("cid", "embedding", F.explode("codes").alias("code"))
-        along = written(_along(members.join(large.select("code"), "code")), "along")
+        along = written(_along(members.join(large.select("code"), "code"), threshold), "along")
         middle = along.groupBy("code").agg(
-            F.percentile_approx("along", 0.5, 1000).alias("split"), (SPILL * F.stddev_pop("along")).alias("margin")
+            F.percentile_approx("along", list(PLACES), 1000).alias("splits"),
+            F.greatest(SPILL * F.stddev_pop("along"), LINKED_SPILL * F.max("far")).alias("margin"),
         )
         sided = along.join(middle, "code").select(
-            "cid", "code", (F.col("along") <= F.col("split") + F.col("margin")).alias("left"),
-            (F.col("along") >= F.col("split") - F.col("margin")).alias("right"),
+            "cid", "code", F.transform("splits", lambda s: F.col("along") <= s + F.col("margin")).alias("left"),
+            F.transform("splits", lambda s: F.col("along") >= s - F.col("margin")).alias("right"),
         )
-        gain = sided.groupBy("code").agg(
-            F.count(F.lit(1)).alias("size"),
-            F.greatest(F.sum(F.col("left").cast("long")), F.sum(F.col("right").cast("long"))).alias("most"),
+        share = lambda side, k: F.avg(F.col(side)[k].cast("double"))
+        work = [share("left", k) * share("left", k) + share("right", k) * share("right", k) for k in range(len(PLACES))]
+        gain = sided.groupBy("code").agg(F.count(F.lit(1)).alias("size"), F.array(*work).alias("work"))
+        gain = gain.withColumn("least", F.array_min("work")).withColumn(
+            "best", F.when(F.col("work")[0] <= LEAST_GAIN, 0).otherwise(F.array_position("work", F.col("least")) - 1).cast("int")
         )
         gain = written(gain, "gain")
-        stuck = gain.where(F.col("most") > LEAST_GAIN * F.col("size")).select("code", "size")
+        stuck = gain.where(F.col("least") > LEAST_GAIN).select("code", "size")
         dense = stuck if dense is None else dense.union(stuck)
+        chosen = gain.where(F.col("least") <= LEAST_GAIN).select("code", "best")
+        sided = sided.join(chosen, "code").select(
+            "cid", "code", F.col("left")[F.col("best")].alias("left"), F.col("right")[F.col("best")].alias("right")
+        )
         new = (
-            sided.join(gain.where(F.col("most") <= LEAST_GAIN * F.col("size")).select("code"), "code")
-            .groupBy("cid")
+            sided.groupBy("cid")
             .agg(
                 F.collect_list("code").alias("old"),
                 F.flatten(
@@ -267,8 +326,8 @@ def near_embeddings(
         .withColumn("cid", F.monotonically_increasing_id()),
         "classes",
     )
-    placed = written(place(classes, trees, sample, leaf), "placed")
-    placed, dense = split_large(placed)
+    placed = written(place(classes, trees, sample, leaf, threshold), "placed")
+    placed, dense = split_large(placed, threshold=threshold)
     members = placed.select("cid", "n", "embedding", "codes", F.explode("codes").alias("code"))
     if dense is None:
         dealt = members.withColumns({"own": F.lit(0), "low": F.lit(0), "high": F.lit(0)})

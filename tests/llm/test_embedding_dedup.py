@@ -71,3 +71,21 @@ def test_query(spark, size):
     sf_dir = f"/root/testdata/sf{size}"
     rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{sf_dir}/embeddings.parquet").collect()]
     check(op1_embedding_near_dedup(spark, sf_dir).collect(), rows, recall=1.0)
+
+
+def test_large_loose_group(spark):
+    """A group of vectors of their own, mean cosine 0.95 or 0.92, that is much larger than a leaf."""
+    rng = np.random.default_rng(11)
+    points = rng.standard_normal((7000, 64))
+    for at, cosine in ((0, 0.95), (2500, 0.92)):
+        middle, noise = rng.standard_normal(64), rng.standard_normal((2500, 64))
+        points[at : at + 2500] = middle / np.linalg.norm(middle) + noise * np.sqrt((1 / cosine - 1) / 64)
+    points = points.astype(np.float32).astype(float)
+    unit = points / np.linalg.norm(points, axis=1, keepdims=True)
+    links = np.array([int((unit[k] @ unit.T >= 0.9).sum()) - 1 for k in range(len(unit))])
+    table = spark.createDataFrame([(k, p.tolist(), 0) for k, p in enumerate(points)], SCHEMA)
+    got = {r.vec_id: r.n_links for r in op.near_embeddings(table).collect()}
+    found = np.array([got[k] for k in range(len(points))])
+    assert (found <= links).all()
+    for at in (0, 2500):
+        assert found[at : at + 2500].sum() >= 0.99 * links[at : at + 2500].sum() > 0
