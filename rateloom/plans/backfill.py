@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from rateloom.schemas import LANDED
 from rateloom.sinks.parquet import write_parquet
 from rateloom.sources import fx, stocks
-from rateloom.sources.envelope import latest_responses
+from rateloom.sources.audit import judged_landing
+from rateloom.sources.envelope import USABLE, latest_responses
 from rateloom.sources.planning import DEFAULT_FEED, bar_requests, historical_rate_requests
 from rateloom.sources.requests import SYMBOLS_PER_REQUEST, Transport, fetch_responses
 
@@ -18,16 +19,17 @@ from rateloom.sources.requests import SYMBOLS_PER_REQUEST, Transport, fetch_resp
 LANDING_PARTITIONS = ("feed", "request_date")
 
 
-def landed_of(requests: DataFrame, landing: str) -> DataFrame:
-    """What has landed of ``requests``: of each the last whole run, and of its pages the best copy.
+def _judged(requests: DataFrame, landing: str) -> DataFrame:
+    """What has landed of ``requests``, as in ``landed_of``, and whether its feed can use it.
 
+    A run is whole if its feed can use every page: a cut-off body counts as little as an error status.
     Only the partitions of the requests' feed and days are read; responses to other requests are left
     out before copies are compared. A missing folder holds nothing.
     """
     spark = requests.sparkSession
     path = spark._jvm.org.apache.hadoop.fs.Path(landing)
     if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
-        return spark.createDataFrame([], LANDED)
+        return spark.createDataFrame([], LANDED).withColumn(USABLE, F.lit(False))
     asked = requests.select(F.col("request_key").alias("_asked"))
     days = F.coalesce(F.try_element_at("params", F.lit("date")), F.try_element_at("params", F.lit("start")))
     # One row: the feeds asked for, and the first and last day. Requests without days may land on any.
@@ -38,13 +40,18 @@ def landed_of(requests: DataFrame, landing: str) -> DataFrame:
     landed = spark.read.schema(LANDED).parquet(landing).where(F.col("feed").isin(span["feeds"]))
     if not span["undated"] and span["lo"] is not None:
         landed = landed.where(F.col("request_date").between(F.lit(span["lo"]).cast("date"), F.lit(span["hi"]).cast("date")))
-    return latest_responses(landed.join(asked, landed["request_key"] == asked["_asked"], "left_semi"))
+    mine = landed.join(asked, landed["request_key"] == asked["_asked"], "left_semi")
+    return latest_responses(judged_landing(mine, span["feeds"]))
+
+
+def landed_of(requests: DataFrame, landing: str) -> DataFrame:
+    """What has landed of ``requests``: of each the last whole run, and of its pages the best copy."""
+    return _judged(requests, landing).drop(USABLE)
 
 
 def outstanding(requests: DataFrame, landing: str) -> DataFrame:
     """The ``requests`` without a whole usable answer in the landing folder."""
-    bad = F.coalesce(F.col("status") >= 400, F.lit(True))
-    known = landed_of(requests, landing).groupBy("request_key").agg(F.count_if(bad).alias("_bad")).where("_bad = 0")
+    known = _judged(requests, landing).groupBy("request_key").agg(F.count_if(~F.col(USABLE)).alias("_bad")).where("_bad = 0")
     return requests.join(known, "request_key", "left_anti").select(*requests.columns)
 
 

@@ -16,8 +16,8 @@ from rateloom.plans.backfill import LANDING_PARTITIONS
 from rateloom.schemas import CURRENCY_CODES, LANDED
 from rateloom.session import build_session
 from rateloom.sinks.parquet import write_parquet
-from rateloom.sources.audit import unusable_responses
-from rateloom.sources.envelope import latest_responses
+from rateloom.sources.audit import judged, unusable_responses
+from rateloom.sources.envelope import USABLE, latest_responses
 from rateloom.sources.fx import rates_latest
 from rateloom.sources.planning import ENDPOINTS, latest_rate_requests
 from rateloom.sources.requests import Transport, fetch_responses
@@ -43,11 +43,11 @@ def run_latest_rates(
     """Write the latest rates of ``bases``; returns where, and the responses that can't be used.
 
     Responses are picked by the base they were asked for, so others are never parsed. Of several polls
-    of a base the last usable one counts; failed ones go to the audit and stop nothing.
+    of a base the last that the feed can use counts; failed and broken ones go to the audit and stop nothing.
     """
     asked: Column = F.try_element_at("params", F.lit("base"))
     chosen = responses.where(asked.isin(check_bases(bases, codes)))
-    good = latest_responses(chosen.where(F.coalesce(F.col("status") < 400, F.lit(False))))
+    good = latest_responses(judged(chosen, "rates_latest").where(USABLE)).drop(USABLE)
     uri = write_parquet(rates_latest(good, on_error="drop"), root, prefix, **options)
     return uri, unusable_responses(chosen, "rates_latest")
 

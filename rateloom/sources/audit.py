@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rateloom.functions import classify_response
 
 from . import fx, stocks
+from .envelope import USABLE
+from .planning import ENDPOINTS
 
 READERS = {
     "rates_latest": fx.read_latest,
@@ -20,6 +24,26 @@ READERS = {
 }
 
 
+def judged(responses: DataFrame, feed: str) -> DataFrame:
+    """``responses`` with ``_usable``: whether the feed can use the body, not its status alone."""
+    read, _, ok = READERS[feed](responses)
+    # Out of a generator, so that what is asked of the verdict does not parse the body again.
+    verdict = F.explode(F.array(F.coalesce(ok, F.lit(False)))).alias(USABLE)
+    return read.select(*[c for c in responses.columns if c != USABLE], verdict)
+
+
+def judged_landing(landed: DataFrame, endpoints: list[str]) -> DataFrame:
+    """The rows of ``landed`` of the ``endpoints``, each judged by its own feed; by the status alone if
+    no feed has the endpoint."""
+    feeds = {e: f for f, e in ENDPOINTS.items()}
+    parts = [judged(landed.where(F.col("feed") == e), feeds[e]) for e in endpoints if e in feeds]
+    other = [e for e in endpoints if e not in feeds]
+    if other or not parts:
+        rest = landed.where(F.col("feed").isin(other))
+        parts.append(rest.withColumn(USABLE, F.coalesce(F.col("status") < 400, F.lit(False))))
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
 def unusable_responses(responses: DataFrame, feed: str) -> DataFrame:
     """``request_key, status, reason, body`` of the responses that ``on_error='drop'`` leaves out.
 

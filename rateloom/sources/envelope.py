@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _BAD = "_bad"
+#: Whether the feed can use a response, where that was judged (``audit.judged``).
+USABLE = "_usable"
 
 
 def read_body(responses: DataFrame, body_schema: str) -> DataFrame:
@@ -47,12 +49,17 @@ def usable(responses: DataFrame, ok: Column, n_rows: Column, *keys: Column) -> D
     )
 
 
-def _rank() -> Column:
+def _good(responses: DataFrame) -> Column:
+    """Whether a response counts as usable: as its feed judged it, or else by the status alone."""
+    return F.col(USABLE) if USABLE in responses.columns else F.coalesce(F.col("status") < 400, F.lit(False))
+
+
+def _rank(good: Column) -> Column:
     """Orders copies of a response: usable ones last, then by fetch time, then by status.
 
     One long, so that the best of many copies is found by hashing, without sorting any body.
     """
-    good = F.shiftleft(F.coalesce(F.col("status") < 400, F.lit(False)).cast("long"), 62)
+    good = F.shiftleft(good.cast("long"), 62)
     at = F.coalesce(F.unix_micros("fetched_at"), F.lit(0)) * 1000
     return good + at + 999 - F.coalesce("status", F.lit(999))
 
@@ -60,7 +67,7 @@ def _rank() -> Column:
 def _whole_runs(responses: DataFrame) -> DataFrame:
     """The rows of one run per request: the last of which all pages are usable, or else the last."""
     run = F.xxhash64("run_id").alias("_run")
-    good = F.min(F.coalesce(F.col("status") < 400, F.lit(False)).cast("long"))
+    good = F.min(_good(responses).cast("long"))
     began = F.max(F.when(F.coalesce("page", F.lit(0)) == 0, F.unix_micros("fetched_at")))
     rank = (F.shiftleft(good, 62) + F.coalesce(began, F.lit(0))).alias("_rank")
     runs = responses.groupBy("request_key", run).agg(rank)
@@ -74,14 +81,15 @@ def latest_responses(responses: DataFrame) -> DataFrame:
     """One row per request and page: the usable copy fetched last, or the last if none is usable.
 
     Pages count only with the run that fetched them: of the runs of a request the last whole one is
-    taken. Rows without a key are left out. The best copies are found by a hash aggregate over fixed
+    taken. Usable is what the feed can use if the responses were judged (``audit.judged``), else what has
+    no error status. Rows without a key are left out. The best copies are found by a hash aggregate over fixed
     width columns and joined back; only copies that tie in everything are ordered, by their bodies'
     hash.
     """
     keys = ["request_key"]
     if {"run_id", "page"} <= set(responses.columns):
         responses, keys = _whole_runs(responses), ["request_key", "page"]
-    ranked = responses.withColumn("_rank", _rank())
+    ranked = responses.withColumn("_rank", _rank(_good(responses)))
     if "page" in keys:
         ranked = ranked.withColumn("page", F.coalesce("page", F.lit(0)))
     counts = ranked.groupBy(*keys, "_rank").agg(F.count(F.lit(1)).alias("_copies"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from rateloom import schemas
 from rateloom.operators.shape import first_row
-from rateloom.plans.backfill import backfill_bars, backfill_rates, landed_of
+from rateloom.plans.backfill import backfill_bars, backfill_rates, landed_of, outstanding
 from rateloom.plans.latest_rates import fetch_latest_rates
 from rateloom.sources import fx, planning, requests, stocks
 from rateloom.sources.envelope import latest_responses
@@ -252,3 +252,38 @@ def test_copies_are_found_without_sorting(spark):
     assert "SortAggregate" not in chosen._jdf.queryExecution().executedPlan().toString()
     first = first_row(landed, ["request_key"], "fetched_at", ["body"])
     assert "SortAggregate" not in first._jdf.queryExecution().executedPlan().toString()
+
+
+def test_cut_off_pages_are_called_again(spark, folder):
+    """Status 200 and half a body is no answer: the next backfill calls for all pages again."""
+
+    def broken(request, attempt):
+        reply = pages_of(3)(request, attempt)
+        second = dict(request["params"]).get("page_token") == "1"
+        return requests.Reply(200, reply.body[: len(reply.body) // 2]) if second else reply
+
+    def run(provider, name):
+        uri, audit = backfill_bars(
+            symbols(spark, "AAA"), "2024-01-01", "2024-01-05", provider, f"{folder}/landing", folder, "bars",
+            filename=name, sleep=lambda s: None,
+        )
+        return sorted(r.timestamp.hour for r in spark.read.parquet(uri).collect()), [r.failed_pages for r in audit.collect()]
+
+    one = planning.bar_requests(symbols(spark, "AAA"), "2024-01-01", "2024-01-05")
+    assert run(broken, "a.parquet") == ([0], [1])
+    assert outstanding(one, f"{folder}/landing").count() == 1
+    assert run(pages_of(3), "b.parquet") == ([0, 1, 2], [0])
+    assert outstanding(one, f"{folder}/landing").count() == 0
+
+
+def test_broken_poll_leaves_the_last_good_one(spark, folder):
+    def provider(rate, cut=None):
+        body = json.dumps({"response": {"base": "USD", "rates": {"EUR": rate}}})
+        return lambda request, attempt: requests.Reply(200, body[:cut])
+
+    for rate, cut in ((0.9, None), (0.8, 20)):
+        uri, bad = fetch_latest_rates(
+            spark, ["USD"], provider(rate, cut), f"{folder}/landing", folder, "fx", filename=f"{rate}.parquet", sleep=lambda s: None
+        )
+    assert rows(spark.read.parquet(uri), "base_currency", "rate") == [("USD", 0.9)]
+    assert rows(bad, "status", "reason") == [(200, "json")]
