@@ -30,9 +30,12 @@ CYRILLIC = "ба бе би бо да де ди до фа фе га го ка к
 
 # Every pattern begins with what fails at most places of a text, as all of them are tried everywhere.
 EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,128}+@(?:[\p{L}\p{N}-]{1,63}\.){1,8}\p{L}{2,24}"
+# Name, separator and opening quote of a secret; Java needs the length of what it looks back at to be bounded.
+NAMED = r"(?i:password|passwd|pwd|secret|token|api_key)[\"']?[ \t]{0,3}(?:=>|:=|[=:])[ \t]{0,3}"
 SECRET = (
-    r"(?<==)(?<=(?i:password|passwd|pwd|secret|token|api_key)=)[^\s\"']{6,256}"
-    r"|(?=[0-9A-Fa-f])(?<![\p{L}\p{N}])(?:[0-9a-f]{32,128}+|[0-9A-F]{32,128}+|AKIA[0-9A-Z]{16})(?![\p{L}\p{N}])"
+    r"(?<=[=:> \t\"'])(?<=[=:>][ \t]{0,3}[\"']?)(?=[^\s\"'])"
+    rf"(?:(?<={NAMED}\")[^\"\r\n]{{6,}}+(?=\")|(?<={NAMED}')[^'\r\n]{{6,}}+(?=')|(?<={NAMED}[\"']?)[^\s\"']{{6,}}+)"
+    r"|(?=[0-9A-Fa-f])(?<![\p{L}\p{N}])(?:[0-9a-f]{32,}+|[0-9A-F]{32,}+|AKIA[0-9A-Z]{16})(?![\p{L}\p{N}])"
 )
 OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 ADDRESS = rf"(?=\d)(?<![\w.])(?:{OCTET}\.){{3}}{OCTET}(?![\w]|\.\d)"

@@ -91,3 +91,17 @@ def test_query(spark):
         pairs |= set(zip((f.lower() for f in found), (f.lower() for f in plain.findall(after[i].text))))
     assert real and not any(r in a.text for a in after.values() for r in real)
     assert len({a for a, _ in pairs}) == len({b for _, b in pairs}) == len(pairs)
+
+
+def test_long_and_quoted_secrets(spark):
+    """No length and no way of writing name and value leaves a part of the value."""
+    long = "".join(chr(97 + k % 26) + str(k % 10) for k in range(400))
+    values = [long, "0123456789abcdef" * 20, "hunter22x", "ghp_a1b2c3d4e5", "key-42-abc", "sk_9f8e7d6c", "correct horse battery"]
+    forms = ["password={} end", "x {} end", 'password="{}" end', 'token = "{}" end', "api_key: {} end", '{{"secret": "{}"}} end', "pwd = '{}' end"]
+    table = docs(spark, [f.format(v) for f, v in zip(forms, values)])
+    got = {r.doc_id: r for r in op.replace_entities(table).collect()}
+    for k, (form, value) in enumerate(zip(forms, values)):
+        before, after = form.format("\0").split("\0")
+        made = got[k].text[len(before) : len(got[k].text) - len(after)]
+        assert got[k].n_entities == 1 and got[k].text == before + made + after
+        assert len(made) == len(value) and value[-8:] not in made and made != value
