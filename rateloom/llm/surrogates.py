@@ -44,12 +44,17 @@ MARK = r"[^\p{L}\p{N}(+\r\n]{0,4}"
 PHONE = (
     rf"(?=[+1(])(?<![\w+.])(?:\+?1{MARK})?\(\d{{3}}\){MARK}\d{{3}}[ .-]\d{{4}}(?![\w-])"
     rf"|(?=[+\d])(?<![\w+.-])(?:\+?1[ .-])?\d{{3}}[ .-]\d{{3}}[ .-]\d{{4}}(?![\w-])"
+    # Any country: a plus and 8 to 15 digits, with up to two separators between them.
+    r"|(?=\+)(?<![\w+.-])\+[1-9](?:[ ./()-]{0,2}\d){7,14}(?![\w-])"
 )
 NATIONAL = r"(?=\d)(?<![\w.-])\d{3}-\d{2}-\d{4}(?![\w-])"
 CARD = r"(?=\d)(?<![\w.-])(?:\d{16}|\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{4}|3[47]\d{13})(?![\w-])"
-PERSON = (
-    rf"(?=\p{{Lu}})(?<!\p{{L}})(?:{MALE}|{FEMALE}|{NEUTRAL})\.? \p{{Lu}}\p{{L}}{{1,40}}(?: \p{{Lu}}\p{{L}}{{1,40}})?"
-)
+# One or several forms of address, then all capitalised words, initials and particles that follow.
+TITLES = rf"(?:(?:{MALE}|{FEMALE}|{NEUTRAL})\.? )"
+WORD = r"\p{Lu}(?:['’]\p{Lu})?\p{L}{1,40}+(?:['’]\p{Lu}\p{L}{0,40}+)?"
+WORDS = rf"{WORD}(?:-{WORD})*+"
+PARTICLES = "(?:(?:von|van|vom|zu|zum|der|den|de|del|della|di|da|dos|du|la|le|y) ){0,3}"
+PERSON = rf"(?=\p{{Lu}})(?<!\p{{L}}){TITLES}++(?:\p{{Lu}}\. ){{0,3}}{PARTICLES}{WORDS}(?:(?: \p{{Lu}}\.)*+ {PARTICLES}{WORDS})*+"
 NUMBERS = rf"(?=[+(\d])(?:{ADDRESS}|{PHONE}|{NATIONAL}|{CARD})"
 PATTERN = "|".join((EMAIL, SECRET, NUMBERS, PERSON))
 
@@ -62,8 +67,8 @@ def _parts() -> str:
     """What identifies the entities of a ``surface``, as an array of (kind, canon)."""
     digits = "regexp_replace(surface, r'\\D', '')"
     one = "array(named_struct('kind', {}, 'canon', {}))".format
-    male, female = (f"surface rlike {_sql(rf'^(?:{x})\.? ')}" for x in (MALE, FEMALE))
-    words = r"split(lower(regexp_extract(surface, r'^\S+ (.*)$', 1)), ' ')"
+    male, female = (f"surface rlike {_sql(rf'^{TITLES}*(?:{x})\.? ')}" for x in (MALE, FEMALE))
+    words = f"split(lower(regexp_replace(surface, {_sql(f'^{TITLES}+')}, '')), '[ -]')"
     given = f"case when {male} then 'given_m' when {female} then 'given_f' else 'given' end"
     return f"""case
         when surface rlike {_sql("^" + PERSON + "$")} then transform({words}, (w, i) -> named_struct(
@@ -74,7 +79,9 @@ def _parts() -> str:
         when surface rlike '^AKIA' then {one("'access'", "lower(surface)")}
         when surface rlike {_sql("^" + NATIONAL + "$")} then {one("'national'", digits)}
         when surface rlike {_sql("^(?:" + CARD + ")$")} then {one("'card'", digits)}
-        when surface rlike {_sql("^(?:" + PHONE + ")$")} then {one("'phone'", f"right({digits}, 10)")}
+        when surface rlike {_sql("^(?:" + PHONE + ")$")} then case
+            when surface like '+%' and {digits} not rlike r'^1\d{{10}}$' then {one("'abroad'", digits)}
+            else {one("'phone'", f"right({digits}, 10)")} end
         else {one("'secret'", "surface")} end"""
 
 
@@ -141,6 +148,7 @@ def _draw(entities: DataFrame, key: str) -> DataFrame:
         when 'address' then array_join(transform(split(canon, r'\\.'), (o, i) -> cast({octet} as string)), '.')
         when 'access' then concat('akia', substr(spread, 5))
         when 'phone' then concat(2 + {_byte("stream", "1")} % 8, substr(spread, 2))
+        when 'abroad' then concat(left(canon, 2), substr(spread, 3))
         when 'card' then concat(body, case when {_luhn("canon")} % 10 = 0 then {check} else right(spread, 1) end)
         when 'surname' then case when canon rlike r'\\p{{IsCyrillic}}' then {_name(CYRILLIC, "", "")} else {_name(LATIN, "", "")} end
         when 'given_m' then case when canon rlike r'\\p{{IsCyrillic}}' then {_name(CYRILLIC, "на", "н")} else {_name(LATIN, "na", "n")} end
@@ -191,11 +199,14 @@ def _rendered() -> str:
     cased = f"""array_join(transform(sequence(1, length(surface)), i -> case
         when substr(surface, i, 1) rlike r'\\p{{Lu}}' then upper(substr({s}, i, 1)) else substr({s}, i, 1) end), '')"""
     word = r"case when length(w) > 1 and w = upper(w) then upper(made[i]) else initcap(made[i]) end"
-    words = r"split(regexp_extract(surface, r'^\S+ (.*)$', 1), ' ')"
+    titles = f"regexp_extract(surface, {_sql(f'^{TITLES}+')}, 0)"
+    names = f"substr(surface, length({titles}) + 1)"
+    words = f"split({names}, '[ -]')"
+    gaps = f"regexp_extract_all({names}, '[ -]', 0)"
     return f"""case
-        when kind in ('surname', 'given', 'given_m', 'given_f') then concat(regexp_extract(surface, r'^(\\S+ )', 1),
-            array_join(transform({words}, (w, i) -> {word}), ' '))
-        when kind in ('national', 'card') and length({s}) <= length(regexp_replace(surface, r'\\D', '')) then {digits}
+        when kind in ('surname', 'given', 'given_m', 'given_f') then concat({titles},
+            array_join(transform({words}, (w, i) -> concat({word}, coalesce(get({gaps}, i), ''))), ''))
+        when kind in ('national', 'card', 'abroad') and length({s}) <= length(regexp_replace(surface, r'\\D', '')) then {digits}
         when kind = 'phone' and length({s}) = 10 then {digits}
         when length({s}) = length(surface) then {cased}
         when surface = upper(surface) then upper({s}) else {s} end"""

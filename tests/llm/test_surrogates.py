@@ -105,3 +105,19 @@ def test_long_and_quoted_secrets(spark):
         made = got[k].text[len(before) : len(got[k].text) - len(after)]
         assert got[k].n_entities == 1 and got[k].text == before + made + after
         assert len(made) == len(value) and value[-8:] not in made and made != value
+
+
+def test_phones_of_other_countries_and_longer_names(spark):
+    phones = ["+49 30 1234567", "+33 1 23 45 67 89", "+1 4435555793", "+34 912-345-678"]
+    names = ["Mrs Anna-Maria Huber", "Mr. John Ronald Smith", "Mr O'Brien", "Frau Dr. Müller", "Herr Ludwig van Beethoven", "Dr. John F. Kennedy"]
+    got = {r.doc_id: r for r in op.replace_entities(docs(spark, [f"call {x} now" for x in phones + names])).collect()}
+    for k, phone in enumerate(phones):
+        made = got[k].text[5:-4]
+        assert got[k].n_entities == 1 and made != phone and made[:3] == phone[:3]
+        assert [c for c in made if not c.isdigit()] == [c for c in phone if not c.isdigit()] and len(made) == len(phone)
+        assert not set(re.findall(r"\d{3,}", phone)) & set(re.findall(r"\d{3,}", made))
+    for k, name in enumerate(names, len(phones)):
+        made = re.fullmatch(r"call (?:(?:Mrs|Mr|Frau|Herr|Dr)\.? )+(.*) now", got[k].text)[1]
+        left = set(re.split(r"[ .-]", name)) - {"Mrs", "Mr", "Frau", "Herr", "Dr", ""}
+        assert got[k].n_entities == 1 and made[0].isupper() and not left & set(re.split(r"[ .-]", made))
+    assert "-" in got[len(phones)].text and got[len(phones) + 3].text.startswith("call Frau Dr. ")
