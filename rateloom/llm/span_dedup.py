@@ -1,13 +1,14 @@
 """Removes repeated passages: every run of consecutive sentences is hashed and joined globally.
 
 From every sentence a run goes forward and one goes backward until it has SENTENCES sentences and
-LEAST_WORDS words, or ENOUGH_WORDS words. The first occurrence of a run (by id, then by place) stays; the
+LEAST_WORDS words, or ENOUGH_WORDS words; two letters of a script without blanks count as a word. The first occurrence of a run (by id, then by place) stays; the
 sentences of all others go. An occurrence that is not the first of its batch is not the first of all
 either, so only one occurrence per batch meets the others, however often a passage repeats.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,6 +23,16 @@ SENTENCES = 3
 LEAST_WORDS = 12
 ENOUGH_WORDS = 20
 BATCH_ROWS = 4096
+#: Letters of scripts without blanks (Thai to Khmer, kana, Han) that count as one more word.
+LETTERS_PER_WORD = 2
+
+_THAI = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff"
+_UNSPACED = re.compile(f"[{_THAI}\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
+_CLOSING = "\"'”’»›)\\]}」』】》）］"
+# Latin marks end a sentence before a blank, marks of other scripts anywhere; Thai and its like have blanks only.
+_END = re.compile(
+    f"[.!?][{_CLOSING}]*(?=[^\\S\n])|[。！？｡।॥؟۔።။។][{_CLOSING}]*|[{_THAI}](?=[^\\S\n])"
+)
 
 # Two odd multipliers, for two polynomials over the sentences' hashes modulo 2^64, and their inverses.
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
@@ -29,12 +40,15 @@ _INVERSES = tuple(pow(b, -1, 1 << 64) for b in _BASES)
 
 
 def pieces_of(text: str) -> list[str]:
-    """The text cut before every line feed and after every full stop, exclamation or question mark that
-    a space follows; joined they are the text."""
+    """The text cut before every line feed and after every sentence; joined they are the text.
+
+    A full stop, exclamation or question mark ends a sentence if white space follows, also after closing
+    quotes and brackets; marks of other scripts always do, and so does a blank after Thai, Lao, Khmer or
+    Burmese. Text without any of these is one sentence up to the line feed.
+    """
     if "\0" in text:
         text = text.replace("\0", "�")
-    for mark in ".!?":
-        text = text.replace(mark + " ", mark + "\0 ")
+    text = _END.sub("\\g<0>\0", text)
     return text.replace("\n", "\0\n").split("\0")
 
 
@@ -42,6 +56,8 @@ def sentences_of(text: str) -> tuple[list[str], list[int], list[int]]:
     """The pieces of a text, which of them hold words, and how many."""
     pieces = pieces_of(text)
     words = [len(p.split()) for p in pieces]
+    if not text.isascii() and _UNSPACED.search(text):
+        words = [n + len(_UNSPACED.findall(p)) // LETTERS_PER_WORD for n, p in zip(words, pieces)]
     at = [k for k, n in enumerate(words) if n]
     return pieces, at, [words[k] for k in at]
 

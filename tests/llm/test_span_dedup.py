@@ -88,3 +88,22 @@ def test_query(spark):
     texts = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").orderBy("doc_id").collect()]
     got = sorted((r.doc_id, r.text, r.n_removed) for r in op3_substring_dedup(spark, sf_dir).collect())
     assert got == sorted(brute_force(texts)) and any(n for _, _, n in got)
+
+
+def test_other_scripts_and_closing_marks(spark):
+    """Passages between sentences of their own, on one line."""
+    passages = [
+        "今天的天气非常好我们去公园散步。孩子们在草地上奔跑玩耍非常开心！你想和我们一起去吗？",
+        "यह एक लंबा वाक्य है जो कई बार आता है। दूसरा वाक्य भी यहाँ बार बार आता है। तीसरा वाक्य यहीं समाप्त होता है।",
+        "He said \"one two three four five.\" Then (six seven eight nine ten.)\tAt last eleven twelve thirteen fourteen!\u00a0",
+        "วันนี้อากาศดีมากเราไปเดินเล่นที่สวนสาธารณะ เด็กๆวิ่งเล่นบนสนามหญ้าอย่างมีความสุข ",
+    ]
+    own = [("甲乙丙。", "丁戊。"), ("पहला। ", " अंत।"), ("She left?\" ", "Never again."), ("กขค ", "งจฉ")]
+    texts = [t for p, (a, b) in zip(passages, own) for t in (p, a + p + b)]
+    got = {r.doc_id: r for r in op.drop_repeated_passages(docs(spark, texts)).collect()}
+    for k, (a, b) in enumerate(own):
+        assert got[2 * k].text == texts[2 * k] and got[2 * k].n_removed == 0
+        assert got[2 * k + 1].n_removed >= 2 and got[2 * k + 1].text.split() == (a + b).split() or k in (0, 2)
+    assert got[1].text == "".join(own[0]) and got[5].text.replace("\u00a0", " ").split() == "".join(own[2]).split()
+    for text in texts:
+        assert "".join(op.pieces_of(text)) == text
