@@ -49,9 +49,11 @@ def landed_of(requests: DataFrame, landing: str) -> DataFrame:
     return _judged(requests, landing).drop(USABLE)
 
 
-def outstanding(requests: DataFrame, landing: str) -> DataFrame:
-    """The ``requests`` without a whole usable answer in the landing folder."""
-    known = _judged(requests, landing).groupBy("request_key").agg(F.count_if(~F.col(USABLE)).alias("_bad")).where("_bad = 0")
+def outstanding(requests: DataFrame, landing: str, by_feed: bool = False) -> DataFrame:
+    """The ``requests`` without a whole usable answer in the landing folder: one without an error status
+    or, ``by_feed``, one whose bodies the feed can use."""
+    bad = ~F.col(USABLE) if by_feed else F.coalesce(F.col("status") >= 400, F.lit(True))
+    known = _judged(requests, landing).groupBy("request_key").agg(F.count_if(bad).alias("_bad")).where("_bad = 0")
     return requests.join(known, "request_key", "left_anti").select(*requests.columns)
 
 
@@ -62,7 +64,7 @@ def land_responses(requests: DataFrame, transport: Transport, landing: str, **op
     The bodies are on shared storage before anything reads them, so no later step calls again, and a
     run that broke off goes on where it was. The folder is partitioned by feed and day.
     """
-    fetched = fetch_responses(outstanding(requests, landing), transport, **options)
+    fetched = fetch_responses(outstanding(requests, landing, by_feed=True), transport, **options)
     fetched.write.mode("append").partitionBy(*LANDING_PARTITIONS).parquet(landing)
     return landed_of(requests, landing)
 

@@ -271,9 +271,9 @@ def test_cut_off_pages_are_called_again(spark, folder):
 
     one = planning.bar_requests(symbols(spark, "AAA"), "2024-01-01", "2024-01-05")
     assert run(broken, "a.parquet") == ([0], [1])
-    assert outstanding(one, f"{folder}/landing").count() == 1
+    assert outstanding(one, f"{folder}/landing", by_feed=True).count() == 1
     assert run(pages_of(3), "b.parquet") == ([0, 1, 2], [0])
-    assert outstanding(one, f"{folder}/landing").count() == 0
+    assert outstanding(one, f"{folder}/landing", by_feed=True).count() == 0
 
 
 def test_broken_poll_leaves_the_last_good_one(spark, folder):
