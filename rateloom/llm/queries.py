@@ -13,7 +13,7 @@ from rateloom.llm.common import shared_folder
 from rateloom.llm.embedding_dedup import near_embeddings
 from rateloom.llm.fingerprints import fingerprint_documents
 from rateloom.llm.language import held_out, identify_documents
-from rateloom.llm import lexical_search, mixing
+from rateloom.llm import exact_search, lexical_search, mixing
 from rateloom.llm.packing import pack
 from rateloom.llm.quality import score_documents
 from rateloom.llm.simhash_dedup import simhash_groups
@@ -95,6 +95,11 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_exact_top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 highest inner products of every hundredth vector."""
+    return exact_search.top_products(_table(spark, sf_dir, "embeddings"))
+
+
 def op12_ranked_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 50 best documents of every benchmark item."""
     return lexical_search.rank_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
@@ -111,10 +116,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_token_files": op9_token_files,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
+    "op11_exact_top_k_search": op11_exact_top_k_search,
     "op12_ranked_lexical_search": op12_ranked_lexical_search,
 }
 
 ORACLE: dict[str, str] = {
     "op2_mix_sources": mixing.oracle(),
+    "op11_exact_top_k_search": exact_search.oracle(),
     "op12_ranked_lexical_search": lexical_search.oracle(),
 }
