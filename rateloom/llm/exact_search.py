@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rateloom.llm.common import batch, map_batches, written
-from rateloom.llm.vector_blocks import NO_ID, Block, blocks_of, leading, meet, narrow, whole_rows, widened
+from rateloom.llm.vector_blocks import NO_ID, Block, blocks_of, leading, matrix_of, meet, narrow, whole_rows, widened
 
 SCALE = 1024
 TOP = 10
@@ -43,15 +43,11 @@ def _sides(rows: DataFrame) -> DataFrame:
     schema = pa.schema([("vec_id", pa.int64()), ("tie", pa.int64()), ("vector", pa.binary()), ("side", pa.int64())])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        planes: dict[int, np.ndarray] = {}
         for b in batches:
-            side = []
-            for v in b.column(2):
-                x = widened(v.as_py())
-                if len(x) not in planes:
-                    planes[len(x)] = np.random.default_rng(SEED).standard_normal((PLANES, len(x)))
-                side.append(int(((planes[len(x)] @ x) > 0) @ (1 << np.arange(PLANES))))
-            yield batch(schema, *b.columns, side)
+            x = matrix_of(b.column(2).to_pylist())
+            # A row of numbers per dimension, the same however many there are: zeros at the end change no side.
+            planes = np.random.default_rng(SEED).standard_normal((x.shape[1], PLANES))
+            yield batch(schema, *b.columns, pa.array((x @ planes > 0) @ (1 << np.arange(PLANES)), pa.int64()))
 
     return map_batches(rows.select("vec_id", "tie", "vector"), "vec_id long, tie long, vector binary, side long", work)
 

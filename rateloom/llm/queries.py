@@ -13,7 +13,7 @@ from rateloom.llm.common import shared_folder
 from rateloom.llm.embedding_dedup import near_embeddings
 from rateloom.llm.fingerprints import fingerprint_documents
 from rateloom.llm.language import held_out, identify_documents
-from rateloom.llm import exact_search, lexical_search, mixing
+from rateloom.llm import exact_search, hard_negatives, lexical_search, mixing
 from rateloom.llm.packing import pack
 from rateloom.llm.quality import score_documents
 from rateloom.llm.simhash_dedup import simhash_groups
@@ -105,6 +105,11 @@ def op12_ranked_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search.rank_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op13_hard_negative_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector's positives."""
+    return hard_negatives.hard_negatives(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op2_mix_sources": op2_mix_sources,
@@ -118,10 +123,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
     "op11_exact_top_k_search": op11_exact_top_k_search,
     "op12_ranked_lexical_search": op12_ranked_lexical_search,
+    "op13_hard_negative_mining": op13_hard_negative_mining,
 }
 
 ORACLE: dict[str, str] = {
     "op2_mix_sources": mixing.oracle(),
     "op11_exact_top_k_search": exact_search.oracle(),
     "op12_ranked_lexical_search": lexical_search.oracle(),
+    "op13_hard_negative_mining": hard_negatives.oracle(),
 }

@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -55,12 +56,12 @@ def whole_rows(table: DataFrame, scale: int, columns: dict) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            own = []
-            for values in b.column(b.num_columns - 1):
-                x = np.floor(scale * np.array(values.as_py(), np.float64))
-                if len(x) and np.abs(x).max() >= 2.0**62:
-                    raise OverflowError("a component is too large for whole numbers of 64 bits")
-                own.append(narrow(x.astype(np.int64)))
+            vectors = b.column(b.num_columns - 1)
+            x = np.floor(scale * vectors.flatten().to_numpy(zero_copy_only=False))
+            if np.abs(x).max(initial=0) >= 2.0**62:
+                raise OverflowError("a component is too large for whole numbers of 64 bits")
+            ends = np.cumsum(np.array(pa.compute.list_value_length(vectors)))
+            own = [narrow(v) for v in np.split(x.astype(np.int64), ends[:-1])] if len(ends) else []
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(own, pa.binary())], schema=schema)
 
     rows = table.where(finite("embedding")).select(
@@ -76,7 +77,8 @@ def block_schema(extras: list[str]) -> str:
     return "part int, cut int, n int, ids binary, " + "".join(f"{c} binary, " for c in extras) + "vectors binary"
 
 
-def _matrix(vectors: list[bytes]) -> np.ndarray:
+def matrix_of(vectors: list[bytes]) -> np.ndarray:
+    """A row per vector; shorter ones get zeros."""
     rows = [widened(v) for v in vectors]
     matrix = np.zeros((len(rows), max(map(len, rows), default=0)), np.int64)
     for k, row in enumerate(rows):
@@ -98,7 +100,7 @@ def blocks_of(rows: DataFrame, keys: list[str], extras: list[str], n_rows: int)
 
         def block(table: pa.Table) -> pa.RecordBatch:
             ids, *own, vectors = (table.column(c) for c in ("vec_id", *extras, "vector"))
-            matrix = _matrix(vectors.to_pylist())
+            matrix = matrix_of(vectors.to_pylist())
             packed = [ids.fill_null(NO_ID).to_numpy(), *(c.to_numpy() for c in own)]
             return pa.RecordBatch.from_arrays(
                 [*(pa.array([x], pa.int32()) for x in (part, cut, len(matrix))), *(pa.array([x.astype(np.int64).tobytes()]) for x in packed), pa.array([narrow(matrix)])],
