@@ -57,18 +57,23 @@ def _nearest(points: np.ndarray, codes: np.ndarray) -> np.ndarray:
 
 
 def codebook(points: np.ndarray, n_codes: int, rng: np.random.Generator) -> np.ndarray:
-    """At most ``n_codes`` middles of the points, by k-means from distinct points; none without points."""
-    if not points.shape[1]:
-        return np.zeros((1, 0))
-    codes = np.unique(points, axis=0)
-    codes = codes[np.sort(rng.permutation(len(codes))[:n_codes])].astype(np.float64)
-    for _ in range(ROUNDS if len(codes) else 0):
+    """At most ``n_codes`` middles of the points, by k-means; the first are points, each likelier the farther
+    it is from those before. One of zeros without points."""
+    if not points.size:
+        return np.zeros((1, points.shape[1]))
+    chosen = [int(rng.integers(len(points)))]
+    far = ((points - points[chosen[0]]) ** 2).sum(axis=1)
+    while len(chosen) < n_codes and far.any():
+        chosen.append(int(rng.choice(len(points), p=far / far.sum())))
+        far = np.minimum(far, ((points - points[chosen[-1]]) ** 2).sum(axis=1))
+    codes = points[chosen].astype(np.float64)
+    for _ in range(ROUNDS):
         own = _nearest(points, codes)
         sums = np.zeros_like(codes)
         np.add.at(sums, own, points)
         sizes = np.bincount(own, minlength=len(codes))
         codes[sizes > 0] = sums[sizes > 0] / sizes[sizes > 0, None]
-    return codes if len(codes) else np.zeros((1, points.shape[1]))
+    return codes
 
 
 def fit(rows: DataFrame, n_rows: int) -> tuple[np.ndarray, np.ndarray]:
