@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,10 +39,36 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def worker_state() -> dict:
-    """A place in a Python worker that outlives a task, as Spark reuses its workers."""
+def worker_state(owner: str) -> dict:
+    """A place in a Python worker that outlives a task, as Spark reuses its workers.
+
+    A worker serves one owner at a time: what others kept is let go, so that a job of several operators
+    needs no more memory than the largest of them.
+    """
     module = sys.modules.setdefault("rateloom_worker_state", types.ModuleType("rateloom_worker_state"))
-    return module.__dict__
+    held = module.__dict__.setdefault("held", {})
+    if list(held) != [owner]:
+        held.clear()
+        held[owner] = {}
+    return held[owner]
+
+
+#: Rows and bytes of text that are worked on at once, about; a longer text makes a slice by itself.
+SLICE_ROWS = 2048
+SLICE_BYTES = 8 << 20
+
+
+def slices(b: pa.RecordBatch, at: int) -> Iterator[pa.RecordBatch]:
+    """``b`` in slices bounded by rows and by the bytes of the texts in column ``at``."""
+    sizes = pa.compute.fill_null(pa.compute.binary_length(b.column(at)), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(sizes)
+    first = 0
+    while first < b.num_rows:
+        before = int(ends[first - 1]) if first else 0
+        last = int(np.searchsorted(ends, before + SLICE_BYTES, "right"))
+        last = min(max(last, first + 1), first + SLICE_ROWS, b.num_rows)
+        yield b.slice(first, last - first)
+        first = last
 
 
 def map_batches(

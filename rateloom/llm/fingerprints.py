@@ -83,7 +83,7 @@ _SCHEMA = pa.schema(
 
 
 def _words() -> _Words:
-    state = worker_state()
+    state = worker_state("fingerprints")
     if len(state.get("words", ())) > REMEMBERED or "words" not in state:
         state["words"] = _Words()
     return state["words"]

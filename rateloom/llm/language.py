@@ -231,7 +231,7 @@ def identify(docs: DataFrame, pieces: list[str], langs: list[str], chances: np.n
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, table, longest, langs = known.value
-        state = worker_state()
+        state = worker_state("language")
         if state.get("language", ("",))[0] != model:
             state["language"] = (model, _Scores(ids, table, longest))
         scores = state["language"][1]

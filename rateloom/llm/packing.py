@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rateloom.llm.common import batch, map_batches, written
+from rateloom.llm.common import batch, map_batches, slices, written
 from rateloom.llm.tokens import Encoder
 
 CAPACITY = 2048
@@ -80,8 +80,8 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFra
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = Encoder.of(tokenizer, words=True)
         for b in batches:
-            for at in range(0, b.num_rows, 2048):
-                part, rows = b.slice(at, 2048), []
+            for part in slices(b, 1):
+                rows = []
                 encoded = encode([t or "" for t in part.column(1).to_pylist()])
                 for doc_id, ids in zip(part.column(0).to_pylist(), encoded):
                     ids += end

@@ -141,7 +141,7 @@ def score(docs: DataFrame, model: tuple) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         good, bad, (points, chances) = known.value
-        state = worker_state()
+        state = worker_state("quality")
         if state.get("quality", ("",))[0] != key:
             state["quality"] = (key, Sizes(good, bad))
         sizes = state["quality"][1]

@@ -1,8 +1,9 @@
 """Token ids of documents as Huffman-coded blocks, written and read by Spark.
 
-A token file is a folder of two Parquet tables: ``code`` (the length of every id's canonical code) and
-``blocks``. A block holds whole documents, one after the other in ascending id order; ``part`` and
-``block`` number them in that order. It can be decoded by itself, and from every checkpoint in it.
+A token file is a folder of three Parquet tables: ``code`` (the length of every id's canonical code),
+``blocks`` and ``parts``. A block holds whole documents, one after the other in ascending id order; ``part``
+and ``block`` number them in that order, ``before`` counts the ids before it in its part, and ``parts``
+those before each part. It can be decoded by itself, and from every checkpoint in it.
 """
 
 from __future__ import annotations
@@ -12,10 +13,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rateloom.llm.common import batch, map_batches, worker_state
+from rateloom.llm.common import batch, map_batches, slices, worker_state
 from rateloom.llm.huffman import LIMIT, Decoder, code_lengths, codes_of, encode
 from rateloom.llm.tokens import Encoder
 
@@ -25,27 +26,26 @@ BLOCK_IDS = 1 << 19
 
 
 def raw_blocks(docs: DataFrame, tokenizer: str, end: int = END) -> DataFrame:
-    """``part, block, doc_ids, sizes, ids``: documents in ascending id order, by blocks.
+    """``part, block, before, doc_ids, sizes, ids``: documents in ascending id order, by blocks.
 
     Null ids come first; rows of one id by a hash of their text. Null texts are empty.
     """
     schema = pa.schema(
-        [("part", pa.int64()), ("block", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64())), ("ids", pa.binary())]
+        [("part", pa.int64()), ("block", pa.int64()), ("before", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64())), ("ids", pa.binary())]
     )
     close = end.to_bytes(4, "little")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part, block = Encoder.of(tokenizer, words=False), TaskContext.get().partitionId(), 0
-        doc_ids, sizes, parts, held = [], [], [], 0
+        doc_ids, sizes, parts, held, before = [], [], [], 0, 0
 
         def row():
             ids = np.concatenate([np.frombuffer(p, "<u4") for p in parts])
             narrow = ids.astype("<u2") if int(ids.max()) < 1 << 16 else ids
-            return batch(schema, [part], [block], [doc_ids], [sizes], [bytes([narrow.itemsize]) + narrow.tobytes()])
+            return batch(schema, [part], [block], [before], [doc_ids], [sizes], [bytes([narrow.itemsize]) + narrow.tobytes()])
 
         for b in batches:
-            for at in range(0, b.num_rows, 2048):
-                own = b.slice(at, 2048)
+            for own in slices(b, 1):
                 encoded = encoder([t or "" for t in own.column(1).to_pylist()])
                 for doc_id, ids in zip(own.column(0).to_pylist(), encoded):
                     doc_ids.append(doc_id)
@@ -54,7 +54,7 @@ def raw_blocks(docs: DataFrame, tokenizer: str, end: int = END) -> DataFrame:
                     held += sizes[-1]
                     if held >= BLOCK_IDS:
                         yield row()
-                        doc_ids, sizes, parts, held, block = [], [], [], 0, block + 1
+                        doc_ids, sizes, parts, held, before, block = [], [], [], 0, before + held, block + 1
         if doc_ids:
             yield row()
 
@@ -64,7 +64,7 @@ def raw_blocks(docs: DataFrame, tokenizer: str, end: int = END) -> DataFrame:
         .sortWithinPartitions("doc_id", F.xxhash64("text"))
     )
     return map_batches(
-        ordered, "part long, block long, doc_ids array<long>, sizes array<long>, ids binary", work
+        ordered, "part long, block long, before long, doc_ids array<long>, sizes array<long>, ids binary", work
     )
 
 
@@ -108,23 +108,28 @@ def write_token_file(docs: DataFrame, tokenizer: str, path: str, end: int = END,
     spark.createDataFrame(code, "id long, bits int").coalesce(1).write.parquet(f"{path}/code")
     known = spark.sparkContext.broadcast((lengths, codes_of(lengths)))
     schema = pa.schema(
-        [("part", pa.int64()), ("block", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64())), ("payload", pa.binary()), ("checkpoints", pa.binary())]
+        [("part", pa.int64()), ("block", pa.int64()), ("before", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64())), ("payload", pa.binary()), ("checkpoints", pa.binary())]
     )
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for k in range(b.num_rows):
-                payload, marks = encode(_ids(b.column(4)[k].as_py()), *known.value)
+                payload, marks = encode(_ids(b.column(5)[k].as_py()), *known.value)
                 yield pa.RecordBatch.from_arrays(
-                    [*(b.column(i).slice(k, 1).cast(schema.field(i).type) for i in range(4)), pa.array([payload]), pa.array([marks])],
+                    [*(b.column(i).slice(k, 1).cast(schema.field(i).type) for i in range(5)), pa.array([payload]), pa.array([marks])],
                     schema=schema,
                 )
 
     map_batches(
-        raw.select("part", "block", "doc_ids", "sizes", "ids"),
-        "part long, block long, doc_ids array<long>, sizes array<long>, payload binary, checkpoints binary",
+        raw.select("part", "block", "before", "doc_ids", "sizes", "ids"),
+        "part long, block long, before long, doc_ids array<long>, sizes array<long>, payload binary, checkpoints binary",
         work,
     ).write.option("compression", "none").parquet(f"{path}/blocks")
+    # A row per part goes through one window, a row per range of ids.
+    held = spark.read.parquet(f"{path}/blocks").select("part", F.expr("aggregate(sizes, 0L, (s, x) -> s + x)").alias("n"))
+    held.groupBy("part").agg(F.sum("n").alias("n")).selectExpr(
+        "part", "coalesce(sum(n) over (order by part rows between unbounded preceding and 1 preceding), 0) as base"
+    ).write.parquet(f"{path}/parts")
 
 
 def read_token_file(spark: SparkSession, path: str, limit: int = LIMIT) -> DataFrame:
@@ -133,50 +138,38 @@ def read_token_file(spark: SparkSession, path: str, limit: int = LIMIT) -> DataF
     lengths_of = {r["id"]: r["bits"] for r in spark.read.parquet(f"{path}/code").collect()}
     lengths = np.zeros(max(lengths_of, default=-1) + 1, np.uint8)
     lengths[list(lengths_of)] = list(lengths_of.values())
-    known = spark.sparkContext.broadcast(lengths)
+    # As many rows as the file was written by tasks.
+    bases = {r["part"]: r["base"] for r in spark.read.parquet(f"{path}/parts").collect()}
+    known = spark.sparkContext.broadcast((lengths, bases))
     blocks = spark.read.parquet(f"{path}/blocks")
     schema = pa.schema(
-        [("part", pa.int64()), ("block", pa.int64()), ("doc_id", pa.int64()), ("before", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary())]
+        [("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary())]
     )
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        state = worker_state()
-        if state.get("huffman", ("",))[0] != path:
-            state["huffman"] = (path, Decoder(known.value, limit))
-        decode = state["huffman"][1]
+        state = worker_state("huffman")
+        if state.get("path") != path:
+            state |= {"path": path, "decode": Decoder(known.value[0], limit)}
+        decode, bases = state["decode"], known.value[1]
         for b in batches:
-            for part, block, doc_ids, sizes, payload, marks in zip(*(c for c in b.columns)):
+            for part, before, doc_ids, sizes, payload, marks in zip(*(c for c in b.columns)):
                 sizes = np.array(sizes.as_py(), np.int64)
                 ids = decode(payload.as_py(), marks.as_py(), int(sizes.sum()))
                 ends = np.cumsum(sizes)
                 view, firsts = memoryview(ids.tobytes()), ends - sizes
-                n = len(sizes)
                 yield batch(
                     schema,
-                    pa.array([part.as_py()] * n),
-                    pa.array([block.as_py()] * n),
                     doc_ids.values,
-                    pa.array(firsts),
+                    pa.array(bases[part.as_py()] + before.as_py() + firsts),
                     pa.array(sizes),
                     pa.array([view[4 * s : 4 * e] for s, e in zip(firsts.tolist(), ends.tolist())], pa.binary()),
                 )
 
-    found = map_batches(
-        blocks.select("part", "block", "doc_ids", "sizes", "payload", "checkpoints"),
-        "part long, block long, doc_id long, before long, n_tokens long, ids binary",
+    return map_batches(
+        blocks.select("part", "before", "doc_ids", "sizes", "payload", "checkpoints"),
+        "doc_id long, start long, n_tokens long, ids binary",
         work,
     )
-    # Where blocks begin: a row per part goes through one window, the blocks of a part through another.
-    held = blocks.select("part", "block", F.expr("aggregate(sizes, 0L, (s, x) -> s + x)").alias("n"))
-    earlier = Window.partitionBy("part").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    parts = held.groupBy("part").agg(F.sum("n").alias("n"))
-    base = parts.selectExpr(
-        "part", "coalesce(sum(n) over (order by part rows between unbounded preceding and 1 preceding), 0) as base"
-    )
-    starts = held.select("part", "block", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("first")).join(base, "part")
-    return found.join(
-        starts.select("part", "block", (F.col("base") + F.col("first")).alias("first")), ["part", "block"]
-    ).select("doc_id", (F.col("first") + F.col("before")).alias("start"), "n_tokens", "ids")
 
 
 def digest(found: DataFrame) -> DataFrame:

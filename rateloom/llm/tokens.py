@@ -12,10 +12,10 @@ from rateloom.llm.common import worker_state
 
 #: Chunks kept per Python worker and generation: a full one becomes the old one, and what is still in
 #: use moves on from there.
-REMEMBERED = 400_000
+REMEMBERED = 100_000
 LONGEST = 64
 #: Letters with punctuation after them: tokenizers cut between the two.
-_ENDED = re.compile(r"( ?[^\W\d_]+)([.,!?;:%*$&#|\"()\-]+)")
+_ENDED = re.compile(r"([^\W\d_]+)([.,!?;:%*$&#|\"()\-]+)")
 #: All white space but the space and the line feed.
 _ODD_SPACE = re.compile("[" + "".join(chr(c) for c in range(0x3001) if chr(c).isspace() and chr(c) not in " \n") + "]")
 _SEPARATORS = re.compile("[\x1c-\x1f]")
@@ -35,7 +35,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.words = Tokenizer.from_file(path), words
-        self.known, self.old, self.stems, self.old_stems = {}, {}, {}, {}
+        self.known, self.old, self.tails = {}, {}, {}
         # What ends a word (or begins one, with the space before it), by id.
         vocabulary = self.tokenizer.get_vocab()
         self.edge = np.zeros(max(vocabulary.values()) + 1, bool)
@@ -43,8 +43,9 @@ class Encoder:
 
     @staticmethod
     def of(path: str, words: bool) -> Encoder:
-        state, key = worker_state(), f"encoder:{path}:{words}"
+        state, key = worker_state("encoder"), f"{path}:{words}"
         if key not in state:
+            state.clear()
             state[key] = Encoder(path, words)
         return state[key]
 
@@ -80,50 +81,51 @@ class Encoder:
         raw = ids.tobytes()
         return [raw[4 * a : 4 * b] for a, b in zip(cuts, cuts[1:])]
 
-    def _stem(self, head: str) -> str:
+    def _stem(self, word: str) -> str:
         """Words that the tokenizer puts in lower case are looked up in lower case."""
-        return head.lower() if self.words and max(head) < "\u0130" else head
+        return word.lower() if self.words and max(word) < "\u0130" else word
 
-    def _learn(self, new: set[str]) -> dict[str, bytes]:
-        """Ids of chunks that aren't known; they are kept, unless they are very long."""
+    def _learn(self, chunks: set[str]) -> list[str]:
+        """Makes the ids of all ``chunks`` known; those returned are too long to be kept."""
         if len(self.known) > REMEMBERED:
             self.known, self.old = {}, self.known
-        if len(self.stems) > REMEMBERED:
-            self.stems, self.old_stems = {}, self.stems
-        found, stems, old, old_stems = {}, self.stems, self.old, self.old_stems
-        parts, bulk, plain, extra = {}, set(), set(), {}
-        for chunk in new:
-            if chunk in old:
-                found[chunk] = old[chunk]
-                continue
-            text = self._text(chunk)
-            ended = _ENDED.fullmatch(text) if len(text) <= LONGEST else None
-            own = (self._stem(ended[1]), ended[2]) if ended else (self._stem(text) if len(text) <= LONGEST else text,)
-            parts[chunk] = own
-            for part in own:
-                if part not in stems:
-                    if part in old_stems:
-                        stems[part] = old_stems[part]
-                        continue
-                    letters = part.isalpha() if self.words else part[:1] == " " and part[1:].isalpha()
-                    (bulk if letters and len(part) <= LONGEST else plain).add(part)
-        for parts_of, ids_of in ((list(bulk), self._bulk), (list(plain), self._plain)):
-            for at in range(0, len(parts_of), 2000):
-                some = parts_of[at : at + 2000]
-                for part, ids in zip(some, ids_of(some)):
-                    (stems if len(part) <= LONGEST else extra)[part] = ids
-        for chunk, own in parts.items():
-            found[chunk] = b"".join([stems[p] if p in stems else extra[p] for p in own])
-        self.known.update((c, ids) for c, ids in found.items() if len(c) <= LONGEST)
-        return found
+        known, old = self.known, self.old
+        new = chunks.difference(known)
+        known.update([(c, old[c]) for c in new if c in old])
+        new = new.difference(known)
+        # What begins with a line feed is no word of letters, whatever follows.
+        words = {c for c in new if c.isalpha() and len(c) <= LONGEST}
+        ended, other = {}, []
+        for chunk in new - words:
+            found = _ENDED.fullmatch(chunk) if len(chunk) <= LONGEST else None
+            if found and found[1].isalpha():
+                ended[chunk] = found.groups()
+            else:
+                other.append(chunk)
+        stems = words | {head for head, _ in ended.values()}
+        stem_of = {c: self._stem(c) for c in stems} if self.words else None
+        wanted = {*stem_of.values()} if self.words else stems
+        wanted = list(wanted.difference(known))
+        texts = wanted if self.words else [" " + c for c in wanted]
+        for at in range(0, len(wanted), 2000):
+            known.update(zip(wanted[at : at + 2000], self._bulk(texts[at : at + 2000])))
+        if self.words:
+            known.update([(c, known[own]) for c, own in stem_of.items()])
+        for at in range(0, len(other), 2000):
+            some = other[at : at + 2000]
+            known.update(zip(some, self._plain([self._text(c) for c in some])))
+        if len(self.tails) > REMEMBERED:
+            self.tails = {}
+        tails = list({tail for _, tail in ended.values()}.difference(self.tails))
+        self.tails.update(zip(tails, self._plain(tails)))
+        known.update([(c, known[head] + self.tails[tail]) for c, (head, tail) in ended.items()])
+        return [c for c in other if len(c) > LONGEST]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         cut = [self._chunks(t) for t in texts]
-        get = self.known.get
-        got = [None if chunks is None else [*map(get, chunks)] for chunks in cut]
-        holes = [(k, [i for i, ids in enumerate(own) if ids is None]) for k, own in enumerate(got) if own and None in own]
-        new = self._learn({cut[k][i] for k, own in holes for i in own}) if holes else {}
-        for k, own in holes:
-            for i in own:
-                got[k][i] = new[cut[k][i]]
-        return [self._plain([text])[0] if own is None else b"".join(own) for text, own in zip(texts, got)]
+        long = self._learn(set().union(*(c for c in cut if c is not None)))
+        get = self.known.__getitem__
+        done = [self._plain([t])[0] if c is None else b"".join(map(get, c)) for t, c in zip(texts, cut)]
+        for chunk in long:
+            del self.known[chunk]
+        return done
