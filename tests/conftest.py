@@ -8,9 +8,9 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from rateloom.session import build_session  # noqa: E402
+from oracle import SF_DIR  # noqa: E402
 
-SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
+from rateloom.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")

@@ -1,7 +1,7 @@
 """Every query against its SQL on the same tables."""
 
 import pytest
-from oracle import compare, connect
+from oracle import SF_DIR, compare, connect
 
 import __spark_entry__ as entry
 from rateloom.plans.catalog import ORACLE, QUERIES
@@ -9,8 +9,6 @@ from rateloom.plans.catalog import ORACLE, QUERIES
 
 @pytest.fixture(scope="module")
 def duck():
-    from conftest import SF_DIR
-
     return connect(SF_DIR)
 
 
