@@ -53,6 +53,73 @@ def bars(trades: DataFrame, timeframe: str = "1Day", tie: str | None = None) ->
     )
 
 
+_FIRST_AND_LAST = (("open", F.min_by, F.min), ("close", F.max_by, F.max))
+
+
+def bar_parts(trades: DataFrame, timeframe: str = "1Day", tie: str | None = None) -> DataFrame:
+    """What ``trades`` add to the bars: rows that can be merged, one per symbol and window.
+
+    Beside the figures of a bar they keep the keys of its first and last trade, its turnover, its end and the
+    time of its last trade.
+    """
+    key = order_key("ts", tie)
+    window = F.window("ts", TIMEFRAMES[timeframe])
+    return (
+        trades.groupBy("symbol", window.alias("_window"))
+        .agg(
+            *[pick("price", key).alias(name) for name, pick, _ in _FIRST_AND_LAST],
+            *[end(key).alias(f"{name}_key") for name, _, end in _FIRST_AND_LAST],
+            F.max("price").alias("high"),
+            F.min("price").alias("low"),
+            F.sum("size").alias("volume"),
+            F.count(F.lit(1)).alias("trade_count"),
+            F.sum(F.col("price") * F.col("size")).alias("turnover"),
+            F.max("ts").alias("last_ts"),
+        )
+        .withColumns({"timestamp": F.col("_window.start"), "bar_end": F.col("_window.end")})
+        .drop("_window")
+    )
+
+
+def merge_bar_parts(parts: DataFrame, *keys: str) -> DataFrame:
+    """One row per symbol and window (and ``keys``, which follow from them) of any number of parts."""
+    merged = parts.groupBy("symbol", "timestamp", *keys).agg(
+        *[pick(name, f"{name}_key").alias(name) for name, pick, _ in _FIRST_AND_LAST],
+        *[end(f"{name}_key").alias(f"{name}_key") for name, _, end in _FIRST_AND_LAST],
+        F.max("high").alias("high"),
+        F.min("low").alias("low"),
+        F.sum("volume").alias("volume"),
+        F.sum("trade_count").alias("trade_count"),
+        F.sum("turnover").alias("turnover"),
+        F.max("last_ts").alias("last_ts"),
+        F.max("bar_end").alias("bar_end"),
+    )
+    return merged.select(*parts.columns)
+
+
+def last_windows(parts: DataFrame) -> DataFrame:
+    """The parts of each symbol's last window."""
+    last = parts.groupBy("symbol").agg(F.max("timestamp").alias("_last")).withColumnRenamed("symbol", "_symbol")
+    kept = F.col("symbol").eqNullSafe(F.col("_symbol")) & (F.col("timestamp") == F.col("_last"))
+    return parts.join(last, kept, "left_semi")
+
+
+def bars_of_parts(parts: DataFrame) -> DataFrame:
+    """The bars, as ``bars`` gives them, of merged parts."""
+    return parts.select(
+        "symbol",
+        "timestamp",
+        F.to_date("timestamp").alias("bar_date"),
+        "open",
+        "high",
+        "low",
+        "close",
+        "volume",
+        "trade_count",
+        F.try_divide("turnover", "volume").alias("vwap"),
+    )
+
+
 def latest_bar(bars_df: DataFrame) -> DataFrame:
     """The last bar of each symbol. All fields follow one key, so they come from one bar."""
     names = [f for f in bars_df.columns if f not in ("symbol", "timestamp")]

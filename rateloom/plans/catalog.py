@@ -1145,3 +1145,7 @@ def keys(spark, sf_dir):
 def tags(spark, sf_dir):
     pairs = F.create_map(F.lit("lang"), F.col("lang"), F.lit("text"), F.col("text"))
     return b.table(spark, sf_dir, "documents").select("doc_id", tag_string(pairs).alias("tags"))
+
+
+# The queries of further modules join the same lists.
+from . import kept_up  # noqa: E402, F401
