@@ -1,9 +1,11 @@
 """A quality classifier from compressed sizes.
 
 Two zstandard dictionaries are built from good and from bad labelled text. A text is compressed with
-either; the difference of the two sizes, per byte of the text, says which it resembles: text that repeats
-itself is near zero, as no dictionary helps it. A rising curve fitted
-on labelled rows that the dictionaries didn't see turns it into the chance of a good label.
+either; the difference of the two sizes, per byte of the text, says which it resembles. Of text that repeats
+itself, and so takes few bytes either way, no more bytes count than REPEATS times its compressed size.
+A rising curve fitted
+on labelled rows that the dictionaries didn't see turns it into the chance of a good label. Work grows with
+the length of a text, whole texts are scored; equal texts have equal scores.
 """
 
 from __future__ import annotations
@@ -29,6 +31,8 @@ LEVEL = 3
 #: Texts are compressed in stretches of so many bytes, each with the dictionary, so that what a long
 #: text holds of its own doesn't replace it.
 STRETCH = 2048
+#: Text compresses some twofold; what compresses more than this repeats itself.
+REPEATS = 4
 THRESHOLD = 0.3
 
 
@@ -66,7 +70,7 @@ class Sizes:
             part = text[at : at + STRETCH]
             good += len(self.tools[0].compress(part))
             bad += len(self.tools[1].compress(part))
-        return (bad - good) / len(text) if text else 0.0
+        return (bad - good) / min(len(text), REPEATS * (bad + good) / 2) if text else 0.0
 
 
 def fit_curve(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -109,10 +113,13 @@ def _labelled(docs: DataFrame, labels: DataFrame, sample_docs: int) -> list:
     ).where(chance * F.col("of") < F.lit(float(sample_docs)))
     start = F.pmod(F.xxhash64("text"), F.greatest(F.length("text") - SAMPLE_CHARS, F.lit(0)) + 1).cast("int") + 1
     texts = docs.where("text is not null").select(F.col("doc_id").alias("id"), "text")
+    # One text of each id, so that what reaches the driver is bounded by the ids.
     return (
         texts.join(F.broadcast(chosen), F.col("id") == F.col("doc_id"))
-        .select("role", "quality", F.substring("text", start, F.lit(SAMPLE_CHARS)).alias("text"))
-        .orderBy("role", "quality", "id", F.xxhash64("text"))
+        .select("role", "quality", "id", F.substring("text", start, F.lit(SAMPLE_CHARS)).alias("text"))
+        .groupBy("role", "quality", "id")
+        .agg(F.min("text").alias("text"))
+        .orderBy("role", "quality", "id")
         .collect()
     )
 

@@ -1,9 +1,11 @@
 """Removes repeated passages: every run of consecutive sentences is hashed and joined globally.
 
 From every sentence a run goes forward and one goes backward until it has SENTENCES sentences and
-LEAST_WORDS words, or ENOUGH_WORDS words; two letters of a script without blanks count as a word. The first occurrence of a run (by id, then by place) stays; the
-sentences of all others go. An occurrence that is not the first of its batch is not the first of all
-either, so only one occurrence per batch meets the others, however often a passage repeats.
+LEAST_WORDS words; two letters of a script without blanks count as a word. The first occurrence of a run
+(by id, then by place) stays; the sentences of all others go, and what stays is as it was, blanks
+included. An occurrence that is not the first of its batch is not the first of all either, so only one
+occurrence per batch of BATCH_ROWS rows meets the others, however often a passage repeats. Time grows with the
+length of a text; a text of any length is worked on as a whole.
 """
 
 from __future__ import annotations
@@ -19,9 +21,8 @@ from pyspark.sql import functions as F
 
 from rateloom.llm.common import batch, map_batches
 
-SENTENCES = 3
-LEAST_WORDS = 12
-ENOUGH_WORDS = 20
+SENTENCES = 2
+LEAST_WORDS = 20
 BATCH_ROWS = 4096
 #: Letters of scripts without blanks (Thai to Khmer, kana, Han) that count as one more word.
 LETTERS_PER_WORD = 2
@@ -46,10 +47,10 @@ def pieces_of(text: str) -> list[str]:
     quotes and brackets; marks of other scripts always do, and so does a blank after Thai, Lao, Khmer or
     Burmese. Text without any of these is one sentence up to the line feed.
     """
-    if "\0" in text:
-        text = text.replace("\0", "�")
-    text = _END.sub("\\g<0>\0", text)
-    return text.replace("\n", "\0\n").split("\0")
+    # Cuts are marked by a character that the text doesn't have.
+    mark = next(c for c in map(chr, range(len(text) + 1)) if c not in text and c not in "\n.!?")
+    text = _END.sub(lambda m: m[0] + mark, text)
+    return text.replace("\n", mark + "\n").split(mark)
 
 
 def sentences_of(text: str) -> tuple[list[str], list[int], list[int]]:
@@ -67,12 +68,10 @@ def runs_of(words: list[int]) -> tuple[np.ndarray, np.ndarray]:
     n = len(words)
     total = np.concatenate([[0], np.cumsum(words)])
     i = np.arange(n)
-    several = np.maximum(i + SENTENCES, np.searchsorted(total, total[:-1] + LEAST_WORDS))
-    ends = np.minimum(several, np.searchsorted(total, total[:-1] + ENOUGH_WORDS))
+    ends = np.maximum(i + SENTENCES, np.searchsorted(total, total[:-1] + LEAST_WORDS))
     forward = np.stack([i, ends], axis=1)[ends <= n]
     j = i + 1
-    few = np.minimum(j - SENTENCES, np.searchsorted(total, total[1:] - LEAST_WORDS, side="right") - 1)
-    starts = np.maximum(few, np.searchsorted(total, total[1:] - ENOUGH_WORDS, side="right") - 1)
+    starts = np.minimum(j - SENTENCES, np.searchsorted(total, total[1:] - LEAST_WORDS, side="right") - 1)
     backward = np.stack([starts, j], axis=1)[starts >= 0]
     both = np.unique(np.concatenate([forward, backward]), axis=0)
     return both[:, 0], both[:, 1]
@@ -174,7 +173,7 @@ def _without(text: str, cuts: list) -> tuple[str, int]:
         gone[cut["last"]] -= 1
     gone = np.cumsum(gone)[:-1] > 0
     drop = {at[k] for k in np.flatnonzero(gone).tolist()}
-    return "".join([p for k, p in enumerate(pieces) if k not in drop]).strip(), len(drop)
+    return "".join([p for k, p in enumerate(pieces) if k not in drop]), len(drop)
 
 
 def drop_repeated_passages(docs: DataFrame) -> DataFrame:

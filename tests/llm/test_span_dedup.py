@@ -11,8 +11,7 @@ def plain_runs(words):
     """Shortest runs from and to every sentence, by trying all."""
 
     def holds(i, j):
-        n = sum(words[i:j])
-        return (j - i >= 3 and n >= 12) or n >= 20
+        return j - i >= op.SENTENCES and sum(words[i:j]) >= op.LEAST_WORDS
 
     n, out = len(words), set()
     for i in range(n):
@@ -37,7 +36,7 @@ def brute_force(texts):
     for k, (i, text) in enumerate(texts):
         cut = gone.get(k, set())
         pieces = op.pieces_of(text) if text else []
-        out.append((i, "".join(p for x, p in enumerate(pieces) if x not in cut).strip() if cut else text, len(cut)))
+        out.append((i, "".join(p for x, p in enumerate(pieces) if x not in cut) if cut else text, len(cut)))
     return out
 
 
@@ -49,6 +48,19 @@ def test_runs():
         assert set(zip(first.tolist(), last.tolist())) == plain_runs(words)
 
 
+def test_runs_hold_several_sentences():
+    assert [x.tolist() for x in op.runs_of([21])] == [[], []]
+    assert [x.tolist() for x in op.runs_of([90, 1, 90])] == [[0, 1], [2, 3]]
+
+
+def test_pieces_are_the_text():
+    """Whatever characters a text has, also those that could mark cuts."""
+    texts = ["", "\0", "a\0b. c", "".join(map(chr, range(300))), "\n\n. \0\1\2! ", "x.\ty"]
+    for text in texts:
+        assert "".join(op.pieces_of(text)) == text
+    assert op.pieces_of("a\0b. c\nd") == ["a\0b.", " c", "\nd"]
+
+
 def sentence(rng):
     return " ".join(f"w{rng.randint(0, 5000)}" for _ in range(rng.choice([1, 3, 8, 12, 40]))) + rng.choice(".!?")
 
@@ -71,14 +83,14 @@ def test_against_brute_force(spark, monkeypatch):
 
 
 def test_cases(spark):
-    passage = "One two three four five six. Seven eight nine ten eleven twelve. Thirteen fourteen fifteen sixteen!"
-    texts = [None, "", " ", passage, passage, passage, "Short. Again.", "Short. Again.", "a\0b. " + passage, "x " * 90000]
+    passage = "One two three four five six seven. Eight nine ten eleven twelve thirteen fourteen. Fifteen sixteen seventeen eighteen nineteen twenty!"
+    texts = [None, "", " ", passage, passage, passage, "Short. Again.", "Short. Again.", " a\0b. " + passage, "x " * 90000]
     table = docs(spark, texts, [1, 2, 3, 9, 9, 5, 6, 7, None, 8]).withColumns({"first": F.lit(1), "h1": F.lit("x"), "n_removed": F.lit("y")})
     got = op.drop_repeated_passages(table)
     assert [c for c in got.columns if c != "n_removed"] == [c for c in table.columns if c != "n_removed"]
     found = sorted(((r.doc_id or 99, r.text, r.n_removed) for r in got.collect()), key=str)
     want = [(1, None, 0), (2, "", 0), (3, " ", 0), (9, "", 3), (9, "", 3), (5, passage, 0), (6, "Short. Again.", 0)]
-    want += [(7, "Short. Again.", 0), (99, "a�b.", 3), (8, "x " * 90000, 0)]
+    want += [(7, "Short. Again.", 0), (99, " a\0b.", 3), (8, "x " * 90000, 0)]
     assert found == sorted(want, key=str)
     assert op.drop_repeated_passages(docs(spark, [])).collect() == []
 
@@ -95,7 +107,7 @@ def test_other_scripts_and_closing_marks(spark):
     passages = [
         "今天的天气非常好我们去公园散步。孩子们在草地上奔跑玩耍非常开心！你想和我们一起去吗？",
         "यह एक लंबा वाक्य है जो कई बार आता है। दूसरा वाक्य भी यहाँ बार बार आता है। तीसरा वाक्य यहीं समाप्त होता है।",
-        "He said \"one two three four five.\" Then (six seven eight nine ten.)\tAt last eleven twelve thirteen fourteen!\u00a0",
+        "He said \"one two three four five.\" Then (six seven eight nine ten.)\tAt last eleven twelve thirteen fourteen, fifteen sixteen and seventeen!\u00a0",
         "วันนี้อากาศดีมากเราไปเดินเล่นที่สวนสาธารณะ เด็กๆวิ่งเล่นบนสนามหญ้าอย่างมีความสุข ",
     ]
     own = [("甲乙丙。", "丁戊。"), ("पहला। ", " अंत।"), ("She left?\" ", "Never again."), ("กขค ", "งจฉ")]

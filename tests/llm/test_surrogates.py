@@ -121,3 +121,96 @@ def test_phones_of_other_countries_and_longer_names(spark):
         left = set(re.split(r"[ .-]", name)) - {"Mrs", "Mr", "Frau", "Herr", "Dr", ""}
         assert got[k].n_entities == 1 and made[0].isupper() and not left & set(re.split(r"[ .-]", made))
     assert "-" in got[len(phones)].text and got[len(phones) + 3].text.startswith("call Frau Dr. ")
+
+
+def test_one_person_has_one_name(spark):
+    """The gender of a given name is the document's; mentions without a form of address follow."""
+    texts = [
+        "Dr. Anna Huber met Frau Anna Huber. Huber left; Anna Huber stayed. HUBER!",
+        "Mr John Smith called. John Smith and Smith wrote, Johnson and smith did not.",
+        "Dr. Anna Huber spoke.",
+        "Mr. Kim Lee and Mrs. Kim Lee, then Dr. Kim Lee.",
+    ]
+    got = {r.doc_id: r for r in op.replace_entities(docs(spark, texts)).collect()}
+    m = re.fullmatch(r"Dr\. (\w+) (\w+) met Frau (\w+) (\w+)\. (\w+) left; (\w+) (\w+) stayed\. (\w+)!", got[0].text)
+    given, surname = m[1], m[2]
+    assert given.endswith("na") and {m[3], m[6]} == {given} and {m[4], m[5], m[7]} == {surname} and m[8] == surname.upper()
+    assert got[0].n_entities == 6 and not re.search("anna|huber", got[0].text, re.I)
+    m = re.fullmatch(r"Mr (\w+) (\w+) called\. (\w+) (\w+) and (\w+) wrote, Johnson and smith did not\.", got[1].text)
+    assert m[1] == m[3] and m[1].endswith("n") and m[2] == m[4] == m[5] and got[1].n_entities == 4
+    m = re.fullmatch(r"Dr\. (\w+) (\w+) spoke\.", got[2].text)
+    assert m[2] == surname and m[1] != given  # no gender in this document
+    m = re.fullmatch(r"Mr\. (\w+) (\w+) and Mrs\. (\w+) (\w+), then Dr\. (\w+) (\w+)\.", got[3].text)
+    assert m[1].endswith("n") and m[3].endswith("na") and m[5] not in (m[1], m[3]) and m[2] == m[4] == m[6]
+
+
+def plain_names(text, titles):
+    """Words of names after a form of address, and the text with every mention of them cut out."""
+    found = re.findall(rf"(?:{titles})\.? ([A-Z][a-z]+(?: [A-Z][a-z]+)?)", text)
+    words = {w for name in found for w in name.split()}
+    cut = re.sub(rf"\b(?:{'|'.join(sorted(words, key=len, reverse=True))})\b", "\0", text) if words else text
+    return words, cut
+
+
+def test_names_and_secrets_against_a_plain_version(spark):
+    """Random documents: what is no name or secret stays, every mention of one goes, one to one."""
+    import random
+
+    rng = random.Random(11)
+    surnames, given = ["Huber", "Smith", "Garcia", "Dubois", "Okafor"], ["Anna", "John", "Maria", "Paul"]
+    filler = ["the report of", "they said", "a long note on", "nothing more about", "we asked", "then came"]
+    titles = {"Mr": "m", "Mrs": "f", "Dr.": "", "Herr": "m", "Frau": "f"}
+    texts, secrets = [], []
+    for _ in range(60):
+        parts, known = [], []
+        for _ in range(rng.randrange(1, 8)):
+            parts.append(rng.choice(filler))
+            kind = rng.random()
+            if kind < 0.4:
+                name = rng.choice([rng.choice(surnames), f"{rng.choice(given)} {rng.choice(surnames)}"])
+                known += name.split()
+                parts.append(f"{rng.choice(list(titles))} {name} was")
+            elif kind < 0.6 and known:
+                parts.append(f"{rng.choice(known)} is")
+            elif kind < 0.75:
+                secrets.append("".join(rng.choice("abcdefghijk0123456789") for _ in range(rng.randrange(6, 90))))
+                parts.append(f"{rng.choice(['password=', 'token: ', 'api_key = '])}{secrets[-1]} end")
+        texts.append(" ".join(parts) + " .")
+    got = {r.doc_id: r.text for r in op.replace_entities(docs(spark, texts)).collect()}
+    values = "|".join(map(re.escape, sorted(secrets, key=len, reverse=True)))
+    all_made = {}
+    for k, text in enumerate(texts):
+        words, cut = plain_names(text, "|".join(t.rstrip(".") for t in titles))
+        cut = re.sub(values, "\1", cut) if secrets else cut
+        assert not any(re.search(rf"\b{w}\b", got[k]) for w in words)
+        assert not any(v in got[k] for v in secrets if v in text)
+        # What stands between the entities is what stood there.
+        form = "".join({"\0": r"(\w+)", "\1": r"(\S+)"}.get(c, re.escape(c)) for c in cut)
+        m = re.fullmatch(form, got[k])
+        assert m, (text, got[k])
+        order = [x.group() for x in re.finditer("|".join([values or "$^", *(rf"\b{w}\b" for w in sorted(words, key=len, reverse=True))]), text)]
+        own = {}
+        for before, after in zip(order, m.groups()):
+            own.setdefault(before, set()).add(after)
+        for before, after in own.items():
+            if before in surnames or before in secrets:
+                assert len(after) == 1
+                assert all_made.setdefault(before, next(iter(after))) == next(iter(after))
+            if before in secrets:
+                assert len(next(iter(after))) == len(before)
+    assert len(set(all_made.values())) == len(all_made)
+
+
+def test_very_long_values(spark):
+    """Work grows with the length of a value, not with its square."""
+    import time
+
+    secret = "".join(chr(97 + k % 26) + str(k % 10) for k in range(500_000))
+    local = "a" * 100
+    texts = [f"password={secret} end", f"x {'0123456789abcdef' * 60_000} end", f"mail {local}@{'b' * 60}.org", "Mr " + "A" * 30 + " " + "lorem " * 200_000]
+    begun = time.time()
+    got = {r.doc_id: r for r in op.replace_entities(docs(spark, texts)).collect()}
+    assert time.time() - begun < 120
+    assert [got[k].n_entities for k in range(4)] == [1, 1, 1, 1]
+    assert all(len(got[k].text) == len(texts[k]) for k in range(3)) and secret[:50] not in got[0].text
+    assert got[0].text.startswith("password=") and got[0].text.endswith(" end")
