@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -84,3 +84,30 @@ def missing_days(
     on = [*keys, day]
     usable = results.where("ok").select(*on).distinct()
     return calendar.join(usable, on, "left_anti")
+
+
+def repair_windows(
+    missing: DataFrame, keys: Sequence[str] = (), max_days: int | None = None, day: str = "day"
+) -> DataFrame:
+    """The fewest windows that hold exactly the days of ``missing``: ``keys``, start, end, days.
+
+    A run of missing days becomes one window, or as few of at most ``max_days`` days as it takes; no window
+    holds a day that is not missing. Days that repeat count once, null days not at all. The window below
+    orders the days of one key, which are no more than the calendar has.
+    """
+    if max_days is not None and max_days < 1:
+        raise ValueError("max_days must be at least 1")
+    days = missing.where(F.col(day).isNotNull()).select(*keys, F.col(day).cast("date").alias("_day")).distinct()
+    # Days that follow each other lie as far from the first as their number says.
+    number = F.row_number().over(Window.partitionBy(*keys).orderBy("_day"))
+    runs = days.withColumn("_run", F.date_sub("_day", number))
+    part = F.lit(0)
+    if max_days is not None:
+        first = F.min("_day").over(Window.partitionBy(*keys, "_run"))
+        part = F.floor(F.datediff("_day", first) / F.lit(max_days)).cast("int")
+    return (
+        runs.withColumn("_part", part)
+        .groupBy(*keys, "_run", "_part")
+        .agg(F.min("_day").alias("start"), F.max("_day").alias("end"), F.count(F.lit(1)).alias("days"))
+        .select(*keys, "start", "end", "days")
+    )

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rateloom.functions import classify_response
 from rateloom.schemas import LANDED
 from rateloom.sinks.parquet import write_parquet
 from rateloom.sources import fx, stocks
-from rateloom.sources.audit import judged_landing
+from rateloom.sources.audit import judged_landing, with_verdict
 from rateloom.sources.envelope import USABLE, latest_responses
 from rateloom.sources.planning import DEFAULT_FEED, bar_requests, historical_rate_requests
 from rateloom.sources.requests import SYMBOLS_PER_REQUEST, Transport, fetch_responses
@@ -49,14 +51,26 @@ def landed_of(requests: DataFrame, landing: str) -> DataFrame:
     return _judged(requests, landing).drop(USABLE)
 
 
-def outstanding(requests: DataFrame, landing: str, by_feed: bool = False) -> DataFrame:
-    """The ``requests`` without a whole usable answer in the landing folder: one without an error status
-    or, ``by_feed``, one whose bodies the feed can use."""
-    bad = ~F.col(USABLE) if by_feed else F.coalesce(F.col("status") >= 400, F.lit(True))
-    known = _judged(requests, landing).groupBy("request_key").agg(F.count_if(bad).alias("_bad")).where("_bad = 0")
+def outstanding(requests: DataFrame, landing: str) -> DataFrame:
+    """The ``requests`` that still have to be called: those without a whole answer that their feed can use.
+
+    A request that the API called wrong is settled too: asked again, it would be wrong again. It stays in
+    the landing table for the audit.
+    """
+    wrong = classify_response(F.col("status"))["action"] == "bad_request"
+    left = F.count_if(~F.col(USABLE) & ~wrong).alias("_left")
+    known = _judged(requests, landing).groupBy("request_key").agg(left).where("_left = 0")
     return requests.join(known, "request_key", "left_anti").select(*requests.columns)
 
 
+def land(fetched: DataFrame, endpoint: str, landing: str) -> None:
+    """Adds responses of one endpoint to the landing folder, by feed and day, each with its verdict.
+
+    ``fetched`` is computed once, so it may be the calls themselves.
+    """
+    with_verdict(fetched, endpoint).write.mode("append").partitionBy(*LANDING_PARTITIONS).parquet(landing)
+
+
 def land_responses(requests: DataFrame, transport: Transport, landing: str, **options) -> DataFrame:
     """Fetch what ``requests`` asks for and hasn't landed, add it to the landing folder, and return
     all that has landed of it.
@@ -64,8 +78,11 @@ def land_responses(requests: DataFrame, transport: Transport, landing: str, **op
     The bodies are on shared storage before anything reads them, so no later step calls again, and a
     run that broke off goes on where it was. The folder is partitioned by feed and day.
     """
-    fetched = fetch_responses(outstanding(requests, landing, by_feed=True), transport, **options)
-    fetched.write.mode("append").partitionBy(*LANDING_PARTITIONS).parquet(landing)
+    run = {"run_id": uuid.uuid4().hex} | options
+    # As many endpoints as there are feeds.
+    for endpoint in sorted(r["endpoint"] for r in requests.select("endpoint").distinct().collect()):
+        todo = outstanding(requests.where(F.col("endpoint") == endpoint), landing)
+        land(fetch_responses(todo, transport, **run), endpoint, landing)
     return landed_of(requests, landing)
 
 

@@ -43,6 +43,7 @@ def as_landed(responses: DataFrame, feed: str, run_id: str = "run-1") -> DataFra
             "page": F.lit(0),
             "feed": endpoint,
             "request_date": F.coalesce(asked.try_cast("date"), F.to_date("fetched_at")),
+            "usable": F.lit(None).cast("boolean"),
         }
     ).select(*LANDED.names)
 
@@ -74,6 +75,7 @@ def landed_bar_run(
         "page",
         F.col("endpoint").alias("feed"),
         params["start"].cast("date").alias("request_date"),
+        F.lit(None).cast("boolean").alias("usable"),
     )
 
 

@@ -33,8 +33,8 @@ from rateloom.sources import audit, envelope, files, fx, planning, requests, sto
 from rateloom.streaming.landing import run_feed, run_landing
 
 from . import bindings as b
-from .backfill import LANDING_PARTITIONS, landed_of, outstanding, write_rates
-from .latest_rates import run_latest_rates
+from .backfill import land, landed_of, outstanding, write_rates
+from .latest_rates import write_latest
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -456,8 +456,8 @@ def latest_responses(spark, sf_dir):
     return fx.rates_historical(envelope.latest_responses(copies)).drop(_LOADED)
 
 
-def _land_run(rows: DataFrame, landing: str) -> None:
-    rows.write.mode("append").partitionBy(*LANDING_PARTITIONS).parquet(landing)
+def _land_run(rows: DataFrame, landing: str, feed: str = "rates_historical") -> None:
+    land(rows, planning.ENDPOINTS[feed], landing)
 
 
 def _bases(spark, sf_dir) -> DataFrame:
@@ -491,10 +491,11 @@ def fetch_responses(spark, sf_dir):
         asked as (select base, cast(g as date) as day from (select distinct event_type as base from events),
                   generate_series(date '2024-01-01', date '2024-02-10', interval 1 day) t(g))
         select base, cast(day as varchar) as "date" from asked a
-        where not exists (select 1 from r where base_currency = base and rate_date = day and d % 7 != 3)""",
+        where not exists (select 1 from r where base_currency = base and rate_date = day and d % 7 != 3 and d not in (12, 20))""",
 )
 def outstanding_requests(spark, sf_dir):
-    """The requests that a resumed backfill calls: those without an answer, and those that failed."""
+    """The requests that a resumed backfill calls: those without an answer, and those whose answer failed
+    or can't be used by the feed (cut off, or with a rate that is no number)."""
     root = b.folder(spark, "landing")
     _land_run(b.as_landed(b.landed_historical(spark, sf_dir, failures=True), "rates_historical"), root)
     left = outstanding(_rate_requests(spark, sf_dir, "2024-01-01", "2024-02-10"), root)
@@ -658,7 +659,7 @@ def _bar_backfills(spark, sf_dir) -> tuple[DataFrame, str]:
     two = planning.bar_requests(names("view", "purchase"), "2024-01-01", "2024-01-30", "1Hour", "iex", 500, 15)
     runs = ((one, 1, "run-1", "2024-02-01"), (two, 1, "run-2", "2024-02-02"), (two, 5, "run-3", "2024-02-03"))
     for asked, page_days, run, at in runs:
-        _land_run(b.landed_bar_run(spark, sf_dir, asked, page_days, run, at), root)
+        _land_run(b.landed_bar_run(spark, sf_dir, asked, page_days, run, at), root, "bars_historical")
     return two, root
 
 
@@ -802,8 +803,11 @@ def latest_rates_job(spark, sf_dir):
             "body": F.lit(None).cast("string"),
         }
     )
-    polls = shape.concat_batches([earlier, landed, failed])
-    uri, _ = run_latest_rates(spark, polls, ["click", "view"], b.folder(spark, "fx"), "latest", codes)
+    root = b.folder(spark, "fx")
+    _land_run(shape.concat_batches([earlier, landed, failed]), f"{root}/landing", "rates_latest")
+    bases = ["click", "view"]
+    asked = planning.latest_rate_requests(spark.createDataFrame([(x,) for x in bases], "base_currency string"))
+    uri, _ = write_latest(asked, f"{root}/landing", bases, root, "latest", codes)
     return spark.read.parquet(uri).drop(_LOADED)
 
 
@@ -1148,4 +1152,4 @@ def tags(spark, sf_dir):
 
 
 # The queries of further modules join the same lists.
-from . import kept_up  # noqa: E402, F401
+from . import intervals, kept_up  # noqa: E402, F401

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rateloom.streaming import running
+from rateloom.streaming import arriving, running
 
 from . import bindings as b
 from .catalog import ORACLE, _bars_sql, _with_date, query
@@ -76,3 +76,17 @@ def running_snapshot(spark, sf_dir):
     ]
     _kept_up(spark, root, sources, running.SNAPSHOT)
     return running.current(spark, f"{root}/table", running.SNAPSHOT)
+
+
+@query("arriving_amounts", f"select * from ({ORACLE['convert_amounts']}) where ts <= (select max(ts) from events) - interval '1 day'")
+def arriving_amounts(spark, sf_dir):
+    """Three loads, settled after each; rates come up to 23 hours late, amounts in any order."""
+    root = b.folder(spark, "arriving")
+    comes = F.col("rate_timestamp") + F.make_dt_interval(hours=(F.col("event_id") % 24).cast("int"))
+    day = F.datediff(comes, F.lit("2024-01-01").cast("date"))
+    rates, amounts = b.rate_quotes(spark, sf_dir), b.amounts(spark, sf_dir)
+    for n, days in enumerate(((0, 9), (10, 19), (20, 99))):
+        arriving.land_rates(rates.where(day.between(*days)), root, n)
+        arriving.land_amounts(amounts.where(F.col("o_orderkey") % 3 == n), root, n)
+        arriving.settle(spark, root, "1 day", tie="event_id")
+    return arriving.settled_amounts(spark, root)

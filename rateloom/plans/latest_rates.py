@@ -12,11 +12,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rateloom.plans.backfill import LANDING_PARTITIONS
+from rateloom.plans.backfill import land
 from rateloom.schemas import CURRENCY_CODES, LANDED
 from rateloom.session import build_session
+from rateloom.sinks.folders import children
 from rateloom.sinks.parquet import write_parquet
-from rateloom.sources.audit import judged, unusable_responses
+from rateloom.sources.audit import judged, judged_landing, unusable_responses
 from rateloom.sources.envelope import USABLE, latest_responses
 from rateloom.sources.fx import rates_latest
 from rateloom.sources.planning import ENDPOINTS, latest_rate_requests
@@ -47,7 +48,9 @@ def run_latest_rates(
     """
     asked: Column = F.try_element_at("params", F.lit("base"))
     chosen = responses.where(asked.isin(check_bases(bases, codes)))
-    good = latest_responses(judged(chosen, "rates_latest").where(USABLE)).drop(USABLE)
+    feed = "rates_latest"
+    marked = judged_landing(chosen, [ENDPOINTS[feed]]) if "usable" in chosen.columns else judged(chosen, feed)
+    good = latest_responses(marked.where(USABLE)).drop(USABLE)
     uri = write_parquet(rates_latest(good, on_error="drop"), root, prefix, **options)
     return uri, unusable_responses(chosen, "rates_latest")
 
@@ -71,12 +74,37 @@ def fetch_latest_rates(
     """
     asked = spark.createDataFrame([(b,) for b in check_bases(bases, codes)], "base_currency string")
     requests = latest_rate_requests(asked, symbols)
-    fetched = fetch_responses(requests, transport, **options)
-    fetched.write.mode("append").partitionBy(*LANDING_PARTITIONS).parquet(landing)
-    keys = requests.select(F.col("request_key").alias("_asked"))
-    landed = spark.read.schema(LANDED).parquet(landing).where(F.col("feed") == ENDPOINTS["rates_latest"])
-    mine = landed.join(keys, landed["request_key"] == keys["_asked"], "left_semi")
-    return run_latest_rates(spark, mine, bases, root, prefix, codes, filename=filename)
+    land(fetch_responses(requests, transport, **options), ENDPOINTS["rates_latest"], landing)
+    return write_latest(requests, landing, bases, root, prefix, codes, filename=filename)
+
+
+def write_latest(requests: DataFrame, landing: str, bases: Sequence[str], root: str, prefix: str, *args, **options):
+    """The table of the last usable polls of ``requests`` in the landing folder; returns as above."""
+    return run_latest_rates(requests.sparkSession, recent_polls(requests, landing), bases, root, prefix, *args, **options)
+
+
+def recent_polls(requests: DataFrame, landing: str) -> DataFrame:
+    """The landed polls of ``requests``, of as many of the last days as it takes for each to have a usable one.
+
+    The days of the folder are walked back in steps of doubling length; each step reads the keys and
+    verdicts of its days alone. So a poll costs what the days since the last good polls hold, not what was
+    ever polled. A request that never had an answer makes the walk go to the first day.
+    """
+    spark, feed = requests.sparkSession, ENDPOINTS["rates_latest"]
+    landed = spark.read.schema(LANDED).parquet(landing).where(F.col("feed") == feed)
+    # No more requests than there are codes.
+    keys = [r["request_key"] for r in requests.select("request_key").distinct().collect()]
+    mine = landed.where(F.col("request_key").isin(keys))
+    names = children(spark, f"{landing.rstrip('/')}/feed={feed}")
+    days = sorted((n.removeprefix("request_date=") for n in names if n.startswith("request_date=2") or n.startswith("request_date=1")), reverse=True)
+    back = 1
+    while back < len(days):
+        since = F.lit(days[back - 1]).cast("date")
+        answered = mine.where((F.col("request_date") >= since) & F.col("usable")).select("request_key").distinct()
+        if answered.count() == len(keys):
+            return mine.where(F.col("request_date") >= since)
+        back *= 2
+    return mine
 
 
 def main(argv: Sequence[str] | None = None) -> str:

@@ -71,13 +71,15 @@ LANDING = (
     .add("fetched_at", "timestamp")
 )
 
-# A row as it is fetched: which run called, which page of the answer it is, and what it can be found by.
+# A row as it is fetched: which run called, which page of the answer it is, what it can be found by, and
+# whether its feed can use it (null: not judged yet).
 LANDED = (
     StructType(list(LANDING.fields))
     .add("run_id", "string")
     .add("page", "integer")
     .add("feed", "string")
     .add("request_date", "date")
+    .add("usable", "boolean")
 )
 
 # One row per API call to make.

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rateloom.functions import classify_response
+from rateloom.schemas import LANDED
 
 from . import fx, stocks
 from .envelope import USABLE
@@ -33,10 +34,21 @@ def judged(responses: DataFrame, feed: str) -> DataFrame:
 
 
 def judged_landing(landed: DataFrame, endpoints: list[str]) -> DataFrame:
-    """The rows of ``landed`` of the ``endpoints``, each judged by its own feed; by the status alone if
-    no feed has the endpoint."""
+    """The rows of ``landed`` of the ``endpoints`` with ``_usable``: as stored with the response, or else
+    judged by the endpoint's feed now (by the status alone if no feed has it).
+
+    Whether any row still has to be judged is found from that one column; if none, no body is read.
+    """
     feeds = {e: f for f, e in ENDPOINTS.items()}
-    parts = [judged(landed.where(F.col("feed") == e), feeds[e]) for e in endpoints if e in feeds]
+    if "usable" in landed.columns:
+        stored = landed.where(F.col("usable").isNotNull() & F.col("feed").isin(endpoints)).withColumn(USABLE, F.col("usable"))
+        landed = landed.where(F.col("usable").isNull())
+        if landed.where(F.col("feed").isin(endpoints)).isEmpty():
+            return stored
+        parts = [stored]
+    else:
+        parts = []
+    parts += [judged(landed.where(F.col("feed") == e), feeds[e]) for e in endpoints if e in feeds]
     other = [e for e in endpoints if e not in feeds]
     if other or not parts:
         rest = landed.where(F.col("feed").isin(other))
@@ -44,6 +56,19 @@ def judged_landing(landed: DataFrame, endpoints: list[str]) -> DataFrame:
     return functools.reduce(DataFrame.unionByName, parts)
 
 
+def with_verdict(fetched: DataFrame, endpoint: str) -> DataFrame:
+    """Responses of one endpoint as they land, with ``usable``: whether their feed can use them.
+
+    Every body is parsed here, once, as it is fetched; what reads the landing table later need not.
+    """
+    feeds = {e: f for f, e in ENDPOINTS.items()}
+    if endpoint in feeds:
+        found = judged(fetched, feeds[endpoint])
+    else:
+        found = fetched.withColumn(USABLE, F.coalesce(F.col("status") < 400, F.lit(False)))
+    return found.withColumn("usable", F.col(USABLE)).select(*LANDED.names)
+
+
 def unusable_responses(responses: DataFrame, feed: str) -> DataFrame:
     """``request_key, status, reason, body`` of the responses that ``on_error='drop'`` leaves out.
 

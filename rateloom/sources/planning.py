@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rateloom.functions import now_utc
-from rateloom.operators.calendar import batch_calendar, day_calendar
+from rateloom.operators.calendar import batch_calendar, day_calendar, repair_windows
 from rateloom.schemas import REQUESTS, TIMEFRAMES
 
 from .requests import SYMBOLS_PER_REQUEST, request_params
@@ -73,6 +73,14 @@ def historical_rate_requests(
     return _requests(days, "rates_historical", params)
 
 
+def repair_rate_requests(
+    missing: DataFrame, symbols: Sequence[str] | None = None, day: str = "day"
+) -> DataFrame:
+    """One request per base and day of ``missing(base_currency, day)``."""
+    windows = repair_windows(missing, ["base_currency"], day=day)
+    return historical_rate_requests(windows, symbols=symbols)
+
+
 def conversion_requests(amounts: DataFrame) -> DataFrame:
     """One request per different ``amounts(from_currency, to_currency, amount)``."""
     amounts = amounts.select("from_currency", "to_currency", "amount").distinct()
@@ -133,3 +141,30 @@ def bar_requests(
         limit=None if limit is None else str(limit),
     )
     return _requests(windows, "bars_historical", F.map_concat("params", more))
+
+
+def repair_bar_requests(
+    missing: DataFrame,
+    timeframe: str = "1Day",
+    feed: str = DEFAULT_FEED,
+    limit: int | None = None,
+    batch_days: int = 30,
+    per_request: int = SYMBOLS_PER_REQUEST,
+    day: str = "day",
+) -> DataFrame:
+    """Requests for exactly the days of ``missing(symbol, day)``, symbols with the same window together.
+
+    Runs of days become the fewest windows of at most ``batch_days`` days.
+    """
+    if timeframe not in TIMEFRAMES:
+        raise ValueError(f"unknown timeframe {timeframe!r}")
+    windows = repair_windows(missing, ["symbol"], batch_days, day)
+    groups = request_params(windows, ["start", "end"], "symbol", per_request=per_request)
+    more = _params(
+        start=F.col("start"),
+        end=F.col("end"),
+        timeframe=timeframe,
+        feed=feed,
+        limit=None if limit is None else str(limit),
+    )
+    return _requests(groups, "bars_historical", F.map_concat("params", more))

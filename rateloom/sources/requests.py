@@ -215,6 +215,7 @@ def landing_arrow() -> pa.Schema:
             ("page", pa.int32()),
             ("feed", pa.string()),
             ("request_date", pa.date32()),
+            ("usable", pa.bool_()),
         ]
     )
 

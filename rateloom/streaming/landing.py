@@ -33,25 +33,22 @@ def read_landing_stream(spark: SparkSession, source: str, max_files: int | None
     return lines.select("_row.*", "_line", "_file", bad.alias("_rejected")).drop(_BAD)
 
 
-def dedupe_stream(responses: DataFrame, delay: str = "1 day", spread: int = 16) -> DataFrame:
+def dedupe_stream(responses: DataFrame, delay: str = "1 day", spread: int = 1) -> DataFrame:
     """Every response once, however often it is delivered within ``delay`` of its arrival.
 
     A response is known by its request, run, page, fetch time and status: polls of one request are
     different responses, and ``latest_responses`` chooses between them. The watermark follows the time
     of the micro-batch, not ``fetched_at``: a response that is delivered late would otherwise be taken
-    for expired and lost. Copies are first dropped within ``spread`` shares, then across them, so that
-    a response that is sent over and over is held by many tasks. The share follows from the file, not
-    from a random number, so a repeated task puts a row where it was before.
+    for expired and lost. Copies of one response meet in one task. Where responses are sent over and over,
+    ``spread`` drops copies within that many shares first, at the price of a second state: the share
+    follows from the file, not from a random number, so a repeated task puts a row where it was before.
     """
     share = F.pmod(F.xxhash64("_file"), F.lit(spread)).cast("int")
     identity = ["request_key", "run_id", "page", "fetched_at", "status"]
-    return (
-        responses.withColumns({"_share": share, "_arrived": F.current_timestamp()})
-        .withWatermark("_arrived", delay)
-        .dropDuplicatesWithinWatermark([*identity, "_share"])
-        .dropDuplicatesWithinWatermark(identity)
-        .select(*LANDED.names)
-    )
+    arrived = responses.withColumns({"_share": share, "_arrived": F.current_timestamp()}).withWatermark("_arrived", delay)
+    if spread > 1:
+        arrived = arrived.dropDuplicatesWithinWatermark([*identity, "_share"])
+    return arrived.dropDuplicatesWithinWatermark(identity).select(*LANDED.names)
 
 
 def run_landing(

@@ -102,7 +102,7 @@ def test_backfill_rates(spark, folder):
     ]
     # What landed for other requests is not this run's.
     feed, day = "historical", date(2024, 1, 1)
-    other = spark.createDataFrame([("X-1", {"base": "X", "date": "2024-01-01"}, 200, "{", None, "r", 0, feed, day)], schemas.LANDED)
+    other = spark.createDataFrame([("X-1", {"base": "X", "date": "2024-01-01"}, 200, "{", None, "r", 0, feed, day, None)], schemas.LANDED)
     other.write.mode("append").partitionBy("feed", "request_date").parquet(f"{folder}/landing")
     # A second run calls only for what failed; the table is the same.
     before = spark.read.parquet(f"{folder}/landing").count()
@@ -271,9 +271,9 @@ def test_cut_off_pages_are_called_again(spark, folder):
 
     one = planning.bar_requests(symbols(spark, "AAA"), "2024-01-01", "2024-01-05")
     assert run(broken, "a.parquet") == ([0], [1])
-    assert outstanding(one, f"{folder}/landing", by_feed=True).count() == 1
+    assert outstanding(one, f"{folder}/landing").count() == 1
     assert run(pages_of(3), "b.parquet") == ([0, 1, 2], [0])
-    assert outstanding(one, f"{folder}/landing", by_feed=True).count() == 0
+    assert outstanding(one, f"{folder}/landing").count() == 0
 
 
 def test_broken_poll_leaves_the_last_good_one(spark, folder):
