@@ -1,33 +1,58 @@
-"""Token ids of whole texts with a public tokenizer, chunk by chunk through a bounded cache."""
+"""Token ids of whole texts with a public tokenizer, by the words of a slice of texts."""
 
 from __future__ import annotations
 
 import os
 import re
-from array import array
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from rateloom.llm.common import worker_state
 
-#: Chunks kept per Python worker and generation: a full one becomes the old one, and what is still in
-#: use moves on from there.
-REMEMBERED = 100_000
+#: Words that are joined for one call of the tokenizer, and letters of the longest of them.
+AT_ONCE = 2000
 LONGEST = 64
-#: Letters with punctuation after them: tokenizers cut between the two.
-_ENDED = re.compile(r"([^\W\d_]+)([.,!?;:%*$&#|\"()\-]+)")
+_TAIL = r"""[.,!?;:%*$&#|"()\-]+"""
+#: Letters, with punctuation after them: tokenizers cut between the two. A line feed may come first.
+_WORD = rf"^(?P<line>\n?)(?P<head>\p{{L}}{{1,{LONGEST}}})(?P<tail>(?:{_TAIL})?)$"
 #: All white space but the space and the line feed.
 _ODD_SPACE = re.compile("[" + "".join(chr(c) for c in range(0x3001) if chr(c).isspace() and chr(c) not in " \n") + "]")
 _SEPARATORS = re.compile("[\x1c-\x1f]")
 
 
+class _Parts:
+    """Ids of distinct strings, one after the other, and where each begins."""
+
+    def __init__(self):
+        self.ids, self.sizes, self.n = [], [], 0
+
+    def add(self, ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Adds strings of ``sizes`` ids; returns their numbers."""
+        self.ids.append(ids)
+        self.sizes.append(sizes)
+        self.n += len(sizes)
+        return np.arange(self.n - len(sizes), self.n)
+
+    def taken(self, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the strings in ``order``, and how many of each."""
+        ids, sizes = np.concatenate(self.ids), np.concatenate(self.sizes)
+        starts = np.cumsum(sizes) - sizes
+        own = sizes[order]
+        ends = np.cumsum(own)
+        at = np.repeat(starts[order] - (ends - own), own) + np.arange(int(ends[-1]) if len(ends) else 0)
+        return ids[at], own
+
+
 class Encoder:
     """Little-endian unsigned 32-bit ids of a text, the same as the tokenizer gives for it as a whole.
 
-    A tokenizer that drops white space (``words``) is asked for every word between spaces once, one
+    A tokenizer that drops white space (``words``) is asked for every word between spaces, one
     that keeps it for every word with the space before it: neither joins anything across those cuts.
-    Lines are cut apart as well. Texts for which that could differ (rare kinds and runs of white space)
-    are encoded as a whole.
+    Lines are cut apart as well, and punctuation after a word. Of a slice of texts every word is asked for
+    once, and words of letters many at a time; where one ends is seen from the tokens. Texts for which that
+    could differ (rare kinds and runs of white space) are encoded as a whole. Nothing is kept between slices.
     """
 
     def __init__(self, path: str, words: bool):
@@ -35,11 +60,12 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.words = Tokenizer.from_file(path), words
-        self.known, self.old, self.tails = {}, {}, {}
-        # What ends a word (or begins one, with the space before it), by id.
+        # What ends a word (or begins one, with the space before it), and what stands for a line feed, by id.
         vocabulary = self.tokenizer.get_vocab()
         self.edge = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.edge[[i for t, i in vocabulary.items() if (t.endswith("</w>") if words else t.startswith("\u0120"))]] = True
+        self.edge[[i for t, i in vocabulary.items() if (t.endswith("</w>") if words else t.startswith("Ġ"))]] = True
+        self.line = np.zeros(len(self.edge), bool)
+        self.line[[i for t, i in vocabulary.items() if t.startswith("Ċ")]] = True
 
     @staticmethod
     def of(path: str, words: bool) -> Encoder:
@@ -49,83 +75,94 @@ class Encoder:
             state[key] = Encoder(path, words)
         return state[key]
 
-    def _chunks(self, text: str) -> list[str] | None:
-        """The words of a text; where white space counts, one that begins a line has the line feed before
-        it, the first of the text two, and all others stand for themselves after a space."""
+    def _cut(self, text: str) -> str | None:
+        """The text with one space between its chunks; None if it has to be encoded as a whole. Where white
+        space counts, a chunk that begins a line has the line feed before it, the first of the text two,
+        and all others stand for themselves after a space."""
         if self.words:
-            return None if _SEPARATORS.search(text) else text.split()
+            if _SEPARATORS.search(text):
+                return None
+            return " ".join(text.split()) if _ODD_SPACE.search(text) else text.replace("\n", " ")
         if "  " in text or "\n " in text or " \n" in text or "\n\n" in text or _ODD_SPACE.search(text):
             return None
         if text[-1:] in (" ", "\n"):
             return None
-        chunks = ("\n\n" + text).replace("\n", " \n").replace(" \n \n", "\n\n", 1).split(" ")
-        return chunks if chunks[0] != "\n\n" else chunks[1:]
+        cut = ("\n\n" + text).replace("\n", " \n").replace(" \n \n", "\n\n", 1)
+        return cut[3:] if cut.startswith("\n\n ") else cut
 
     def _text(self, chunk: str) -> str:
         if self.words:
             return chunk
-        return chunk[2:] if chunk.startswith("\n\n") else chunk if chunk[0] == "\n" else " " + chunk
+        return chunk[2:] if chunk.startswith("\n\n") else chunk if chunk[:1] == "\n" else " " + chunk
 
-    def _plain(self, texts: list[str]) -> list[bytes]:
+    def _plain(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [array("I", e.ids).tobytes() for e in found]
-
-    def _bulk(self, stems: list[str]) -> list[bytes]:
-        """Ids of words of letters: of many at once, cut apart where words end or begin."""
-        joined = (" " if self.words else "").join(stems)
-        ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
-        edges = np.flatnonzero(self.edge[ids])
-        if len(edges) != len(stems):
-            return self._plain(stems)
-        cuts = [0, *(edges + 1).tolist()] if self.words else [*edges.tolist(), len(ids)]
-        raw = ids.tobytes()
-        return [raw[4 * a : 4 * b] for a, b in zip(cuts, cuts[1:])]
-
-    def _stem(self, word: str) -> str:
-        """Words that the tokenizer puts in lower case are looked up in lower case."""
-        return word.lower() if self.words and max(word) < "\u0130" else word
-
-    def _learn(self, chunks: set[str]) -> list[str]:
-        """Makes the ids of all ``chunks`` known; those returned are too long to be kept."""
-        if len(self.known) > REMEMBERED:
-            self.known, self.old = {}, self.known
-        known, old = self.known, self.old
-        new = chunks.difference(known)
-        known.update([(c, old[c]) for c in new if c in old])
-        new = new.difference(known)
-        # What begins with a line feed is no word of letters, whatever follows.
-        words = {c for c in new if c.isalpha() and len(c) <= LONGEST}
-        ended, other = {}, []
-        for chunk in new - words:
-            found = _ENDED.fullmatch(chunk) if len(chunk) <= LONGEST else None
-            if found and found[1].isalpha():
-                ended[chunk] = found.groups()
+        ids = [e.ids for e in found]
+        return np.array([i for own in ids for i in own], "<u4"), np.array([len(own) for own in ids], np.int64)
+
+    def _bulk(self, words: list[str], line: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words of letters, after a space or line feed: of many at once, cut apart where words end or begin."""
+        ids, sizes = [np.zeros(0, "<u4")], [np.zeros(0, np.int64)]
+        lead = "" if self.words else "\n" if line else " "
+        for at in range(0, len(words), AT_ONCE):
+            some = words[at : at + AT_ONCE]
+            joined = " ".join(some) if self.words else lead + lead.join(some)
+            own = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
+            edges = np.flatnonzero((self.line if line else self.edge)[own])
+            if len(edges) != len(some):
+                own, size = self._plain([lead + w for w in some])
             else:
-                other.append(chunk)
-        stems = words | {head for head, _ in ended.values()}
-        stem_of = {c: self._stem(c) for c in stems} if self.words else None
-        wanted = {*stem_of.values()} if self.words else stems
-        wanted = list(wanted.difference(known))
-        texts = wanted if self.words else [" " + c for c in wanted]
-        for at in range(0, len(wanted), 2000):
-            known.update(zip(wanted[at : at + 2000], self._bulk(texts[at : at + 2000])))
+                size = np.diff(edges, prepend=-1) if self.words else np.diff(edges, append=len(own))
+            ids.append(own)
+            sizes.append(size)
+        return np.concatenate(ids), np.concatenate(sizes)
+
+    def _numbers(self, chunks: pa.StringArray, parts: _Parts) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of the one or two parts of every distinct chunk; -1 for none."""
+        first, second = np.full(len(chunks), -1), np.full(len(chunks), -1)
+        cut = pc.extract_regex(chunks, _WORD)
+        is_word = cut.is_valid().to_numpy(zero_copy_only=False)
+        line, head, tail = (pc.struct_field(cut, k) for k in range(3))
+        at_line = pc.equal(line, "\n").fill_null(False).to_numpy(zero_copy_only=False)
         if self.words:
-            known.update([(c, known[own]) for c, own in stem_of.items()])
-        for at in range(0, len(other), 2000):
-            some = other[at : at + 2000]
-            known.update(zip(some, self._plain([self._text(c) for c in some])))
-        if len(self.tails) > REMEMBERED:
-            self.tails = {}
-        tails = list({tail for _, tail in ended.values()}.difference(self.tails))
-        self.tails.update(zip(tails, self._plain(tails)))
-        known.update([(c, known[head] + self.tails[tail]) for c, (head, tail) in ended.items()])
-        return [c for c in other if len(c) > LONGEST]
+            # Some letters become a letter and a mark, which goes with the punctuation after it.
+            plain = pc.utf8_is_alpha(pc.utf8_lower(pc.utf8_normalize(head, form="NFC"))).fill_null(False)
+            odd = pc.match_substring(chunks, "\u0130")
+            is_word &= ~at_line & plain.to_numpy(zero_copy_only=False) & ~odd.to_numpy(zero_copy_only=False)
+        for begins in (False, True):
+            at = np.flatnonzero(is_word & (at_line == begins))
+            if len(at):
+                heads = head.take(pa.array(at)).dictionary_encode()
+                first[at] = parts.add(*self._bulk(heads.dictionary.to_pylist(), begins))[heads.indices.to_numpy()]
+        ended = np.flatnonzero(is_word & pc.not_equal(tail, "").fill_null(False).to_numpy(zero_copy_only=False))
+        if len(ended):
+            tails = tail.take(pa.array(ended)).dictionary_encode()
+            second[ended] = parts.add(*self._plain(tails.dictionary.to_pylist()))[tails.indices.to_numpy()]
+        other = np.flatnonzero(~is_word)
+        texts = chunks.take(pa.array(other)).to_pylist()
+        filled = np.array([bool(t) for t in texts], bool)
+        if filled.any():
+            first[other[filled]] = parts.add(*self._plain([self._text(t) for t in texts if t]))
+        return first, second
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        cut = [self._chunks(t) for t in texts]
-        long = self._learn(set().union(*(c for c in cut if c is not None)))
-        get = self.known.__getitem__
-        done = [self._plain([t])[0] if c is None else b"".join(map(get, c)) for t, c in zip(texts, cut)]
-        for chunk in long:
-            del self.known[chunk]
+        cut = [self._cut(t) for t in texts]
+        lists = pc.split_pattern(pa.array([c or "" for c in cut], pa.large_string()), " ")
+        coded = lists.flatten().dictionary_encode()
+        parts = _Parts()
+        parts.add(np.zeros(0, "<u4"), np.zeros(0, np.int64))
+        first, second = self._numbers(coded.dictionary.cast(pa.string()), parts)
+        of_chunk = coded.indices.to_numpy()
+        both = np.stack([first[of_chunk], second[of_chunk]], axis=1)
+        there = both >= 0
+        ids, sizes = parts.taken(both[there])
+        # Where texts begin, over their chunks, over parts, over ids.
+        ends = np.cumsum(pc.list_value_length(lists).to_numpy())
+        ends = np.append(0, np.cumsum(there.sum(axis=1)))[ends]
+        ends = np.append(0, np.cumsum(sizes))[ends]
+        raw = ids.astype("<u4").tobytes()
+        done = [raw[4 * a : 4 * b] for a, b in zip([0, *ends.tolist()], ends.tolist())]
+        whole = [k for k, c in enumerate(cut) if c is None]
+        for k in whole:
+            done[k] = self._plain([texts[k]])[0].tobytes()
         return done

@@ -1,4 +1,5 @@
 import random
+import unicodedata
 import zlib
 from collections import defaultdict
 
@@ -56,12 +57,14 @@ def plain_best_fit(lengths, capacity):
 
 
 def test_encoder_is_the_tokenizer(monkeypatch):
-    monkeypatch.setattr(tokens, "REMEMBERED", 150)
+    monkeypatch.setattr(tokens, "AT_ONCE", 50)
     odd = ["", " ", "a", "a  b", "a   b", "a\n b", " a\nb ", "x y", "a\x1cb c", "don't can't's", "<|endoftext|> a <|endoftext|>"]
     odd += ["é é Ünï 漢字 かな", "THE!! Of,&&& 12 345", "\t\r\n x", "z" * 500, "a　b", "tail ", "tail \n", "l\nm\n", "\nl", "a b\nc d\n\ne", "a\nb \nc", "\n\n\nq", "a ́b"]
     rng = random.Random(1)
     odd += ["".join(rng.choice("ab'sé  \n\t.1<|>") for _ in range(40)) for _ in range(300)]
     odd += ["".join(rng.choice(["The", "ÉTÉ", "ß", "²x", "İi", "Σας", ",", "!!", "&&&", " ", " ", "-", "'s", "|", "\n"]) for _ in range(30)) for _ in range(300)]
+    letters = [c for c in map(chr, range(0x20, 0x30000)) if unicodedata.category(c) not in ("Cs", "Cn", "Co")]
+    odd += [f"x{c}, {c} a{c}b\n{c}z." for c in letters[::31] + list("\u095c\u0a36\u0f5c\ufb2c\ufb33\u0130")]
     for path, words in ((PATH, True), (BYTES, False)):
         tokenizer, encode = Tokenizer.from_file(path), Encoder(path, words)
         want = [np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in odd]
