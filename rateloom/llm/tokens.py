@@ -41,7 +41,9 @@ class _Parts:
         starts = np.cumsum(sizes) - sizes
         own = sizes[order]
         ends = np.cumsum(own)
-        at = np.repeat(starts[order] - (ends - own), own) + np.arange(int(ends[-1]) if len(ends) else 0)
+        # Ids of a slice are far fewer than 2^31.
+        at = np.arange(int(ends[-1]) if len(ends) else 0, dtype=np.int32)
+        at += np.repeat((starts[order] - (ends - own)).astype(np.int32), own)
         return ids[at], own
 
 
@@ -119,26 +121,33 @@ class Encoder:
 
     def _numbers(self, chunks: pa.StringArray, parts: _Parts) -> tuple[np.ndarray, np.ndarray]:
         """The numbers of the one or two parts of every distinct chunk; -1 for none."""
-        first, second = np.full(len(chunks), -1), np.full(len(chunks), -1)
-        cut = pc.extract_regex(chunks, _WORD)
+        first, second = np.full(len(chunks), -1, np.int32), np.full(len(chunks), -1, np.int32)
+        # Most chunks are letters alone; only the others are taken apart.
+        letters = pc.and_(pc.utf8_is_alpha(chunks), pc.less_equal(pc.binary_length(chunks), LONGEST))
+        letters = letters.to_numpy(zero_copy_only=False)
+        mixed = np.flatnonzero(~letters)
+        cut = pc.extract_regex(chunks.take(pa.array(mixed)), _WORD)
         is_word = cut.is_valid().to_numpy(zero_copy_only=False)
         line, head, tail = (pc.struct_field(cut, k) for k in range(3))
         at_line = pc.equal(line, "\n").fill_null(False).to_numpy(zero_copy_only=False)
         if self.words:
             # Some letters become a letter and a mark, which goes with the punctuation after it.
             plain = pc.utf8_is_alpha(pc.utf8_lower(pc.utf8_normalize(head, form="NFC"))).fill_null(False)
-            odd = pc.match_substring(chunks, "\u0130")
+            odd = pc.match_substring(head, "\u0130").fill_null(False)
             is_word &= ~at_line & plain.to_numpy(zero_copy_only=False) & ~odd.to_numpy(zero_copy_only=False)
-        for begins in (False, True):
-            at = np.flatnonzero(is_word & (at_line == begins))
-            if len(at):
-                heads = head.take(pa.array(at)).dictionary_encode()
-                first[at] = parts.add(*self._bulk(heads.dictionary.to_pylist(), begins))[heads.indices.to_numpy()]
+        own = np.flatnonzero(letters)
+        heads = pa.concat_arrays([chunks.take(pa.array(own)), head.take(pa.array(np.flatnonzero(is_word & ~at_line)))]).dictionary_encode()
+        number = parts.add(*self._bulk(heads.dictionary.to_pylist()))[heads.indices.to_numpy()]
+        first[own], first[mixed[is_word & ~at_line]] = number[: len(own)], number[len(own) :]
+        at = np.flatnonzero(is_word & at_line)
+        if len(at):
+            heads = head.take(pa.array(at)).dictionary_encode()
+            first[mixed[at]] = parts.add(*self._bulk(heads.dictionary.to_pylist(), True))[heads.indices.to_numpy()]
         ended = np.flatnonzero(is_word & pc.not_equal(tail, "").fill_null(False).to_numpy(zero_copy_only=False))
         if len(ended):
             tails = tail.take(pa.array(ended)).dictionary_encode()
-            second[ended] = parts.add(*self._plain(tails.dictionary.to_pylist()))[tails.indices.to_numpy()]
-        other = np.flatnonzero(~is_word)
+            second[mixed[ended]] = parts.add(*self._plain(tails.dictionary.to_pylist()))[tails.indices.to_numpy()]
+        other = mixed[~is_word]
         texts = chunks.take(pa.array(other)).to_pylist()
         filled = np.array([bool(t) for t in texts], bool)
         if filled.any():
@@ -153,15 +162,16 @@ class Encoder:
         parts.add(np.zeros(0, "<u4"), np.zeros(0, np.int64))
         first, second = self._numbers(coded.dictionary.cast(pa.string()), parts)
         of_chunk = coded.indices.to_numpy()
+        ends = np.cumsum(pc.list_value_length(lists).to_numpy())
+        del lists, coded
         both = np.stack([first[of_chunk], second[of_chunk]], axis=1)
         there = both >= 0
         ids, sizes = parts.taken(both[there])
-        # Where texts begin, over their chunks, over parts, over ids.
-        ends = np.cumsum(pc.list_value_length(lists).to_numpy())
+        # Where texts end, over their chunks, over parts, over ids.
         ends = np.append(0, np.cumsum(there.sum(axis=1)))[ends]
         ends = np.append(0, np.cumsum(sizes))[ends]
-        raw = ids.astype("<u4").tobytes()
-        done = [raw[4 * a : 4 * b] for a, b in zip([0, *ends.tolist()], ends.tolist())]
+        raw = memoryview(ids).cast("B")
+        done = [bytes(raw[4 * a : 4 * b]) for a, b in zip([0, *ends.tolist()], ends.tolist())]
         whole = [k for k, c in enumerate(cut) if c is None]
         for k in whole:
             done[k] = self._plain([texts[k]])[0].tobytes()
