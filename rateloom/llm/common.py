@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import functools
 import sys
 import tempfile
@@ -50,9 +51,19 @@ def worker_state(owner: str) -> dict:
     if list(held) != [owner]:
         held.clear()
         held[owner] = {}
+        give_back()
     return held[owner]
 
 
+def give_back() -> None:
+    """Returns memory that this process has freed to the machine: allocators keep it otherwise, and a Python
+    worker lives on when its task is over."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 #: Rows and bytes of text that are worked on at once, about; a longer text makes a slice by itself.
 SLICE_ROWS = 2048
 SLICE_BYTES = 8 << 20
@@ -74,8 +85,13 @@ def slices(b: pa.RecordBatch, at: int) -> Iterator[pa.RecordBatch]:
 def map_batches(
     df: DataFrame, schema: str, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 ) -> DataFrame:
-    """``mapInArrow``, in a form that also holds for empty inputs."""
-    return df.mapInArrow(work, schema)
+    """``mapInArrow``; what a task has freed goes back to the machine at its end."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from work(batches)
+        give_back()
+
+    return df.mapInArrow(task, schema)
 
 
 def batch(schema: pa.Schema, *columns) -> pa.RecordBatch:
