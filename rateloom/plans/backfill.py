@@ -13,7 +13,7 @@ from rateloom.schemas import LANDED
 from rateloom.sinks.parquet import write_parquet
 from rateloom.sources import fx, stocks
 from rateloom.sources.audit import judged_landing, with_verdict
-from rateloom.sources.envelope import USABLE, latest_responses
+from rateloom.sources.envelope import USABLE, latest_responses, settled_pages
 from rateloom.sources.planning import DEFAULT_FEED, bar_requests, historical_rate_requests
 from rateloom.sources.requests import SYMBOLS_PER_REQUEST, Transport, fetch_responses
 
@@ -22,9 +22,8 @@ LANDING_PARTITIONS = ("feed", "request_date")
 
 
 def _judged(requests: DataFrame, landing: str) -> DataFrame:
-    """What has landed of ``requests``, as in ``landed_of``, and whether its feed can use it.
+    """All copies that have landed of ``requests``, and whether their feed can use them.
 
-    A run is whole if its feed can use every page: a cut-off body counts as little as an error status.
     Only the partitions of the requests' feed and days are read; responses to other requests are left
     out before copies are compared. A missing folder holds nothing.
     """
@@ -43,12 +42,15 @@ def _judged(requests: DataFrame, landing: str) -> DataFrame:
     if not span["undated"] and span["lo"] is not None:
         landed = landed.where(F.col("request_date").between(F.lit(span["lo"]).cast("date"), F.lit(span["hi"]).cast("date")))
     mine = landed.join(asked, landed["request_key"] == asked["_asked"], "left_semi")
-    return latest_responses(judged_landing(mine, span["feeds"]))
+    return judged_landing(mine, span["feeds"])
 
 
 def landed_of(requests: DataFrame, landing: str) -> DataFrame:
-    """What has landed of ``requests``: of each the last whole run, and of its pages the best copy."""
-    return _judged(requests, landing).drop(USABLE)
+    """What has landed of ``requests``: of each the last whole run, and of its pages the best copy.
+
+    A run is whole if its feed can use every page: a cut-off body counts as little as an error status.
+    """
+    return latest_responses(_judged(requests, landing)).drop(USABLE)
 
 
 def outstanding(requests: DataFrame, landing: str) -> DataFrame:
@@ -59,7 +61,7 @@ def outstanding(requests: DataFrame, landing: str) -> DataFrame:
     """
     wrong = classify_response(F.col("status"))["action"] == "bad_request"
     left = F.count_if(~F.col(USABLE) & ~wrong).alias("_left")
-    known = _judged(requests, landing).groupBy("request_key").agg(left).where("_left = 0")
+    known = settled_pages(_judged(requests, landing)).groupBy("request_key").agg(left).where("_left = 0")
     return requests.join(known, "request_key", "left_anti").select(*requests.columns)
 
 

@@ -64,17 +64,44 @@ def _rank(good: Column) -> Column:
     return good + at + 999 - F.coalesce("status", F.lit(999))
 
 
-def _whole_runs(responses: DataFrame) -> DataFrame:
-    """The rows of one run per request: the last of which all pages are usable, or else the last."""
-    run = F.xxhash64("run_id").alias("_run")
-    good = F.min(_good(responses).cast("long"))
-    began = F.max(F.when(F.coalesce("page", F.lit(0)) == 0, F.unix_micros("fetched_at")))
-    rank = (F.shiftleft(good, 62) + F.coalesce(began, F.lit(0))).alias("_rank")
-    runs = responses.groupBy("request_key", run).agg(rank)
-    best = runs.groupBy("request_key").agg(F.max("_rank").alias("_rank"))
-    chosen = runs.join(best, ["request_key", "_rank"]).groupBy("request_key").agg(F.max("_run").alias("_run"))
-    same = (responses["request_key"] == chosen["request_key"]) & (F.xxhash64(responses["run_id"]) == chosen["_run"])
-    return responses.join(chosen, same, "left_semi")
+def _ranked(responses: DataFrame) -> tuple[DataFrame, list[str]]:
+    """``responses`` with ``_rank`` and, if they have runs and pages, ``_run``; and what tells pages apart."""
+    if not {"run_id", "page"} <= set(responses.columns):
+        return responses.withColumn("_rank", _rank(_good(responses))), ["request_key"]
+    added = {"page": F.coalesce("page", F.lit(0)), "_run": F.xxhash64("run_id"), "_rank": _rank(_good(responses))}
+    return responses.withColumns(added), ["request_key", "_run", "page"]
+
+
+def _winners(ranked: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys, _rank, _copies, status`` and ``_usable`` of the best copy of every page that counts.
+
+    Of the runs of a request the last whole one counts (one of which every copy is usable), or else the
+    last. Only fixed width columns are read, once, and copies are counted before they are shuffled.
+    """
+    good = _good(ranked).cast("long")
+    began = F.when(F.col("page") == 0, F.unix_micros("fetched_at")) if "page" in keys else F.lit(None).cast("long")
+    copies = ranked.groupBy(*keys, "_rank").agg(
+        F.count(F.lit(1)).alias("_copies"), F.max("status").alias("status"),
+        F.min(good).alias("_good"), F.max(began).alias("_began"),
+    )
+    # All copies of one rank have the same status and verdict, and a usable one outranks all others.
+    pages = copies.groupBy(*keys).agg(
+        F.max_by("_copies", "_rank").alias("_copies"), F.max_by("status", "_rank").alias("status"),
+        (F.max("_good") == 1).alias(USABLE), F.min("_good").alias("_good"), F.max("_began").alias("_began"),
+        F.max("_rank").alias("_rank"),
+    )
+    if "_run" in keys:
+        order = F.shiftleft(F.min("_good"), 62) + F.coalesce(F.max("_began"), F.lit(0))
+        runs = pages.groupBy("request_key", "_run").agg(order.alias("_order"))
+        last = runs.groupBy("request_key").agg(F.max(F.struct("_order", "_run"))["_run"].alias("_run"))
+        pages = pages.join(last, ["request_key", "_run"])
+    return pages.drop("_good", "_began")
+
+
+def settled_pages(responses: DataFrame) -> DataFrame:
+    """``request_key, status, _usable`` of what ``latest_responses`` would return, without the bodies: they
+    are not read if the responses hold their verdicts. One pass over ``responses``."""
+    return _winners(*_ranked(responses)).select("request_key", "status", USABLE)
 
 
 def latest_responses(responses: DataFrame) -> DataFrame:
@@ -82,19 +109,12 @@ def latest_responses(responses: DataFrame) -> DataFrame:
 
     Pages count only with the run that fetched them: of the runs of a request the last whole one is
     taken. Usable is what the feed can use if the responses were judged (``audit.judged``), else what has
-    no error status. Rows without a key are left out. The best copies are found by a hash aggregate over fixed
-    width columns and joined back; only copies that tie in everything are ordered, by their bodies'
-    hash.
+    no error status. Rows without a key are left out. The best copies are found by hash aggregates over fixed
+    width columns and joined back, so ``responses`` are read twice, once without the bodies; only copies that
+    tie in everything are ordered, by their bodies' hash.
     """
-    keys = ["request_key"]
-    if {"run_id", "page"} <= set(responses.columns):
-        responses, keys = _whole_runs(responses), ["request_key", "page"]
-    ranked = responses.withColumn("_rank", _rank(_good(responses)))
-    if "page" in keys:
-        ranked = ranked.withColumn("page", F.coalesce("page", F.lit(0)))
-    counts = ranked.groupBy(*keys, "_rank").agg(F.count(F.lit(1)).alias("_copies"))
-    best = counts.groupBy(*keys).agg(F.max("_rank").alias("_rank"))
-    won = ranked.join(counts.join(best, [*keys, "_rank"]), [*keys, "_rank"])
+    ranked, keys = _ranked(responses)
+    won = ranked.join(_winners(ranked, keys).drop("status", USABLE), [*keys, "_rank"])
     first = Window.partitionBy(*keys).orderBy(F.xxhash64("body"))
     tied = won.where("_copies > 1").withColumn("_copies", F.row_number().over(first)).where("_copies = 1")
     return won.where("_copies = 1").union(tied).select(*responses.columns)
