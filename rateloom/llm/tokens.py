@@ -14,14 +14,31 @@ from rateloom.llm.common import worker_state
 #: Words that are joined for one call of the tokenizer, and letters of the longest of them.
 AT_ONCE = 2000
 LONGEST = 64
-_TAIL = r"""[.,!?;:%*$&#|"()\-]+"""
-#: Letters, with punctuation after them: tokenizers cut between the two. A line feed may come first.
-_WORD = rf"^(?P<line>\n?)(?P<head>\p{{L}}{{1,{LONGEST}}})(?P<tail>(?:{_TAIL})?)$"
+#: Bytes of chunks and their ids that are kept for the next slices.
+KEPT_BYTES = 16 << 20
+#: Punctuation that may come after the letters of a word: tokenizers cut between the two.
+_TAIL = """.,!?;:%*$&#|"()-"""
 #: All white space but the space and the line feed.
 _ODD_SPACE = re.compile("[" + "".join(chr(c) for c in range(0x3001) if chr(c).isspace() and chr(c) not in " \n") + "]")
 _SEPARATORS = re.compile("[\x1c-\x1f]")
 
 
+def _strings(array: pa.StringArray) -> list[str]:
+    return array.to_numpy(zero_copy_only=False).tolist()
+
+
+def _taken_apart(chunks: pa.StringArray) -> tuple[pa.StringArray, pa.StringArray, pa.StringArray]:
+    """Every chunk as a line feed or nothing, what is between, and the punctuation at its end."""
+    line = pc.starts_with(chunks, "\n").to_numpy(zero_copy_only=False)
+    kept = pc.binary_length(pc.utf8_rtrim(chunks, _TAIL)).to_numpy(zero_copy_only=False)
+    ends = np.append(0, np.cumsum(pc.binary_length(chunks).to_numpy(zero_copy_only=False)))
+    # The strings of one array, cut at more places.
+    cuts = np.stack([ends[:-1], ends[:-1] + line, ends[:-1] + kept], axis=1).ravel()
+    letters = pa.py_buffer(b"".join(pc.cast(chunks, pa.binary()).to_numpy(zero_copy_only=False)))
+    cut = pa.StringArray.from_buffers(len(cuts), pa.py_buffer(np.append(cuts, ends[-1]).astype(np.int32)), letters)
+    return tuple(cut.take(pa.array(np.arange(k, len(cuts), 3))) for k in range(3))
+
+
 class _Parts:
     """Ids of distinct strings, one after the other, and where each begins."""
 
@@ -37,14 +54,47 @@ class _Parts:
 
     def taken(self, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the strings in ``order``, and how many of each."""
-        ids, sizes = np.concatenate(self.ids), np.concatenate(self.sizes)
-        starts = np.cumsum(sizes) - sizes
-        own = sizes[order]
-        ends = np.cumsum(own)
-        # Ids of a slice are far fewer than 2^31.
-        at = np.arange(int(ends[-1]) if len(ends) else 0, dtype=np.int32)
-        at += np.repeat((starts[order] - (ends - own)).astype(np.int32), own)
-        return ids[at], own
+        return taken(np.concatenate(self.ids), np.concatenate(self.sizes), order)
+
+
+def taken(ids: np.ndarray, sizes: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of strings of ``sizes`` ids, one after the other, the ids of those in ``order``, and how many of each."""
+    starts = np.cumsum(sizes) - sizes
+    own = sizes[order]
+    ends = np.cumsum(own)
+    # Ids of a slice are far fewer than 2^31.
+    at = np.arange(int(ends[-1]) if len(ends) else 0, dtype=np.int32)
+    at += np.repeat((starts[order] - (ends - own)).astype(np.int32), own)
+    return ids[at], own
+
+
+class _Kept:
+    """Distinct chunks and their ids, one after the other."""
+
+    def __init__(self):
+        self.chunks, self.ids, self.sizes = pa.array([], pa.string()), np.zeros(0, "<u4"), np.zeros(0, np.int32)
+
+    def find(self, chunks: pa.StringArray) -> np.ndarray:
+        """The numbers of chunks; -1 for those that aren't kept."""
+        return pc.index_in(chunks, value_set=self.chunks).fill_null(-1).to_numpy(zero_copy_only=False).copy()
+
+    def keep(self, seen: pa.StringArray, number: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
+        """Keeps the short ones of a slice's distinct chunks ``seen`` as well, or only them if all are too many.
+        ``ids`` and ``sizes`` are of the chunks kept so far and of more, ``number`` the place of each seen."""
+        seen, number = self._short(seen, number)
+        more = np.flatnonzero(number >= len(self.chunks))
+        chunks = pa.concat_arrays([self.chunks, seen.take(pa.array(more))])
+        order = np.append(np.arange(len(self.chunks)), number[more])
+        if chunks.nbytes + 4 * int(sizes[order].sum()) > KEPT_BYTES:
+            chunks, order = seen, number
+            if chunks.nbytes + 4 * int(sizes[order].sum()) > KEPT_BYTES:
+                chunks, order = seen.slice(0, 0), number[:0]
+        self.chunks, (self.ids, self.sizes) = chunks, taken(ids, sizes, order)
+
+    @staticmethod
+    def _short(chunks: pa.StringArray, number: np.ndarray) -> tuple[pa.StringArray, np.ndarray]:
+        short = np.flatnonzero(pc.less_equal(pc.binary_length(chunks), LONGEST).to_numpy(zero_copy_only=False))
+        return chunks.take(pa.array(short)), number[short]
 
 
 class Encoder:
@@ -54,14 +104,15 @@ class Encoder:
     that keeps it for every word with the space before it: neither joins anything across those cuts.
     Lines are cut apart as well, and punctuation after a word. Of a slice of texts every word is asked for
     once, and words of letters many at a time; where one ends is seen from the tokens. Texts for which that
-    could differ (rare kinds and runs of white space) are encoded as a whole. Nothing is kept between slices.
+    could differ (rare kinds and runs of white space) are encoded as a whole. Between slices a bounded
+    number of words is kept, in arrays.
     """
 
     def __init__(self, path: str, words: bool):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.words = Tokenizer.from_file(path), words
+        self.tokenizer, self.words, self.kept = Tokenizer.from_file(path), words, _Kept()
         # What ends a word (or begins one, with the space before it), and what stands for a line feed, by id.
         vocabulary = self.tokenizer.get_vocab()
         self.edge = np.zeros(max(vocabulary.values()) + 1, bool)
@@ -119,6 +170,14 @@ class Encoder:
             sizes.append(size)
         return np.concatenate(ids), np.concatenate(sizes)
 
+    def _asked(self, words: pa.StringArray, parts: _Parts) -> np.ndarray:
+        """The numbers of words of letters; those that aren't kept are asked for, each once."""
+        coded = words.dictionary_encode()
+        number = self.kept.find(coded.dictionary)
+        new = np.flatnonzero(number < 0)
+        number[new] = parts.add(*self._bulk(_strings(coded.dictionary.take(pa.array(new)))))
+        return number[coded.indices.to_numpy()]
+
     def _numbers(self, chunks: pa.StringArray, parts: _Parts) -> tuple[np.ndarray, np.ndarray]:
         """The numbers of the one or two parts of every distinct chunk; -1 for none."""
         first, second = np.full(len(chunks), -1, np.int32), np.full(len(chunks), -1, np.int32)
@@ -126,49 +185,60 @@ class Encoder:
         letters = pc.and_(pc.utf8_is_alpha(chunks), pc.less_equal(pc.binary_length(chunks), LONGEST))
         letters = letters.to_numpy(zero_copy_only=False)
         mixed = np.flatnonzero(~letters)
-        cut = pc.extract_regex(chunks.take(pa.array(mixed)), _WORD)
-        is_word = cut.is_valid().to_numpy(zero_copy_only=False)
-        line, head, tail = (pc.struct_field(cut, k) for k in range(3))
-        at_line = pc.equal(line, "\n").fill_null(False).to_numpy(zero_copy_only=False)
+        line, head, tail = _taken_apart(chunks.take(pa.array(mixed)))
+        is_word = pc.and_(pc.utf8_is_alpha(head), pc.less_equal(pc.utf8_length(head), LONGEST))
+        is_word = is_word.to_numpy(zero_copy_only=False)
+        at_line = pc.equal(line, "\n").to_numpy(zero_copy_only=False)
         if self.words:
             # Some letters become a letter and a mark, which goes with the punctuation after it.
-            plain = pc.utf8_is_alpha(pc.utf8_lower(pc.utf8_normalize(head, form="NFC"))).fill_null(False)
-            odd = pc.match_substring(head, "\u0130").fill_null(False)
-            is_word &= ~at_line & plain.to_numpy(zero_copy_only=False) & ~odd.to_numpy(zero_copy_only=False)
+            plain = pc.utf8_is_alpha(pc.utf8_lower(pc.utf8_normalize(head, form="NFC")))
+            odd = pc.match_substring(head, "\u0130")
+            is_word = is_word & ~at_line & plain.to_numpy(zero_copy_only=False) & ~odd.to_numpy(zero_copy_only=False)
         own = np.flatnonzero(letters)
-        heads = pa.concat_arrays([chunks.take(pa.array(own)), head.take(pa.array(np.flatnonzero(is_word & ~at_line)))]).dictionary_encode()
-        number = parts.add(*self._bulk(heads.dictionary.to_pylist()))[heads.indices.to_numpy()]
+        heads = head.take(pa.array(np.flatnonzero(is_word & ~at_line)))
+        number = self._asked(pa.concat_arrays([chunks.take(pa.array(own)), heads]), parts)
         first[own], first[mixed[is_word & ~at_line]] = number[: len(own)], number[len(own) :]
         at = np.flatnonzero(is_word & at_line)
         if len(at):
             heads = head.take(pa.array(at)).dictionary_encode()
-            first[mixed[at]] = parts.add(*self._bulk(heads.dictionary.to_pylist(), True))[heads.indices.to_numpy()]
-        ended = np.flatnonzero(is_word & pc.not_equal(tail, "").fill_null(False).to_numpy(zero_copy_only=False))
+            first[mixed[at]] = parts.add(*self._bulk(_strings(heads.dictionary), True))[heads.indices.to_numpy()]
+        ended = np.flatnonzero(is_word & pc.not_equal(tail, "").to_numpy(zero_copy_only=False))
         if len(ended):
             tails = tail.take(pa.array(ended)).dictionary_encode()
-            second[mixed[ended]] = parts.add(*self._plain(tails.dictionary.to_pylist()))[tails.indices.to_numpy()]
+            second[mixed[ended]] = parts.add(*self._plain(_strings(tails.dictionary)))[tails.indices.to_numpy()]
         other = mixed[~is_word]
-        texts = chunks.take(pa.array(other)).to_pylist()
+        texts = _strings(chunks.take(pa.array(other)))
         filled = np.array([bool(t) for t in texts], bool)
         if filled.any():
             first[other[filled]] = parts.add(*self._plain([self._text(t) for t in texts if t]))
         return first, second
 
+    def _encoded(self, chunks: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of distinct chunks, and how many of each."""
+        parts = _Parts()
+        parts.add(self.kept.ids, self.kept.sizes)
+        both = np.stack(self._numbers(chunks, parts), axis=1)
+        there = both >= 0
+        ids, sizes = parts.taken(both[there])
+        ends = np.append(0, np.cumsum(sizes))[np.cumsum(there.sum(axis=1))]
+        return ids, np.diff(ends, prepend=0).astype(np.int32)
+
     def __call__(self, texts: list[str]) -> list[bytes]:
         cut = [self._cut(t) for t in texts]
         lists = pc.split_pattern(pa.array([c or "" for c in cut], pa.large_string()), " ")
         coded = lists.flatten().dictionary_encode()
-        parts = _Parts()
-        parts.add(np.zeros(0, "<u4"), np.zeros(0, np.int64))
-        first, second = self._numbers(coded.dictionary.cast(pa.string()), parts)
-        of_chunk = coded.indices.to_numpy()
+        chunks = coded.dictionary.cast(pa.string())
+        number = self.kept.find(chunks)
+        unknown = np.flatnonzero(number < 0)
+        number[unknown] = len(self.kept.sizes) + np.arange(len(unknown))
+        ids, sizes = self._encoded(chunks.take(pa.array(unknown)))
+        ids, sizes = np.append(self.kept.ids, ids), np.append(self.kept.sizes, sizes)
+        order = number[coded.indices.to_numpy()]
         ends = np.cumsum(pc.list_value_length(lists).to_numpy())
         del lists, coded
-        both = np.stack([first[of_chunk], second[of_chunk]], axis=1)
-        there = both >= 0
-        ids, sizes = parts.taken(both[there])
-        # Where texts end, over their chunks, over parts, over ids.
-        ends = np.append(0, np.cumsum(there.sum(axis=1)))[ends]
+        self.kept.keep(chunks, number, ids, sizes)
+        ids, sizes = taken(ids, sizes, order)
+        # Where texts end, over their chunks, over ids.
         ends = np.append(0, np.cumsum(sizes))[ends]
         raw = memoryview(ids).cast("B")
         done = [bytes(raw[4 * a : 4 * b]) for a, b in zip([0, *ends.tolist()], ends.tolist())]

@@ -10,7 +10,7 @@ from helpers import docs
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from rateloom.llm import huffman, token_files as op
+from rateloom.llm import huffman, token_files as op, tokens
 from rateloom.llm.queries import op9_token_files
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -98,3 +98,18 @@ def test_query(spark):
     sf_dir = "/root/testdata/sf0.001"
     texts = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").orderBy("doc_id").collect()]
     check(op9_token_files(spark, sf_dir).collect(), texts)
+
+
+def test_words_of_earlier_slices_are_not_asked_for_again(monkeypatch):
+    plain, encoder = Tokenizer.from_file(PATH), tokens.Encoder(PATH, False)
+    asked = []
+    bulk = encoder._bulk
+    monkeypatch.setattr(encoder, "_bulk", lambda words, line=False: asked.extend(words) or bulk(words, line))
+    texts = ["Some words, and more words.\nNext line", "more new words and some", "new, words"]
+    for kept, again in ((tokens.KEPT_BYTES, False), (60, True), (0, True)):
+        monkeypatch.setattr(tokens, "KEPT_BYTES", kept)
+        for text in texts * 3:
+            asked.clear()
+            assert encoder([text]) == [np.array(plain.encode(text).ids, "<u4").tobytes()]
+        assert bool(asked) == again
+        assert encoder.kept.chunks.nbytes + encoder.kept.ids.nbytes <= kept
