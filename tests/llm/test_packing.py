@@ -72,6 +72,17 @@ def test_encoder_is_the_tokenizer(monkeypatch):
         assert [x for at in range(0, len(odd), 7) for x in encode(odd[at : at + 7])] == want
 
 
+def test_letters_of_known_words_are_not_asked_for_with_punctuation(monkeypatch):
+    tokenizer, encode = Tokenizer.from_file(PATH), Encoder(PATH, True)
+    encode(["Some words " + "w" * 64 + " é"])
+    asked = []
+    bulk = encode._bulk
+    monkeypatch.setattr(encode, "_bulk", lambda words, line=False: asked.extend(words) or bulk(words, line))
+    text = "words! Some words, (words) é. new.. " + "w" * 64 + "; " + "w" * 65 + ", ,,"
+    assert encode([text]) == [np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()]
+    assert asked == ["new"]
+
+
 def test_plan_is_best_fit():
     rng = random.Random(4)
     for capacity in (10, 64, 100):
