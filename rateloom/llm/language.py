@@ -54,34 +54,69 @@ def pieces_of(word: str) -> list[str]:
     return [word[i : i + LONGEST_WORD] for i in range(0, len(word), LONGEST_WORD)]
 
 
+class Trie:
+    """The pieces letter by letter, so that many places of many words are looked up at once."""
+
+    def __init__(self, ids: dict[str, int]):
+        self.n = len(ids)
+        nodes, steps = {"": 0}, {}
+        for piece in ids:
+            for k in range(len(piece)):
+                if piece[: k + 1] not in nodes:
+                    nodes[piece[: k + 1]] = len(nodes)
+                    steps[nodes[piece[:k]], piece[k]] = nodes[piece[: k + 1]]
+        self.letters = np.array(sorted({ord(c) for _, c in steps}), np.int64)
+        place = {chr(c): k for k, c in enumerate(self.letters.tolist())}
+        keys = np.array([node * len(place) + place[c] for node, c in steps], np.int64)
+        order = np.argsort(keys)
+        # The last of each is that of no step.
+        self.keys = np.append(keys[order], np.iinfo(np.int64).max)
+        self.after = np.append(np.array(list(steps.values()), np.int64)[order], 0)
+        self.piece = np.full(len(nodes), -1, np.int32)
+        self.piece[[nodes[p] for p in ids]] = list(ids.values())
+
+    def places(self, letters: np.ndarray) -> np.ndarray:
+        """The numbers of letters by code point; -1 for those of no piece."""
+        if not len(self.letters):
+            return np.full(len(letters), -1, np.int64)
+        at = np.minimum(np.searchsorted(self.letters, letters), len(self.letters) - 1)
+        return np.where(self.letters[at] == letters, at, -1)
+
+
 class Lattice:
     """All segmentations of many words: arcs (word, from, to, piece), sorted by where they end."""
 
-    def __init__(self, words: list[str], ids: dict[str, int], longest: int):
+    def __init__(self, words: list[str], ids: dict[str, int] | Trie, longest: int):
+        trie = Trie(ids) if isinstance(ids, dict) else ids
         self.n, self.width = len(words), max(map(len, words), default=0)
         self.lengths = np.array([len(w) for w in words], np.int64)
-        rows, froms, tos, pieces = [], [], [], []
-        get = ids.get
-        for k, w in enumerate(words):
-            size = len(w)
-            for i in range(size):
-                known = False
-                for j in range(i + 1, min(size, i + longest) + 1):
-                    piece = get(w[i:j])
-                    if piece is not None:
-                        known = known or j == i + 1
-                        rows.append(k)
-                        froms.append(i)
-                        tos.append(j)
-                        pieces.append(piece)
-                if not known:  # a letter that is no piece has the same chance in every language
-                    rows.append(k)
-                    froms.append(i)
-                    tos.append(i + 1)
-                    pieces.append(len(ids))
-        order = np.argsort(np.array(tos, np.int32), kind="stable")
+        letter = trie.places(np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4"))
+        row = np.repeat(np.arange(self.n), self.lengths)
+        start = np.arange(len(row)) - np.repeat(np.cumsum(self.lengths) - self.lengths, self.lengths)
+        left = self.lengths[row] - start
+        unknown = np.ones(len(row), bool)
+        at, node, found = np.arange(len(row)), np.zeros(len(row), np.int64), []
+        for size in range(1, longest + 1):
+            inside = left[at] >= size
+            at, node = at[inside], node[inside]
+            own = letter[at + size - 1]
+            key = np.where(own < 0, -1, node * len(trie.letters) + own)
+            step = np.searchsorted(trie.keys, key)
+            there = trie.keys[step] == key
+            at, node = at[there], trie.after[step[there]]
+            piece = trie.piece[node]
+            whole = piece >= 0
+            found.append((at[whole], size, piece[whole]))
+            if size == 1:
+                unknown[at[whole]] = False
+        # A letter that is no piece has the same chance in every language.
+        rest = np.flatnonzero(unknown)
+        found.append((rest, 1, np.full(len(rest), trie.n, np.int32)))
+        at = np.concatenate([a for a, _, _ in found])
+        end = start[at] + np.repeat([size for _, size, _ in found], [len(a) for a, _, _ in found])
+        order = np.argsort((end * self.n + row[at]) * (self.width + 1) + start[at])
         self.row, self.start, self.end, self.piece = (
-            np.array(x, np.int32)[order] for x in (rows, froms, tos, pieces)
+            x[order].astype(np.int32) for x in (row[at], start[at], end, np.concatenate([p for _, _, p in found]))
         )
         self.cuts = np.searchsorted(self.end, np.arange(self.width + 2))
 
@@ -124,8 +159,8 @@ def scaled(chances: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 def fit_language(words: list[str], weights: np.ndarray, ids: dict[str, int], sizes: np.ndarray) -> np.ndarray:
     """Piece probabilities of one language from its words and how often they occur."""
-    longest, n = int(sizes.max()), len(ids)
-    parts = [Lattice(words[at : at + 20_000], ids, longest) for at in range(0, len(words), 20_000)]
+    longest, n, trie = int(sizes.max()), len(ids), Trie(ids)
+    parts = [Lattice(words[at : at + 20_000], trie, longest) for at in range(0, len(words), 20_000)]
     found = np.zeros(n + 1)
     for k, part in enumerate(parts):  # the start: pieces by how often they occur anywhere
         found += np.bincount(part.piece, weights=weights[k * 20_000 :][part.row], minlength=n + 1)
@@ -173,9 +208,9 @@ def learn(docs: DataFrame, pieces: list[str], sample_docs: int = SAMPLE_DOCS) ->
 class _Scores(dict):
     """Place of each chunk of text in a table of its log probabilities by language."""
 
-    def __init__(self, ids, chances, longest):
+    def __init__(self, trie, chances, longest):
         super().__init__()
-        self.ids, self.chances, self.longest = ids, chances, longest
+        self.trie, self.chances, self.longest = trie, chances, longest
         self.new: list[str] = []
         self.logs = np.empty((0, chances.shape[1]))
         self.sizes = np.empty(0, np.int64)
@@ -198,7 +233,7 @@ class _Scores(dict):
                     owner += [k] * len(own)
             logs = np.zeros((len(size), self.chances.shape[1]))
             if runs:
-                found = Lattice(runs, self.ids, self.longest).logs(self.chances)
+                found = Lattice(runs, self.trie, self.longest).logs(self.chances)
                 np.add.at(logs, np.array(owner), found)
             added.append(logs)
             sizes += size
@@ -221,7 +256,7 @@ def identify(docs: DataFrame, pieces: list[str], langs: list[str], chances: np.n
     ids = {p: i for i, p in enumerate(pieces)}
     sizes = np.array([len(p) for p in pieces])
     # The table has one row per piece of the fixed vocabulary, whatever the data.
-    known = docs.sparkSession.sparkContext.broadcast((ids, scaled(chances, sizes), int(sizes.max()), langs))
+    known = docs.sparkSession.sparkContext.broadcast((Trie(ids), scaled(chances, sizes), int(sizes.max()), langs))
     model = uuid.uuid4().hex
 
     def predict(text: str | None, scores: _Scores) -> np.ndarray | None:
@@ -230,10 +265,10 @@ def identify(docs: DataFrame, pieces: list[str], langs: list[str], chances: np.n
         return np.fromiter(map(scores.__getitem__, text.lower().split()), np.int64)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, table, longest, langs = known.value
+        trie, table, longest, langs = known.value
         state = worker_state("language")
         if state.get("language", ("",))[0] != model:
-            state["language"] = (model, _Scores(ids, table, longest))
+            state["language"] = (model, _Scores(trie, table, longest))
         scores = state["language"][1]
         for b in batches:
             for start in range(0, b.num_rows, 256):
@@ -256,7 +291,7 @@ def identify(docs: DataFrame, pieces: list[str], langs: list[str], chances: np.n
                     names=names,
                 )
                 if len(scores) > REMEMBERED:
-                    scores = _Scores(ids, table, longest)
+                    scores = _Scores(trie, table, longest)
                     state["language"] = (model, scores)
 
     return map_batches(plain, schema, work)

@@ -39,6 +39,27 @@ def test_expected_counts_cover_the_words():
     assert math.isclose(float((found * np.append(sizes, 1)).sum()), 3 * 3 + 3)
 
 
+def test_places_of_words_are_not_looked_up_one_by_one():
+    class Counted(dict):
+        asked = 0
+
+        def get(self, *key):
+            Counted.asked += 1
+            return super().get(*key)
+
+    ids = Counted({p: i for i, p in enumerate(["▁", "a", "b", "ab", "▁a", "aba", "𝒳é"])})
+    words = ["▁abab", "▁xa", "b𝒳é", "𝒳", ""] * 50
+    got = op.Lattice(words, ids, 3)
+    want = []
+    for k, w in enumerate(words):
+        for i in range(len(w)):
+            want += [(j, k, i, ids[w[i:j]]) for j in range(i + 1, min(len(w), i + 3) + 1) if w[i:j] in ids]
+            want += [(i + 1, k, i, len(ids))] * (w[i] not in ids)
+    assert list(zip(got.end, got.row, got.start, got.piece)) == sorted(want)
+    assert Counted.asked == 0
+    assert len(op.Lattice(["▁x"], {}, 3).piece) == 2 and len(op.Lattice([], ids, 3).piece) == 0
+
+
 def test_cases(spark):
     texts = [EN, DE] * 8 + [None, "", " 12 !!", "THE CAT!!", "der " * 40000, "ab" * 30000, EN, EN]
     langs = ["en", "de"] * 8 + ["en"] * 5 + [None] * 3
