@@ -39,6 +39,32 @@ def _taken_apart(chunks: pa.StringArray) -> tuple[pa.StringArray, pa.StringArray
     return tuple(cut.take(pa.array(np.arange(k, len(cuts), 3))) for k in range(3))
 
 
+def _cut_before_spaces(texts: list[str]) -> tuple[pa.LargeStringArray, np.ndarray, np.ndarray]:
+    """The chunks of all texts, with the space or line feed before them, where texts end in them, and which
+    texts have to be encoded as a whole; these have no chunks."""
+    strings = pa.array(texts, pa.large_string())
+    whole = pc.match_substring_regex(strings, _ODD_SPACE.pattern).to_numpy(zero_copy_only=False).copy()
+    raw, ends, space = _spaces(strings)
+    # Two in a row are in one text, or the first of them ends one.
+    whole[np.searchsorted(ends[1:], np.flatnonzero(space[1:] & space[:-1]), "right")] = True
+    filled = np.flatnonzero(np.diff(ends))
+    whole[filled[space[ends[filled + 1] - 1]]] = True
+    if whole.any():
+        raw, ends, space = _spaces(pa.array(["" if w else t for t, w in zip(texts, whole)], pa.large_string()))
+        filled = np.flatnonzero(np.diff(ends))
+    space[ends[filled]] = True
+    starts = np.flatnonzero(space)
+    chunks = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(np.append(starts, len(raw))), pa.py_buffer(raw))
+    return chunks, np.searchsorted(starts, ends[1:]), whole
+
+
+def _spaces(strings: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes of all strings, where each begins and ends, and which bytes are spaces or line feeds."""
+    ends = np.frombuffer(strings.buffers()[1], np.int64, len(strings) + 1)
+    raw = np.frombuffer(strings.buffers()[2] or b"", np.uint8)[: ends[-1]]
+    return raw, ends, (raw == ord(" ")) | (raw == ord("\n"))
+
+
 class _Parts:
     """Ids of distinct strings, one after the other, and where each begins."""
 
@@ -59,13 +85,10 @@ class _Parts:
 
 def taken(ids: np.ndarray, sizes: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Of strings of ``sizes`` ids, one after the other, the ids of those in ``order``, and how many of each."""
-    starts = np.cumsum(sizes) - sizes
-    own = sizes[order]
-    ends = np.cumsum(own)
-    # Ids of a slice are far fewer than 2^31.
-    at = np.arange(int(ends[-1]) if len(ends) else 0, dtype=np.int32)
-    at += np.repeat((starts[order] - (ends - own)).astype(np.int32), own)
-    return ids[at], own
+    ends = np.append(0, np.cumsum(sizes, dtype=np.int64)) * ids.itemsize
+    rows = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(ends), pa.py_buffer(ids)])
+    found = rows.take(pa.array(order)).buffers()[2]
+    return np.frombuffer(found or b"", ids.dtype), sizes[order]
 
 
 class _Kept:
@@ -75,8 +98,14 @@ class _Kept:
         self.chunks, self.ids, self.sizes = pa.array([], pa.string()), np.zeros(0, "<u4"), np.zeros(0, np.int32)
 
     def find(self, chunks: pa.StringArray) -> np.ndarray:
-        """The numbers of chunks; -1 for those that aren't kept."""
-        return pc.index_in(chunks, value_set=self.chunks).fill_null(-1).to_numpy(zero_copy_only=False).copy()
+        """The numbers of distinct chunks; -1 for those that aren't kept."""
+        if len(chunks) >= len(self.chunks):
+            return pc.index_in(chunks, value_set=self.chunks).fill_null(-1).to_numpy(zero_copy_only=False).copy()
+        # The fewer make the table that is looked up in: what is kept is asked for all of them.
+        place = pc.index_in(self.chunks, value_set=chunks).fill_null(-1).to_numpy(zero_copy_only=False)
+        number, there = np.full(len(chunks), -1, np.int32), np.flatnonzero(place >= 0)
+        number[place[there]] = there
+        return number
 
     def keep(self, seen: pa.StringArray, number: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
         """Keeps the short ones of a slice's distinct chunks ``seen`` as well, or only them if all are too many.
@@ -128,22 +157,29 @@ class Encoder:
             state[key] = Encoder(path, words)
         return state[key]
 
-    def _cut(self, text: str) -> str | None:
-        """The text with one space between its chunks; None if it has to be encoded as a whole. Where white
-        space counts, a chunk that begins a line has the line feed before it, the first of the text two,
-        and all others stand for themselves after a space."""
+    def _cut(self, texts: list[str]) -> tuple[pa.LargeStringArray, np.ndarray, np.ndarray]:
+        """The chunks of all texts, where texts end in them, and which texts have to be encoded as a whole."""
+        if not self.words:
+            return _cut_before_spaces(texts)
+        whole = np.array([bool(_SEPARATORS.search(t)) for t in texts], bool)
+        cut = [
+            "" if w else " ".join(t.split()) if _ODD_SPACE.search(t) else t.replace("\n", " ")
+            for t, w in zip(texts, whole)
+        ]
+        lists = pc.split_pattern(pa.array(cut, pa.large_string()), " ")
+        return lists.flatten(), np.cumsum(pc.list_value_length(lists).to_numpy()), whole
+
+    def _marked(self, chunks: pa.StringArray) -> pa.StringArray:
+        """Where white space counts, a chunk that begins a line with the line feed before it, the first of a
+        text with two, and all others without the space before them."""
         if self.words:
-            if _SEPARATORS.search(text):
-                return None
-            return " ".join(text.split()) if _ODD_SPACE.search(text) else text.replace("\n", " ")
-        if "  " in text or "\n " in text or " \n" in text or "\n\n" in text or _ODD_SPACE.search(text):
-            return None
-        if text[-1:] in (" ", "\n"):
-            return None
-        cut = ("\n\n" + text).replace("\n", " \n").replace(" \n \n", "\n\n", 1)
-        return cut[3:] if cut.startswith("\n\n ") else cut
+            return chunks
+        first = pc.binary_join_element_wise("\n\n", chunks, "")
+        line, space = pc.starts_with(chunks, "\n"), pc.starts_with(chunks, " ")
+        return pc.if_else(space, pc.utf8_slice_codeunits(chunks, 1), pc.if_else(line, chunks, first))
 
     def _text(self, chunk: str) -> str:
+        """What a marked chunk stands for."""
         if self.words:
             return chunk
         return chunk[2:] if chunk.startswith("\n\n") else chunk if chunk[:1] == "\n" else " " + chunk
@@ -173,13 +209,14 @@ class Encoder:
     def _asked(self, words: pa.StringArray, parts: _Parts) -> np.ndarray:
         """The numbers of words of letters; those that aren't kept are asked for, each once."""
         coded = words.dictionary_encode()
-        number = self.kept.find(coded.dictionary)
+        words = coded.dictionary
+        number = self.kept.find(words if self.words else pc.binary_join_element_wise(" ", words, ""))
         new = np.flatnonzero(number < 0)
-        number[new] = parts.add(*self._bulk(_strings(coded.dictionary.take(pa.array(new)))))
+        number[new] = parts.add(*self._bulk(_strings(words.take(pa.array(new)))))
         return number[coded.indices.to_numpy()]
 
     def _numbers(self, chunks: pa.StringArray, parts: _Parts) -> tuple[np.ndarray, np.ndarray]:
-        """The numbers of the one or two parts of every distinct chunk; -1 for none."""
+        """The numbers of the one or two parts of every distinct marked chunk; -1 for none."""
         first, second = np.full(len(chunks), -1, np.int32), np.full(len(chunks), -1, np.int32)
         # Most chunks are letters alone; only the others are taken apart.
         letters = pc.and_(pc.utf8_is_alpha(chunks), pc.less_equal(pc.binary_length(chunks), LONGEST))
@@ -217,16 +254,15 @@ class Encoder:
         """The ids of distinct chunks, and how many of each."""
         parts = _Parts()
         parts.add(self.kept.ids, self.kept.sizes)
-        both = np.stack(self._numbers(chunks, parts), axis=1)
+        both = np.stack(self._numbers(self._marked(chunks), parts), axis=1)
         there = both >= 0
         ids, sizes = parts.taken(both[there])
         ends = np.append(0, np.cumsum(sizes))[np.cumsum(there.sum(axis=1))]
         return ids, np.diff(ends, prepend=0).astype(np.int32)
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        cut = [self._cut(t) for t in texts]
-        lists = pc.split_pattern(pa.array([c or "" for c in cut], pa.large_string()), " ")
-        coded = lists.flatten().dictionary_encode()
+        cut, ends, whole = self._cut(texts)
+        coded = cut.dictionary_encode()
         chunks = coded.dictionary.cast(pa.string())
         number = self.kept.find(chunks)
         unknown = np.flatnonzero(number < 0)
@@ -234,15 +270,13 @@ class Encoder:
         ids, sizes = self._encoded(chunks.take(pa.array(unknown)))
         ids, sizes = np.append(self.kept.ids, ids), np.append(self.kept.sizes, sizes)
         order = number[coded.indices.to_numpy()]
-        ends = np.cumsum(pc.list_value_length(lists).to_numpy())
-        del lists, coded
+        del cut, coded
         self.kept.keep(chunks, number, ids, sizes)
         ids, sizes = taken(ids, sizes, order)
         # Where texts end, over their chunks, over ids.
         ends = np.append(0, np.cumsum(sizes))[ends]
         raw = memoryview(ids).cast("B")
         done = [bytes(raw[4 * a : 4 * b]) for a, b in zip([0, *ends.tolist()], ends.tolist())]
-        whole = [k for k, c in enumerate(cut) if c is None]
-        for k in whole:
+        for k in np.flatnonzero(whole).tolist():
             done[k] = self._plain([texts[k]])[0].tobytes()
         return done

@@ -113,3 +113,34 @@ def test_words_of_earlier_slices_are_not_asked_for_again(monkeypatch):
             assert encoder([text]) == [np.array(plain.encode(text).ids, "<u4").tobytes()]
         assert bool(asked) == again
         assert encoder.kept.chunks.nbytes + encoder.kept.ids.nbytes <= kept
+
+
+def test_texts_of_one_slice_are_cut_apart():
+    """Texts that meet in the bytes of a slice, and those that are encoded as a whole between others."""
+    plain, encoder = Tokenizer.from_file(PATH), tokens.Encoder(PATH, False)
+    odd = ["", "a", "a ", " a", "\na", "a\n", " ", "\n", "a  b", "a \nb", "a\n b", "a\n\nb", "a\nb c", "ä漢 é,\nx!", "a b", "a　"]
+    odd += ["\tb", "b\x1cc", "b\xa0c", "b\x85", " b", "a\x00b \x01", "<|endoftext|> a", "a b", "b\n12.5, (c)"]
+    texts = [*odd, *reversed(odd), *(x for pair in zip(odd, odd[7:]) for x in pair)]
+    assert encoder([]) == []
+    for own in (texts, texts[::3], texts):
+        assert encoder(own) == [np.array(plain.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in own]
+
+
+def test_what_is_kept_is_not_made_a_table_again_for_few_words(monkeypatch):
+    encoder, tables = tokens.Encoder(PATH, False), []
+    encoder([" ".join(f"word{'abcdefghij'[k % 10]}{chr(97 + k // 10)}" for k in range(200))])
+    kept, real = len(encoder.kept.chunks), tokens.pc.index_in
+
+    class Compute:
+        def __getattr__(self, name):
+            return getattr(real_pc, name)
+
+        def index_in(self, values, value_set):
+            tables.append(len(value_set))
+            return real(values, value_set=value_set)
+
+    real_pc = tokens.pc
+    monkeypatch.setattr(tokens, "pc", Compute())
+    text = "some wordaa, some new words"
+    assert encoder([text]) == [np.array(Tokenizer.from_file(PATH).encode(text).ids, "<u4").tobytes()]
+    assert kept > 100 and tables and max(tables) < 10
