@@ -72,6 +72,13 @@ def _ids(raw: bytes) -> np.ndarray:
     return np.frombuffer(raw, "<u2" if raw[0] == 2 else "<u4", offset=1)
 
 
+def _cut(ids: np.ndarray, ends: np.ndarray) -> pa.BinaryArray:
+    """The bytes of a block's ids by documents. They are shared, not viewed: Arrow never lets go of a memoryview
+    that it made an array from, nor of the block behind it."""
+    places = pa.py_buffer(4 * np.append(0, ends))
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends), [None, places, pa.py_buffer(ids)]).cast(pa.binary())
+
+
 def global_counts(raw: DataFrame) -> np.ndarray:
     """How often each id occurs; what reaches the driver is bounded by the vocabulary."""
     schema = pa.schema([("id", pa.int64()), ("n", pa.int64())])
@@ -156,13 +163,12 @@ def read_token_file(spark: SparkSession, path: str, limit: int = LIMIT) -> DataF
                 sizes = np.array(sizes.as_py(), np.int64)
                 ids = decode(payload.as_py(), marks.as_py(), int(sizes.sum()))
                 ends = np.cumsum(sizes)
-                view, firsts = memoryview(ids.tobytes()), ends - sizes
                 yield batch(
                     schema,
                     doc_ids.values,
-                    pa.array(bases[part.as_py()] + before.as_py() + firsts),
+                    pa.array(bases[part.as_py()] + before.as_py() + ends - sizes),
                     pa.array(sizes),
-                    pa.array([view[4 * s : 4 * e] for s, e in zip(firsts.tolist(), ends.tolist())], pa.binary()),
+                    _cut(ids, ends),
                 )
 
     return map_batches(

@@ -1,5 +1,6 @@
 import heapq
 import random
+import tracemalloc
 import uuid
 import zlib
 
@@ -100,6 +101,23 @@ def test_query(spark):
     check(op9_token_files(spark, sf_dir).collect(), texts)
 
 
+def test_reading_keeps_nothing_of_a_block(spark, monkeypatch, tmp_path):
+    """A Python worker reads blocks of many tasks, one after the other."""
+    path, works = f"file://{tmp_path}/{uuid.uuid4().hex}", []
+    op.write_token_file(docs(spark, ["word " * 1000] * 20), PATH, path)
+    monkeypatch.setattr(op, "map_batches", lambda df, schema, work: works.append((df, work)))
+    op.read_token_file(spark, path)
+    blocks, work = works[0][0].toArrow().to_batches(), works[0][1]
+    size = sum(len(ids.as_py()) for b in work(iter(blocks)) for ids in b["ids"])
+    tracemalloc.start()
+    try:
+        for _ in range(3):
+            assert sum(b.num_rows for b in work(iter(blocks))) == 20
+        assert tracemalloc.get_traced_memory()[0] < size / 4
+    finally:
+        tracemalloc.stop()
+
+
 def test_words_of_earlier_slices_are_not_asked_for_again(monkeypatch):
     plain, encoder = Tokenizer.from_file(PATH), tokens.Encoder(PATH, False)
     asked = []
