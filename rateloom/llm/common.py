@@ -115,46 +115,75 @@ def linked_to(root: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     return root
 
 
-def _signature(edges: DataFrame) -> tuple[int, int]:
-    row = edges.agg(
-        F.count(F.lit(1)), F.coalesce(F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.lit(0))
-    ).first()
-    return int(row[0]), int(row[1])
+#: Edges that a task holds before it gives them out as a forest, about.
+HELD_EDGES = 1 << 20
+
+
+def _forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges that connect what those of ``a`` with ``b`` do: each node with the smallest that it reaches."""
+    nodes, places = np.unique(np.concatenate([a, b]), return_inverse=True)
+    root = linked_to(np.arange(len(nodes)), places[: len(a)], places[len(a) :])
+    moved = root != np.arange(len(root))
+    return nodes[moved], nodes[root[moved]]
+
+
+def _forests(edges: DataFrame) -> DataFrame:
+    """Edges that connect what ``edges`` do; of each HELD_EDGES that a task reads a forest is left."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for b in batches:
+            held.append([c.to_numpy(zero_copy_only=False) for c in b.columns])
+            size += b.num_rows
+            if size >= HELD_EDGES:
+                yield batch(schema, *map(pa.array, _forest(*np.hstack(held))))
+                held, size = [], 0
+        if size:
+            yield batch(schema, *map(pa.array, _forest(*np.hstack(held))))
+
+    return map_batches(edges, "a long, b long", work)
+
+
+def _nodes(edges: DataFrame) -> DataFrame:
+    """Each ``node`` of ``edges``, with the ``least`` and ``most`` it hangs on and whether some hang on it."""
+    ends = F.expr("inline(array(struct(a as node, b as up), struct(b as node, cast(null as bigint) as up)))")
+    return edges.select(ends).groupBy("node").agg(
+        F.min("up").alias("least"), F.max("up").alias("most"), (F.count("up") < F.count(F.lit(1))).alias("below")
+    )
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
-    both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    # As many rows as edges at most; the small star that follows leaves each once.
+    both = edges.select(F.expr("inline(array(struct(a, b), struct(b as a, a as b)))"))
     least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    return (
-        both.join(least, "a").where("b > a and b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    ).distinct()
+    return both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     least = edges.groupBy("a").agg(F.min("b").alias("m"))
-    moved = edges.join(least, "a").where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    return moved.union(least.select("a", F.col("m").alias("b"))).distinct()
+    # The edge to the smallest stays, the ends of the others move to the smallest.
+    moved = F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a")
+    return edges.join(least, "a").select(moved, F.col("m").alias("b")).distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
     """``node, component`` of the undirected ``edges (a, b)``; the component is its smallest node.
 
-    Large-star and small-star steps in turn until every node hangs on the smallest one it reaches.
-    Every round is written to the shared folder; only a count and a checksum reach the driver. Nodes
-    are compared as numbers; nulls and loops are ignored; nodes without an edge don't appear.
+    What a task reads of the edges it joins by itself. Large-star and small-star steps join the rest, in
+    turn until every node hangs on the smallest one it reaches. Every round is written to the shared
+    folder; only a count reaches the driver. Nodes are long; nulls and loops are ignored; nodes without
+    an edge don't appear.
     """
     now = written(
-        edges.where("a is not null and b is not null and a != b")
-        .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        .distinct(),
+        edges.where("a is not null and b is not null and a != b").select(
+            F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")
+        ),
         "edges",
     )
-    seen = _signature(now)
-    while seen[0]:
-        now = written(_small_star(_large_star(now)), "star")
-        after = _signature(now)
-        if after == seen:
-            break
-        seen = after
-    leaves = now.select(F.col("a").alias("node"), F.col("b").alias("component"))
-    return leaves.union(now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
+    while True:
+        nodes = _nodes(_forests(now))
+        left = nodes.where("least != most or least is not null and below").agg(F.count(F.lit(1))).first()[0]
+        if not left:
+            return nodes.select("node", F.coalesce("least", "node").alias("component"))
+        now = written(_small_star(_large_star(_forests(now))), "star")

@@ -224,13 +224,12 @@ def drop_near_copies(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADI
     count once.
     """
     groups = written(simhash_groups(docs, shingle, radius), "groups")
-    best = groups.groupBy("component").agg(
-        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("k")
+    rows = groups.groupBy("component", "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n"))
+    best = rows.groupBy("component").agg(
+        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash", "n")).alias("k")
     )
-    keys = best.select(F.col("k.doc_id").alias("__id"), F.col("k.text_hash").alias("__hash"))
-    rows = groups.groupBy(F.col("doc_id").alias("__i"), F.col("text_hash").alias("__h")).count()
-    chosen = keys.join(rows, F.col("__id").eqNullSafe(F.col("__i")) & (F.col("__hash") == F.col("__h"))).select(
-        "__id", "__hash", (F.col("count") > 1).alias("__twice")
+    chosen = best.select(
+        F.col("k.doc_id").alias("__id"), F.col("k.text_hash").alias("__hash"), (F.col("k.n") > 1).alias("__twice")
     )
     found = docs.join(
         chosen,

@@ -6,6 +6,7 @@ import xxhash
 from helpers import docs, union_find
 from pyspark.sql import functions as F
 
+from rateloom.llm import common
 from rateloom.llm import simhash_dedup as op
 from rateloom.llm.queries import op10_simhash_near_dedup
 
@@ -75,6 +76,44 @@ def test_index_finds_all_links(spark, monkeypatch):
     assert got == union_find(signed, pairs)
 
 
+def test_rounds_of_components(spark, monkeypatch):
+    """Edges that one task reads take no round; those of many tasks come to the same components."""
+    rounds = []
+    monkeypatch.setattr(common, "written", lambda df, name, f=common.written: rounds.append(name) or f(df, name))
+    many = list(range(-40, 40))
+    rng = random.Random(5)
+    cases = [
+        [],
+        [(3, 1), (1, 3), (2, 1), (5, 4), (7, 7), (None, 1), (8, None), (-2, -9)],
+        [(3, 1), (3, 2), (-5, 3)],
+        [(k, k + 1) for k in many],
+        [(rng.choice(many), rng.choice(many)) for _ in range(70)] * 2,
+        [(0, -k) for k in many],
+    ]
+    for links in cases:
+        real = [(a, b) for a, b in links if a is not None and b is not None and a != b]
+        want = sorted(union_find({x for pair in real for x in pair}, real).items())
+        table = spark.createDataFrame(links, "a long, b long").repartition(6)
+        # By their cost to open, all files are read by one task, or each by its own.
+        for cost in ("1", "128m"):
+            rounds.clear()
+            spark.conf.set("spark.sql.files.openCostInBytes", cost)
+            spark.conf.set("spark.sql.files.minPartitionNum", "1")
+            try:
+                got = common.components(table)
+                assert sorted((r.node, r.component) for r in got.collect()) == want, (links, cost)
+            finally:
+                spark.conf.unset("spark.sql.files.openCostInBytes")
+                spark.conf.unset("spark.sql.files.minPartitionNum")
+            assert cost != "1" or rounds == ["edges"]
+
+
+def test_forests(spark):
+    a, b = np.array([5, 3, -7, 9, 3]), np.array([3, 1, 8, 9, 1])
+    x, y = common._forest(a, b)
+    assert list(zip(x.tolist(), y.tolist())) == [(3, 1), (5, 1), (8, -7)]
+
+
 def test_query(spark, sf_dir):
     sf_dir = "/root/testdata/sf0.001"
     texts = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()
